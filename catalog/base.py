@@ -118,7 +118,7 @@ def network(spark: SparkSession, sf_dir: str) -> DataFrame:
         c("users_b").alias("addrs_over_1m_sats_addr_count"),
         c("users_c").alias("addrs_over_10m_sats_addr_count"),
         (c("volume") * 1e9).alias("hash_rate"),
-        (c("n") * 1000).alias("difficulty"),
+        (c("n") * 1e12).alias("difficulty"),
         (F.dayofmonth("date") % 7).cast("double").alias("inflation_rate"),
         F.lit(0.03125).alias("cm_efficiency_j_gh"),
     )
@@ -140,7 +140,7 @@ net AS (
          CASE WHEN day(date) % 2 = 0 THEN sup * 0.75 * 1e8 ELSE sup * 0.75 END AS supply_in_profit,
          sup - sup * 0.75 AS supply_in_loss, users AS active_addrs_average_24h, users AS addr_count,
          users_a AS addrs_over_100k_sats_addr_count, users_b AS addrs_over_1m_sats_addr_count,
-         users_c AS addrs_over_10m_sats_addr_count, volume * 1e9 AS hash_rate, n * 1000 AS difficulty,
+         users_c AS addrs_over_10m_sats_addr_count, volume * 1e9 AS hash_rate, n * 1e12 AS difficulty,
          CAST(day(date) % 7 AS DOUBLE) AS inflation_rate, 0.03125::DOUBLE AS cm_efficiency_j_gh
   FROM totals),
 """

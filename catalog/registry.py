@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import series
+from . import network, series
 from .case import Case
 
-CASES: dict[str, Case] = {**series.CASES}
+CASES: dict[str, Case] = {**series.CASES, **network.CASES}

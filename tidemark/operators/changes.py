@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..functions.expressions import col, finite, growth_rate, pct_change, ratio
+from ..functions.expressions import anniversary, col, finite, growth_rate, pct_change, ratio
 from .chunks import KEYS, ORDER, Chunked
-from .prepare import calendar_lag, last_positive_before
+from .prepare import last_positive_before
 
 CHANGE_ROWS = (7, 90)
 CAGR_YEARS = (4, 2)
@@ -24,38 +24,49 @@ def pct_change_rows(panel: DataFrame, columns: Sequence[str], periods: Sequence[
     return chunks.owned(out)
 
 
-def _since_period_start(panel: DataFrame, columns: Sequence[str], period: str, label: str, keys: Sequence[str]) -> DataFrame:
+def _add_since_period_start(out: DataFrame, panel: DataFrame, columns: Sequence[str], period: str, label: str, keys: Sequence[str]) -> DataFrame:
     base = last_positive_before(panel, columns, period, keys).select(
         *keys, "period", *[col(c).alias(f"_base_{c}") for c in columns]
     )
-    joined = panel.withColumn("period", F.trunc(F.col(ORDER), period)).join(base, [*keys, "period"], "left")
+    joined = out.withColumn("period", F.trunc(F.col(ORDER), period)).join(base, [*keys, "period"], "left")
     return joined.select(
-        *[col(c) for c in panel.columns], *[pct_change(c, f"_base_{c}").alias(f"{c}_{label}_change") for c in columns]
+        *[col(c) for c in out.columns], *[pct_change(c, f"_base_{c}").alias(f"{c}_{label}_change") for c in columns]
+    )
+
+
+def _add_since_a_year_ago(out: DataFrame, panel: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    prior = panel.select(*keys, F.col(ORDER).alias("_then"), *[col(c).alias(f"_then_{c}") for c in columns])
+    joined = out.withColumn("_then", anniversary(ORDER)).join(prior, [*keys, "_then"], "left")
+    return joined.select(
+        *[col(c) for c in out.columns], *[pct_change(c, f"_then_{c}").alias(f"{c}_YOY_change") for c in columns]
     )
 
 
 def mtd(panel: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """Change against the last positive value before the month began."""
-    return _since_period_start(panel, columns, "month", "MTD", keys)
+    return _add_since_period_start(panel, panel, columns, "month", "MTD", keys)
 
 
 def ytd(panel: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """Change against the last positive value before the year began."""
-    return _since_period_start(panel, columns, "year", "YTD", keys)
+    return _add_since_period_start(panel, panel, columns, "year", "YTD", keys)
 
 
 def yoy(panel: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """Change against the same calendar date one year earlier."""
-    joined = calendar_lag(panel, columns, years=1, suffix="_a_year_ago", keys=keys)
-    return joined.select(
-        *[col(c) for c in panel.columns], *[pct_change(c, f"{c}_a_year_ago").alias(f"{c}_YOY_change") for c in columns]
-    )
+    return _add_since_a_year_ago(panel, panel, columns, keys)
 
 
 def all_changes(panel: DataFrame, columns: Sequence[str], periods: Sequence[int] = CHANGE_ROWS, keys: Sequence[str] = KEYS, dense: bool = False) -> DataFrame:
-    """Row-lag, MTD, YTD and YOY changes of a column list."""
+    """Row-lag, MTD, YTD and YOY changes of a column list.
+
+    Every base is taken from ``panel`` itself and not from the growing result, so the panel is read a fixed number of
+    times; settle it first when it is costly.
+    """
     out = pct_change_rows(panel, columns, periods, keys, dense)
-    return yoy(mtd(ytd(out, columns, keys), columns, keys), columns, keys)
+    out = _add_since_period_start(out, panel, columns, "year", "YTD", keys)
+    out = _add_since_period_start(out, panel, columns, "month", "MTD", keys)
+    return _add_since_a_year_ago(out, panel, columns, keys)
 
 
 def cagr(panel: DataFrame, columns: Sequence[str], years: Sequence[int] = CAGR_YEARS, keys: Sequence[str] = KEYS, dense: bool = False) -> DataFrame:

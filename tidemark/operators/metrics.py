@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import col, floor_zero, positive, ratio
+from ..session import settle
 from .chunks import KEYS, ORDER, ROW, Chunked, Roll, running
 from .prepare import ffill
 
@@ -26,8 +27,9 @@ FLOW_POWER = 3.3
 def onchain_metrics(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Valuation ratios, price means, thermocap, miner revenue, supply, reserve risk, average cap and volatility.
 
-    Three scans: running totals, one halo pass for all rolling windows (nested windows share its reach), and the
-    running total of the daily holding value, which needs a rolling median first.
+    Three passes: running totals, one halo pass for all rolling windows (nested windows share its reach), and the
+    running total of the daily holding value, which needs a rolling median first. The rolled stage is settled, because
+    a running total reads its input twice.
     """
     c = col
     cap, supply, realized, price = c("market_cap"), c("supply"), c("realized_cap"), c("price_close")
@@ -90,7 +92,7 @@ def onchain_metrics(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     )
     frame = chunks.roll(frame, [Roll("nvt_price_multiple_ma", "nvt_price_multiple", 14)])
     rolled = chunks.owned(frame).drop("_return", "_volume_90", "_nvt_730", "_nvt90_365")
-    banked = running(rolled, {"hodl_bank_calc": ("sum", "daily_hodl_value")}, keys).withColumn(
+    banked = running(settle(rolled), {"hodl_bank_calc": ("sum", "daily_hodl_value")}, keys).withColumn(
         "hodl_bank_calc", F.when(c("daily_hodl_value").isNotNull(), c("hodl_bank_calc"))
     )
 
@@ -192,7 +194,8 @@ def metal_parity(panel: DataFrame, shares_pct: Mapping[str, float], keys: Sequen
     An entity whose newest supply is zero or missing gets NULL prices.
     """
     filled = ffill(panel, ["supply"], None, keys)
-    newest = filled.groupBy(*keys).agg(F.max_by("supply", ORDER).alias("_newest_supply"))
+    seen = F.when(F.col("supply").isNotNull(), F.col(ORDER))
+    newest = panel.groupBy(*keys).agg(F.max_by("supply", seen).alias("_newest_supply"))
     usable = filled.join(newest, list(keys), "left").withColumn(
         "_supply", F.when(F.col("_newest_supply") != 0, F.col("supply"))
     )

@@ -42,8 +42,11 @@ def power_law_fit(panel: DataFrame, fit_end=None, price: str = "price_close", or
 
 def fit_power_law(panel: DataFrame, fit_end=None, price: str = "price_close", origin: str = ORIGIN, keys: Sequence[str] = KEYS) -> DataFrame:
     """Fit on rows up to ``fit_end``, evaluate on all rows of positive age."""
-    fitted = power_law_fit(panel, fit_end, price, origin, keys).drop("fit_rows")
-    joined = panel.withColumn("days_since_genesis", _age(origin)).join(fitted, list(keys), "left")
+    return apply_power_law(panel, power_law_fit(panel, fit_end, price, origin, keys), price, origin, keys)
+
+
+def apply_power_law(panel: DataFrame, fitted: DataFrame, price: str = "price_close", origin: str = ORIGIN, keys: Sequence[str] = KEYS) -> DataFrame:
+    joined = panel.withColumn("days_since_genesis", _age(origin)).join(fitted.drop("fit_rows"), list(keys), "left")
     model = F.col("power_law_scale") * F.pow(positive("days_since_genesis"), F.col("power_law_exponent"))
     return joined.withColumn("power_law_price", model).withColumn(
         "power_law_price_multiple", ratio(price, positive("power_law_price"))
@@ -61,7 +64,11 @@ def metcalfe_fit(panel: DataFrame, fit_end=None, bands: Mapping[str, str] = BAND
 
 def fit_metcalfe(panel: DataFrame, fit_end=None, bands: Mapping[str, str] = BANDS, price: str = "price_close", supply: str = "supply", keys: Sequence[str] = KEYS) -> DataFrame:
     """Value per coin, scale x n^2 / supply, for every band; the first band gives the headline value and multiple."""
-    joined = panel.join(metcalfe_fit(panel, fit_end, bands, price, supply, keys), list(keys), "left")
+    return apply_metcalfe(panel, metcalfe_fit(panel, fit_end, bands, price, supply, keys), bands, price, supply, keys)
+
+
+def apply_metcalfe(panel: DataFrame, scales: DataFrame, bands: Mapping[str, str] = BANDS, price: str = "price_close", supply: str = "supply", keys: Sequence[str] = KEYS) -> DataFrame:
+    joined = panel.join(scales, list(keys), "left")
     values = {
         f"metcalfe_value_{suffix}": ratio(F.col(f"metcalfe_scale_{suffix}") * F.pow(col(n), F.lit(2)), positive(supply))
         for n, suffix in bands.items()
@@ -90,4 +97,5 @@ def network_models(panel: DataFrame, fit_end=None, keys: Sequence[str] = KEYS) -
     missing = sorted(required.difference(panel.columns))
     if missing:
         raise ValueError(f"network models need columns: {missing}")
-    return ribbons(fit_metcalfe(fit_power_law(panel, fit_end, keys=keys), fit_end, keys=keys), keys=keys)
+    lawful = apply_power_law(ribbons(panel, keys=keys), power_law_fit(panel, fit_end, keys=keys), keys=keys)
+    return apply_metcalfe(lawful, metcalfe_fit(panel, fit_end, keys=keys), keys=keys)

@@ -1,7 +1,8 @@
 """Historical market values from closes and as-reported share counts.
 
 Share counts arrive per symbol with duplicates, renames and split jumps that lead or lag the split date. They are put
-on the split basis of the (already split-adjusted) closes and carried to the price dates.
+on the split basis of the (already split-adjusted) closes and carried to the price dates. The steps read their input
+more than once, so the (small) share tables between them are settled.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import col, finite, number, positive, ratio
+from ..session import settle
 from .chunks import ORDER, Chunked, running
 from .prepare import MARKET_MAX_AGE_DAYS, asof_join, asof_join_rows
 
@@ -67,9 +69,7 @@ def select_observations(shares: DataFrame, splits: DataFrame) -> DataFrame:
             F.collect_list(on_split).alias("candidates"),
         )
     )
-    counted = running(days, {"row_no": ("rows", F.lit(1))}, ENTITY)
-    anchor = F.when(F.col("ratio").isNull() | (F.col("row_no") == 1), F.lit(1))
-    runs = running(counted, {"run": ("count", anchor)}, ENTITY)
+    runs = running(days, {"run": ("count", F.when(F.col("ratio").isNull(), F.lit(1)))}, ENTITY)
 
     def pick(taken: Column, day: Column) -> Column:
         target = F.element_at(taken, -1)["shares"] * day["ratio"]
@@ -125,7 +125,7 @@ def split_transitions(shares: DataFrame, splits: DataFrame, search_days: int = S
 
 def split_adjust(shares: DataFrame, splits: DataFrame, search_days: int = SEARCH_DAYS) -> DataFrame:
     """Multiply every observation by the ratios of all splits that show up after it."""
-    moves = split_transitions(shares, splits, search_days)
+    moves = settle(split_transitions(shares, splits, search_days))
     per_date = moves.groupBy("entity", F.col("transition").alias(ORDER)).agg(F.product("ratio").alias("ratio"))
     backwards = per_date.withColumn("_back", -F.unix_date(ORDER))
     factors = running(backwards, {"factor": ("product", "ratio")}, ENTITY, "_back").select("entity", ORDER, "factor")
@@ -137,7 +137,7 @@ def clean_shares(shares: DataFrame, splits: DataFrame, aliases: Mapping[str, Seq
     """Raw (symbol, date, shares, seq) rows to split-adjusted (entity, date, shares)."""
     name, place = current_symbol(F.col("symbol"), aliases or {})
     named = shares.select(name.alias("entity"), ORDER, "shares", place.alias("alias_position"), "seq")
-    return split_adjust(drop_spikes(select_observations(named, splits)), splits)
+    return split_adjust(settle(drop_spikes(settle(select_observations(named, splits)))), splits)
 
 
 def current_value(first: Column | str, second: Column | str) -> Column:
@@ -175,7 +175,7 @@ def market_cap(
     last = F.lit(end).cast("date")
     inside = F.col(ORDER).between(first, last)
     close = _last_close(prices.filter(inside), "entity", "close")
-    counts = clean_shares(shares.filter(inside), splits.filter(inside), aliases)
+    counts = settle(clean_shares(shares.filter(inside), splits.filter(inside), aliases))
     valued = asof_join(close, counts, ["shares"], ENTITY).withColumn("market_cap", finite(F.col("close") * F.col("shares")))
 
     pairs = fx_pairs or {}
@@ -191,7 +191,7 @@ def market_cap(
         )
         priced = asof_join_rows(valued, rates, "rate", MARKET_MAX_AGE_DAYS, ENTITY)
         valued = priced.withColumn("market_cap", F.when(needs_fx, F.col("market_cap") * F.col("rate")).otherwise(F.col("market_cap")))
-    history = valued.filter("market_cap IS NOT NULL").select("entity", ORDER, "market_cap")
+    history = settle(valued.filter("market_cap IS NOT NULL").select("entity", ORDER, "market_cap"))
 
     scalar = current_value("cap_first", "cap_second")
     lonely = listings.join(history.select("entity").distinct(), "entity", "left_anti").select("entity", scalar.alias("market_cap"))

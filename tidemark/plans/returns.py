@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import anniversary, col, common_day_of_year, pct_change, positive, ratio
 from ..operators.chunks import KEYS, ORDER
 from ..operators.prepare import as_of as as_of_row
-from ..operators.prepare import asof_join, last_positive_before
+from ..session import settle
 
 # Horizons of the return table, first years, month names.
 HORIZONS = (
@@ -47,6 +47,18 @@ def _same_period(period: str, cut: dt.date) -> Column:
     return F.month(ORDER) == cut.month if period == "month" else F.lit(True)
 
 
+def period_table(prices: DataFrame, period: str, keys: Sequence[str] = KEYS, **extra: Column) -> DataFrame:
+    """One row per (entity, period): last price, last date, and the last positive price before the period (``base``).
+
+    The prices are read once; only this small table is ordered, and it is settled for its several readers.
+    """
+    rows = prices.groupBy(*keys, F.trunc(F.col(ORDER), period).alias("period")).agg(
+        F.max_by("price", ORDER).alias("close"), F.max(ORDER).alias("last_date"), *[c.alias(n) for n, c in extra.items()]
+    )
+    earlier = Window.partitionBy(*keys).orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
+    return settle(rows.withColumn("base", F.last("close", ignorenulls=True).over(earlier)))
+
+
 def indexed_history(panel: DataFrame, as_of, period: str, price: str = "price_close", min_year: int = COMPARISON_FIRST_YEAR, keys: Sequence[str] = KEYS) -> DataFrame:
     """(entity, position, year, value): each year's path from its period base, rebased to the current period's base.
 
@@ -55,17 +67,19 @@ def indexed_history(panel: DataFrame, as_of, period: str, price: str = "price_cl
     """
     cut = as_date(as_of)
     prices = _prices(panel, price, cut, keys)
-    bases = last_positive_before(prices, ["price"], period, keys).select(*keys, "period", F.col("price").alias("base"))
     position = F.dayofmonth(ORDER) if period == "month" else common_day_of_year(ORDER)
+    shown = period_table(prices, period, keys, days=F.count(position)).filter("base IS NOT NULL AND days > 0")
+    starting = F.trunc(F.lit(cut).cast("date"), period)
+    now = shown.filter(F.col("period") == starting).select(*keys, F.col("base").alias("current_base"))
+    alike = (F.month("period") == F.month(starting)) & (F.year("period") >= min_year)
+    years = shown.filter(alike).join(now, list(keys)).select(*keys, "period", F.year("period").alias("year"), "base", "current_base")
     rows = prices.filter(_same_period(period, cut)).select(
-        *keys, F.trunc(F.col(ORDER), period).alias("period"), F.year(ORDER).alias("year"), position.alias("position"), "price"
+        *keys, F.trunc(F.col(ORDER), period).alias("period"), position.alias("position"), "price"
+    )
+    indexed = rows.filter("position IS NOT NULL").join(years, [*keys, "period"]).select(
+        *keys, "position", "year", (ratio("price", "base") * F.col("current_base")).alias("value")
     )
-    based = rows.filter("position IS NOT NULL").join(bases, [*keys, "period"]).filter("base IS NOT NULL")
-    now = based.filter(F.col("year") == cut.year).groupBy(*keys).agg(F.max("base").alias("current_base"))
-    paths = based.filter(F.col("year") >= min_year).join(now, list(keys))
-    indexed = paths.select(*keys, "position", "year", (ratio("price", "base") * F.col("current_base")).alias("value"))
-    starts = paths.groupBy(*keys, "year").agg(F.max("current_base").alias("value"))
-    return indexed.unionByName(starts.select(*keys, F.lit(0).alias("position"), "year", "value"))
+    return indexed.unionByName(years.select(*keys, F.lit(0).alias("position"), "year", F.col("current_base").alias("value")))
 
 
 def history_aggregates(history: DataFrame, current_year: int, hidden_years: Sequence[int] = (), last_position: int | None = None, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -119,42 +133,48 @@ def roi(panel: DataFrame, as_of, price: str = "price_close", horizons=HORIZONS,
     cut = as_date(as_of)
     rows = panel.filter(F.col(ORDER) <= F.lit(cut)).select(*keys, ORDER, col(price).alias("price"))
     newest = as_of_row(rows, cut, keys).withColumnsRenamed({ORDER: "newest", "price": "now"})
-    steps = F.array(
+    target = lambda unit, n: F.date_sub("newest", n) if unit == "day" else anniversary("newest", n)
+    found = rows.join(newest, list(keys)).groupBy(*keys, "newest", "now").agg(
+        *[
+            F.max_by(F.struct(ORDER, "price"), F.when(F.col(ORDER) <= target(unit, n), F.col(ORDER))).alias(f"h{i}")
+            for i, (_, unit, n) in enumerate(horizons)
+        ]
+    )
+    entries = F.array(
         *[
             F.struct(
                 F.lit(i).alias("place"),
                 F.lit(name).alias("Time Frame"),
-                (F.date_sub("newest", n) if unit == "day" else anniversary("newest", n)).alias("target"),
+                F.coalesce(F.col(f"h{i}.{ORDER}"), target(unit, n)).alias("Start Date"),
+                F.col(f"h{i}.price").alias("BTC Price"),
             )
             for i, (name, unit, n) in enumerate(horizons)
         ]
     )
-    wanted = newest.select(*keys, "now", F.inline(steps)).withColumnRenamed("target", ORDER)
-    found = asof_join(wanted, rows.withColumn("start", F.col(ORDER)).withColumnRenamed("price", "then"), ["start", "then"], keys)
-    return found.select(
-        *keys,
-        "place",
-        "Time Frame",
-        pct_change("now", "then").alias("ROI (%)"),
-        F.coalesce("start", F.col(ORDER)).alias("Start Date"),
-        F.col("then").alias("BTC Price"),
-    )
+    listed = found.select(*keys, "now", F.inline(entries))
+    return listed.select(*keys, "place", "Time Frame", pct_change("now", "BTC Price").alias("ROI (%)"), "Start Date", "BTC Price")
 
 
-def period_cells(panel: DataFrame, as_of, price: str = "price_close", keys: Sequence[str] = KEYS) -> DataFrame:
-    """(entity, year, cell, fraction): month cells 1..12 and the yearly cell 13, each against the last positive value before."""
-    cut = as_date(as_of)
-    prices = _prices(panel, price, cut, keys)
-
-    def cells(period: str, cell: Column) -> DataFrame:
-        bases = last_positive_before(prices, ["price"], period, keys).withColumnRenamed("price", "base")
-        closes = prices.groupBy(*keys, F.trunc(F.col(ORDER), period).alias("period")).agg(F.max_by("price", ORDER).alias("close"))
-        return closes.join(bases, [*keys, "period"]).select(
-            *keys, F.year("period").alias("year"), cell.alias("cell"), (ratio("close", "base") - 1.0).alias("fraction")
-        )
+def period_cells(panel: DataFrame, as_of, price: str = "price_close", first_year: int = HEATMAP_FIRST_YEAR, keys: Sequence[str] = KEYS) -> DataFrame:
+    """(entity, year, cell, fraction, finished): month cells 1..12 and the yearly cell 13 against the last positive value before.
 
-    both = cells("month", F.month("period")).unionByName(cells("year", F.lit(YEARLY)))
-    return both.filter("fraction IS NOT NULL")
+    A cell is unfinished when it is the newest month and that month is not over, or the newest year's yearly cell.
+    """
+    cut = as_date(as_of)
+    months = period_table(_prices(panel, price, cut, keys), "month", keys)
+    years = months.groupBy(*keys, F.trunc("period", "year").alias("period")).agg(
+        F.max_by("close", "period").alias("close"), F.min_by("base", "period").alias("base"), F.max("last_date").alias("last_date")
+    )
+    newest = months.groupBy(*keys).agg(F.max("last_date").alias("newest"))
+    cells = months.select(*keys, "period", F.month("period").alias("cell"), "close", "base").unionByName(
+        years.select(*keys, "period", F.lit(YEARLY).alias("cell"), "close", "base")
+    )
+    open_month = (F.col("cell") != YEARLY) & (F.col("newest") != F.last_day("newest")) & (F.month("period") == F.month("newest"))
+    unfinished = (F.year("period") == F.year("newest")) & ((F.col("cell") == YEARLY) | open_month)
+    shown = cells.filter((F.year("period") >= first_year) & F.col("base").isNotNull()).join(newest, list(keys))
+    return shown.select(
+        *keys, F.year("period").alias("year"), "cell", (ratio("close", "base") - 1.0).alias("fraction"), (~unfinished).alias("finished")
+    )
 
 
 def heatmap(panel: DataFrame, as_of, price: str = "price_close", first_year: int = HEATMAP_FIRST_YEAR, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -162,15 +182,8 @@ def heatmap(panel: DataFrame, as_of, price: str = "price_close", first_year: int
 
     The statistics leave out an unfinished current month, and always the current year's yearly cell.
     """
-    cut = as_date(as_of)
-    cells = period_cells(panel, cut, price, keys).filter(F.col("year") >= first_year)
-    shown = _prices(panel, price, cut, keys).filter(F.year(ORDER) >= first_year)
-    newest = shown.groupBy(*keys).agg(F.max(ORDER).alias("newest"))
-    now = cells.join(newest, list(keys))
-    unfinished = (F.col("year") == F.year("newest")) & (
-        (F.col("cell") == YEARLY) | ((F.col("cell") == F.month("newest")) & (F.col("newest") != F.last_day("newest")))
-    )
-    counted = now.filter(~unfinished)
+    cells = period_cells(panel, as_of, price, first_year, keys)
+    counted = cells.filter("finished")
     recent = Window.partitionBy(*keys, "cell").orderBy(F.desc("year"))  # one row per year
     ranked = counted.withColumn("age", F.row_number().over(recent))
     stats = ranked.groupBy(*keys, "cell").agg(
@@ -205,21 +218,17 @@ def period_comparison(panel: DataFrame, as_of, period: str, price: str = "price_
     """
     cut = as_date(as_of)
     prices = _prices(panel, price, cut, keys)
-    bases = last_positive_before(prices, ["price"], period, keys).withColumnRenamed("price", "base")
     same_day = F.dayofmonth(ORDER) == cut.day
     if period == "year":
         same_day &= F.month(ORDER) == cut.month
-    closes = (
-        prices.filter(_same_period(period, cut))
-        .groupBy(*keys, F.trunc(F.col(ORDER), period).alias("period"))
-        .agg(F.max_by("price", ORDER).alias("end"), F.max(F.when(same_day, F.col("price"))).alias("same"))
-    )
-    years = closes.join(bases, [*keys, "period"]).filter("base IS NOT NULL").select(
+    table = period_table(prices, period, keys, same=F.max(F.when(same_day, F.col("price"))))
+    alike = F.month("period") == cut.month if period == "month" else F.lit(True)
+    years = table.filter(alike & F.col("base").isNotNull()).select(
         *keys,
         F.year("period").alias("year"),
         F.col("base").alias("start"),
-        "end",
-        pct_change("end", "base").alias("full"),
+        F.col("close").alias("end"),
+        pct_change("close", "base").alias("full"),
         pct_change("same", "base").alias("to_date"),
     )
     now, earlier = F.col("year") == cut.year, (F.col("year") < cut.year) & (F.col("year") >= first_year)
