@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import network, series
+from . import network, reports, series
 from .case import Case
 
-CASES: dict[str, Case] = {**series.CASES, **network.CASES}
+CASES: dict[str, Case] = {**series.CASES, **network.CASES, **reports.CASES}
