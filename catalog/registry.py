@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import network, reports, series
+from . import checks, network, reports, series, views
 from .case import Case
 
-CASES: dict[str, Case] = {**series.CASES, **network.CASES, **reports.CASES}
+CASES: dict[str, Case] = {**series.CASES, **network.CASES, **reports.CASES, **views.CASES, **checks.CASES}
