@@ -105,7 +105,7 @@ def percentile_rank(panel: DataFrame, columns: Sequence[str], keys: Sequence[str
     out = panel
     for c in columns:
         ranks = _value_ranks(panel, c, keys).withColumnsRenamed({"_v": c, "_share": f"{c}_percentile"})
-        out = out.join(ranks, [*keys, c], "left").select(*out.columns, f"{c}_percentile")
+        out = out.join(ranks, [*keys, c], "left").select(*[col(n) for n in (*out.columns, f"{c}_percentile")])
     return out
 
 

@@ -135,14 +135,14 @@ def _short_frame(spec: Roll, window) -> Column:
     return _full(x, spec.rows, frame, fold(x).over(frame))
 
 
-def _long_frames(specs: Sequence[Roll]):
-    """Arrow job for one chunk: long frames and medians."""
+def _long_frames(specs: Sequence[Roll], row: str):
+    """Arrow job for one chunk: long frames and medians in ``row`` order."""
 
     def numbers(table: pa.Table, name: str) -> pd.Series:
         return table.column(name).cast(pa.float64()).to_pandas()
 
     def compute(table: pa.Table) -> pa.Table:
-        table = table.sort_by("_row")
+        table = table.sort_by(row)
         for spec in specs:
             frame = numbers(table, spec.column).rolling(spec.rows, min_periods=spec.rows)
             if spec.how == "corr":
@@ -198,8 +198,14 @@ class Chunked:
         if in_windows:
             df = df.select("*", *[_short_frame(s, self.window).alias(s.out) for s in in_windows])
         if in_arrow:
-            schema = T.StructType([*df.schema.fields, *[T.StructField(s.out, T.DoubleType()) for s in in_arrow]])
-            df = df.groupBy(*self.keys, "_chunk").applyInArrow(_long_frames(in_arrow), schema)
+            # Grouped Arrow jobs resolve plain column names only, so the columns travel under numbers.
+            names = df.columns
+            plain = {name: f"c{i}" for i, name in enumerate(names)}
+            inner = [Roll(f"r{i}", plain[s.column], s.rows, s.how, plain.get(s.other)) for i, s in enumerate(in_arrow)]
+            numbered = df.toDF(*plain.values())
+            schema = T.StructType([*numbered.schema.fields, *[T.StructField(s.out, T.DoubleType()) for s in inner]])
+            grouped = numbered.groupBy(*[plain[k] for k in (*self.keys, "_chunk")])
+            df = grouped.applyInArrow(_long_frames(inner, plain["_row"]), schema).toDF(*names, *[s.out for s in in_arrow])
         return df
 
     def owned(self, df: DataFrame) -> DataFrame:

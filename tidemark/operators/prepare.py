@@ -57,7 +57,7 @@ def calendar(panel: DataFrame, start=None, end=None, keys: Sequence[str] = KEYS)
     first = F.col("first_date") if start is None else F.lit(start).cast("date")
     last = F.col("last_date") if end is None else F.lit(end).cast("date")
     days = ends.filter(first <= last).select(*keys, F.explode(F.sequence(first, last)).alias(ORDER))
-    return days.join(panel, [*keys, ORDER], "left").select(*panel.columns)
+    return days.join(panel, [*keys, ORDER], "left").select(*[col(c) for c in panel.columns])
 
 
 def only_dates_of(df: DataFrame, days: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

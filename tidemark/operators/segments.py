@@ -73,7 +73,7 @@ def in_windows(panel: DataFrame, windows: Sequence[tuple[str, str, str | None]],
     before_end = (lambda w: date <= w["end"]) if closed else (lambda w: date < w["end"])
     inside = F.filter(table, lambda w: (date >= w["start"]) & (w["end"].isNull() | before_end(w)))
     rows = panel.select("*", F.explode(inside).alias("_w"))
-    return rows.select(*panel.columns, F.col("_w.label").alias(label), F.col("_w.start").alias("window_start"))
+    return rows.select(*[F.col(f"`{c}`") for c in panel.columns], F.col("_w.label").alias(label), F.col("_w.start").alias("window_start"))
 
 
 def periods(boundaries: Sequence[str], label) -> list[tuple[str, str, str | None]]:

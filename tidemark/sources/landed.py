@@ -25,7 +25,7 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def parse_json(df: DataFrame, column: str, schema: str) -> DataFrame:
     """The same documents when they arrive as a text column."""
-    return df.withColumn("_doc", F.from_json(col(column), schema)).select(*df.columns, "_doc.*")
+    return df.withColumn("_doc", F.from_json(col(column), schema)).select(*[col(c) for c in df.columns], "_doc.*")
 
 
 def from_seconds(c: Column | str) -> Column:
