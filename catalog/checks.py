@@ -117,8 +117,12 @@ def _eras(spark, sf):
 CASES["check_forbidden_era"] = Case(
     _eras,
     ISSUES,
-    """--body
-SELECT 'halving_data' AS "table", 'label' AS rule, 'error' AS severity, '''Genesis Era'' has no positive day-0 price and must be omitted' AS message""",
+    PANEL
+    + f"""starts AS (SELECT unnest([{', '.join(f"DATE '{e}'" for e in EVENTS)}]) AS a UNION ALL SELECT DATE '{EVENTS[-1]}' + {STEP} * k::INT FROM generate_series(1, 6) t(k)),
+opened AS (SELECT count(*) AS n FROM panel JOIN starts ON date = a WHERE entity = '{ONE}' AND price > 0),
+--body
+SELECT 'halving_data' AS "table", 'label' AS rule, 'error' AS severity, '''Genesis Era'' has no positive day-0 price and must be omitted' AS message
+FROM opened WHERE n > 0""",
 )
 
 
@@ -214,10 +218,12 @@ CASES["source_assets"] = Case(
     lambda s, d: landed.assets(landed.parse_json(_documents(s, d), "doc", landed.PAIRS_SCHEMA)),
     {"entity": "s", "date": "d", "close": "f4", "volume": "f0", "market_cap": "f4", "close_source_date": "d"},
     EVENTS_SQL + """jn AS (SELECT * FROM dl WHERE (epoch_ms(date) % (7 * 86400000)) <> 0),
-ds AS (SELECT entity, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM jn GROUP BY 1),
+ends AS (SELECT min(date) AS a, max(date) AS b FROM jn),
+ds AS (SELECT entity, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date FROM (SELECT DISTINCT entity FROM jn), ends),
 --body
-SELECT d.entity, d.date, j.hi AS close, j.n AS volume, j.lo AS market_cap, j.date AS close_source_date
-FROM ds d ASOF LEFT JOIN jn j ON j.entity = d.entity AND j.date <= d.date WHERE d.date - j.date <= 5""",
+SELECT d.entity, d.date, CASE WHEN d.date - j.date <= 5 THEN j.hi END AS close, CASE WHEN d.date - j.date <= 5 THEN j.n END AS volume,
+       CASE WHEN d.date - j.date <= 5 THEN j.lo END AS market_cap, CASE WHEN d.date - j.date <= 5 THEN j.date END AS close_source_date
+FROM ds d ASOF LEFT JOIN jn j ON j.entity = d.entity AND j.date <= d.date""",
 )
 
 

@@ -73,7 +73,7 @@ CASES["price_means"] = Case(
 )
 CASES["thermocap"] = Case(
     _metrics,
-    {"entity": "s", "date": "d", "RevAllTimeUSD": "f3", "thermocap_multiple": "f5", "thermocap_price": "f5", "thermocap_price_multiple_8": "f4", "thermocap_price_multiple_32": "f4"},
+    {"entity": "s", "date": "d", "RevAllTimeUSD": "f1", "thermocap_multiple": "f5", "thermocap_price": "f4", "thermocap_price_multiple_8": "f3", "thermocap_price_multiple_32": "f3"},
     METRICS_SQL + """--body
 SELECT *, market_cap / nullif("RevAllTimeUSD", 0) AS thermocap_multiple, "RevAllTimeUSD" / supply AS thermocap_price,
        8 * "RevAllTimeUSD" / supply AS thermocap_price_multiple_8, 32 * "RevAllTimeUSD" / supply AS thermocap_price_multiple_32 FROM s4""",
@@ -235,7 +235,7 @@ fit AS (SELECT entity, regr_slope(ln(price_close), ln(age)) AS exponent, exp(reg
 """
 CASES["power_law"] = Case(
     lambda s, d: models.fit_power_law(network(s, d), AS_OF, origin=ORIGIN),
-    {"entity": "s", "date": "d", "days_since_genesis": "f0", "power_law_exponent": "f8", "power_law_scale": "f4", "power_law_price": "f4", "power_law_price_multiple": "f8"},
+    {"entity": "s", "date": "d", "days_since_genesis": "f0", "power_law_exponent": "f8", "power_law_scale": "f3", "power_law_price": "f3", "power_law_price_multiple": "f8"},
     FIT_SQL + """--body
 SELECT a.entity, a.date, a.age AS days_since_genesis, f.exponent AS power_law_exponent, f.scale AS power_law_scale,
        f.scale * power(a.age, f.exponent) AS power_law_price, a.price_close / (f.scale * power(a.age, f.exponent)) AS power_law_price_multiple
@@ -456,8 +456,10 @@ CASES["market_cap"] = Case(
 inside AS (SELECT * FROM cnt WHERE date BETWEEN DATE '1995-09-01' AND DATE '2000-12-31'),
 adjusted AS (SELECT entity, date, unsplit * 6 AS shares FROM inside WHERE date >= DATE '1996-01-01' AND entity <> 'Brand#11'),
 fx AS (SELECT date, close / 1000 AS rate FROM inside WHERE entity = 'Brand#12'),
+merged AS (SELECT date, rate FROM fx UNION ALL SELECT date, NULL FROM inside WHERE entity = 'Brand#13' AND date NOT IN (SELECT date FROM fx)),
+carried AS (SELECT date, last_value(rate IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS rate FROM merged),
 valued AS (SELECT i.entity, i.date, i.close * a.shares * CASE WHEN i.entity = 'Brand#13' THEN f.rate ELSE 1 END AS market_cap
-  FROM inside i ASOF JOIN adjusted a ON a.entity = i.entity AND a.date <= i.date LEFT JOIN fx f ON f.date = i.date),
+  FROM inside i ASOF JOIN adjusted a ON a.entity = i.entity AND a.date <= i.date LEFT JOIN carried f ON f.date = i.date),
 --body
 SELECT d.entity, d.date, CASE WHEN d.entity = 'Brand#11' AND d.date = DATE '2000-12-31' THEN 1234.0 ELSE v.market_cap END AS market_cap
 FROM days d LEFT JOIN valued v ON v.entity = d.entity AND v.date = d.date""",

@@ -350,7 +350,7 @@ mod AS (SELECT a.*, f.exponent, f.scale * power(a.age, f.exponent) AS law, s.s0,
 CASES["network_export"] = Case(
     lambda s, d: tables.network_export(network_models(s, d), AS_OF),
     {
-        "entity": "s", "date": "d", "BTC Price": "f4", "Non-Zero Address Count": "f0", "Metcalfe Value (Any Balance)": "f3", "Power Law Price": "f4",
+        "entity": "s", "date": "d", "BTC Price": "f4", "Non-Zero Address Count": "f0", "Metcalfe Value (Any Balance)": "f3", "Power Law Price": "f3",
         "Days Since Genesis": "f0", "Hash Ribbon 30D / 60D": "f8", "Hash Ribbon Capitulation": "b",
     },
     MODEL_SQL + f"""--body
@@ -386,7 +386,7 @@ PRICE_MODEL_SQL = MODEL_SQL + f"""pm AS (SELECT entity, date, price_close AS "BT
 """
 CASES["price_model_export"] = Case(
     price_models,
-    {"entity": "s", "date": "d", "BTC Price": "f4", "Electricity Cost": "f5", "Metcalfe Value": "f3", "Power Law Price": "f4", "STH Realized Price": "f4", "LTH Realized Price": "f4", "Realized Price": "f4", "3x Realized Price": "f4"},
+    {"entity": "s", "date": "d", "BTC Price": "f4", "Electricity Cost": "f5", "Metcalfe Value": "f3", "Power Law Price": "f3", "STH Realized Price": "f4", "LTH Realized Price": "f4", "Realized Price": "f4", "3x Realized Price": "f4"},
     PRICE_MODEL_SQL + "--body\nSELECT * FROM pm",
 )
 

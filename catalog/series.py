@@ -403,7 +403,7 @@ SELECT entity, date, {', '.join(_corr_sql(n) for n in (7, 30, 90, 365))} FROM h"
 
 CASES["cumulative_sum_max"] = Case(
     lambda s, d: windows.cumulative(windows.cumulative(_gap(panel(s, d)), ["price", "volume"]), ["price"], "max", "_max"),
-    {"entity": "s", "date": "d", "price_cum": "f2", "volume_cum": "f2", "price_max": "f4"},
+    {"entity": "s", "date": "d", "price_cum": "f1", "volume_cum": "f0", "price_max": "f4"},
     PANEL + GAP + """--body
 SELECT entity, date, CASE WHEN price IS NOT NULL THEN sum(price) OVER w END AS price_cum, sum(volume) OVER w AS volume_cum,
        CASE WHEN price IS NOT NULL THEN max(price) OVER w END AS price_max

@@ -139,3 +139,19 @@ def test_asof_join_strict_and_forward(panel, by_date):
     assert got(strict=True) == [None, None, 7.0]
     assert got(forward=True) == [7.0, 7.0, None]
     assert got(forward=True, strict=True) == [7.0, None, None]
+
+
+def test_late_observation_shows_the_next_day(spark, by_date):
+    at = lambda text, hour: float(((day(text) - day("1970-01-01")).days * 24 + hour) * 3_600_000)
+    times = [at("2024-01-01", 0), at("2024-01-02", 13), at("2024-01-20", 9)]
+    series = [[t, float(i)] for i, t in enumerate(times)]
+    other = [[at("2024-01-04", 0), 9.0], [at("2024-01-21", 0), 9.0]]
+    docs = spark.createDataFrame([("one", series, series, series), ("two", other, other, other)], "entity STRING, prices ARRAY<ARRAY<DOUBLE>>, total_volumes ARRAY<ARRAY<DOUBLE>>, market_caps ARRAY<ARRAY<DOUBLE>>")
+    r = by_date(landed.assets(docs))
+    assert [r[f"2024-01-{i:02d}"].close for i in (1, 2, 3, 7, 8, 20, 21)] == [0.0, 0.0, 1.0, 1.0, None, None, 2.0]
+    assert r["2024-01-03"].close_source_date == day("2024-01-02") and max(r) == "2024-01-21"
+
+
+def test_only_midnight_rows_meet_the_base(spark):
+    rows = spark.sql("SELECT timestamp'2024-01-01 00:00:00' AS time, 1 AS v UNION ALL SELECT timestamp'2024-01-02 10:00:00', 2")
+    assert [(str(r.date), r.v) for r in landed.on_base_dates(rows).collect()] == [("2024-01-01", 1)]

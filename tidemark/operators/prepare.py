@@ -52,7 +52,10 @@ def bounds(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 
 def calendar(panel: DataFrame, start=None, end=None, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Every day from start to end per entity (its own first and last date by default); missing days are NULL rows."""
+    """Every day from start to end per entity; missing days are NULL rows.
+
+    The ends are dates or date columns (a scalar subquery); by default each entity's own first and last date.
+    """
     ends = bounds(panel, keys)
     first = F.col("first_date") if start is None else F.lit(start).cast("date")
     last = F.col("last_date") if end is None else F.lit(end).cast("date")
@@ -66,7 +69,10 @@ def only_dates_of(df: DataFrame, days: DataFrame, keys: Sequence[str] = KEYS) ->
 
 
 def align(base: DataFrame, *others: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """LEFT join every source to the base dates. The first owner of a column name and the first row of a key win."""
+    """LEFT join every source to the base dates; the first source that has a column name keeps it.
+
+    One row per key survives. Where a source repeats a key, ``dedupe`` it first with an order that says which row wins.
+    """
     first = lambda df: df.dropDuplicates([*keys, ORDER])
     out = first(base)
     for other in others:

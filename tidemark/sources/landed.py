@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import col, finite, number
 from ..operators.chunks import KEYS, ORDER
-from ..operators.prepare import calendar, ffill, source_dates
+from ..operators.prepare import MARKET_MAX_AGE_DAYS, calendar, dedupe, ffill, source_dates
+from ..session import settle
 
 SENTIMENT_SCHEMA = "data ARRAY<STRUCT<value: STRING, value_classification: STRING, timestamp: STRING>>"
 SNAPSHOT_SCHEMA = "data STRUCT<market_cap_percentage: STRUCT<btc: DOUBLE>, updated_at: BIGINT>"
@@ -60,22 +61,44 @@ def pairs(documents: DataFrame, column: str, out: str, keys: Sequence[str] = ())
     return rows.select(*keys, from_millis(F.col("p")[0]).alias("time"), F.col("p")[1].alias(out))
 
 
-def assets(documents: DataFrame, keys: Sequence[str] = KEYS, limit: int = 5) -> DataFrame:
-    """Price, volume and cap of each asset joined on time, on a daily calendar with a bounded fill and source dates."""
+def on_base_dates(rows: DataFrame, time: str = "time") -> DataFrame:
+    """Rows stamped exactly at midnight, keyed by date; other rows never match a daily base row."""
+    day = F.to_date(col(time))
+    kept = rows.filter(col(time) == day.cast("timestamp"))
+    return kept.select(*[day.alias(ORDER) if c == time else col(c) for c in rows.columns])
+
+
+def assets(documents: DataFrame, keys: Sequence[str] = KEYS, limit: int = MARKET_MAX_AGE_DAYS) -> DataFrame:
+    """Price, volume and cap of each asset joined on time, on one daily calendar with a bounded fill and source dates.
+
+    A day shows the newest observation at or before its midnight, at most ``limit`` days after the observation's day;
+    the calendar runs from the first to the last day observed by any asset.
+    """
     columns = {"prices": "close", "total_volumes": "volume", "market_caps": "market_cap"}
-    parts = [pairs(documents, c, out, keys).withColumn(ORDER, F.to_date("time")).drop("time") for c, out in columns.items()]
-    joined = reduce(lambda a, b: a.join(b, [*keys, ORDER]), parts)
-    return daily_observations(joined, list(columns.values()), keys, limit)
+    parts = [pairs(documents, c, out, keys) for c, out in columns.items()]
+    joined = settle(reduce(lambda a, b: a.join(b, [*keys, "time"]), parts))
+    names = list(columns.values())
+    day = F.to_date("time")
+    shown = F.when(F.col("time") == day.cast("timestamp"), day).otherwise(F.date_add(day, 1))
+    seen = [F.when(col(c).isNotNull(), day).alias(f"{c}_source_date") for c in names]
+    rows = dedupe(joined.select(*keys, shown.alias(ORDER), "time", *names, *seen), [*keys, ORDER], "time").drop("time")
+    ends = joined.agg(F.min(day).alias("a"), F.max(day).alias("b"))
+    days = calendar(rows, ends.select("a").scalar(), ends.select("b").scalar(), keys)
+    filled = ffill(days, [*names, *[f"{c}_source_date" for c in names]], limit, keys, dense=True)
+    young = lambda c: F.datediff(ORDER, f"{c}_source_date") <= limit
+    return filled.select(
+        *keys, ORDER, *[F.when(young(c), col(c)).alias(c) for c in names], *[F.when(young(c), col(f"{c}_source_date")).alias(f"{c}_source_date") for c in names]
+    )
 
 
-def daily_observations(series: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS, limit: int = 5, start=None, end=None) -> DataFrame:
+def daily_observations(series: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS, limit: int = MARKET_MAX_AGE_DAYS, start=None, end=None) -> DataFrame:
     """Observation dates kept, every calendar day present, values and dates carried over at most ``limit`` rows."""
     marked = source_dates(series, columns)
     days = calendar(marked, start, end, keys)
     return ffill(days, [*columns, *[f"{c}_source_date" for c in columns]], limit, keys, dense=True)
 
 
-def closes(prices: DataFrame, start, end, keys: Sequence[str] = KEYS, limit: int = 5) -> DataFrame:
+def closes(prices: DataFrame, start, end, keys: Sequence[str] = KEYS, limit: int = MARKET_MAX_AGE_DAYS) -> DataFrame:
     """Daily closes per entity over a full calendar; entities without any close are skipped."""
     alive = prices.filter(F.col("close").isNotNull()).select(*keys).distinct()
     used = prices.join(alive, list(keys), "left_semi").select(*keys, ORDER, "close")
