@@ -54,7 +54,7 @@ s4 AS (SELECT *, {_frame(14, 'avg(nvt_price_multiple)', 'nvt_price_multiple')} A
 
 
 def _metrics(spark, sf):
-    return metrics.onchain_metrics(network(spark, sf))
+    return metrics.onchain_metrics(network(spark, sf).select("entity", "date", *metrics.ONCHAIN_INPUTS))
 
 
 CASES["valuation_ratios"] = Case(
@@ -124,7 +124,7 @@ SELECT *, cumulative_market_cap / days_since_start AS average_cap, realized_cap
        (realized_cap - cumulative_market_cap / days_since_start) / supply AS delta_cap_price FROM s4""",
 )
 CASES["moving_averages"] = Case(
-    lambda s, d: windows.moving_averages(network(s, d), ["hash_rate", "subsidy_sum_24h", "coinbase_sum_24h_usd"]),
+    lambda s, d: windows.moving_averages(network(s, d).select("entity", "date", "hash_rate", "subsidy_sum_24h", "coinbase_sum_24h_usd"), ["hash_rate", "subsidy_sum_24h", "coinbase_sum_24h_usd"]),
     {"entity": "s", "date": "d", "7_day_ma_subsidy_sum_24h": "f6", "30_day_ma_coinbase_sum_24h_usd": "f4", "365_day_ma_coinbase_sum_24h_usd": "f4", "30_day_ma_subsidy_sum_24h": "f6"},
     NETWORK + f"""--body
 SELECT entity, date, {_frame(7, 'avg(subsidy_sum_24h)', 'subsidy_sum_24h')} AS "7_day_ma_subsidy_sum_24h",
@@ -221,7 +221,7 @@ SELECT a.entity AS asset, a.date, a.market_cap, a.market_cap / b.supply AS parit
 
 ORIGIN = "1994-01-03"
 CASES["stock_to_flow"] = Case(
-    lambda s, d: metrics.stock_to_flow(network(s, d)),
+    lambda s, d: metrics.stock_to_flow(network(s, d).select("entity", "date", "supply", "price_close")),
     {"entity": "s", "date": "d", "SF": "f8", "SF_Predicted_Price": "f3", "SF_Predicted_Price_MA365": "f3", "SF_Multiple": "f8"},
     NETWORK + f"""f1 AS (SELECT *, supply / nullif(greatest(supply - lag(supply, 365) OVER (PARTITION BY entity ORDER BY date), 0), 0) AS "SF" FROM net),
 f2 AS (SELECT *, exp(14.6) * power("SF", 3.3) / supply AS p FROM f1),
@@ -253,7 +253,7 @@ CASES["metcalfe"] = Case(
     + ", price_close / nullif(s0 * power(addr_count, 2) / supply, 0) AS metcalfe_price_multiple FROM net n JOIN scales s ON s.entity = n.entity",
 )
 CASES["hash_ribbons"] = Case(
-    lambda s, d: models.ribbons(network(s, d).withColumn("hash_rate", F.col("hash_rate") / 1e9)),
+    lambda s, d: models.ribbons(network(s, d).select("entity", "date", (F.col("hash_rate") / 1e9).alias("hash_rate"))),
     {"entity": "s", "date": "d", "30_day_ma_hash_rate": "f4", "60_day_ma_hash_rate": "f4", "hash_ribbon_ratio": "f8", "hash_ribbon_capitulation": "b"},
     NETWORK + f"""m AS (SELECT entity, date, {_frame(30, 'avg(hash_rate / 1e9)', 'hash_rate')} AS f, {_frame(60, 'avg(hash_rate / 1e9)', 'hash_rate')} AS s FROM net),
 --body

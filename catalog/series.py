@@ -330,6 +330,11 @@ UNION ALL SELECT entity, date, 'gone', 'absent' FROM newest""",
 # --- windows --------------------------------------------------------------------------------------------------------
 
 
+def prices(spark, sf):
+    """The columns the window queries read; long frames pass whole rows through Arrow."""
+    return panel(spark, sf).select("entity", "date", "price", "volume", "n")
+
+
 def _gap(df):
     """Prices of the 17th are missing, so frames with a NULL occur."""
     return df.withColumn("price", F.when(F.dayofmonth("date") != 17, F.col("price")))
@@ -344,21 +349,21 @@ def _frame(rows: int, value: str, column: str) -> str:
 
 
 CASES["rolling_mean"] = Case(
-    lambda s, d: windows.rolling(_gap(panel(s, d)), [Roll("m7", "price", 7), Roll("v50", "volume", 50), Roll("v365", "volume", 365), Roll("v1400", "volume", 1400)]),
+    lambda s, d: windows.rolling(_gap(prices(s, d)), [Roll("m7", "price", 7), Roll("v50", "volume", 50), Roll("v365", "volume", 365), Roll("v1400", "volume", 1400)]),
     {"entity": "s", "date": "d", "m7": "f3", "v50": "f3", "v365": "f3", "v1400": "f3"},
     PANEL + GAP + f"--body\nSELECT entity, date, {_frame(7, 'avg(price)', 'price')} AS m7, {_frame(50, 'avg(volume)', 'volume')} AS v50, "
     f"{_frame(365, 'avg(volume)', 'volume')} AS v365, {_frame(1400, 'avg(volume)', 'volume')} AS v1400 FROM gap",
 )
 
 CASES["rolling_median"] = Case(
-    lambda s, d: windows.rolling(_gap(panel(s, d)), [Roll("p11", "price", 11, "median"), Roll("v30", "volume", 30, "median"), Roll("v365", "volume", 365, "median"), Roll("v730", "volume", 730, "median")]),
+    lambda s, d: windows.rolling(_gap(prices(s, d)), [Roll("p11", "price", 11, "median"), Roll("v30", "volume", 30, "median"), Roll("v365", "volume", 365, "median"), Roll("v730", "volume", 730, "median")]),
     {"entity": "s", "date": "d", "p11": "f3", "v30": "f3", "v365": "f3", "v730": "f3"},
     PANEL + GAP + f"--body\nSELECT entity, date, {_frame(11, 'median(price)', 'price')} AS p11, {_frame(30, 'median(volume)', 'volume')} AS v30, "
     f"{_frame(365, 'median(volume)', 'volume')} AS v365, {_frame(730, 'median(volume)', 'volume')} AS v730 FROM gap",
 )
 
 CASES["rolling_sum"] = Case(
-    lambda s, d: windows.rolling(panel(s, d), [Roll("v365", "volume", 365, "sum"), Roll("v1460", "volume", 1460, "sum"), Roll("n30", "n", 30, "sum")]),
+    lambda s, d: windows.rolling(prices(s, d), [Roll("v365", "volume", 365, "sum"), Roll("v1460", "volume", 1460, "sum"), Roll("n30", "n", 30, "sum")]),
     {"entity": "s", "date": "d", "v365": "f2", "v1460": "f2", "n30": "f0"},
     PANEL + f"--body\nSELECT entity, date, {_frame(365, 'sum(volume)', 'volume')} AS v365, {_frame(1460, 'sum(volume)', 'volume')} AS v1460, "
     f"{_frame(30, 'sum(n)', 'n')} AS n30 FROM panel",
@@ -367,14 +372,14 @@ CASES["rolling_sum"] = Case(
 RETURNS = """ret AS (SELECT entity, date, price, price / lag(price) OVER (PARTITION BY entity ORDER BY date) - 1 AS r FROM gap),
 """
 CASES["returns_volatility"] = Case(
-    lambda s, d: windows.volatility(_gap(panel(s, d)), "price", (10, 25)),
+    lambda s, d: windows.volatility(_gap(prices(s, d)), "price", (10, 25)),
     {"entity": "s", "date": "d", "volatility_10": "f6", "volatility_25": "f6"},
     PANEL + GAP + RETURNS + f"--body\nSELECT entity, date, {_frame(10, 'stddev_samp(r)', 'r')} * sqrt(365) AS volatility_10, "
     f"{_frame(25, 'stddev_samp(r)', 'r')} * sqrt(365) AS volatility_25 FROM ret",
 )
 
 CASES["volatility_long"] = Case(
-    lambda s, d: windows.volatility(panel(s, d), "price", (30, 180)),
+    lambda s, d: windows.volatility(prices(s, d), "price", (30, 180)),
     {"entity": "s", "date": "d", "volatility_30": "f6", "volatility_180": "f6"},
     PANEL + RETURNS.replace("FROM gap", "FROM panel") + f"--body\nSELECT entity, date, {_frame(30, 'stddev_samp(r)', 'r')} * sqrt(365) AS volatility_30, "
     f"{_frame(180, 'stddev_samp(r)', 'r')} * sqrt(365) AS volatility_180 FROM ret",
@@ -391,7 +396,7 @@ def _corr_sql(rows: int) -> str:
 
 
 CASES["rolling_correlation"] = Case(
-    lambda s, d: windows.rolling_correlation(prepare.ffill(full_calendar(s, d), ["price"], 5, dense=True), "price", "BUILDING", (7, 30, 90, 365), dense=True),
+    lambda s, d: windows.rolling_correlation(prepare.ffill(full_calendar(s, d).select("entity", "date", "price"), ["price"], 5, dense=True), "price", "BUILDING", (7, 30, 90, 365), dense=True),
     {"entity": "s", "date": "d", "corr_7": "f6", "corr_30": "f6", "corr_90": "f6", "corr_365": "f6"},
     CALENDAR
     + f"""f AS (SELECT entity, date, last_value(price IGNORE NULLS) OVER (PARTITION BY entity ORDER BY date ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS price FROM cal),

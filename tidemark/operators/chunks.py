@@ -11,7 +11,7 @@ may hold any share of the rows:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from typing import NamedTuple
 
 import pandas as pd
@@ -107,6 +107,19 @@ def number_rows(panel: DataFrame, keys: Sequence[str] = KEYS, order: str = ORDER
     return running(panel, {ROW: ("rows", F.lit(1))}, keys, order, ties)
 
 
+def beside(panel: DataFrame, inputs: Collection[str], compute: Callable[[DataFrame], DataFrame], keys: Sequence[str] = KEYS, order: str = ORDER) -> DataFrame:
+    """Run ``compute`` on the key and the input columns only and put its results beside the other columns.
+
+    A panel that has nothing else is computed directly; otherwise (entity, date) joins the two halves again.
+    """
+    others = [c for c in panel.columns if c not in inputs and c not in keys and c != order]
+    if not others:
+        return compute(panel)
+    narrow = panel.select(*[col(c) for c in panel.columns if c not in others])
+    wide = panel.select(*keys, order, *[col(c) for c in others])
+    return wide.join(compute(narrow), [*keys, order])
+
+
 class Roll(NamedTuple):
     """One rolling column: ``how`` over the last ``rows`` rows; ``other`` is the second input of ``corr``."""
 

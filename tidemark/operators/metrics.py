@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import col, floor_zero, positive, ratio
 from ..session import settle
-from .chunks import KEYS, ORDER, ROW, Chunked, Roll, running
+from .chunks import KEYS, ORDER, ROW, Chunked, Roll, beside, running
 from .prepare import ffill
 
 UNITS_PER_COIN = 100_000_000
@@ -24,6 +24,25 @@ FLOW_INTERCEPT = 14.6
 FLOW_POWER = 3.3
 
 
+# Input columns of the on-chain metrics.
+ONCHAIN_INPUTS = (
+    "market_cap",
+    "supply",
+    "realized_cap",
+    "realized_price",
+    "price_close",
+    "transfer_volume_sum_24h_usd",
+    "coinbase_sum_24h_usd",
+    "coinbase_sum_24h",
+    "fees_sum_24h",
+    "utxos_over_1y_old_supply",
+    "coindays_destroyed_sum_24h",
+    "supply_in_profit",
+    "supply_in_loss",
+    "active_addrs_average_24h",
+)
+
+
 def onchain_metrics(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Valuation ratios, price means, thermocap, miner revenue, supply, reserve risk, average cap and volatility.
 
@@ -31,6 +50,10 @@ def onchain_metrics(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     running total of the daily holding value, which needs a rolling median first. The rolled stage is settled, because
     a running total reads its input twice.
     """
+    return beside(panel, ONCHAIN_INPUTS, lambda narrow: _onchain_metrics(narrow, keys), keys)
+
+
+def _onchain_metrics(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
     c = col
     cap, supply, realized, price = c("market_cap"), c("supply"), c("realized_cap"), c("price_close")
     revenue, volume = c("coinbase_sum_24h_usd"), c("transfer_volume_sum_24h_usd")
@@ -138,6 +161,10 @@ def onchain_metrics(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 def stock_to_flow(panel: DataFrame, keys: Sequence[str] = KEYS, dense: bool = False) -> DataFrame:
     """Supply over its positive 365-row growth, the fixed scarcity line, its price and 365-row mean."""
+    return beside(panel, ("supply", "price_close"), lambda narrow: _stock_to_flow(narrow, keys, dense), keys)
+
+
+def _stock_to_flow(panel: DataFrame, keys: Sequence[str], dense: bool) -> DataFrame:
     chunks = Chunked(panel, reach=365 + 364, keys=keys, dense=dense)
     growth = positive(col("supply") - chunks.lag("supply", 365))
     frame = chunks.frame.withColumn("SF", ratio("supply", growth))

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import col, positive, ratio
-from .chunks import KEYS, ORDER, Chunked, Roll
+from .chunks import KEYS, ORDER, Roll
+from .windows import rolling
 
 # First day of the age axis, user bands and their output suffixes, ribbon windows.
 ORIGIN = "2009-01-03"
@@ -81,8 +82,7 @@ def apply_metcalfe(panel: DataFrame, scales: DataFrame, bands: Mapping[str, str]
 def ribbons(panel: DataFrame, column: str = "hash_rate", fast: int = FAST, slow: int = SLOW, keys: Sequence[str] = KEYS, dense: bool = False) -> DataFrame:
     """Fast and slow means, their ratio, and fast < slow where both are known and slow is not zero."""
     quick, calm = f"{fast}_day_ma_{column}", f"{slow}_day_ma_{column}"
-    chunks = Chunked(panel.drop(quick, calm), reach=slow - 1, keys=keys, dense=dense)
-    rolled = chunks.owned(chunks.roll(chunks.frame, [Roll(quick, column, fast), Roll(calm, column, slow)]))
+    rolled = rolling(panel.drop(quick, calm), [Roll(quick, column, fast), Roll(calm, column, slow)], keys, dense)
     return rolled.withColumns(
         {
             "hash_ribbon_ratio": ratio(quick, calm),

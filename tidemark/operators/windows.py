@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import col, finite, ratio
-from .chunks import KEYS, ORDER, Chunked, Roll, number_rows, running
+from .chunks import KEYS, ORDER, Chunked, Roll, beside, number_rows, running
 
 __all__ = [
     "Roll",
@@ -30,7 +30,16 @@ __all__ = [
 
 
 def rolling(panel: DataFrame, specs: Sequence[Roll], keys: Sequence[str] = KEYS, dense: bool = False) -> DataFrame:
-    """Rolling mean, sum, std, min, max, median or corr columns over the last n rows."""
+    """Rolling mean, sum, std, min, max, median or corr columns over the last n rows.
+
+    Rows are copied between runs and long frames travel through Arrow, so a wide panel is rolled on the columns the
+    frames read and joined back on its key.
+    """
+    inputs = {c for s in specs for c in (s.column, s.other) if c is not None}
+    return beside(panel, inputs, lambda narrow: _rolled(narrow, specs, keys, dense), keys)
+
+
+def _rolled(panel: DataFrame, specs: Sequence[Roll], keys: Sequence[str], dense: bool) -> DataFrame:
     chunks = Chunked(panel, max(s.rows for s in specs) - 1, keys=keys, dense=dense)
     return chunks.owned(chunks.roll(chunks.frame, specs))
 
