@@ -245,6 +245,20 @@ CASES["source_sentiment"] = Case(
 )
 
 
+def _dominance(spark, sf):
+    events = table(spark, sf, "events")
+    data = F.struct(F.struct(F.col("value").alias("btc")).alias("market_cap_percentage"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("updated_at"))
+    docs = events.select("event_id", F.to_json(F.struct(data.alias("data"))).alias("doc"))
+    return landed.dominance(landed.parse_json(docs, "doc", landed.SNAPSHOT_SCHEMA), ["event_id"])
+
+
+CASES["source_dominance"] = Case(
+    _dominance,
+    {"event_id": "i", "bitcoin_dominance": "f4", "time": "d"},
+    "--body\nSELECT event_id, value AS bitcoin_dominance, CAST(ts AS DATE) AS time FROM events",
+)
+
+
 def _props(spark, sf):
     events = table(spark, sf, "events")
     return events.select("event_id", F.from_json("props", "k BIGINT").alias("p")).groupBy(F.col("p.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))

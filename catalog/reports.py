@@ -261,6 +261,9 @@ ASSETS = [
     ("Sectors", "Household - [H]", "HOUSEHOLD"),
     ("Macro Asset Classes", "Building - [B]", "BUILDING"),
     ("Macro Asset Classes", "Automobile - [A]", "AUTOMOBILE"),
+    ("Bitcoin Industry Performance", "Building - [B]", "BUILDING"),
+    ("Bitcoin Industry Performance", "Tools - [T]", "MACHINERY"),
+    ("Bitcoin Industry Performance", "Chairs - [C]", "FURNITURE"),
 ]
 
 

@@ -29,13 +29,16 @@ def _with(spark, **frames):
 
 
 def _headline_history(spark, sf):
-    long = tables.summary_history(network(spark, sf), AS_OF, {"Bitcoin Price USD": "price_close", "Bitcoin Marketcap": "market_cap", "Bitcoin Supply": "supply"}, 60)
+    series = network(spark, sf).withColumn("sat_per_dollar", F.lit(1e8) / F.col("price_close"))
+    long = tables.summary_history(series, AS_OF, {metric: tables.SUMMARY_METRICS[metric] for metric, _, _ in queries.HEADLINES.values()}, 60)
     return _with(spark, summary_history=_one(long))
 
 
 HISTORY_SQL = NETWORK + f"""newest AS (SELECT max(date) AS d FROM net WHERE entity = '{ONE}' AND date <= DATE '{AS_OF}'),
 near AS (SELECT net.* FROM net, newest WHERE entity = '{ONE}' AND date BETWEEN d - 60 AND d),
-hist AS (SELECT 'Bitcoin Price USD' AS metric, date, price_close AS v FROM near UNION ALL SELECT 'Bitcoin Marketcap', date, market_cap FROM near UNION ALL SELECT 'Bitcoin Supply', date, supply FROM near),
+hist AS (SELECT 'Bitcoin Price USD' AS metric, date, price_close AS v FROM near UNION ALL SELECT 'Bitcoin Marketcap', date, market_cap FROM near UNION ALL SELECT 'Bitcoin Supply', date, supply FROM near
+  UNION ALL SELECT 'Sats Per Dollar', date, 1e8 / price_close FROM near UNION ALL SELECT 'Bitcoin Miner Revenue', date, coinbase_sum_24h_usd FROM near WHERE coinbase_sum_24h_usd IS NOT NULL
+  UNION ALL SELECT 'Bitcoin Transaction Volume', date, transfer_volume_sum_24h_usd FROM near WHERE transfer_volume_sum_24h_usd IS NOT NULL),
 """
 CASES["query_data_date"] = Case(
     lambda s, d: queries.data_date(_headline_history(s, d)),
@@ -43,8 +46,8 @@ CASES["query_data_date"] = Case(
     HISTORY_SQL + """--body
 SELECT strftime(max(date), '%B %d, %Y') AS date_label, strftime(max(date), '%B') AS month_name, strftime(max(date), '%Y') AS year_label FROM hist""",
 )
-for _name, _column, _unit, _digits in (("btc_price", "price", 1.0, "f4"), ("btc_marketcap", "marketcap", 1e12, "f10"), ("btc_supply", "supply", 1.0, "f2")):
-    _metric = queries.HEADLINES[_name][0]
+for _name, (_metric, _unit, _column) in queries.HEADLINES.items():
+    _digits = {1: "f4", 1e6: "f8", 1e9: "f10", 1e12: "f10"}[_unit]
     CASES[f"query_{_name}"] = Case(
         (lambda m, u, c: lambda s, d: queries.headline(_headline_history(s, d), m, u, c))(_metric, _unit, _column),
         {"date": "d", _column: _digits, "pct_change": "f8"},
@@ -75,7 +78,7 @@ def _performance(spark, sf):
 
 
 PERFORMANCE_COLUMNS = {"Asset": "s", "price": "f4", "return_7d": "f6", "return_mtd": "f6", "return_ytd": "f6", "return_90d": "f6"}
-for _name, _category in (("equity_perf", "Equity Market Indexes"), ("sector_perf", "Sectors"), ("macro_perf", "Macro Asset Classes")):
+for _name, _category in queries.PERFORMANCE_VIEWS.items():
     CASES[f"query_{_name}"] = Case(
         (lambda c: lambda s, d: queries.performance_view(_performance(s, d), c, "Building - [B]"))(_category),
         PERFORMANCE_COLUMNS,

@@ -107,3 +107,23 @@ def test_snapshot_equals_the_last_rolling_row(spark):
     snap = {r.entity: (r.corr_7, r.corr_30) for r in changes.correlation_snapshot(p, "v", "lead", "2024-03-10", (7, 30)).collect()}
     for e in rolled:
         assert snap[e] == pytest.approx(rolled[e])
+
+
+def test_groups_stay_bounded_when_one_entity_holds_most_rows(spark):
+    """2,000 rows of one entity, 20 of another: no chunk exceeds run + reach rows, and owned rows are exactly the input."""
+    from pyspark.sql import functions as F
+
+    p = spark.range(2000).select(F.lit("hot").alias("entity"), F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("date"), F.col("id").cast("double").alias("v"))
+    p = p.unionByName(p.limit(20).withColumn("entity", F.lit("cold")))
+    chunks = Chunked(p, reach=29, smallest=100)
+    sizes = [r["count"] for r in chunks.frame.groupBy("entity", "_chunk").count().collect()]
+    assert max(sizes) <= 129 and len(sizes) > 20
+    assert chunks.owned(chunks.frame).count() == 2020
+
+
+def test_wide_panel_keeps_its_other_columns(long_panel):
+    from pyspark.sql import functions as F
+
+    wide = long_panel.withColumns({"a.b": F.lit("x"), "other": F.col("v") * 2})
+    out = windows.rolling(wide, [Roll("m", "v", 130, "median")])
+    assert set(out.columns) == {"entity", "date", "v", "a.b", "other", "m"} and out.count() == wide.count()

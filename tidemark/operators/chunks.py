@@ -149,21 +149,26 @@ def _short_frame(spec: Roll, window) -> Column:
 
 
 def _long_frames(specs: Sequence[Roll], row: str):
-    """Arrow job for one chunk: long frames and medians in ``row`` order."""
+    """Arrow job for one chunk: long frames and medians in ``row`` order.
 
-    def numbers(table: pa.Table, name: str) -> pd.Series:
-        return table.column(name).cast(pa.float64()).to_pandas()
+    The closure holds plain tuples only, so it travels by value and workers need not have this package.
+    """
+    wanted = [tuple(s) for s in specs]
 
     def compute(table: pa.Table) -> pa.Table:
         table = table.sort_by(row)
-        for spec in specs:
-            frame = numbers(table, spec.column).rolling(spec.rows, min_periods=spec.rows)
-            if spec.how == "corr":
-                values = frame.corr(numbers(table, spec.other))
-            else:
-                values = getattr(frame, spec.how)()
-            values = values.where(values.abs() < float("inf"))
-            table = table.append_column(spec.out, pa.Array.from_pandas(values, type=pa.float64()))
+
+        def numbers(name: str) -> pd.Series:
+            return table.column(name).cast(pa.float64()).to_pandas()
+
+        results = []
+        for out, column, rows, how, other in wanted:
+            frame = numbers(column).rolling(rows, min_periods=rows)
+            values = frame.corr(numbers(other)) if how == "corr" else getattr(frame, how)()
+            finite_only = values.where(values.abs() < float("inf"))
+            results.append((out, pa.Array.from_pandas(finite_only, type=pa.float64())))
+        for out, values in results:
+            table = table.append_column(out, values)
         return table
 
     return compute
