@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import prepare
@@ -20,34 +20,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _customers(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("segment"))
+    if entity == "nation":
+        nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
+        customers = customers.join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 rows
+    return customers.select("c_custkey", F.col(entity).alias("entity"))
+
+
+def _priced(cents: Column, n: Column) -> list[Column]:
+    """Price, volume and count from a sum of whole cents, which adds up exactly in any order."""
+    spent = cents / F.lit(100.0) / RATE
+    return [(spent / n).alias("price"), spent.alias("volume"), n.cast("double").alias("n")]
+
+
 def orders_by(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """(entity, date, price, volume, n, users...) from orders.
+    """(entity, date, price, volume, n) from orders.
+
+    The customer side is broadcast only where its size allows it; otherwise the adaptive join splits the partition of
+    a customer with very many orders. Sums are formed map-side before the shuffle by (entity, date).
+    """
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("date"), _cents().alias("cents"))
+    joined = orders.join(_customers(spark, sf_dir, entity), F.col("o_custkey") == F.col("c_custkey"))
+    sums = joined.groupBy("entity", "date").agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"))
+    return sums.select("entity", "date", *_priced(F.col("cents"), F.col("n")))
 
-    Orders shrink to one row per customer and day before they meet the customers, so a customer with very many orders
-    is small by the time of the join.
+
+def orders_and_users_by(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The same with the number of customers per day: all, and those with an order above three amounts.
+
+    Orders shrink to one row per customer and day first, so customers are counted without a distinct.
     """
     orders = table(spark, sf_dir, "orders")
-    money = F.col("o_totalprice").cast("decimal(18,2)")
     bought = orders.groupBy("o_custkey", F.to_date("o_orderdate").alias("date")).agg(
-        F.sum(money).alias("spent"), F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("largest")
+        F.sum(_cents()).alias("cents"), F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("largest")
     )
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("segment"))
-    if entity == "nation":
-        nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
-        customers = customers.join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 rows
-    joined = bought.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    spent = F.sum("spent").cast("double") / RATE
-    n = F.sum("n").cast("double")
+    joined = bought.join(_customers(spark, sf_dir, entity), F.col("o_custkey") == F.col("c_custkey"))
     over = lambda x: F.count_if(F.col("largest") > x).cast("double")
-    return joined.groupBy(F.col(entity).alias("entity"), "date").agg(
-        (spent / n).alias("price"),
-        spent.alias("volume"),
-        n.alias("n"),
+    sums = joined.groupBy("entity", "date").agg(
+        F.sum("cents").alias("cents"),
+        F.sum("n").alias("n"),
         F.count(F.lit(1)).cast("double").alias("users"),
         over(100_000).alias("users_a"),
         over(200_000).alias("users_b"),
         over(300_000).alias("users_c"),
     )
+    return sums.select("entity", "date", *_priced(F.col("cents"), F.col("n")), "users", "users_a", "users_b", "users_c")
+
+
+def _cents() -> Column:
+    return F.round(F.col("o_totalprice") * 100).cast("bigint")
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +81,10 @@ def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(orders_by(spark, sf_dir, "nation"))
 
 
+def nations_with_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settle(orders_and_users_by(spark, sf_dir, "nation"))
+
+
 _ORDERS = """
   SELECT {entity} AS entity, CAST(o.o_orderdate AS DATE) AS date,
          CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 1.95583::DOUBLE / COUNT(*) AS price,
@@ -91,7 +117,7 @@ cal AS (SELECT d.entity, d.date, p.price, p.volume, p.n, p.users, p.users_a, p.u
 
 def network(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A wide network panel: prices and volumes of the segments stand in for the on-chain inputs."""
-    totals = running(panel(spark, sf_dir), {"sold": ("sum", "n"), "paid": ("sum", "volume")})
+    totals = running(settle(orders_and_users_by(spark, sf_dir, "segment")), {"sold": ("sum", "n"), "paid": ("sum", "volume")})
     c = F.col
     supply = F.lit(1000.0) + c("sold")
     in_profit = supply * 0.75

@@ -8,7 +8,7 @@ from tidemark.operators import changes, energy, metrics, models, prepare
 from tidemark.plans import returns, tables
 from tidemark.session import settle
 
-from .base import AS_OF, CALENDAR, CANDLES, NATIONS, NETWORK, PANEL, candles, full_calendar, nations, network, panel, table
+from .base import AS_OF, CALENDAR, CANDLES, NATIONS, NETWORK, PANEL, candles, full_calendar, nations, nations_with_users, network, panel, table
 from .case import Case
 from .network import EVENTS, FIT_SQL, ORIGIN, STEP
 from .series import _snap_corr
@@ -170,7 +170,7 @@ daily AS (SELECT entity, CAST(ts AS DATE) AS date, arg_min(price, ts) AS price F
 
 METRIC_MAP = {"Price": "price", "Volume": "volume", "Users above 300K": "users_c"}
 CASES["summary_history"] = Case(
-    lambda s, d: tables.summary_history(nations(s, d).withColumn("users_c", F.when(F.col("users_c") > 0, F.col("users_c"))), AS_OF, METRIC_MAP),
+    lambda s, d: tables.summary_history(nations_with_users(s, d).withColumn("users_c", F.when(F.col("users_c") > 0, F.col("users_c"))), AS_OF, METRIC_MAP),
     {"entity": "s", "Metric": "s", "date": "d", "Value": "f4"},
     NATIONS + f"""newest AS (SELECT entity, max(date) AS d FROM panel WHERE date <= DATE '{AS_OF}' GROUP BY 1),
 near AS (SELECT p.* FROM panel p JOIN newest n USING (entity) WHERE p.date BETWEEN n.d - 30 AND n.d),

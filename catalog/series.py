@@ -8,7 +8,7 @@ from tidemark.operators import changes, prepare, windows
 from tidemark.operators.chunks import Roll
 from tidemark.session import settle
 
-from .base import AS_OF, CALENDAR, NATIONS, PANEL, full_calendar, nations, panel, table
+from .base import AS_OF, CALENDAR, NATIONS, PANEL, full_calendar, nations, nations_with_users, panel, table
 from .case import Case
 
 CASES: dict[str, Case] = {}
@@ -316,7 +316,7 @@ LEFT JOIN panel p ON p.entity = c.entity AND p.date = c.date - 30""",
 
 CASES["base_freshness"] = Case(
     lambda s, d: prepare.freshness(
-        nations(s, d).withColumn("users_c", F.when(F.col("users_c") > 0, F.col("users_c"))), AS_OF, ["price", "users_c", "gone"]
+        nations_with_users(s, d).withColumn("users_c", F.when(F.col("users_c") > 0, F.col("users_c"))), AS_OF, ["price", "users_c", "gone"]
     ),
     {"entity": "s", "newest": "d", "metric": "s", "problem": "s"},
     NATIONS
