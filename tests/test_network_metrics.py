@@ -229,3 +229,36 @@ def test_required_series_are_named(spark):
     assert [(str(r.time), r.price) for r in out] == [("2024-01-01 00:00:00", 1.5), ("2024-01-02 00:00:00", None)]
     with pytest.raises(ValueError, match="missing_one"):
         landed.base_series([a, b], ["price", "missing_one"])
+
+
+def test_exports_with_index_and_compression(spark, tmp_path):
+    import glob
+
+    df = spark.createDataFrame([(1.0, day("2024-01-01"))], "v DOUBLE, date DATE")
+    path = str(tmp_path / "wide")
+    outputs.write_table(df, path, "csv", "gzip", index="date", index_name="time")
+    assert glob.glob(f"{path}/*.csv.gz")
+    assert spark.read.option("header", True).csv(path).first().asDict() == {"time": "2024-01-01", "v": "1.0"}
+
+
+@pytest.mark.parametrize(
+    "value, kind, cell",
+    [
+        (1234567.5, "currency", "$1,234,568"), (1.5e18, "hashrate_ehs", "1.50 EH/s"), (2.5e12, "difficulty_t", "2.50T"), (0.94321, "percent_ratio", "94.32%"),
+        (1234.567, "percent_point", "1234.57%"), (1234.567, "number2", "1,234.57"), (2.5, "number", "2"), (3.5, "number", "4"), (None, "number", ""),
+    ],
+)
+def test_cells(spark, value, kind, cell):
+    from tidemark.functions import text
+
+    row = spark.createDataFrame([(value,)], "v DOUBLE").select(text.formatted("v", F.lit(kind)).alias("c")).first()
+    assert row.c == cell
+
+
+def test_classes(spark):
+    from tidemark.functions import text
+
+    rows = spark.createDataFrame([(v,) for v in (24.0, 25.0, 44.5, 54.0, 74.0, 75.0, None)], "v DOUBLE").select(text.sentiment_class("v").alias("c")).collect()
+    assert [r.c for r in rows] == ["Extreme Fear", "Fear", "Neutral", "Neutral", "Greed", "Extreme Greed", ""]
+    rows = spark.createDataFrame([(v,) for v in (0.9, 1.0, 2.0, 3.0, None)], "v DOUBLE").select(text.valuation_class("v").alias("c")).collect()
+    assert [r.c for r in rows] == ["Undervalued", "Fair Value", "Overvalued", "Extremely Overvalued", ""]

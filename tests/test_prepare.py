@@ -155,3 +155,8 @@ def test_late_observation_shows_the_next_day(spark, by_date):
 def test_only_midnight_rows_meet_the_base(spark):
     rows = spark.sql("SELECT timestamp'2024-01-01 00:00:00' AS time, 1 AS v UNION ALL SELECT timestamp'2024-01-02 10:00:00', 2")
     assert [(str(r.date), r.v) for r in landed.on_base_dates(rows).collect()] == [("2024-01-01", 1)]
+
+
+def test_market_columns_leave_base_and_markers_out(panel):
+    p = panel([("2024-01-01", 1.0, 2.0, day("2024-01-01"), 0.03)], "price_close DOUBLE, spy DOUBLE, spy_source_date DATE, eff DOUBLE", ["one"])
+    assert prepare.market_columns(p, ["price_close", "supply"], ["eff"]) == ["spy"]

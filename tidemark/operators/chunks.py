@@ -29,6 +29,7 @@ ROW = "row_no"
 DAYS_PER_CHUNK = 366
 MICROS_PER_CHUNK = 86_400_000_000
 SMALLEST_RUN = 512
+RUN_PER_REACH = 4  # a run is at least this many times its halo, so at most a quarter of the rows is copied
 LONG_FRAME = 120  # frames above this many rows are evaluated in Arrow, O(1) per row, instead of re-summed per row
 
 
@@ -193,7 +194,7 @@ class Chunked:
         smallest: int = SMALLEST_RUN,
     ):
         self.keys, self.columns = list(keys), list(panel.columns)
-        size = max(reach + ahead, smallest)
+        size = max(RUN_PER_REACH * (reach + ahead), smallest)
         if dense:
             numbered = panel.withColumn("_row", position_of(panel, order)[0])
         elif ROW in panel.columns:

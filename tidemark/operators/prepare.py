@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,6 +90,12 @@ def source_dates(panel: DataFrame, columns: Sequence[str], suffix: str = "_sourc
     return panel.withColumns(marks)
 
 
+def market_columns(panel: DataFrame, base: Collection[str], carried: Collection[str] = (), suffix: str = "_source_date", keys: Sequence[str] = KEYS) -> list[str]:
+    """Columns under the short fill budget: not a base series, not a carried monthly one, not a source-date marker."""
+    fixed = {*keys, ORDER, *base, *carried}
+    return [c for c in panel.columns if c not in fixed and not c.endswith(suffix)]
+
+
 def ffill(panel: DataFrame, columns: Sequence[str], limit: int | None = None, keys: Sequence[str] = KEYS, dense: bool = False) -> DataFrame:
     """Carry the last value forward, over at most ``limit`` NULL rows in a row when a limit is given."""
     if limit is None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 
 def write_table(df: DataFrame, path: str, kind: str = "parquet", compression: str | None = None, index: str | None = None, index_name: str | None = None) -> None:
@@ -40,12 +39,3 @@ def guarded_write(df: DataFrame, path: str, check: Callable[[DataFrame], object]
 def read_table(spark: SparkSession, path: str, like: DataFrame, kind: str = "parquet") -> DataFrame:
     reader = spark.read.schema(like.schema)
     return reader.option("header", True).csv(path) if kind == "csv" else reader.parquet(path)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder or file can be listed by Spark."""
-    try:
-        spark.read.format("binaryFile").load(path).limit(0).count()
-        return True
-    except AnalysisException:
-        return False
