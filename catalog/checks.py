@@ -28,8 +28,8 @@ def _one(df):
 
 def _shape(spark, sf):
     bad = table(spark, sf, "orders").select(
-        F.when(F.col("o_orderkey") % 1000 == 1, F.lit(float("inf"))).otherwise(F.col("o_totalprice")).alias("price"),
-        F.when(F.col("o_orderkey") % 500 == 3, F.lit(" -Infinity ")).otherwise(F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(float("inf"))).otherwise(F.col("o_totalprice")).alias("price"),
+        F.when(F.col("o_orderstatus") == "O", F.lit(" -Infinity ")).otherwise(F.col("o_orderstatus")).alias("status"),
     )
     return quality.check_shape(bad, "orders", quality.Rule(1, 1000, ("price", "time"))).unionByName(
         quality.check_shape(table(spark, sf, "nation"), "nation", quality.Rule(26, None, ("n_name",)))
@@ -198,11 +198,11 @@ def _documents(spark, sf):
     day = F.unix_millis(F.to_date("ts").cast("timestamp"))
     daily = events.groupBy(F.col("event_type").alias("entity"), day.alias("ms")).agg(F.max("value").alias("hi"), F.min("value").alias("lo"), F.count(F.lit(1)).alias("n"))
     pair = lambda v: F.array(F.array(F.col("ms").cast("double"), v.cast("double")))
-    late = F.col("ms") % (7 * 86_400_000) != 0
+    low = F.col("lo") < 8
     return daily.select(
         "entity",
         F.to_json(
-            F.struct(pair(F.col("hi")).alias("prices"), pair(F.col("n")).alias("total_volumes"), F.when(late, pair(F.col("lo"))).otherwise(F.array().cast("array<array<double>>")).alias("market_caps"))
+            F.struct(pair(F.col("hi")).alias("prices"), pair(F.col("n")).alias("total_volumes"), F.when(low, pair(F.col("lo"))).otherwise(F.array().cast("array<array<double>>")).alias("market_caps"))
         ).alias("doc"),
     )
 
@@ -217,7 +217,7 @@ CASES["source_pairs"] = Case(
 CASES["source_assets"] = Case(
     lambda s, d: landed.assets(landed.parse_json(_documents(s, d), "doc", landed.PAIRS_SCHEMA)),
     {"entity": "s", "date": "d", "close": "f4", "volume": "f0", "market_cap": "f4", "close_source_date": "d"},
-    EVENTS_SQL + """jn AS (SELECT * FROM dl WHERE (epoch_ms(date) % (7 * 86400000)) <> 0),
+    EVENTS_SQL + """jn AS (SELECT * FROM dl WHERE lo < 8),
 ends AS (SELECT min(date) AS a, max(date) AS b FROM jn),
 ds AS (SELECT entity, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date FROM (SELECT DISTINCT entity FROM jn), ends),
 --body

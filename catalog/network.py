@@ -362,13 +362,12 @@ FROM rows r JOIN panel o ON o.entity = r.entity AND o.date = r.a AND o.price > 0
 def share_inputs(spark, sf):
     """Per brand: monthly mean retail price as close, monthly order lines as share counts, and two splits per brand.
 
-    A split doubles (or triples) the reported counts from its month on; every seventh month has a second, stale candidate.
+    A split doubles (or triples) the reported counts from its month on; every month also has an earlier, stale candidate.
     """
     lines = table(spark, sf, "lineitem")
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice")
     sold = lines.groupBy("l_partkey", F.trunc("l_shipdate", "month").alias("date")).agg(F.count(F.lit(1)).alias("n"))
     joined = sold.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    month = F.year("date") * 12 + F.month("date")
     base = settle(
         joined.groupBy(F.col("p_brand").alias("entity"), "date").agg(
             (F.sum(F.col("p_retailprice").cast("decimal(18,2)") * F.col("n")).cast("double") / F.sum("n")).alias("close"),
@@ -378,9 +377,8 @@ def share_inputs(spark, sf):
     factor = F.when(F.col("date") >= "1999-02-01", 6.0).when(F.col("date") >= "1997-05-01", 2.0).otherwise(1.0)
     level = (F.lit(100_000.0) + F.col("n")) * factor
     current = base.select("entity", "date", level.alias("shares"), F.lit(1).alias("seq"))
-    stale = base.filter((month % 7 == 0) | F.col("date").isin("1997-05-01", "1999-02-01")).select(
-        "entity", "date", (level / F.when(F.col("date").isin("1997-05-01"), 2.0).when(F.col("date").isin("1999-02-01"), 3.0).otherwise(1.01)).alias("shares"), F.lit(0).alias("seq")
-    )
+    behind = F.when(F.col("date") == "1997-05-01", 2.0).when(F.col("date") == "1999-02-01", 3.0).otherwise(1.01)
+    stale = base.select("entity", "date", (level / behind).alias("shares"), F.lit(0).alias("seq"))
     counts = current.unionByName(stale).withColumn("symbol", F.col("entity"))
     entities = base.select("entity").distinct()
     splits = entities.select(
@@ -414,8 +412,14 @@ CASES["share_observations"] = Case(
     {"entity": "s", "date": "d", "shares": "f2"},
     SHARES_SQL + "--body\nSELECT entity, date, unsplit * factor AS shares FROM cnt",
 )
+def _transitions(spark, sf):
+    _, counts, splits = share_inputs(spark, sf)
+    selected = settle(shares.select_observations(counts.withColumn("alias_position", F.lit(0)), splits))
+    return shares.split_transitions(selected, splits)
+
+
 CASES["split_transitions"] = Case(
-    lambda s, d: shares.split_transitions(_selected(s, d), share_inputs(s, d)[2]),
+    _transitions,
     {"entity": "s", "date": "d", "ratio": "f2", "transition": "d"},
     SHARES_SQL + """steps AS (SELECT entity, date, unsplit * factor / lag(unsplit * factor) OVER (PARTITION BY entity ORDER BY date) AS step FROM cnt),
 sp AS (SELECT DISTINCT entity, d.date, d.ratio FROM base, (VALUES (DATE '1997-05-01', 2.0::DOUBLE), (DATE '1999-02-01', 3.0::DOUBLE)) d(date, ratio)),

@@ -93,17 +93,17 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS D
 
 def _align(spark, sf):
     base = panel(spark, sf)
-    even = base.filter(F.dayofmonth("date") % 2 == 0).select("entity", "date", F.col("price").alias("even_price"), F.lit(-1.0).alias("n"))
+    cheap = base.filter("price < 120000").select("entity", "date", F.col("price").alias("low_price"), F.lit(-1.0).alias("n"))
     high = base.filter("volume > 100000").select("entity", "date", F.col("volume").alias("high_volume"))
-    return prepare.align(base.select("entity", "date", "price", "n"), even, high)
+    return prepare.align(base.select("entity", "date", "price", "n"), cheap, high)
 
 
 CASES["align_left_joins"] = Case(
     _align,
-    {"entity": "s", "date": "d", "price": "f4", "n": "f0", "even_price": "f4", "high_volume": "f2"},
+    {"entity": "s", "date": "d", "price": "f4", "n": "f0", "low_price": "f4", "high_volume": "f2"},
     PANEL
     + """--body
-SELECT entity, date, price, n, CASE WHEN day(date) % 2 = 0 THEN price END AS even_price,
+SELECT entity, date, price, n, CASE WHEN price < 120000 THEN price END AS low_price,
        CASE WHEN volume > 100000 THEN volume END AS high_volume FROM panel""",
 )
 
