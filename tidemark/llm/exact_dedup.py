@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import stage_table
 
+_NULL = -(2**63)
 HEAVY = 256
 TRACKED = 4096
 
@@ -27,9 +28,14 @@ def normalised(column: str = "text") -> Column:
     return F.translate(F.coalesce(F.col(column), F.lit("")), " \t\n\x0b\x0c\r", "")
 
 
+def _before(column: str) -> Column:
+    """Larger for smaller ids, smallest for null."""
+    return F.coalesce(-F.col(column), F.lit(_NULL).cast("bigint"))
+
+
 def _rank() -> Column:
     """Larger is better: code points, then small id (null last), then small row id."""
-    return F.struct(F.col("points"), F.coalesce(-F.col("id"), F.lit(-(2**63)).cast("bigint")), -F.col("rid"))
+    return F.struct(F.col("points").alias("points"), _before("id").alias("before"), (-F.col("rid")).alias("first"))
 
 
 def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -70,13 +76,12 @@ def duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         .withColumns({"size": F.count(F.lit(1)).over(group), "winner": F.max(_rank()).over(group)})
         .select("rid", "id", "digest", "size", "winner")
     )
-    best = F.nullif(-F.col("winner.col2"), F.lit(-(2**63)).cast("bigint"))
     return settled.unionByName(rest).select(
         "rid",
         "id",
-        F.when(F.col("winner.col2") != F.lit(-(2**63)).cast("bigint"), best).alias("keep_id"),
+        F.when(F.col("winner.before") != F.lit(_NULL).cast("bigint"), -F.col("winner.before")).alias("keep_id"),
         F.col("size").alias("group_size"),
-        (F.col("winner.col3") == -F.col("rid")).alias("kept"),
+        (F.col("winner.first") == -F.col("rid")).alias("kept"),
         "digest",
     )
 
@@ -91,11 +96,10 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         F.coalesce(F.length(f"row.{text_column}"), F.lit(0)).cast("bigint").alias("points"),
         F.sha2(normalised(f"row.{text_column}").cast("binary"), 256).alias("digest"),
     )
-    best = winners.select("digest", F.col("winner.col1").alias("w_points"), F.col("winner.col2").alias("w_id"))
+    best = winners.select("digest", F.col("winner.points").alias("w_points"), F.col("winner.before").alias("w_id"))
     tagged = rows.join(F.broadcast(best), "digest", "left")
-    key = F.coalesce(-F.col("id"), F.lit(-(2**63)).cast("bigint"))
     # Equal rows of a heavy winner meet in a map-side combined aggregate; everything else of its group ends in the filter.
-    heavy_rows = tagged.where((F.col("points") == F.col("w_points")) & (key == F.col("w_id"))).dropDuplicates(["digest"]).select("row")
+    heavy_rows = tagged.where((F.col("points") == F.col("w_points")) & (_before("id") == F.col("w_id"))).dropDuplicates(["digest"]).select("row")
     order = Window.partitionBy("digest").orderBy(F.col("points").desc(), F.col("id").asc_nulls_last())
     light_rows = tagged.where("w_points is null").withColumn("place", F.row_number().over(order)).where("place = 1").select("row")
     return heavy_rows.unionByName(light_rows).select("row.*")
