@@ -17,6 +17,7 @@ payload are all responses.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,7 +35,10 @@ PIECE = 1 << 16
 #: A header block longer than this is damage; payloads have no bound of their own.
 HEADER_BYTES = 1 << 16
 VERSION = b"WARC/1.1"
+_VERSION_LINE = re.compile(rb"WARC/1\.[0-9]\r\n")
 _MAGIC = b"\x1f\x8b\x08"
+#: A field name, a colon, and no control characters: binary data does not pass for a header.
+_LINE = re.compile(rb"[!-9;-~]+:[^\x00-\x08\x0a-\x1f\x7f]*")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2000-01-01T00:00:00Z"
 
@@ -159,14 +163,16 @@ def _member(view: _Window) -> tuple[bytes, int] | str:
 
 
 def _header(raw: bytes) -> tuple[dict[str, str], int] | str:
+    if not _VERSION_LINE.match(raw):
+        return "no version line"
     end = raw.find(b"\r\n\r\n", 0, HEADER_BYTES)
-    if not raw.startswith(b"WARC/1.") or end < 0:
-        return "no version line" if not raw.startswith(b"WARC/1.") else "the header has no end"
+    if end < 0:
+        return "the header has no end"
     fields: dict[str, str] = {}
     for line in raw[:end].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
-            return "a header line without a colon"
+        if not _LINE.fullmatch(line):
+            return "a header line is not a field"
+        name, _, value = line.partition(b":")
         fields[name.strip().decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
     if not fields.get("content-length", "").isdigit() or "warc-type" not in fields:
         return "the header lacks type or length"
