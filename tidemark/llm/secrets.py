@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and character Markov models of random strings and ordinary identifiers.
 
-The patterns find ``assign``, ``access`` and ``hex`` spans. What they find is the labelled sample of random strings; the runs of
-identifier characters outside these spans are the labelled sample of ordinary identifiers. Both samples give counts of
+The patterns find ``assign``, ``access`` and ``hex`` spans. What they find is the labelled sample of random strings; runs of
+identifier characters outside these spans that are built like names (words, camel case, joined by separators) or numbers
+are the labelled sample of ordinary identifiers. Both samples give counts of
 neighbouring characters (a start and an end included), added up over all documents into two tables of fixed size. A run of
 ``RUN`` or more identifier characters that no pattern span touches is a ``markov`` span if the log-likelihood ratio of
 the two models is at least ``total`` nats and at least ``mean`` nats per character.
@@ -32,6 +33,8 @@ _PATTERNS = (
 )
 _HEX = re.compile(r"[0-9a-f]{32,}")  # the matches of the last pattern that can pass
 _SAMPLE = re.compile(r"[A-Za-z0-9+/=_-]{8,}")
+# Possessive throughout, so that a run is tried once whatever its length.
+_ORDINARY = re.compile(r"(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[0-9]++)(?:[_/=+-]?[A-Z]?[a-z]{2,}+|[_/=+-][A-Z]{2,}+)*+(?:[_/=+-]?[0-9]++)*+[_/=+-]*+")
 _LETTERS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 _SIZE = len(_LETTERS) + 1  # the last code is the edge of a string
 _CODE = np.full(256, _SIZE - 1, dtype=np.int64)
@@ -78,7 +81,7 @@ def _counted(batches):
             text = raw.decode()
             spans = base_spans(text)
             samples[1].extend(s[3] for s in spans)
-            samples[0].extend(m.group() for m in _outside(text, spans))
+            samples[0].extend(m.group() for m in _outside(text, spans) if _ORDINARY.fullmatch(m.group()))
         for label in (0, 1):
             if samples[label]:
                 counts[label] += np.bincount(_transitions(samples[label]), minlength=_SIZE * _SIZE)

@@ -2,9 +2,9 @@
 
 Rows are ordered by the hash of their text, so equal texts are neighbours, then by id. A sample of at most about
 ``samples`` keys is drawn with a probability proportional to the rows' sizes; its quantiles are the splitters of
-``ranges`` key ranges of nearly equal bytes. Each row finds its range through a small table of key cells, the bytes of the
-ranges are added up exactly, and a range that is overfull all the same (few distinct keys, repeated rows) is subdivided by
-the hash of the row. Running sums inside these ranges and the totals of the ranges before them give every row its exact
+``ranges`` key ranges of nearly equal bytes; the row's own number ends the key, so that rows with equal texts and ids can be split as well.
+Each row finds its range through a small table of key cells, the bytes of the ranges are added up exactly, and a range
+that is overfull all the same (an unlucky draw) is subdivided by the hash of the row. Running sums inside these ranges and the totals of the ranges before them give every row its exact
 place in the byte order, which is cut into ``shards`` equal parts: a shard's bytes differ from the mean by less than the
 largest row.
 
@@ -23,7 +23,7 @@ ROW_BYTES = 8
 RANGES = 1024
 SAMPLES_PER_RANGE = 16
 CELLS = 4096
-#: Documents' ranges of more than this many mean ranges are subdivided.
+#: A range of more than this many mean ranges, and the rows between two splitters where all rows are drawn, is subdivided.
 OVERFULL = 2
 
 
@@ -79,7 +79,7 @@ def sharded(
     placed = _ranged(keyed, splitters(keyed, F.lit(float(max(total, 1))), ranges, samples))
     sizes = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.max("size").alias("largest"))
     mean = max(1.0, total / ranges)
-    pieces = F.when(F.col("bytes") > OVERFULL * (F.col("largest") + mean), F.ceil(F.col("bytes") / mean)).otherwise(1)
+    pieces = F.when(F.col("bytes") > OVERFULL * mean + samples * F.col("largest"), F.ceil(F.col("bytes") / mean)).otherwise(1)
     overfull = sizes.select("range", pieces.cast("int").alias("pieces")).where("pieces > 1")
     divided = placed.join(F.broadcast(overfull), "range", "left").select(
         *placed.columns, F.coalesce(F.pmod(F.xxhash64("rid", F.lit(9)), F.col("pieces")), F.lit(0)).cast("int").alias("sub")
