@@ -183,12 +183,12 @@ def row_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [v or b"" for v in rows.field(rows.type.get_field_index(column)).cast(pa.binary()).to_pylist()]
 
 
-def row_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES):
-    """Pairs of a batch cut to about ``limit`` bytes of ``row.column`` and its texts."""
+def row_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, rows: int = 4096):
+    """Pairs of a batch cut to at most ``rows`` rows and about ``limit`` bytes of ``row.column``, and its texts."""
     for batch in batches:
         texts, a, held = row_texts(batch, column), 0, 0
         for b, text in enumerate(texts):
             held += len(text)
-            if held >= limit or b == len(texts) - 1:
+            if held >= limit or b + 1 - a == rows or b == len(texts) - 1:
                 yield batch.slice(a, b + 1 - a), texts[a : b + 1]
                 a, held = b + 1, 0

@@ -25,6 +25,7 @@ DIMENSIONS = 1024
 UNKNOWN = "und"
 _GAP = 0x20
 _SLICE = 1 << 20
+_ROWS = 256  # a slice is a matrix of its rows by its distinct runs
 _TABLES: dict = {}
 
 
@@ -83,7 +84,7 @@ def bundles(texts: list[str]) -> np.ndarray:
 
 def _trained(batches):
     sums: dict[str, np.ndarray] = {}
-    for batch, raw in row_slices(batches, limit=_SLICE):
+    for batch, raw in row_slices(batches, limit=_SLICE, rows=_ROWS):
         rows = batch.column("row")
         names = rows.field(rows.type.get_field_index("lang")).to_pylist()
         distinct, which, owner = runs([t.decode() for t in raw])
@@ -118,7 +119,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_column: s
 
     def run(batches):
         names, prototypes = sent.value
-        for batch, raw in row_slices(batches, text_column, _SLICE):
+        for batch, raw in row_slices(batches, text_column, _SLICE, _ROWS):
             v = bundles([t.decode() for t in raw]).astype(np.float64)
             norm = np.linalg.norm(v, axis=1)
             known = (norm > 0) & bool(names)

@@ -36,6 +36,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 32
 ROWS = 6
+SLICE_ROWS = 256  # a text has about BANDS * ROWS * 7 darts, however short it is
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
 
@@ -107,7 +108,7 @@ def _sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _signed(text_column: str, id_column: str):
     def run(batches):
-        for batch, texts in row_slices(batches, text_column):
+        for batch, texts in row_slices(batches, text_column, rows=SLICE_ROWS):
             rows = batch.column("row")
             elements, of, node = _sets(texts)
             names = signatures(elements, of, len(texts), BANDS * ROWS).reshape(len(texts), BANDS, ROWS)
