@@ -78,35 +78,59 @@ def cagr(panel: DataFrame, columns: Sequence[str], years: Sequence[int] = CAGR_Y
     return chunks.owned(chunks.frame.withColumns(rates))
 
 
-def _value_ranks(panel: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
-    """(entity, value) -> average rank of ties / non-NULL count.
+VALUES_PER_BAND = 4096
+SKETCH_POINTS = 1000
 
-    Values are counted first and ordered inside narrow value bands; band totals give the rank offset, so the rows of
-    one entity are never sorted in one task.
+
+def _band_edges(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, metric, edges): ascending cut points of the distinct values, about one per ``VALUES_PER_BAND`` of them.
+
+    The points are approximate quantiles of the data itself, so narrow ranges are cut as finely as wide ones.
+    """
+    shares = F.array(*[F.lit(i / SKETCH_POINTS) for i in range(1, SKETCH_POINTS)])
+    sketched = counts.groupBy(*keys, "_metric").agg(F.percentile_approx("_v", shares, 10 * SKETCH_POINTS).alias("_points"), F.count(F.lit(1)).alias("_distinct"))
+    step = F.greatest(F.lit(1), F.ceil(F.lit(float(SKETCH_POINTS * VALUES_PER_BAND)) / F.col("_distinct")).cast("int"))
+    every = F.transform(F.sequence(step, F.lit(SKETCH_POINTS - 1), step), lambda i: F.element_at("_points", i))
+    edges = F.when(step < SKETCH_POINTS, F.array_distinct(every)).otherwise(F.array().cast("array<double>"))
+    return sketched.select(*keys, "_metric", edges.alias("_edges"))
+
+
+def _value_ranks(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, metric, value) -> average rank of ties / count, for all metrics of a long table in one pass.
+
+    Values are counted first and ordered inside bands of the values between data-driven cut points; band totals give the
+    rank offset, so no more than a band's distinct values are sorted in one task.
     """
-    bands_per_unit = 256
-    counts = panel.filter(col(column).isNotNull()).groupBy(*keys, col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    banded = counts.withColumn("_band", F.floor(F.asinh("_v") * bands_per_unit))
-    before = Window.partitionBy(*keys).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
+    counts = long.groupBy(*keys, "_metric", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # A band is the number of cut points at or below the value; the points of a metric are few.
+    band = F.size(F.filter("_edges", lambda e: e <= F.col("_v")))
+    banded = counts.join(_band_edges(counts, keys), [*keys, "_metric"]).select(*keys, "_metric", "_v", "_n", band.alias("_band"))
+    by = [*keys, "_metric"]
+    before = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
     bands = (
-        banded.groupBy(*keys, "_band")
+        banded.groupBy(*by, "_band")
         .agg(F.sum("_n").alias("_band_n"))
-        .select(*keys, "_band", F.coalesce(F.sum("_band_n").over(before), F.lit(0)).alias("_below"), F.sum("_band_n").over(whole).alias("_all"))
+        .select(*by, "_band", F.coalesce(F.sum("_band_n").over(before), F.lit(0)).alias("_below"), F.sum("_band_n").over(whole).alias("_all"))
     )
-    inside = Window.partitionBy(*keys, "_band").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*by, "_band").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     smaller = F.col("_below") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
     share = (smaller + (F.col("_n") + 1) / F.lit(2.0)) / F.col("_all")
-    return banded.join(bands, [*keys, "_band"]).select(*keys, "_v", share.alias("_share"))
+    return banded.join(bands, [*by, "_band"]).select(*by, "_v", share.alias("_share"))
 
 
 def percentile_rank(panel: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
-    """``{column}_percentile``: average rank of ties over the non-NULL count; NULL stays NULL."""
-    out = panel
-    for c in columns:
-        ranks = _value_ranks(panel, c, keys).withColumnsRenamed({"_v": c, "_share": f"{c}_percentile"})
-        out = out.join(ranks, [*keys, c], "left").select(*[col(n) for n in (*out.columns, f"{c}_percentile")])
-    return out
+    """``{column}_percentile``: average rank of ties over the non-NULL count; NULL stays NULL.
+
+    All columns travel as one long table (keys, date, metric, value) and come back as one row per date: the number of
+    shuffles does not depend on the number of columns. (keys, date) must be unique.
+    """
+    named = {f"m{i}": c for i, c in enumerate(columns)}
+    narrow = panel.select(*keys, ORDER, *[col(c).cast("double").alias(m) for m, c in named.items()])
+    long = narrow.unpivot([*keys, ORDER], list(named), "_metric", "_v").filter(F.col("_v").isNotNull())
+    ranked = long.join(_value_ranks(long, keys), [*keys, "_metric", "_v"])
+    shares = ranked.groupBy(*keys, ORDER).agg(*[F.max(F.when(F.col("_metric") == m, F.col("_share"))).alias(f"{c}_percentile") for m, c in named.items()])
+    return panel.join(shares, [*keys, ORDER], "left").select(*[col(c) for c in panel.columns], *[col(f"{c}_percentile") for c in columns])
 
 
 def zscore(panel: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
@@ -140,25 +164,28 @@ def analyse(panel: DataFrame, columns: Sequence[str], start=None, periods: Seque
 def correlation_snapshot(panel: DataFrame, column: str, benchmark: str, as_of_date, windows: Sequence[int] = (7, 30, 90, 365), keys: Sequence[str] = KEYS) -> DataFrame:
     """Correlation of returns with the benchmark over its last n rows up to the as-of date, one row per entity.
 
+    The last key is the entity's; keys before it tell reports apart, each with a benchmark of its own.
+
     Rows without a benchmark value are left out first. Only the last ``max(windows) + 1`` benchmark dates matter; that
     many rows are broadcast, and each entity contributes at most that many rows.
     """
-    entity = keys[0]
+    *group, entity = keys
     depth = max(windows) + 1
     # Without any row up to the as-of date the snapshot would sit on the first row, where no return exists: NULL.
-    recent = (
-        panel.filter((col(entity) == F.lit(benchmark)) & col(column).isNotNull() & (F.col(ORDER) <= F.lit(as_of_date).cast("date")))
-        .select(ORDER, col(column).alias("_bench"))
-        .orderBy(F.desc(ORDER))
-        .limit(depth)
-    )
-    newest_first = Window.orderBy(F.desc(ORDER))  # at most ``depth`` rows
+    leading = panel.filter((col(entity) == F.lit(benchmark)) & col(column).isNotNull() & (F.col(ORDER) <= F.lit(as_of_date).cast("date")))
+    newest_first = Window.partitionBy(*group).orderBy(F.desc(ORDER)) if group else Window.orderBy(F.desc(ORDER))
+    if group:
+        recent = leading.select(*group, ORDER, col(column).alias("_bench"), F.row_number().over(newest_first).alias("_k")).filter(F.col("_k") <= depth)
+    else:
+        recent = leading.select(ORDER, col(column).alias("_bench")).orderBy(F.desc(ORDER)).limit(depth)  # so the window below is that small
     dates = recent.select(
+        *group,
         ORDER,
         F.row_number().over(newest_first).alias("_back"),
         (ratio("_bench", F.lead("_bench").over(newest_first)) - 1.0).alias("_b"),
     )
-    rows = panel.select(*keys, ORDER, col(column).alias("_x")).join(F.broadcast(dates), ORDER)
+    near = dates if group else F.broadcast(dates)  # ``depth`` rows
+    rows = panel.select(*keys, ORDER, col(column).alias("_x")).join(near, [*group, ORDER])
     per_entity = Window.partitionBy(*keys).orderBy("_back")  # at most ``depth`` rows per entity
     previous = F.when(F.lead("_back").over(per_entity) == F.col("_back") + 1, F.lead("_x").over(per_entity))
     pairs = rows.select(*keys, "_back", "_b", (ratio("_x", previous) - 1.0).alias("_r"))

@@ -14,13 +14,14 @@ from __future__ import annotations
 from collections.abc import Callable, Collection, Mapping, Sequence
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expressions import col, finite
+from ..functions.expressions import col
 
 KEYS = ("entity",)
 ORDER = "date"
@@ -30,7 +31,6 @@ DAYS_PER_CHUNK = 366
 MICROS_PER_CHUNK = 86_400_000_000
 SMALLEST_RUN = 512
 RUN_PER_REACH = 4  # a run is at least this many times its halo, so at most a quarter of the rows is copied
-LONG_FRAME = 120  # frames above this many rows are evaluated in Arrow, O(1) per row, instead of re-summed per row
 
 
 def position_of(df: DataFrame, order: str) -> tuple[Column, int]:
@@ -131,27 +131,11 @@ class Roll(NamedTuple):
     other: str | None = None
 
 
-def _full(c: Column, rows: int, frame, value: Column) -> Column:
-    """NULL unless all ``rows`` rows of the frame are there and non-NULL."""
-    return F.when(F.count(c).over(frame) == rows, value)
-
-
-def _short_frame(spec: Roll, window) -> Column:
-    frame = window.rowsBetween(-(spec.rows - 1), 0)
-    x = finite(spec.column)
-    if spec.how == "corr":
-        y = finite(spec.other)
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
-        spread = F.stddev_samp(x).over(frame) * F.stddev_samp(y).over(frame)
-        return _full(x, spec.rows, frame, F.try_divide(F.covar_samp(x, y).over(frame), spread))
-    fold = {"mean": F.avg, "sum": F.sum, "std": F.stddev_samp, "min": F.min, "max": F.max}[spec.how]
-    return _full(x, spec.rows, frame, fold(x).over(frame))
-
-
-def _long_frames(specs: Sequence[Roll], row: str):
-    """Arrow job for one chunk: long frames and medians in ``row`` order.
+def _frames(specs: Sequence[Roll], row: str):
+    """Arrow job for one chunk: all rolling columns in ``row`` order, frames of any length by the same arithmetic.
 
+    Moments come from running sums of the values minus the chunk's mean, so a level far from zero costs no digits. A frame
+    of one repeated value has exactly that mean and no spread; a correlation with it is NULL.
     The closure holds plain tuples only, so it travels by value and workers need not have this package.
     """
     wanted = [tuple(s) for s in specs]
@@ -159,17 +143,53 @@ def _long_frames(specs: Sequence[Roll], row: str):
     def compute(table: pa.Table) -> pa.Table:
         table = table.sort_by(row)
 
-        def numbers(name: str) -> pd.Series:
-            return table.column(name).cast(pa.float64()).to_pandas()
+        def numbers(name):
+            x = table.column(name).cast(pa.float64()).to_pandas().to_numpy(dtype=float, copy=True)
+            x[~np.isfinite(x)] = np.nan
+            return x
+
+        def framed(x, rows):
+            """Sums of x over the last ``rows`` values; the first ``rows - 1`` are undefined."""
+            total = np.concatenate([[0.0], np.cumsum(x)])
+            out = np.full(len(x), np.nan)
+            if len(x) >= rows:
+                out[rows - 1 :] = total[rows:] - total[:-rows]
+            return out
+
+        def moments(x, rows):
+            """(values minus their mean, the mean, whether a frame is whole, whether it holds one value only)"""
+            seen = ~np.isnan(x)
+            center = x[seen].mean() if seen.any() else 0.0
+            shifted = np.where(seen, x - center, 0.0)
+            changed = np.ones(len(x))
+            changed[1:] = x[1:] != x[:-1]
+            return shifted, center, framed(seen * 1.0, rows) == rows, framed(changed, rows - 1) == 0 if rows > 1 else np.ones(len(x), bool)
+
+        def rolled(column, rows, how, other):
+            x = numbers(column)
+            if how in ("median", "min", "max"):
+                return getattr(pd.Series(x).rolling(rows, min_periods=rows), how)().to_numpy()
+            y = numbers(other) if how == "corr" else x
+            both = ~np.isnan(x) & ~np.isnan(y)
+            x, y = np.where(both, x, np.nan), np.where(both, y, np.nan)
+            u, center, whole, flat = moments(x, rows)
+            s = framed(u, rows)
+            if how in ("mean", "sum"):
+                mean = np.where(flat, x, center + s / rows)
+                return np.where(whole, mean if how == "mean" else mean * rows, np.nan)
+            v, _, _, flat_too = moments(y, rows)
+            t = framed(v, rows)
+            varied = whole & ~flat & ~flat_too & (rows > 1)
+            left = np.maximum(framed(u * u, rows) - s * s / rows, 0.0)
+            if how == "std":
+                return np.where(varied, np.sqrt(left / max(rows - 1, 1)), np.where(whole & (rows > 1), 0.0, np.nan))
+            right = np.maximum(framed(v * v, rows) - t * t / rows, 0.0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                return np.where(varied, (framed(u * v, rows) - s * t / rows) / np.sqrt(left * right), np.nan)
 
-        results = []
         for out, column, rows, how, other in wanted:
-            frame = numbers(column).rolling(rows, min_periods=rows)
-            values = frame.corr(numbers(other)) if how == "corr" else getattr(frame, how)()
-            finite_only = values.where(values.abs() < float("inf"))
-            results.append((out, pa.Array.from_pandas(finite_only, type=pa.float64())))
-        for out, values in results:
-            table = table.append_column(out, values)
+            values = rolled(column, rows, how, other)
+            table = table.append_column(out, pa.array(np.where(np.isfinite(values), values, np.nan), from_pandas=True, type=pa.float64()))
         return table
 
     return compute
@@ -211,21 +231,15 @@ class Chunked:
         return F.lag(col(c), rows).over(self.window)
 
     def roll(self, df: DataFrame, specs: Sequence[Roll]) -> DataFrame:
-        """Add rolling columns: short frames as window expressions, long frames and medians in Arrow."""
-        in_arrow = [s for s in specs if s.how == "median" or s.rows > LONG_FRAME]
-        in_windows = [s for s in specs if s not in in_arrow]
-        if in_windows:
-            df = df.select("*", *[_short_frame(s, self.window).alias(s.out) for s in in_windows])
-        if in_arrow:
-            # Grouped Arrow jobs resolve plain column names only, so the columns travel under numbers.
-            names = df.columns
-            plain = {name: f"c{i}" for i, name in enumerate(names)}
-            inner = [Roll(f"r{i}", plain[s.column], s.rows, s.how, plain.get(s.other)) for i, s in enumerate(in_arrow)]
-            numbered = df.toDF(*plain.values())
-            schema = T.StructType([*numbered.schema.fields, *[T.StructField(s.out, T.DoubleType()) for s in inner]])
-            grouped = numbered.groupBy(*[plain[k] for k in (*self.keys, "_chunk")])
-            df = grouped.applyInArrow(_long_frames(inner, plain["_row"]), schema).toDF(*names, *[s.out for s in in_arrow])
-        return df
+        """Add rolling columns, computed in Arrow for each run."""
+        # Grouped Arrow jobs resolve plain column names only, so the columns travel under numbers.
+        names = df.columns
+        plain = {name: f"c{i}" for i, name in enumerate(names)}
+        inner = [Roll(f"r{i}", plain[s.column], s.rows, s.how, plain.get(s.other)) for i, s in enumerate(specs)]
+        numbered = df.toDF(*plain.values())
+        schema = T.StructType([*numbered.schema.fields, *[T.StructField(s.out, T.DoubleType()) for s in inner]])
+        grouped = numbered.groupBy(*[plain[k] for k in (*self.keys, "_chunk")])
+        return grouped.applyInArrow(_frames(inner, plain["_row"]), schema).toDF(*names, *[s.out for s in specs])
 
     def owned(self, df: DataFrame) -> DataFrame:
         """Drop the copies and the helper columns."""

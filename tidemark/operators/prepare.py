@@ -19,18 +19,25 @@ BASE_MAX_AGE_DAYS = 1
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Column | str, keep: str = "last") -> DataFrame:
-    """One row per key, the first or last by ``order``; aggregates map-side, so a key with many copies stays cheap."""
+    """One row per key, the first or last by ``order``; equal orders are settled by the other columns, left to right.
+
+    Rows fold map-side, so a key with many copies stays cheap.
+    """
     rest = [c for c in df.columns if c not in keys]
     pick = F.max_by if keep == "last" else F.min_by
-    row = pick(F.struct(*[col(c) for c in rest]), col(order)).alias("_row")
-    return df.groupBy(*keys).agg(row).select(*[col(k) for k in keys], *[F.col(f"_row.`{c}`").alias(c) for c in rest])
+    row = F.struct(*[col(c) for c in rest])
+    picked = pick(row, F.struct(col(order).alias("_order"), *[col(c) for c in rest])).alias("_row")
+    return df.groupBy(*keys).agg(picked).select(*[col(k) for k in keys], *[F.col(f"_row.`{c}`").alias(c) for c in rest])
 
 
 def daily(df: DataFrame, ts: str, columns: Sequence[str], keep: str = "last", keys: Sequence[str] = KEYS, ties: Sequence[str] = ()) -> DataFrame:
-    """One row per entity and day: the first or last non-NULL value of each column."""
+    """One row per entity and day: the first or last non-NULL value of each column.
+
+    Rows of the same time are ordered by ``ties``, then by the value itself.
+    """
     pick = F.max_by if keep == "last" else F.min_by
-    order = F.struct(col(ts), *[col(t) for t in ties])
-    values = [pick(col(c), F.when(col(c).isNotNull(), order)).alias(c) for c in columns]
+    order = lambda c: F.struct(col(ts).alias("_ts"), *[col(t).alias(f"_tie_{t}") for t in ties], col(c).alias("_value"))
+    values = [pick(col(c), F.when(col(c).isNotNull(), order(c))).alias(c) for c in columns]
     return df.groupBy(*keys, F.to_date(col(ts)).alias(ORDER)).agg(*values)
 
 
@@ -68,15 +75,18 @@ def only_dates_of(df: DataFrame, days: DataFrame, keys: Sequence[str] = KEYS) ->
     return df.join(days.select(*keys, ORDER), [*keys, ORDER], "left_semi")
 
 
-def align(base: DataFrame, *others: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def align(base: DataFrame, *others: DataFrame, order: str | None = None, keys: Sequence[str] = KEYS) -> DataFrame:
     """LEFT join every source to the base dates; the first source that has a column name keeps it.
 
-    One row per key survives. Where a source repeats a key, ``dedupe`` it first with an order that says which row wins.
+    A frame that has the column ``order`` may repeat a key: its first row by that column counts, and the column goes.
+    A frame without it must have one row per key.
     """
-    first = lambda df: df.dropDuplicates([*keys, ORDER])
+    def first(df: DataFrame) -> DataFrame:
+        return dedupe(df, [*keys, ORDER], order, "first").drop(order) if order in df.columns else df
+
     out = first(base)
     for other in others:
-        fresh = [c for c in other.columns if c not in out.columns]
+        fresh = [c for c in other.columns if c not in out.columns or c == order]
         out = out.join(first(other.select(*keys, ORDER, *[col(c) for c in fresh])), [*keys, ORDER], "left")
     return out
 
@@ -148,23 +158,29 @@ def carry_observation(
     return filled.withColumns({c: F.when(young, col(c)) for c in (value, source_date, source_url)})
 
 
-def monthly_series(df: DataFrame, time: str, value: str, alternate: str, factor: float, url: str, keys: Sequence[str] = KEYS, order: str | None = None) -> DataFrame:
+def monthly_series(df: DataFrame, time: str, value: str, alternate: str, factor: float, url: str, order: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """Monthly observations to daily rows: alternate unit scaled, invalid rows dropped, last row of a time wins.
 
-    ``order`` names the column that decides which row of a time is the last one.
+    ``order`` names the column that decides which row of a time is the last one (the line of a landed file, say).
     """
+    _require(df, [time, order], "monthly observations")
+    if value not in df.columns:
+        _require(df, [alternate], f"monthly observations without '{value}'")
     given = number(value) if value in df.columns else number(alternate) / F.lit(factor)
     rows = df.select(
-        *keys,
-        F.to_date(F.try_to_timestamp(col(time).cast("string"))).alias(ORDER),
-        given.alias(value),
-        (col(order) if order else F.lit(0)).alias("_order"),
+        *keys, F.to_date(F.try_to_timestamp(col(time).cast("string"))).alias(ORDER), given.alias(value), col(order).alias("_order")
     ).filter(F.col(ORDER).isNotNull() & col(value).isNotNull())
     last = dedupe(rows, [*keys, ORDER], "_order").drop("_order")
     marked = last.withColumns({f"{value}_source_date": F.col(ORDER), f"{value}_source_url": F.lit(url)})
     return ffill(calendar(marked, keys=keys), [value, f"{value}_source_date", f"{value}_source_url"], None, keys)
 
 
+def _require(df: DataFrame, columns: Sequence[str], what: str) -> None:
+    absent = [c for c in columns if c not in df.columns]
+    if absent:
+        raise ValueError(f"{what}: no column {', '.join(repr(c) for c in absent)} among {df.columns}")
+
+
 def spread_latest(snapshot: DataFrame, base: DataFrame, value: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """Put the latest scalar on the last base date and the day before, with its own observation date."""
     newest = snapshot.groupBy(*keys).agg(F.max_by(F.struct(col(value), F.col(ORDER).alias("seen")), F.col(ORDER)).alias("s"))
@@ -178,12 +194,26 @@ def spread_latest(snapshot: DataFrame, base: DataFrame, value: str, keys: Sequen
 # --- as-of lookups --------------------------------------------------------------------------------------------------
 
 
-def as_of(panel: DataFrame, date, keys: Sequence[str] = KEYS) -> DataFrame:
-    """The newest row on or before ``date`` per entity (a row, not a non-NULL value)."""
+def present(result: DataFrame, source: DataFrame, complaint: str) -> DataFrame:
+    """``result``; running it fails with ``complaint`` if ``source``, from which it was made, has no row.
+
+    Nothing runs before that. The check is a branch beside the result, so it holds when the result itself is found to be empty.
+    """
+    some = source.select(F.lit(1).alias("one")).limit(1).agg(F.count("one").alias("n"))
+    guard = some.filter(F.when(F.col("n") == 0, F.raise_error(F.lit(complaint)).cast("boolean")).otherwise(F.lit(False)))
+    return result.unionByName(guard.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in result.schema]))
+
+
+def as_of(panel: DataFrame, date, keys: Sequence[str] = KEYS, required: bool = False) -> DataFrame:
+    """The newest row on or before ``date`` per entity (a row, not a non-NULL value).
+
+    ``required``: a panel without any such row is an error when the plan runs.
+    """
     rest = [c for c in panel.columns if c not in keys]
     newest = F.max_by(F.struct(*[col(c) for c in rest]), F.col(ORDER)).alias("_row")
-    rows = panel.filter(F.col(ORDER) <= F.lit(date).cast("date")).groupBy(*keys).agg(newest)
-    return rows.select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
+    rows = panel.filter(F.col(ORDER) <= F.lit(date).cast("date"))
+    out = rows.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
+    return present(out, rows, f"no row on or before {date}") if required else out
 
 
 def asof_join(
@@ -213,8 +243,13 @@ def asof_join(
     )
 
 
-def asof_join_rows(left: DataFrame, right: DataFrame, column: str, limit: int, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Backward as-of where a value reaches at most ``limit`` rows of the merged dates of both sides."""
+def asof_join_rows(left: DataFrame, right: DataFrame, column: str, limit: int, keys: Sequence[str] = KEYS, order: str | None = None) -> DataFrame:
+    """Backward as-of where a value reaches at most ``limit`` rows of the merged dates of both sides.
+
+    Where the right side repeats a date, ``order`` names the column whose last row counts.
+    """
+    if order is not None:
+        right = dedupe(right.select(*keys, ORDER, column, order), [*keys, ORDER], order)
     dates = left.select(*keys, ORDER, F.lit(True).alias("_own"), F.lit(None).cast(right.schema[column].dataType).alias(column))
     merged = (
         dates.unionByName(right.select(*keys, ORDER, F.lit(None).cast("boolean").alias("_own"), col(column)))
@@ -337,6 +372,9 @@ def assert_fresh(panel: DataFrame, as_of_date, required: Sequence[str], max_age_
     """Raise when any base series is unusable on the as-of date; a panel without rows is unusable too."""
     if panel.limit(1).count() == 0:
         raise ValueError(f"no data on or before {as_of_date}")
-    problems = freshness(panel, as_of_date, required, max_age_days, keys).limit(20).collect()
+    found = freshness(panel, as_of_date, required, max_age_days, keys)
+    # One line per metric and kind of problem, whatever the number of entities.
+    entity = F.concat_ws("/", *[col(k).cast("string") for k in keys])
+    problems = found.groupBy("metric", "problem").agg(F.count(F.lit(1)).alias("entities"), F.min(entity).alias("first")).orderBy("metric", "problem").collect()
     if problems:
         raise ValueError(f"base data unusable on {as_of_date}: {[r.asDict() for r in problems]}")

@@ -1,8 +1,10 @@
 """Historical market values from closes and as-reported share counts.
 
 Share counts arrive per symbol with duplicates, renames and split jumps that lead or lag the split date. They are put
-on the split basis of the (already split-adjusted) closes and carried to the price dates. The steps read their input
-more than once, so the (small) share tables between them are settled.
+on the split basis of the (already split-adjusted) closes and carried to the price dates.
+
+Every table here has one row per entity and day after its first aggregate, which folds map-side. A window over an entity
+is therefore no longer than the days of the history, however many raw rows the entity has.
 """
 
 from __future__ import annotations
@@ -10,13 +12,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import col, finite, number, positive, ratio
 from ..session import settle
-from .chunks import ORDER, Chunked, running
-from .prepare import MARKET_MAX_AGE_DAYS, asof_join, asof_join_rows
+from .chunks import ORDER
+from .prepare import MARKET_MAX_AGE_DAYS
 
 # Fixed values of the share clean-up.
 SPIKE_RATIO = 1.20
@@ -25,7 +27,10 @@ SEARCH_DAYS = 60
 SPLIT_TOLERANCE = 0.35
 HISTORY_START = "2015-01-01"
 
-ENTITY = ["entity"]
+
+
+def _by_day():
+    return Window.partitionBy("entity").orderBy(ORDER)
 
 
 def current_symbol(symbol: Column, aliases: Mapping[str, Sequence[str]]) -> tuple[Column, Column]:
@@ -69,7 +74,8 @@ def select_observations(shares: DataFrame, splits: DataFrame) -> DataFrame:
             F.collect_list(on_split).alias("candidates"),
         )
     )
-    runs = running(days, {"run": ("count", F.when(F.col("ratio").isNull(), F.lit(1)))}, ENTITY)
+    plain = F.count(F.when(F.col("ratio").isNull(), F.lit(1)))
+    runs = days.withColumn("run", plain.over(_by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
     def pick(taken: Column, day: Column) -> Column:
         target = F.element_at(taken, -1)["shares"] * day["ratio"]
@@ -90,16 +96,11 @@ def select_observations(shares: DataFrame, splits: DataFrame) -> DataFrame:
 
 def drop_spikes(shares: DataFrame) -> DataFrame:
     """Drop a single observation that differs from both neighbours while the neighbours agree."""
-    chunks = Chunked(shares, 1, ahead=1, keys=ENTITY)
     here = F.ln("shares")
-    before, after = F.lag(here).over(chunks.window), F.lead(here).over(chunks.window)
-    lone = (
-        (F.abs(here - before) > math.log(SPIKE_RATIO))
-        & (F.abs(here - after) > math.log(SPIKE_RATIO))
-        & (F.abs(after - before) < math.log(NEIGHBOUR_RATIO))
-    )
-    kept = chunks.owned(chunks.frame.withColumn("_lone", F.coalesce(lone, F.lit(False))))
-    return kept.filter(~F.col("_lone")).drop("_lone")
+    near = shares.select("*", here.alias("_here"), F.lag(here).over(_by_day()).alias("_before"), F.lead(here).over(_by_day()).alias("_after"))
+    apart = lambda a, b, limit: F.abs(F.col(a) - F.col(b)) > math.log(limit)
+    lone = apart("_here", "_before", SPIKE_RATIO) & apart("_here", "_after", SPIKE_RATIO) & (F.abs(F.col("_after") - F.col("_before")) < math.log(NEIGHBOUR_RATIO))
+    return near.filter(~F.coalesce(lone, F.lit(False))).drop("_here", "_before", "_after")
 
 
 def split_transitions(shares: DataFrame, splits: DataFrame, search_days: int = SEARCH_DAYS) -> DataFrame:
@@ -109,35 +110,35 @@ def split_transitions(shares: DataFrame, splits: DataFrame, search_days: int = S
     """
     band = search_days + 1
     number_of = lambda d: F.floor(F.unix_date(d) / F.lit(band))
-    chunks = Chunked(shares, 1, keys=ENTITY)
-    steps = chunks.owned(chunks.frame.withColumn("step", ratio("shares", chunks.lag("shares"))))
-    steps = steps.filter("step IS NOT NULL").select("entity", F.col(ORDER).alias("seen"), "step", number_of(F.col(ORDER)).alias("band"))
+    steps = shares.select("entity", F.col(ORDER).alias("seen"), ratio("shares", F.lag("shares").over(_by_day())).alias("step"), number_of(F.col(ORDER)).alias("band"))
     reach = F.sequence(number_of(F.date_sub(ORDER, search_days)), number_of(F.date_add(ORDER, search_days)))
-    events = split_events(splits)
-    wide = events.select("entity", ORDER, "ratio", F.explode(reach).alias("band"))
-    near = wide.join(steps, ["entity", "band"]).filter(F.abs(F.datediff("seen", ORDER)) <= search_days)
+    wide = split_events(splits).select("entity", ORDER, "ratio", F.explode(reach).alias("band"))
+    near = wide.join(steps.filter("step IS NOT NULL"), ["entity", "band"], "left")
+    inside = F.abs(F.datediff("seen", ORDER)) <= search_days
     distance = F.abs(F.ln(F.col("step") / F.col("ratio")))
-    best = near.groupBy("entity", ORDER).agg(F.min(F.struct(distance.alias("distance"), "seen", "step")).alias("best"))
+    best = near.groupBy("entity", ORDER, "ratio").agg(F.min(F.when(inside, F.struct(distance.alias("distance"), "seen", "step"))).alias("best"))
     fits = F.abs(F.col("best.step") / F.col("ratio") - 1.0) <= SPLIT_TOLERANCE
-    joined = events.join(best, ["entity", ORDER], "left")
-    return joined.select("entity", ORDER, "ratio", F.when(fits, F.col("best.seen")).otherwise(F.col(ORDER)).alias("transition"))
+    return best.select("entity", ORDER, "ratio", F.when(fits, F.col("best.seen")).otherwise(F.col(ORDER)).alias("transition"))
 
 
 def split_adjust(shares: DataFrame, splits: DataFrame, search_days: int = SEARCH_DAYS) -> DataFrame:
     """Multiply every observation by the ratios of all splits that show up after it."""
-    moves = settle(split_transitions(shares, splits, search_days))
-    per_date = moves.groupBy("entity", F.col("transition").alias(ORDER)).agg(F.product("ratio").alias("ratio"))
-    backwards = per_date.withColumn("_back", -F.unix_date(ORDER))
-    factors = running(backwards, {"factor": ("product", "ratio")}, ENTITY, "_back").select("entity", ORDER, "factor")
-    found = asof_join(shares, factors, ["factor"], ENTITY, forward=True, strict=True)
-    return found.select("entity", ORDER, (F.col("shares") * F.coalesce("factor", F.lit(1.0))).alias("shares"))
+    moves = split_transitions(shares, splits, search_days)
+    events = moves.groupBy("entity", F.col("transition").alias(ORDER)).agg(F.product("ratio").alias("ratio"))
+    nothing = lambda: F.lit(None).cast("double")
+    both = shares.select("entity", ORDER, "shares", nothing().alias("ratio")).unionByName(events.select("entity", ORDER, nothing().alias("shares"), "ratio"))
+    # Newest first; on one date the observation comes before the split, which counts for earlier dates only.
+    later = Window.partitionBy("entity").orderBy(F.desc(ORDER), F.col("ratio").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    factor = F.coalesce(F.product("ratio").over(later), F.lit(1.0))
+    return both.withColumn("factor", factor).filter("ratio IS NULL").select("entity", ORDER, (F.col("shares") * F.col("factor")).alias("shares"))
 
 
 def clean_shares(shares: DataFrame, splits: DataFrame, aliases: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Raw (symbol, date, shares, seq) rows to split-adjusted (entity, date, shares)."""
     name, place = current_symbol(F.col("symbol"), aliases or {})
     named = shares.select(name.alias("entity"), ORDER, "shares", place.alias("alias_position"), "seq")
-    return split_adjust(settle(drop_spikes(settle(select_observations(named, splits)))), splits)
+    # Two readers: the adjustment itself and the search for the splits' dates.
+    return split_adjust(settle(drop_spikes(select_observations(named, splits))), splits)
 
 
 def current_value(first: Column | str, second: Column | str) -> Column:
@@ -152,6 +153,26 @@ def _last_close(prices: DataFrame, key: str, out: str) -> DataFrame:
     return clean.groupBy(key, ORDER).agg(F.max_by(out, "_place").alias(out))
 
 
+def _valued(close: DataFrame, counts: DataFrame) -> DataFrame:
+    """Closes times the newest share count on or before their date."""
+    nothing = lambda: F.lit(None).cast("double")
+    both = close.select("entity", ORDER, "close", nothing().alias("shares")).unionByName(counts.select("entity", ORDER, nothing().alias("close"), "shares"))
+    days = both.groupBy("entity", ORDER).agg(F.max("close").alias("close"), F.max("shares").alias("shares"))
+    newest = F.last("shares", ignorenulls=True).over(_by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return days.select("entity", ORDER, "close", newest.alias("shares")).filter("close IS NOT NULL").select("entity", ORDER, finite(F.col("close") * F.col("shares")).alias("market_cap"))
+
+
+def _converted(valued: DataFrame, rates: DataFrame, needs_fx: Column) -> DataFrame:
+    """Values times the newest rate of the last rows of the merged dates of values and rates."""
+    nothing = lambda: F.lit(None).cast("double")
+    own = valued.select("entity", ORDER, "market_cap", nothing().alias("rate"), F.lit(True).alias("own"))
+    other = rates.select("entity", ORDER, nothing().alias("market_cap"), "rate", F.lit(False).alias("own"))
+    days = own.unionByName(other).groupBy("entity", ORDER).agg(F.max("market_cap").alias("market_cap"), F.max("rate").alias("rate"), F.max("own").alias("own"))
+    newest = F.last("rate", ignorenulls=True).over(_by_day().rowsBetween(-MARKET_MAX_AGE_DAYS, Window.currentRow))
+    seen = days.select("entity", ORDER, "market_cap", newest.alias("rate"), "own").filter("own")
+    return seen.select("entity", ORDER, F.when(needs_fx, F.col("market_cap") * F.col("rate")).otherwise(F.col("market_cap")).alias("market_cap"))
+
+
 def market_cap(
     listings: DataFrame,
     prices: DataFrame,
@@ -175,8 +196,7 @@ def market_cap(
     last = F.lit(end).cast("date")
     inside = F.col(ORDER).between(first, last)
     close = _last_close(prices.filter(inside), "entity", "close")
-    counts = settle(clean_shares(shares.filter(inside), splits.filter(inside), aliases))
-    valued = asof_join(close, counts, ["shares"], ENTITY).withColumn("market_cap", finite(F.col("close") * F.col("shares")))
+    valued = _valued(close, clean_shares(shares.filter(inside), splits.filter(inside), aliases))
 
     pairs = fx_pairs or {}
     needs_fx = F.col("entity").isin(list(pairs)) if pairs else F.lit(False)
@@ -189,8 +209,7 @@ def market_cap(
             .groupBy(F.col("m.entity").alias("entity"), ORDER)
             .agg(F.max("rate").alias("rate"))
         )
-        priced = asof_join_rows(valued, rates, "rate", MARKET_MAX_AGE_DAYS, ENTITY)
-        valued = priced.withColumn("market_cap", F.when(needs_fx, F.col("market_cap") * F.col("rate")).otherwise(F.col("market_cap")))
+        valued = _converted(valued, rates, needs_fx)
     history = settle(valued.filter("market_cap IS NOT NULL").select("entity", ORDER, "market_cap"))
 
     scalar = current_value("cap_first", "cap_second")

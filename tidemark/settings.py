@@ -52,6 +52,25 @@ ANALYSIS_COLUMNS = (
     "VtyDayRet30d",
     "VtyDayRet180d",
 )
+# Assets whose closes are analysed beside the network's own columns, in the published order.
+ANALYSIS_SYMBOLS = ("SPY", "QQQ", "VTI", "VXUS", "XLK", "XLF", "XLE", "XLRE", "DX-Y.NYB", "GLD", "AGG", "^SPGSCI", "MSTR", "XYZ", "COIN", "WGMI")
+# Symbols of the landed closes, by kind. Stocks also have a value column.
+SYMBOLS = {
+    "stocks": (
+        "AAPL", "MSFT", "GOOGL", "AMZN", "NVDA", "AVGO", "TSLA", "LLY", "MU", "META", "BRK-A", "BRK-B", "TSM", "SPCX", "2222.SR",
+        "005930.KS", "V", "JPM", "PYPL", "GS", "COIN", "XYZ", "MSTR", "MARA", "RIOT",
+    ),
+    "etfs": (
+        "BITQ", "CLOU", "ARKK", "XLK", "QQQ", "IUIT.L", "VTI", "TLT", "LQD", "JNK", "GLD", "XLF", "XLRE", "SHY", "XLE", "FANG.AX", "SPY",
+        "IEMG", "AGG", "WGMI", "VXUS",
+    ),
+    "indices": ("^GSPC", "^VIX", "^IXIC", "^TNX", "^TYX", "^FVX", "^IRX", "^SPGSCI"),
+    "commodities": ("GC=F", "CL=F", "SI=F"),
+    "forex": (
+        "DX-Y.NYB", "AUDUSD=X", "CHFUSD=X", "CNYUSD=X", "EURUSD=X", "GBPUSD=X", "HKDUSD=X", "INRUSD=X", "JPYUSD=X", "RUBUSD=X",
+    ),
+    "crypto": ("ethereum", "ripple", "dogecoin", "binancecoin", "tether"),
+}
 GROWTH_COLUMNS = ("price_close", "realized_price", "thermocap_price", "200_day_ma_price_close", "Lagged_Energy_Value")
 GROWTH_SYMBOLS = ("SPY", "QQQ", "XLK", "XLF", "GLD", "AGG", "DX-Y.NYB", "WGMI")
 REQUIRED_BASE_COLUMNS = (
@@ -148,6 +167,21 @@ FUNDAMENTALS = {
 }
 
 
+def close_columns() -> dict[str, str]:
+    """Symbol -> its close column in the wide table."""
+    return {s: f"{s}_close" for members in SYMBOLS.values() for s in members}
+
+
+def cap_columns() -> dict[str, str]:
+    """Company -> its value column in the wide table."""
+    return {s: f"{s}_MarketCap" for s in SYMBOLS["stocks"]}
+
+
+def analysis_columns() -> tuple[str, ...]:
+    """All columns whose changes are published: the network's own, then the closes of the analysed assets."""
+    return (*ANALYSIS_COLUMNS, *[f"{s}_close" for s in ANALYSIS_SYMBOLS])
+
+
 def performance_assets(benchmark: str) -> list[tuple[str, str, str]]:
     """(category, label, entity) rows; the benchmark opens every category."""
     return [

@@ -24,6 +24,25 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def read_csv(spark: SparkSession, path: str, line: str = "line") -> DataFrame:
+    """A landed CSV file: cells stay text, header names lose the blanks around them, and ``line`` numbers the rows as they stand."""
+    rows = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    names = [c.strip() for c in rows.columns]
+    repeated = sorted({n for n in names if names.count(n) > 1})
+    if repeated:
+        raise ValueError(f"{path}: the header repeats {repeated}")
+    return rows.toDF(*names).withColumn(line, F.monotonically_increasing_id())
+
+
+def read_chunks(spark: SparkSession, paths: Sequence[str], names: Sequence[str], start=None, on: str = "timestamp") -> DataFrame:
+    """The base series from landed chunk files, in the order given; a later file overwrites the cells it carries."""
+    chunks = [read_csv(spark, p).drop("line") for p in paths]
+    for path, df in zip(paths, chunks):
+        if on not in df.columns:
+            raise ValueError(f"{path}: no column '{on}' among {df.columns}")
+    return base_series(chunks, names, start, on)
+
+
 def parse_json(df: DataFrame, column: str, schema: str) -> DataFrame:
     """The same documents when they arrive as a text column."""
     return df.withColumn("_doc", F.from_json(col(column), schema)).select(*[col(c) for c in df.columns], "_doc.*")
@@ -109,8 +128,8 @@ def candles(documents: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Parallel ``dates[]`` and ``rows[][4]`` to candles; empty or unequal arrays are an error."""
     sizes = F.size("dates"), F.size("rows")
     checked = (
-        F.when(F.coalesce(sizes[0], F.lit(0)) <= 0, F.raise_error(F.lit("no candles in the document")))
-        .when(sizes[0] != sizes[1], F.raise_error(F.lit("dates and rows differ in length")))
+        F.when(F.coalesce(sizes[0], F.lit(0)) <= 0, F.raise_error(F.lit("the document holds no candle")))
+        .when(sizes[0] != sizes[1], F.raise_error(F.lit("as many dates as rows are needed")))
         .otherwise(F.arrays_zip("dates", "rows"))
     )
     rows = documents.select(*keys, F.inline(checked))
@@ -123,10 +142,10 @@ def check_candles(df: DataFrame, label: str = "candles") -> DataFrame:
     """The frame itself if it has at least one complete numeric candle, else an error."""
     missing = [c for c in OHLC if c not in df.columns]
     if missing:
-        raise ValueError(f"{label}: missing columns {missing}; refusing to overwrite outputs")
+        raise ValueError(f"{label} lack the columns {missing}; nothing is replaced")
     usable = df.select(*[finite(number(c)).alias(c) for c in OHLC]).dropna()
     if usable.limit(1).count() == 0:
-        raise ValueError(f"{label}: no complete numeric candles; refusing to overwrite outputs")
+        raise ValueError(f"{label} hold no whole numeric row; nothing is replaced")
     return df
 
 
