@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import anniversary, col, common_day_of_year, pct_change, positive, ratio
 from ..operators.chunks import KEYS, ORDER
 from ..operators.prepare import as_of as as_of_row
+from ..operators.prepare import present
 from ..session import settle
 
 # Horizons of the return table, first years, month names.
@@ -93,10 +94,14 @@ def history_aggregates(history: DataFrame, current_year: int, hidden_years: Sequ
 
 
 def indexed_history_wide(panel: DataFrame, as_of, period: str, price: str = "price_close", min_year: int = COMPARISON_FIRST_YEAR, keys: Sequence[str] = KEYS) -> DataFrame:
-    """One column per year from ``min_year`` to the as-of year, plus Median and Average of the earlier years."""
+    """One column per year that has a path, plus Median and Average of the earlier years.
+
+    Which years these are is read off the data first (one number per year comes back).
+    """
     cut = as_date(as_of)
-    history = indexed_history(panel, cut, period, price, min_year, keys)
-    years = [F.max(F.when(F.col("year") == y, F.col("value"))).alias(str(y)) for y in range(min_year, cut.year + 1)]
+    history = settle(indexed_history(panel, cut, period, price, min_year, keys))
+    shown = sorted(r["year"] for r in history.select("year").distinct().collect())
+    years = [F.max(F.when(F.col("year") == y, F.col("value"))).alias(str(y)) for y in shown]
     earlier = F.when(F.col("year") < cut.year, F.col("value"))
     name = "day" if period == "month" else "day_of_year"
     wide = history.groupBy(*keys, F.col("position").alias(name)).agg(
@@ -152,7 +157,8 @@ def roi(panel: DataFrame, as_of, price: str = "price_close", horizons=HORIZONS,
         ]
     )
     listed = found.select(*keys, "now", F.inline(entries))
-    return listed.select(*keys, "place", "Time Frame", pct_change("now", "BTC Price").alias("ROI (%)"), "Start Date", "BTC Price")
+    out = listed.select(*keys, "place", "Time Frame", pct_change("now", "BTC Price").alias("ROI (%)"), "Start Date", "BTC Price")
+    return present(out, rows, f"no row on or before {cut}")
 
 
 def period_cells(panel: DataFrame, as_of, price: str = "price_close", first_year: int = HEATMAP_FIRST_YEAR, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators.chunks import KEYS, ORDER, ROW, number_rows
 from ..operators.energy import TARIFFS, cents
 from ..operators.metrics import UNITS_PER_COIN
 from ..operators.prepare import as_of as as_of_row
-from ..operators.prepare import daily
+from ..operators.prepare import daily, present
 
 # Published column names.
 NETWORK_COLUMNS = {
@@ -94,6 +94,9 @@ OHLC = ("Open", "High", "Low", "Close")
 YEAR_OBSERVATIONS = 365
 
 
+MOST_BUCKETS = 1_000_000
+
+
 def _need(df: DataFrame, columns, what: str) -> None:
     missing = sorted(set(columns).difference(df.columns))
     if missing:
@@ -137,7 +140,8 @@ def year_end_table(panel: DataFrame, growth: DataFrame, as_of=None, keys: Sequen
 def price_buckets(panel: DataFrame, size: float, as_of=None, price: str = "price_close", ts: str | None = None, keys: Sequence[str] = KEYS) -> DataFrame:
     """Days per price range from zero to the highest price, empty ranges kept, current range marked.
 
-    The FIRST positive value of a day counts when ``ts`` gives intraday order.
+    The FIRST positive value of a day counts when ``ts`` gives intraday order. A price that would need more than
+    ``MOST_BUCKETS`` ranges is an error: the published contract ends far below.
     """
     if size <= 0:
         raise ValueError("bucket size must be greater than zero")
@@ -150,9 +154,11 @@ def price_buckets(panel: DataFrame, size: float, as_of=None, price: str = "price
         F.count(F.lit(1)).alias("Count"), F.max(F.struct(ORDER, "_p")).alias("newest")
     )
     ends = counts.groupBy(*keys).agg(F.max("bucket").alias("top"), F.max("newest").alias("newest"))
+    too_many = F.raise_error(F.concat(F.lit(f"a price needs more than {MOST_BUCKETS} ranges of {size}: "), F.col("top").cast("string"))).cast("bigint")
+    ends = ends.withColumn("top", F.when(F.col("top") >= MOST_BUCKETS, too_many).otherwise(F.col("top")))
     ranges = ends.select(*keys, F.col("newest._p").alias("Current Price"), F.explode(F.sequence(F.lit(0).cast("bigint"), "top")).alias("bucket"))
     low, high = F.col("bucket") * F.lit(float(size)), (F.col("bucket") + 1) * F.lit(float(size))
-    return ranges.join(counts.drop("newest"), [*keys, "bucket"], "left").select(
+    out = ranges.join(counts.drop("newest"), [*keys, "bucket"], "left").select(
         *keys,
         thousands_range(low, high).alias("Price Range ($)"),
         F.coalesce("Count", F.lit(0)).cast("bigint").alias("Count"),
@@ -161,6 +167,7 @@ def price_buckets(panel: DataFrame, size: float, as_of=None, price: str = "price
         low.alias("low"),
         high.alias("high"),
     )
+    return present(out, rows, f"no positive '{price}' on or before {as_of}")
 
 
 def summary_history(panel: DataFrame, as_of, metrics: Mapping[str, str] = SUMMARY_METRICS, comparison_days: int = 30, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -235,7 +242,7 @@ def fundamentals(panel: DataFrame, template: Mapping[str, Mapping[str, tuple[str
 
 def summary_table(panel: DataFrame, as_of, keys: Sequence[str] = KEYS) -> DataFrame:
     """Ten headline values of the as-of row: text in ``Value`` and, where it is a number, a DOUBLE in ``Number``."""
-    row = as_of_row(panel, as_of, keys)
+    row = as_of_row(panel, as_of, keys, required=True)
     c = lambda name: finite(name) if name in panel.columns else F.lit(None).cast("double")
     given = col("fear_greed_classification") if "fear_greed_classification" in panel.columns else F.lit(None).cast("string")
     mood = F.when(F.coalesce(given, F.lit("")) != "", given).otherwise(sentiment_class(c("fear_greed_value")))
@@ -268,49 +275,61 @@ def summary_table(panel: DataFrame, as_of, keys: Sequence[str] = KEYS) -> DataFr
 def performance(panel: DataFrame, assets: Sequence[tuple[str, str, str]], as_of, correlations: DataFrame, price: str = "price_close", benchmark: str | None = None, keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per (category, label, entity) asset: as-of price and changes, 52-week range, 90-row correlation.
 
-    ``panel`` carries ``{price}_7_change`` and the other change columns; ``correlations`` is (entity, corr_90).
+    All assets are read on one date, the benchmark's newest one (the newest of all where none is named), and a configured
+    asset without a row on that date is published with NULLs. The last key is the asset's; the keys before it tell reports
+    apart. ``panel`` carries ``{price}_7_change`` and the other change columns; ``correlations`` is (keys, corr_90).
     """
+    *group, entity = keys
     changes = [f"{price}_{p}_change" for p in ("7", "MTD", "YTD", "90")]
-    wanted = F.col(keys[0]).isin(sorted({e for _, _, e in assets}))
-    rows = _until(panel, as_of).filter(wanted).select(*keys, ORDER, col(price).alias("price"), *[col(c) for c in changes])
-    newest = as_of_row(rows, as_of, keys).withColumnRenamed(ORDER, "newest")
-    window = rows.select(*keys, ORDER, "price").join(newest.select(*keys, "newest"), list(keys))
-    spread = (
-        window.filter(F.col(ORDER) >= F.date_sub("newest", 365))
-        .groupBy(*keys)
-        .agg(F.max("price").alias("high"), F.min("price").alias("low"))
-    )
+    wanted = F.col(entity).isin(sorted({e for _, _, e in assets}))
+    rows = _until(panel, as_of).select(*keys, ORDER, col(price).alias("price"), *[col(c) for c in changes])
+    lead = rows if benchmark is None else rows.filter(F.col(entity) == F.lit(benchmark))
+    day = lead.groupBy(*group).agg(F.max(ORDER).alias("_day"))
     dimension = F.array(
         *[
-            F.struct(F.lit(i).alias("place"), F.lit(category).alias("Category"), F.lit(label).alias("Asset"), F.lit(entity).alias("entity"))
-            for i, (category, label, entity) in enumerate(assets)
+            F.struct(F.lit(i).alias("place"), F.lit(category).alias("Category"), F.lit(label).alias("Asset"), F.lit(e).alias(entity))
+            for i, (category, label, e) in enumerate(assets)
         ]
     )
-    joined = newest.join(spread, list(keys), "left").join(correlations.select(*keys, "corr_90"), list(keys), "left")
-    listed = joined.withColumn("_a", F.explode(F.filter(dimension, lambda a: a["entity"] == F.col(keys[0]))))
-    own = F.when(F.col(keys[0]) == F.lit(benchmark), F.lit(1.0)) if benchmark is not None else F.lit(None)
-    return listed.select(
-        F.col("_a.place").alias("place"),
-        F.col("_a.Category").alias("Category"),
-        F.col("_a.Asset").alias("Asset"),
-        F.col("price").alias("Price"),
-        col(changes[0]).alias("7 Day Return (%)"),
-        col(changes[1]).alias("MTD Return (%)"),
-        col(changes[2]).alias("YTD Return (%)"),
-        col(changes[3]).alias("90 Day Return (%)"),
+    listed = day.select(*group, "_day", F.inline(dimension))
+    seen = rows.filter(wanted)
+    if group:
+        dated = seen.join(day, list(group))
+        near, year = F.col(ORDER) == F.col("_day"), F.col(ORDER).between(F.date_sub("_day", 365), F.col("_day"))
+    else:
+        newest = day.select("_day").scalar()
+        dated = seen.filter(F.col(ORDER).between(F.date_sub(newest, 365), newest))
+        near, year = F.col(ORDER) == newest, F.lit(True)
+    facts = dated.filter(year).groupBy(*keys).agg(
+        F.max(F.when(near, F.struct("price", *[col(c) for c in changes]))).alias("_now"), F.max("price").alias("high"), F.min("price").alias("low")
+    )
+    joined = listed.join(facts, list(keys), "left").join(correlations.select(*keys, "corr_90"), list(keys), "left")
+    own = F.when(F.col(entity) == F.lit(benchmark), F.lit(1.0)) if benchmark is not None else F.lit(None).cast("double")
+    now = lambda c: F.col(f"_now.`{c}`")
+    out = joined.select(
+        *group,
+        "place",
+        "Category",
+        "Asset",
+        now("price").alias("Price"),
+        now(changes[0]).alias("7 Day Return (%)"),
+        now(changes[1]).alias("MTD Return (%)"),
+        now(changes[2]).alias("YTD Return (%)"),
+        now(changes[3]).alias("90 Day Return (%)"),
         F.col("high").alias("52 Week High"),
         F.col("low").alias("52 Week Low"),
         F.coalesce(own, F.col("corr_90")).alias("90 Day BTC Correlation"),
     )
+    return present(out, lead, f"no row of {benchmark or 'any asset'} on or before {as_of}")
 
 
-def combined_performance(rows: DataFrame) -> DataFrame:
+def combined_performance(rows: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """One row per asset: the last category's values, at the position of the first."""
-    rest = [c for c in rows.columns if c not in ("place", "Asset")]
-    merged = rows.groupBy("Asset").agg(
+    rest = [c for c in rows.columns if c not in ("place", "Asset", *group)]
+    merged = rows.groupBy(*group, "Asset").agg(
         F.min("place").alias("place"), F.max_by(F.struct(*[col(c) for c in rest]), "place").alias("_row")
     )
-    return merged.select("place", "Asset", *[F.col(f"_row.`{c}`").alias(c) for c in rest]).orderBy("place")
+    return merged.select(*group, "place", "Asset", *[F.col(f"_row.`{c}`").alias(c) for c in rest]).orderBy(*group, "place")
 
 
 def clean_candles(candles: DataFrame, order: str = "Time", keys: Sequence[str] = KEYS) -> DataFrame:
@@ -333,7 +352,7 @@ def candle_summary(daily_candles: DataFrame, as_of, order: str = "Time", keys: S
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(order, *OHLC), order).alias("d"))
     start = F.date_sub(F.col(f"d.{order}"), F.weekday(F.col(f"d.{order}")))
     week = rows.join(newest.withColumn("week_start", start), list(keys)).filter(F.col(order) >= F.col("week_start"))
-    return week.groupBy(*keys, "week_start", "d").agg(
+    out = week.groupBy(*keys, "week_start", "d").agg(
         F.min_by("Open", order).alias("wo"), F.max("High").alias("wh"), F.min("Low").alias("wl"), F.count(F.lit(1)).alias("days")
     ).select(
         *keys,
@@ -346,11 +365,12 @@ def candle_summary(daily_candles: DataFrame, as_of, order: str = "Time", keys: S
         F.col("d.Close").alias("Week-to-Date Close"),
         F.col("days").alias("Week-to-Date Days"),
     )
+    return present(out, rows, f"no complete candle on or before {as_of}")
 
 
 def asset_valuation(panel: DataFrame, assets: Sequence[tuple[str, str, str]], as_of, price: str = "price_close", keys: Sequence[str] = KEYS) -> DataFrame:
     """Cap, implied price and move of each (name, implied-price column, cap column) asset on the as-of row."""
-    row = as_of_row(panel, as_of, keys)
+    row = as_of_row(panel, as_of, keys, required=True)
     c = lambda name: col(name).cast("double") if name in panel.columns else F.lit(None).cast("double")
     entries = [F.struct(F.lit(n).alias("Asset"), c(cap).alias("cap"), c(implied).alias("implied")) for n, implied, cap in assets]
     listed = row.select(*keys, col(price).alias("_price"), F.inline(F.array(*entries)))
