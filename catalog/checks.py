@@ -16,15 +16,11 @@ from .network import CYCLES, EVENTS, STEP
 
 CASES: dict[str, Case] = {}
 ISSUES = {"table": "s", "rule": "s", "severity": "s", "message": "s"}
-ONE = "BUILDING"
-
-
-def _one(df):
-    return df.filter(F.col("entity") == ONE).drop("entity")
-
-
 # --- quality --------------------------------------------------------------------------------------------------------
 
+KEYS = ("entity",)
+KEYED = {"entity": "s", **ISSUES}
+
 
 def _shape(spark, sf):
     bad = table(spark, sf, "orders").select(
@@ -40,10 +36,10 @@ CASES["check_shape"] = Case(
     _shape,
     ISSUES,
     """--body
-SELECT 'orders' AS "table", 'rows' AS rule, 'error' AS severity, count(*) || ' rows exceeds maximum 1000' AS message FROM orders
-UNION ALL SELECT 'orders', 'columns', 'error', 'missing columns [''time'']'
-UNION ALL SELECT 'orders', 'infinity', 'error', 'contains positive or negative infinity'
-UNION ALL SELECT 'nation', 'rows', 'error', count(*) || ' rows is below minimum 26' FROM nation""",
+SELECT 'orders' AS "table", 'rows' AS rule, 'error' AS severity, count(*) || ' rows, above maximum 1000' AS message FROM orders HAVING count(*) > 1000
+UNION ALL SELECT 'orders', 'columns', 'error', 'columns not found: time' FROM (SELECT count(*) AS n FROM orders) WHERE n >= 0
+UNION ALL SELECT 'orders', 'infinity', 'error', 'infinity in at least one cell' FROM orders HAVING count(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) > 0
+UNION ALL SELECT 'nation', 'rows', 'error', count(*) || ' rows, below minimum 26' FROM nation HAVING count(*) < 26""",
 )
 
 CASES["check_dates"] = Case(
@@ -52,22 +48,21 @@ CASES["check_dates"] = Case(
     ).unionByName(quality.check_dates(table(s, d, "lineitem"), "lineitem", "l_shipdate", AS_OF, True)),
     ISSUES,
     f"""--body
-SELECT 'orders' AS "table", 'as of' AS rule, 'error' AS severity, 'latest ''o_orderdate'' is ' || max(o_orderdate)::DATE || ', expected {AS_OF}' AS message FROM orders
-UNION ALL SELECT 'orders', 'dates', 'error', '''o_orderstatus'' contains invalid or missing dates'
-UNION ALL SELECT 'lineitem', 'as of', 'error', 'expected every ''l_shipdate'' to be {AS_OF}, found ' || count(*) || ' other rows' FROM lineitem WHERE l_shipdate::DATE <> DATE '{AS_OF}'""",
+SELECT 'orders' AS "table", 'as of' AS rule, 'error' AS severity, '''o_orderdate'' ends on ' || max(o_orderdate)::DATE || ' instead of {AS_OF}' AS message FROM orders
+UNION ALL SELECT 'orders', 'dates', 'error', '''o_orderstatus'' has cells that are not dates' FROM orders HAVING count(*) FILTER (WHERE try_cast(o_orderstatus AS DATE) IS NULL) > 0
+UNION ALL SELECT 'lineitem', 'as of', 'error', count(*) || ' rows of ''l_shipdate'' are not dated {AS_OF}' FROM lineitem WHERE l_shipdate::DATE <> DATE '{AS_OF}'""",
 )
 
 
 def _published(spark, sf):
-    """Published tables of one entity; two of them are moved a little so that checks speak."""
+    """Published tables of all segments; two of them are moved a little so that checks speak."""
     p = panel(spark, sf)
-    summary = spark.createDataFrame([], "Metric STRING, Value STRING")
     price = prepare.as_of(p, AS_OF)
-    summary = _one(price).select(F.lit("Bitcoin Price USD").alias("Metric"), F.col("price").cast("string").alias("Value"))
-    comparison = _one(returns.period_comparison(p, AS_OF, "month", "price", reports.FIRST_YEAR))
-    yearly = _one(returns.period_comparison(p, AS_OF, "year", "price", reports.FIRST_YEAR)).withColumn("End Price ($)", F.col("End Price ($)") + 10)
-    buckets = _one(tables.price_buckets(p, 1000, AS_OF, "price"))
-    heat = _one(returns.heatmap(p, AS_OF, "price", reports.FIRST_YEAR)).withColumn("Jun", F.col("Jun") + 1)
+    summary = price.select("entity", F.lit("Bitcoin Price USD").alias("Metric"), F.col("price").cast("string").alias("Value"))
+    comparison = returns.period_comparison(p, AS_OF, "month", "price", reports.FIRST_YEAR)
+    yearly = returns.period_comparison(p, AS_OF, "year", "price", reports.FIRST_YEAR).withColumn("End Price ($)", F.col("End Price ($)") + 10)
+    buckets = tables.price_buckets(p, 1000, AS_OF, "price")
+    heat = returns.heatmap(p, AS_OF, "price", reports.FIRST_YEAR).withColumn("Jun", F.col("Jun") + 1)
     return {
         "summary_table": summary,
         "mtd_return_comparison": comparison,
@@ -77,116 +72,142 @@ def _published(spark, sf):
     }
 
 
+RETURNS_SQL = PANEL + f"""p AS (SELECT * FROM panel WHERE price > 0 AND date <= DATE '{AS_OF}'),
+ends AS (SELECT entity, arg_max(price, date) AS newest, arg_max(price, date) FILTER (WHERE date < DATE '2000-06-01') AS mbase, arg_max(price, date) FILTER (WHERE date < DATE '2000-01-01') AS ybase,
+  arg_max(price, date) FILTER (WHERE date >= DATE '2000-06-01') AS mclose, arg_max(price, date) FILTER (WHERE date >= DATE '2000-01-01') AS yclose, max(price) FILTER (WHERE date = DATE '{AS_OF}') AS same FROM p GROUP BY 1),
+ret AS (SELECT entity, newest, yclose, (mclose / mbase - 1) * 100 AS m, (yclose / ybase - 1) * 100 AS y, same FROM ends),
+"""
 CASES["check_price_agreement"] = Case(
-    lambda s, d: quality.check_price_agreement(_published(s, d), AS_OF).select("table", "rule", "severity"),
-    {"table": "s", "rule": "s", "severity": "s"},
-    "--body\nSELECT 'ytd_return_comparison' AS \"table\", 'price agreement' AS rule, 'error' AS severity",
+    lambda s, d: quality.check_price_agreement(_published(s, d), AS_OF, KEYS),
+    KEYED,
+    RETURNS_SQL + """--body
+SELECT entity, 'ytd_return_comparison' AS "table", 'price agreement' AS rule, 'error' AS severity,
+  'price on the report date ' || (yclose + 10) || ' differs from ' || newest || ' in summary_table' AS message
+FROM ret WHERE abs(yclose + 10 - newest) > 1e-6 + 1e-9 * abs(newest)""",
 )
 CASES["check_return_agreement"] = Case(
-    lambda s, d: quality.check_return_agreement(_published(s, d), AS_OF).select("table", "rule", "severity"),
-    {"table": "s", "rule": "s", "severity": "s"},
-    PANEL + f"""near AS (SELECT count(*) FILTER (WHERE date = DATE '{AS_OF}') AS today FROM panel WHERE entity = '{ONE}'),
---body
-SELECT 'monthly_heatmap_data' AS "table", 'MTD agreement' AS rule, 'error' AS severity
-UNION ALL SELECT t, r, 'error' FROM near, (VALUES ('mtd_return_comparison', 'MTD agreement'), ('ytd_return_comparison', 'YTD agreement')) v(t, r) WHERE today = 0""",
+    lambda s, d: quality.check_return_agreement(_published(s, d), AS_OF, KEYS),
+    KEYED,
+    RETURNS_SQL + """--body
+SELECT entity, 'monthly_heatmap_data' AS "table", 'MTD agreement' AS rule, 'error' AS severity, 'MTD return ' || (m + 1) || ' differs from ' || m || ' in mtd_return_comparison' AS message
+FROM ret WHERE abs(m + 1 - m) > 1e-9 + 1e-9 * abs(m)
+UNION ALL SELECT entity, 'monthly_heatmap_data', 'MTD agreement', 'error', '''Jun'' has no single number for the current period' FROM ret WHERE m IS NULL AND y IS NOT NULL
+UNION ALL SELECT entity, t, r, 'error', '''Report Date Return (%)'' has no single number for the current period'
+FROM ret, (VALUES ('mtd_return_comparison', 'MTD agreement'), ('ytd_return_comparison', 'YTD agreement')) v(t, r) WHERE same IS NULL AND CASE WHEN t LIKE 'mtd%' THEN m ELSE y END IS NOT NULL""",
 )
 
 
 def _cycles(spark, sf):
-    rows = _one(segments.cycle_lows(panel(spark, sf), "price", CYCLES))
+    rows = segments.cycle_lows(panel(spark, sf), "price", CYCLES)
     broken = rows.withColumn("index_value", F.when((F.col("Cycle") == "Market Cycle 2") & (F.col("days_since_cycle_low") > 3), 0.5).otherwise(F.col("index_value")))
-    broken = broken.filter((F.col("Cycle") != "Market Cycle 3") | (F.col("days_since_cycle_low") > 0))
-    return quality.check_series_start(broken, "cycle_low_data", "Cycle", "days_since_cycle_low", True)
+    broken = broken.withColumn("index_value", F.when((F.col("Cycle") == "Market Cycle 3") & (F.col("days_since_cycle_low") == 0), 1.25).otherwise(F.col("index_value")))
+    return quality.check_series_start(broken, "cycle_low_data", "Cycle", "days_since_cycle_low", True, keys=KEYS)
 
 
 CASES["check_cycle_series"] = Case(
     _cycles,
-    ISSUES,
-    """--body
-SELECT 'cycle_low_data' AS "table", 'floor' AS rule, 'error' AS severity, '''Market Cycle 2'' falls below its baseline (0.5)' AS message
-UNION ALL SELECT 'cycle_low_data', 'start', 'error', '''Market Cycle 3'' must start at day 0/index 1.0'""",
+    KEYED,
+    PANEL + f"""cyc AS (SELECT entity, date, price, CASE {' '.join(f"WHEN date >= DATE '{c}' THEN {len(CYCLES) - i}" for i, c in enumerate(reversed(CYCLES)))} END AS c FROM panel WHERE date >= DATE '{CYCLES[0]}'),
+lows AS (SELECT entity, c, min(price) AS low, arg_min(date, (price, date)) AS at FROM cyc WHERE price > 0 GROUP BY 1, 2),
+idx AS (SELECT y.entity, y.c, y.date - l.at AS days, y.price / l.low AS v FROM cyc y JOIN lows l ON l.entity = y.entity AND l.c = y.c AND y.date >= l.at),
+broken AS (SELECT entity, c, days, CASE WHEN c = 2 AND days > 3 THEN 0.5 WHEN c = 3 AND days = 0 THEN 1.25 ELSE v END AS v FROM idx),
+facts AS (SELECT entity, c, min(days) AS first_day, arg_min(v, days) AS opening, CAST(min(v) AS DOUBLE) AS lowest FROM broken GROUP BY 1, 2),
+--body
+SELECT entity, 'cycle_low_data' AS "table", 'start' AS rule, 'error' AS severity, 'series ''Market Cycle ' || c || ''': does not begin with 1.0 on day 0' AS message
+FROM facts WHERE first_day <> 0 OR abs(opening - 1) > 1e-5
+UNION ALL SELECT entity, 'cycle_low_data', 'floor', 'error', 'series ''Market Cycle ' || c || ''': falls below 1, lowest ' || lowest FROM facts WHERE lowest < 1 - 1e-12""",
 )
 
 
 def _eras(spark, sf):
-    rows = _one(segments.eras(panel(spark, sf), "price", EVENTS, STEP))
+    rows = segments.eras(panel(spark, sf), "price", EVENTS, STEP)
     genesis = rows.filter("days_since_halving < 100").withColumn("Era", F.lit("Genesis Era"))
-    return quality.check_series_start(rows.unionByName(genesis.filter("Era IS NOT NULL")), "halving_data", "Era", "days_since_halving", False, "Genesis Era").filter("rule = 'label'")
+    return quality.check_series_start(rows.unionByName(genesis), "halving_data", "Era", "days_since_halving", False, "Genesis Era", KEYS).filter("rule = 'label'")
 
 
 CASES["check_forbidden_era"] = Case(
     _eras,
-    ISSUES,
+    KEYED,
     PANEL
     + f"""starts AS (SELECT unnest([{', '.join(f"DATE '{e}'" for e in EVENTS)}]) AS a UNION ALL SELECT DATE '{EVENTS[-1]}' + {STEP} * k::INT FROM generate_series(1, 6) t(k)),
-opened AS (SELECT count(*) AS n FROM panel JOIN starts ON date = a WHERE entity = '{ONE}' AND price > 0),
+opened AS (SELECT DISTINCT entity FROM panel JOIN starts ON date = a WHERE price > 0),
 --body
-SELECT 'halving_data' AS "table", 'label' AS rule, 'error' AS severity, '''Genesis Era'' has no positive day-0 price and must be omitted' AS message
-FROM opened WHERE n > 0""",
+SELECT entity, 'halving_data' AS "table", 'label' AS rule, 'error' AS severity, 'series ''Genesis Era'': not allowed, no price opens it' AS message FROM opened""",
 )
 
 
 def _electricity(spark, sf):
-    good = settle(_one(reports.electricity(spark, sf)))
-    models = settle(_one(reports.price_models(spark, sf)))
+    good, models = reports.electricity(spark, sf), reports.price_models(spark, sf)
     broken = good.withColumn("Power Expense ($0.05/kWh)", F.col("`Power Expense ($0.05/kWh)`") + 1).withColumn(
         "Miner Revenue (BTC)", F.when(F.dayofmonth("date") == 8, F.col("`Miner Revenue (BTC)`") * 2).otherwise(F.col("`Miner Revenue (BTC)`"))
     )
-    return quality.check_electricity(broken, models)
+    return quality.check_electricity(broken, models, keys=KEYS)
 
 
+_TARIFFS = (3, 4, 5, 6, 7)
 CASES["check_electricity"] = Case(
     _electricity,
-    ISSUES,
-    """--body
-SELECT 'electricity_cost_scenarios' AS "table", 'revenue' AS rule, 'error' AS severity, 'miner revenue does not equal subsidy plus fees' AS message
-UNION ALL SELECT 'electricity_cost_scenarios', 'tariff', 'error', '''Power Expense ($0.0' || c || '/kWh)'' does not match energy x tariff / miner revenue' FROM (VALUES (3), (4), (5), (6), (7)) t(c)
-UNION ALL SELECT 'electricity_cost_scenarios', 'break-even', 'error', 'break-even tariff does not match its inputs'
-UNION ALL SELECT 'onchain_price_models', 'base tariff', 'error', 'Electricity Cost disagrees with the canonical base-tariff scenario'""",
+    KEYED,
+    NETWORK + f"""e AS (SELECT entity, date, price_close AS price, hash_rate / 1e9 * cm_efficiency_j_gh * 24 / 1000 AS kwh, subsidy_sum_24h + fees_sum_24h AS earned,
+  CASE WHEN day(date) = 8 THEN 2 ELSE 1 END * (subsidy_sum_24h + fees_sum_24h) AS rev FROM net WHERE day(date) <> 5 AND date <= DATE '{AS_OF}'),
+x AS (SELECT *, {', '.join(f"kwh * 0.0{c}::DOUBLE / earned{' + 1' if c == 5 else ''} AS t{c}, kwh * 0.0{c}::DOUBLE / rev AS w{c}" for c in _TARIFFS)}, price * earned / kwh AS be, price * rev / kwh AS wbe FROM e),
+facts AS (SELECT entity, bool_or(abs(rev - earned) > 1e-8 + 1e-10 * abs(earned)) AS revenue, bool_or(abs(be - wbe) > 1e-10 + 1e-10 * abs(wbe)) AS breakeven,
+  {', '.join(f"bool_or(abs(t{c} - w{c}) > 1e-6 + 1e-10 * abs(w{c})) AS bad{c}" for c in _TARIFFS)},
+  bool_or(abs(t5 - kwh * 0.05::DOUBLE / earned) > 1e-6 + 1e-10 * abs(kwh * 0.05::DOUBLE / earned)) AS base FROM x GROUP BY entity),
+--body
+SELECT entity, 'electricity_cost_scenarios' AS "table", 'revenue' AS rule, 'error' AS severity, 'subsidy and fees do not add up to the revenue' AS message FROM facts WHERE revenue
+{' '.join(f"UNION ALL SELECT entity, 'electricity_cost_scenarios', 'tariff', 'error', '''Power Expense ($0.0{c}/kWh)'' is not what energy, tariff and revenue give' FROM facts WHERE bad{c}" for c in _TARIFFS)}
+UNION ALL SELECT entity, 'electricity_cost_scenarios', 'break-even', 'error', 'the break-even tariff is not what price, revenue and energy give' FROM facts WHERE breakeven
+UNION ALL SELECT entity, 'onchain_price_models', 'base tariff', 'error', 'Electricity Cost is not the scenario of the base tariff' FROM facts WHERE base""",
 )
 
 
 def _network(spark, sf):
-    good = settle(_one(tables.network_export(reports.network_models(spark, sf), AS_OF)))
-    models = settle(_one(reports.price_models(spark, sf))).withColumn("Power Law Price", F.col("`Power Law Price`") * 1.01)
+    modelled = settle(reports.network_models(spark, sf))
+    good = tables.network_export(modelled, AS_OF)
+    models = reports.price_models_of(modelled).withColumn("Power Law Price", F.col("`Power Law Price`") * 1.01)
     broken = good.withColumn("Metcalfe Scale (0.01+ BTC)", F.col("`Metcalfe Scale (0.01+ BTC)`") * 1.001).withColumn(
         "Hash Ribbon Capitulation", ~F.col("Hash Ribbon Capitulation")
     )
-    return quality.check_network(broken, models)
+    return quality.check_network(broken, models, keys=KEYS)
 
 
 CASES["check_network"] = Case(
     _network,
-    ISSUES,
-    """--body
-SELECT 'network_model_metrics' AS "table", 'metcalfe' AS rule, 'error' AS severity, 'Metcalfe Scale (0.01+ BTC) does not match the fitted scale' AS message
-UNION ALL SELECT 'network_model_metrics', 'ribbons', 'error', 'hash-ribbon state disagrees with its averages'
-UNION ALL SELECT 'onchain_price_models', 'network models', 'error', 'Power Law Price disagrees with network_model_metrics'""",
+    KEYED,
+    reports.MODEL_SQL + f"""shown AS (SELECT * FROM mod WHERE date <= DATE '{AS_OF}' AND price_close > 0),
+facts AS (SELECT entity, exp(avg(ln(price_close * supply) - 2 * ln(addrs_over_1m_sats_addr_count)) FILTER (WHERE addrs_over_1m_sats_addr_count > 0)) AS s2, count(slow) AS known,
+  bool_or(abs(law * 1.01::DOUBLE - law) > 1e-6 + 1e-10 * abs(law * 1.01::DOUBLE)) AS apart, bool_or(NOT (fast < slow) <> (fast < slow)) AS flipped FROM shown GROUP BY entity),
+--body
+SELECT entity, 'network_model_metrics' AS "table", 'metcalfe' AS rule, 'error' AS severity, 'Metcalfe Scale (0.01+ BTC): not the fitted one' AS message
+FROM facts WHERE abs(s2 * 1.001::DOUBLE - s2) > 1e-10 * abs(s2)
+UNION ALL SELECT entity, 'network_model_metrics', 'ribbons', 'error', 'the ribbon state contradicts its means' FROM facts WHERE known > 0 AND flipped
+UNION ALL SELECT entity, 'onchain_price_models', 'network models', 'error', 'Power Law Price is not that of network_model_metrics' FROM facts WHERE apart""",
 )
 
 CASES["check_summary_history"] = Case(
     lambda s, d: quality.check_summary_history(
-        _one(tables.summary_history(network(s, d), AS_OF, {"Price": "price_close", "Extra": "supply"})), AS_OF, ("Price", "Volume")
+        tables.summary_history(network(s, d), AS_OF, {"Price": "price_close", "Extra": "supply"}), AS_OF, ("Price", "Volume"), keys=KEYS
     ),
-    ISSUES,
-    NETWORK + f"""newest AS (SELECT max(date) AS d FROM net WHERE entity = '{ONE}' AND date <= DATE '{AS_OF}'),
-near AS (SELECT count(*) AS n, min(date) AS a, max(date) AS b FROM net, newest WHERE entity = '{ONE}' AND date BETWEEN d - 30 AND d),
+    KEYED,
+    NETWORK + f"""newest AS (SELECT entity, max(date) AS d FROM net WHERE date <= DATE '{AS_OF}' GROUP BY 1),
+near AS (SELECT net.entity, count(*) AS n, min(date) AS a, max(date) AS b FROM net JOIN newest USING (entity) WHERE date BETWEEN d - 30 AND d GROUP BY 1),
 m(name) AS (VALUES ('Price'), ('Extra')),
 --body
-SELECT 'summary_history' AS "table", 'metrics' AS rule, 'error' AS severity, 'unexpected metric ''Extra''' AS message
-UNION ALL SELECT 'summary_history', 'metrics', 'error', 'missing metric ''Volume'''
-UNION ALL SELECT 'summary_history', 'endpoints', 'error', '''' || name || ''' has ' || n || ' rows/' || n || ' dates; expected 31 daily endpoints' FROM near, m WHERE n <> 31
-UNION ALL SELECT 'summary_history', 'span', 'error', '''' || name || ''' spans ' || a || ' to ' || b || ', expected 2000-05-16 to {AS_OF}' FROM near, m WHERE a <> DATE '2000-05-16' OR b <> DATE '{AS_OF}'""",
+SELECT entity, 'summary_history' AS "table", 'metrics' AS rule, 'error' AS severity, 'metric ''Extra'' is not a published one' AS message FROM near
+UNION ALL SELECT entity, 'summary_history', 'metrics', 'error', 'metric ''Volume'' is absent' FROM near
+UNION ALL SELECT entity, 'summary_history', 'endpoints', 'error', '''' || name || ''': ' || n || ' rows on ' || n || ' dates instead of 31 days' FROM near, m WHERE n <> 31
+UNION ALL SELECT entity, 'summary_history', 'span', 'error', '''' || name || ''' spans ' || a || ' to ' || b || ' instead of 2000-05-16 to {AS_OF}' FROM near, m WHERE a <> DATE '2000-05-16' OR b <> DATE '{AS_OF}'""",
 )
 
 CASES["check_history_position"] = Case(
     lambda s, d: quality.check_history_position(
-        _one(returns.indexed_history_wide(panel(s, d), "2000-06-10", "year", "price", reports.FIRST_YEAR)), "ytd_returns_history", "day_of_year", "year", AS_OF
+        returns.indexed_history_wide(panel(s, d), "2000-06-10", "year", "price", reports.FIRST_YEAR), "ytd_returns_history", "day_of_year", "year", AS_OF, KEYS
     ),
-    ISSUES,
-    PANEL + f"""e AS (SELECT dayofyear(max(date)) - 1 AS p FROM panel WHERE entity = '{ONE}' AND date <= DATE '2000-06-10'),
+    KEYED,
+    PANEL + f"""e AS (SELECT entity, dayofyear(max(date)) - 1 AS p FROM panel WHERE date <= DATE '2000-06-10' GROUP BY 1),
 --body
-SELECT 'ytd_returns_history' AS "table", 'position' AS rule, 'error' AS severity, 'current-year series ends at day_of_year=' || p || ', expected 166 for {AS_OF}' AS message FROM e""",
+SELECT entity, 'ytd_returns_history' AS "table", 'position' AS rule, 'error' AS severity, 'the path of 2000 stops at day_of_year ' || p || ', not at 166' AS message FROM e WHERE p <> 166""",
 )
 
 # --- landed files ---------------------------------------------------------------------------------------------------
@@ -261,7 +282,7 @@ CASES["source_dominance"] = Case(
 
 def _props(spark, sf):
     events = table(spark, sf, "events")
-    return events.select("event_id", F.from_json("props", "k BIGINT").alias("p")).groupBy(F.col("p.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return landed.parse_json(events.select("event_id", "props"), "props", "k BIGINT").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
 
 CASES["source_json_scalars"] = Case(
@@ -308,7 +329,11 @@ SELECT coalesce(o.time, l.time) AS time, orders, lines, coalesce(l.top, o.top) A
 )
 CASES["source_closes"] = Case(
     lambda s, d: landed.closes(
-        panel(s, d).select("entity", "date", F.when(F.col("entity") != "MACHINERY", F.col("price")).alias("close")).filter("weekday(date) < 2 OR entity = 'BUILDING'"), "1996-01-01", "1999-12-31"
+        panel(s, d).select(
+            "entity", "date", F.when((F.col("entity") != "MACHINERY") & ((F.weekday("date") < 2) | (F.col("entity") == "BUILDING")), F.col("price")).alias("close")
+        ),
+        "1996-01-01",
+        "1999-12-31",
     ),
     {"entity": "s", "date": "d", "close": "f4", "close_source_date": "d"},
     PANEL + """k AS (SELECT * FROM panel WHERE entity <> 'MACHINERY' AND (isodow(date) <= 2 OR entity = 'BUILDING') AND date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'),

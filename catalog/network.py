@@ -413,9 +413,8 @@ CASES["share_observations"] = Case(
     SHARES_SQL + "--body\nSELECT entity, date, unsplit * factor AS shares FROM cnt",
 )
 def _transitions(spark, sf):
-    _, counts, splits = share_inputs(spark, sf)
-    selected = settle(shares.select_observations(counts.withColumn("alias_position", F.lit(0)), splits))
-    return shares.split_transitions(selected, splits)
+    _, _, splits = share_inputs(spark, sf)
+    return shares.split_transitions(_selected(spark, sf), splits)
 
 
 CASES["split_transitions"] = Case(

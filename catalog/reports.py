@@ -294,6 +294,28 @@ PERF_COLUMNS = {
     "52 Week High": "f4", "52 Week Low": "f4", "90 Day BTC Correlation": "f6",
 }
 CASES["performance_rows"] = Case(performance_rows, {"place": "i", **PERF_COLUMNS}, PERF_SQL + "--body\nSELECT * FROM perf")
+LATE = [*ASSETS, ("Sectors", "Ghost - [G]", "GHOST")]
+
+
+def _late_asset(spark, sf):
+    """One segment has no rows after May 29, and one configured asset has none at all."""
+    daily = prepare.ffill(full_calendar(spark, sf).select("entity", "date", "price"), ["price"], 5, dense=True)
+    daily = settle(daily.filter((F.col("entity") != "FURNITURE") | (F.col("date") <= "2000-05-29")))
+    changed = settle(changes.all_changes(daily, ["price"], dense=True))
+    return tables.performance(changed, LATE, AS_OF, changes.correlation_snapshot(daily, "price", "BUILDING", AS_OF), "price", "BUILDING")
+
+
+CASES["performance_late_asset"] = Case(
+    _late_asset,
+    {"place": "i", **PERF_COLUMNS},
+    PERF_SQL + f"""old AS (SELECT max(price) AS hi, min(price) AS lo FROM f WHERE entity = 'FURNITURE' AND date BETWEEN DATE '{AS_OF}' - 365 AND DATE '2000-05-29'),
+--body
+SELECT place, "Category", "Asset", CASE WHEN NOT e THEN "Price" END AS "Price", CASE WHEN NOT e THEN "7 Day Return (%)" END AS "7 Day Return (%)", CASE WHEN NOT e THEN "MTD Return (%)" END AS "MTD Return (%)",
+  CASE WHEN NOT e THEN "YTD Return (%)" END AS "YTD Return (%)", CASE WHEN NOT e THEN "90 Day Return (%)" END AS "90 Day Return (%)", CASE WHEN e THEN hi ELSE "52 Week High" END AS "52 Week High",
+  CASE WHEN e THEN lo ELSE "52 Week Low" END AS "52 Week Low", CASE WHEN NOT e THEN "90 Day BTC Correlation" END AS "90 Day BTC Correlation"
+FROM (SELECT perf.*, "Asset" IN ('Furniture - [F]', 'Chairs - [C]') AS e FROM perf), old
+UNION ALL SELECT {len(ASSETS)}, 'Sectors', 'Ghost - [G]', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL""",
+)
 COMBINED_SQL = """combined AS (SELECT p.* REPLACE (first_place AS place) FROM (SELECT *, min(place) OVER (PARTITION BY "Asset") AS first_place,
   row_number() OVER (PARTITION BY "Asset" ORDER BY place DESC) AS rn FROM perf) p WHERE rn = 1),
 """
@@ -379,7 +401,11 @@ FROM net WHERE day(date) <> 5 AND date <= DATE '{AS_OF}'""",
 
 
 def price_models(spark, sf):
-    modelled = network_models(spark, sf).withColumns({"sth_realized_price": F.col("realized_price") * 1.1, "lth_realized_price": F.col("realized_price") * 0.9})
+    return price_models_of(network_models(spark, sf))
+
+
+def price_models_of(modelled):
+    modelled = modelled.withColumns({"sth_realized_price": F.col("realized_price") * 1.1, "lth_realized_price": F.col("realized_price") * 0.9})
     return tables.price_model_export(energy.energy(modelled, dates=EVENTS, step_days=STEP), AS_OF)
 
 

@@ -98,6 +98,24 @@ def _align(spark, sf):
     return prepare.align(base.select("entity", "date", "price", "n"), cheap, high)
 
 
+def _align_repeated(spark, sf):
+    """Single orders repeat a date; the first order of a date by its key counts."""
+    customers = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("entity"))
+    orders = table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    rows = orders.select("entity", F.to_date("o_orderdate").alias("date"), "o_orderkey", F.col("o_totalprice").alias("first_price"))
+    return prepare.align(panel(spark, sf).select("entity", "date", "n"), rows, order="o_orderkey")
+
+
+CASES["align_repeated_dates"] = Case(
+    _align_repeated,
+    {"entity": "s", "date": "d", "n": "f0", "first_price": "f2"},
+    PANEL + """one AS (SELECT c.c_mktsegment AS entity, CAST(o.o_orderdate AS DATE) AS date, arg_min(o.o_totalprice, o.o_orderkey) AS first_price
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY 1, 2),
+--body
+SELECT p.entity, p.date, p.n, one.first_price FROM panel p LEFT JOIN one ON one.entity = p.entity AND one.date = p.date""",
+)
+
+
 CASES["align_left_joins"] = Case(
     _align,
     {"entity": "s", "date": "d", "price": "f4", "n": "f0", "low_price": "f4", "high_volume": "f2"},
@@ -177,7 +195,7 @@ def _monthly(spark, sf):
     rows = lines.groupBy(F.col("l_returnflag").alias("entity"), F.trunc("l_shipdate", "month").alias("time")).agg(
         (F.sum(F.col("l_discount").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))).alias("level_th")
     )
-    return prepare.monthly_series(settle(rows), "time", "level", "level_th", 1000, "landed/monthly.csv")
+    return prepare.monthly_series(settle(rows.withColumn("line", F.lit(1))), "time", "level", "level_th", 1000, "landed/monthly.csv", "line")
 
 
 MONTHLY = """obs AS (
@@ -194,8 +212,8 @@ CASES["monthly_observations"] = Case(
 
 CASES["monthly_issues"] = Case(
     lambda s, d: prepare.monthly_issues(
-        _monthly(s, d).filter((F.col("entity") != "N") | (F.col("date") < "2000-03-10")).withColumn(
-            "level", F.when((F.col("entity") == "A") & (F.col("date") == AS_OF), None).otherwise(F.col("level"))
+        _monthly(s, d).withColumn(
+            "level", F.when(((F.col("entity") == "A") & (F.col("date") == AS_OF)) | ((F.col("entity") == "N") & (F.col("date") >= "2000-03-10")), None).otherwise(F.col("level"))
         ),
         "level",
         "level_source_date",
@@ -204,8 +222,8 @@ CASES["monthly_issues"] = Case(
     ),
     {"entity": "s", "rule": "s", "severity": "s", "age_days": "i"},
     MONTHLY
-    + f"""kept AS (SELECT entity, date, CASE WHEN NOT (entity = 'A' AND date = DATE '{AS_OF}') THEN level END AS level, level_source_date
-  FROM carried WHERE (entity <> 'N' OR date < DATE '2000-03-10') AND date <= DATE '{AS_OF}'),
+    + f"""kept AS (SELECT entity, date, CASE WHEN NOT (entity = 'A' AND date = DATE '{AS_OF}' OR entity = 'N' AND date >= DATE '2000-03-10') THEN level END AS level, level_source_date
+  FROM carried WHERE date <= DATE '{AS_OF}'),
 facts AS (SELECT entity, arg_max(level_source_date, date) FILTER (WHERE level IS NOT NULL) AS seen, max(date) AS newest,
   max(date) FILTER (WHERE level IS NOT NULL) AS valued FROM kept GROUP BY 1),
 --body
@@ -265,8 +283,9 @@ FROM panel a ASOF LEFT JOIN (SELECT * FROM panel WHERE price > 130000) b ON a.en
 
 def _asof_rows(spark, sf):
     base = nations(spark, sf)
-    rates = base.filter(F.dayofmonth("date") < 8).select("entity", "date", F.col("price").alias("rate"))
-    return prepare.asof_join_rows(base.filter(F.dayofmonth("date") > 4).select("entity", "date", "price"), rates, "rate", 5)
+    first = base.select("entity", "date", F.when(F.dayofmonth("date") < 8, F.col("price")).alias("rate"), F.lit(1).alias("seq"))
+    stale = first.select("entity", "date", (F.col("rate") * 2).alias("rate"), F.lit(0).alias("seq"))  # an earlier row of each date
+    return prepare.asof_join_rows(base.select("entity", "date", "price"), first.unionByName(stale), "rate", 5, order="seq")
 
 
 CASES["asof_join_limited_rows"] = Case(
@@ -276,7 +295,7 @@ CASES["asof_join_limited_rows"] = Case(
     + """merged AS (SELECT entity, date, CASE WHEN day(date) < 8 THEN price END AS rate FROM panel),
 filled AS (SELECT entity, date, last_value(rate IGNORE NULLS) OVER (PARTITION BY entity ORDER BY date ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS rate FROM merged),
 --body
-SELECT p.entity, p.date, p.price, f.rate FROM panel p JOIN filled f ON p.entity = f.entity AND p.date = f.date WHERE day(p.date) > 4""",
+SELECT p.entity, p.date, p.price, f.rate FROM panel p JOIN filled f ON p.entity = f.entity AND p.date = f.date""",
 )
 
 
@@ -406,6 +425,12 @@ h AS (SELECT entity, date, price / lag(price) OVER w - 1 AS r, bench / lag(bench
 SELECT entity, date, {', '.join(_corr_sql(n) for n in (7, 30, 90, 365))} FROM h""",
 )
 
+CASES["rolling_correlation_levels"] = Case(
+    lambda s, d: windows.rolling(prices(s, d), [Roll(f"corr_{n}", "price", n, "corr", "volume") for n in (7, 120, 121, 365)]),
+    {"entity": "s", "date": "d", **{f"corr_{n}": "f8" for n in (7, 120, 121, 365)}},
+    PANEL + "h AS (SELECT entity, date, price AS r, volume AS b FROM panel),\n--body\nSELECT entity, date, " + ", ".join(_corr_sql(n) for n in (7, 120, 121, 365)) + " FROM h",
+)
+
 CASES["cumulative_sum_max"] = Case(
     lambda s, d: windows.cumulative(windows.cumulative(_gap(panel(s, d)), ["price", "volume"]), ["price"], "max", "_max"),
     {"entity": "s", "date": "d", "price_cum": "f1", "volume_cum": "f0", "price_max": "f4"},
@@ -509,22 +534,28 @@ CASES["all_changes"] = Case(
     PANEL + CHANGES_SQL + "--body\nSELECT * FROM chg",
 )
 
-STATS_SQL = """recent AS (SELECT entity, date, round(price / 1000) AS level, volume FROM panel WHERE date >= DATE '1997-03-01'),
-stats AS (
-  SELECT entity, date, level, (rank() OVER (PARTITION BY entity ORDER BY level) + (count(*) OVER (PARTITION BY entity, level) - 1) / 2.0)
-           / count(*) OVER (PARTITION BY entity) AS level_percentile,
-         (level - avg(level) OVER (PARTITION BY entity)) / stddev_samp(level) OVER (PARTITION BY entity) AS level_zscore
-  FROM recent),
+RANKED = {"level": "round(price / 1000)", "price": "price", "fraction": "volume / 1e9", "steady": "60000 + (n % 3)"}
+
+
+def _stat_sql(c: str) -> str:
+    return f"""(rank() OVER (PARTITION BY entity ORDER BY {c}) + (count(*) OVER (PARTITION BY entity, {c}) - 1) / 2.0) / count(*) OVER (PARTITION BY entity) AS {c}_percentile,
+  ({c} - avg({c}) OVER (PARTITION BY entity)) / nullif(stddev_samp({c}) OVER (PARTITION BY entity), 0) AS {c}_zscore"""
+
+
+STATS_SQL = f"""recent AS (SELECT entity, date, {', '.join(f'{e} AS {c}' for c, e in RANKED.items())} FROM panel WHERE date >= DATE '1997-03-01'),
+stats AS (SELECT entity, date, level, {', '.join(_stat_sql(c) for c in RANKED)} FROM recent),
 """
 
 
 def _levels(spark, sf):
-    return panel(spark, sf).select("entity", "date", F.round(F.col("price") / 1000).alias("level"))
+    """Whole thousands, prices, small fractions and a nearly constant column."""
+    c = F.col
+    return panel(spark, sf).select("entity", "date", F.round(c("price") / 1000).alias("level"), "price", (c("volume") / 1e9).alias("fraction"), (F.lit(60000.0) + c("n") % 3).alias("steady"))
 
 
 CASES["percentile_zscore"] = Case(
-    lambda s, d: changes.statistics(_levels(s, d), "1997-03-01", ["level"]),
-    {"entity": "s", "date": "d", "level": "f0", "level_percentile": "f8", "level_zscore": "f8"},
+    lambda s, d: changes.statistics(_levels(s, d), "1997-03-01", list(RANKED)),
+    {"entity": "s", "date": "d", "level": "f0", **{f"{c}_percentile": "f8" for c in RANKED}, **{f"{c}_zscore": "f6" for c in RANKED}},
     PANEL + STATS_SQL + "--body\nSELECT * FROM stats",
 )
 

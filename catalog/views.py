@@ -1,11 +1,10 @@
-"""The reporting queries over published tables."""
+"""The reporting queries over published tables, one report per segment."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tidemark.plans import queries, returns, tables
-from tidemark.session import settle
 
 from . import reports
 from .base import AS_OF, NETWORK, PANEL, network, panel
@@ -14,107 +13,103 @@ from .case import Case
 CASES: dict[str, Case] = {}
 ONE = "BUILDING"
 
-
-def _one(df):
-    """The published table of one entity."""
-    return df.filter(F.col("entity") == ONE).drop("entity")
-
-
-def _with(spark, **frames):
-    queries.register({name: settle(df) for name, df in frames.items()})
-    return spark
-
-
 # --- headline series ------------------------------------------------------------------------------------------------
 
 
 def _headline_history(spark, sf):
     series = network(spark, sf).withColumn("sat_per_dollar", F.lit(1e8) / F.col("price_close"))
-    long = tables.summary_history(series, AS_OF, {metric: tables.SUMMARY_METRICS[metric] for metric, _, _ in queries.HEADLINES.values()}, 60)
-    return _with(spark, summary_history=_one(long))
+    return tables.summary_history(series, AS_OF, {metric: tables.SUMMARY_METRICS[metric] for metric, _, _ in queries.HEADLINES.values()}, 60)
 
 
-HISTORY_SQL = NETWORK + f"""newest AS (SELECT max(date) AS d FROM net WHERE entity = '{ONE}' AND date <= DATE '{AS_OF}'),
-near AS (SELECT net.* FROM net, newest WHERE entity = '{ONE}' AND date BETWEEN d - 60 AND d),
-hist AS (SELECT 'Bitcoin Price USD' AS metric, date, price_close AS v FROM near UNION ALL SELECT 'Bitcoin Marketcap', date, market_cap FROM near UNION ALL SELECT 'Bitcoin Supply', date, supply FROM near
-  UNION ALL SELECT 'Sats Per Dollar', date, 1e8 / price_close FROM near UNION ALL SELECT 'Bitcoin Miner Revenue', date, coinbase_sum_24h_usd FROM near WHERE coinbase_sum_24h_usd IS NOT NULL
-  UNION ALL SELECT 'Bitcoin Transaction Volume', date, transfer_volume_sum_24h_usd FROM near WHERE transfer_volume_sum_24h_usd IS NOT NULL),
+HISTORY_SQL = NETWORK + f"""newest AS (SELECT entity, max(date) AS d FROM net WHERE date <= DATE '{AS_OF}' GROUP BY 1),
+near AS (SELECT net.* FROM net JOIN newest USING (entity) WHERE date BETWEEN d - 60 AND d),
+hist AS (SELECT entity, 'Bitcoin Price USD' AS metric, date, price_close AS v FROM near UNION ALL SELECT entity, 'Bitcoin Marketcap', date, market_cap FROM near
+  UNION ALL SELECT entity, 'Bitcoin Supply', date, supply FROM near UNION ALL SELECT entity, 'Sats Per Dollar', date, 1e8 / price_close FROM near
+  UNION ALL SELECT entity, 'Bitcoin Miner Revenue', date, coinbase_sum_24h_usd FROM near WHERE coinbase_sum_24h_usd IS NOT NULL
+  UNION ALL SELECT entity, 'Bitcoin Transaction Volume', date, transfer_volume_sum_24h_usd FROM near WHERE transfer_volume_sum_24h_usd IS NOT NULL),
 """
 CASES["query_data_date"] = Case(
     lambda s, d: queries.data_date(_headline_history(s, d)),
-    {"date_label": "s", "month_name": "s", "year_label": "s"},
+    {"entity": "s", "date_label": "s", "month_name": "s", "year_label": "s"},
     HISTORY_SQL + """--body
-SELECT strftime(max(date), '%B %d, %Y') AS date_label, strftime(max(date), '%B') AS month_name, strftime(max(date), '%Y') AS year_label FROM hist""",
+SELECT entity, strftime(max(date), '%B %d, %Y') AS date_label, strftime(max(date), '%B') AS month_name, strftime(max(date), '%Y') AS year_label
+FROM hist WHERE metric = 'Bitcoin Price USD' GROUP BY entity""",
 )
 for _name, (_metric, _unit, _column) in queries.HEADLINES.items():
     _digits = {1: "f4", 1e6: "f8", 1e9: "f10", 1e12: "f10"}[_unit]
     CASES[f"query_{_name}"] = Case(
         (lambda m, u, c: lambda s, d: queries.headline(_headline_history(s, d), m, u, c))(_metric, _unit, _column),
-        {"date": "d", _column: _digits, "pct_change": "f8"},
+        {"entity": "s", "date": "d", _column: _digits, "pct_change": "f8"},
         HISTORY_SQL + f"""--body
-SELECT c.date, c.v / {_unit:.0f}::DOUBLE AS {_column}, (c.v - p.v) / nullif(p.v, 0) AS pct_change
-FROM hist c LEFT JOIN hist p ON p.metric = c.metric AND p.date = c.date - INTERVAL 30 DAY WHERE c.metric = '{_metric}'""",
+SELECT c.entity, c.date, c.v / {_unit:.0f}::DOUBLE AS {_column}, (c.v - p.v) / nullif(p.v, 0) AS pct_change
+FROM hist c LEFT JOIN hist p ON p.entity = c.entity AND p.metric = c.metric AND p.date = c.date - INTERVAL 30 DAY WHERE c.metric = '{_metric}'""",
     )
 
 
 def _summary(spark, sf):
-    return _with(spark, summary_table=_one(tables.summary_table(reports._summary_panel(spark, sf), AS_OF)))
+    given = reports._summary_panel(spark, sf).withColumn("bitcoin_dominance", F.dayofmonth("date") * 2.5)
+    return tables.summary_table(given, AS_OF)
+
+
+def _scalars(spark, sf):
+    summary = _summary(spark, sf)
+    parts = [queries.scalar(summary, f"btc_{n}") for n in ("valuation", "sentiment", "dominance")]
+    return parts[0].join(parts[1], "entity").join(parts[2], "entity")
 
 
 CASES["query_scalars"] = Case(
-    lambda s, d: (lambda spark: queries.scalar(spark, "btc_valuation").withColumn("sentiment", queries.scalar(spark, "btc_sentiment").select("sentiment").scalar()).withColumn("dominance", queries.scalar(spark, "btc_dominance").select("dominance").scalar()))(_summary(s, d)),
-    {"valuation": "s", "sentiment": "s", "dominance": "f4"},
-    NETWORK + f"""r AS (SELECT market_cap / realized_cap AS m FROM net WHERE entity = '{ONE}' AND date <= DATE '{AS_OF}' ORDER BY date DESC LIMIT 1),
+    _scalars,
+    {"entity": "s", "valuation": "s", "sentiment": "s", "dominance": "f4"},
+    NETWORK + f"""r AS (SELECT entity, market_cap / realized_cap AS m, day(date) * 3.0 AS fg, day(date) * 2.5 AS dom FROM net WHERE date <= DATE '{AS_OF}'
+  QUALIFY row_number() OVER (PARTITION BY entity ORDER BY date DESC) = 1),
 --body
-SELECT CASE WHEN m < 1 THEN 'Undervalued' WHEN m < 2 THEN 'Fair Value' WHEN m < 3 THEN 'Overvalued' ELSE 'Extremely Overvalued' END AS valuation,
-       'Given' AS sentiment, NULL::DOUBLE AS dominance FROM r""",
+SELECT entity, CASE WHEN m < 1 THEN 'Undervalued' WHEN m < 2 THEN 'Fair Value' WHEN m < 3 THEN 'Overvalued' ELSE 'Extremely Overvalued' END AS valuation,
+  CASE WHEN entity = 'BUILDING' THEN 'Given' WHEN fg <= 24 THEN 'Extreme Fear' WHEN fg <= 44 THEN 'Fear' WHEN fg <= 54 THEN 'Neutral' WHEN fg <= 74 THEN 'Greed' ELSE 'Extreme Greed' END AS sentiment,
+  dom AS dominance FROM r""",
 )
 
 # --- performance, models, outlook, valuation ------------------------------------------------------------------------
 
 
 def _performance(spark, sf):
-    return _with(spark, performance_table=tables.combined_performance(reports.performance_rows(spark, sf)).drop("place"))
+    return tables.combined_performance(reports.performance_rows(spark, sf)).drop("place")
 
 
-PERFORMANCE_COLUMNS = {"Asset": "s", "price": "f4", "return_7d": "f6", "return_mtd": "f6", "return_ytd": "f6", "return_90d": "f6"}
+PERFORMANCE_COLUMNS = {"place": "i", "Asset": "s", "price": "f4", "return_7d": "f6", "return_mtd": "f6", "return_ytd": "f6", "return_90d": "f6"}
 for _name, _category in queries.PERFORMANCE_VIEWS.items():
     CASES[f"query_{_name}"] = Case(
         (lambda c: lambda s, d: queries.performance_view(_performance(s, d), c, "Building - [B]"))(_category),
         PERFORMANCE_COLUMNS,
         reports.PERF_SQL + reports.COMBINED_SQL + f"""--body
-SELECT "Asset", "Price" AS price, "7 Day Return (%)" AS return_7d, "MTD Return (%)" AS return_mtd, "YTD Return (%)" AS return_ytd, "90 Day Return (%)" AS return_90d
+SELECT row_number() OVER (ORDER BY CASE WHEN "Asset" = 'Building - [B]' THEN 0 ELSE 1 END, "7 Day Return (%)" DESC NULLS LAST, "Asset") AS place,
+  "Asset", "Price" AS price, "7 Day Return (%)" AS return_7d, "MTD Return (%)" AS return_mtd, "YTD Return (%)" AS return_ytd, "90 Day Return (%)" AS return_90d
 FROM combined WHERE "Category" = '{_category}' OR "Asset" = 'Building - [B]'""",
     )
 
-
-def _models(spark, sf):
-    return _with(spark, onchain_price_models=_one(reports.price_models(spark, sf)))
-
-
-LAST4 = reports.PRICE_MODEL_SQL + f"""one AS (SELECT * FROM pm WHERE entity = '{ONE}'),
-b AS (SELECT max(date) AS m FROM one),
-wm AS (SELECT date, "BTC Price", "Electricity Cost" AS "Power Expense ($0.05/kWh)", "STH Realized Price", "Realized Price", "3x Realized Price" FROM one, b WHERE date >= m - INTERVAL 4 YEAR
-  UNION ALL SELECT date_trunc('year', m) + INTERVAL 1 YEAR - INTERVAL 1 DAY, NULL, NULL, NULL, NULL, NULL FROM b),
+MODEL_SQL = reports.PRICE_MODEL_SQL + """b AS (SELECT entity, max(date) AS m FROM pm GROUP BY 1),
+wm AS (SELECT pm.entity, date, "BTC Price", "Electricity Cost" AS "Power Expense ($0.05/kWh)", "STH Realized Price", "Realized Price", "3x Realized Price"
+  FROM pm JOIN b USING (entity) WHERE date >= m - INTERVAL 4 YEAR
+  UNION ALL SELECT entity, date_trunc('year', m) + INTERVAL 1 YEAR - INTERVAL 1 DAY, NULL, NULL, NULL, NULL, NULL FROM b),
 """
 CASES["query_price_with_models"] = Case(
-    lambda s, d: queries.with_models(_models(s, d)),
-    {"date": "d", "BTC Price": "f4", "Power Expense ($0.05/kWh)": "f5", "STH Realized Price": "f4", "Realized Price": "f4", "3x Realized Price": "f4"},
-    LAST4 + "--body\nSELECT * FROM wm",
+    lambda s, d: queries.with_models(reports.price_models(s, d)),
+    {"entity": "s", "date": "d", "BTC Price": "f4", "Power Expense ($0.05/kWh)": "f5", "STH Realized Price": "f4", "Realized Price": "f4", "3x Realized Price": "f4"},
+    MODEL_SQL + "--body\nSELECT * FROM wm",
 )
 CASES["query_models_latest"] = Case(
-    lambda s, d: queries.models_latest(_models(s, d)),
-    {"series": "s", "x": "d", "y": "f4", "label": "s"},
-    LAST4 + """l AS (SELECT * FROM wm WHERE "BTC Price" IS NOT NULL ORDER BY date DESC LIMIT 1),
-u AS (SELECT 'BTC Price' AS series, date AS x, "BTC Price" AS y FROM l UNION ALL SELECT 'Realized Price', date, "Realized Price" FROM l UNION ALL SELECT 'STH Realized Price', date, "STH Realized Price" FROM l
-  UNION ALL SELECT 'Power Expense ($0.05/kWh)', date, "Power Expense ($0.05/kWh)" FROM l UNION ALL SELECT '3x Realized Price', date, "3x Realized Price" FROM l),
+    lambda s, d: queries.models_latest(reports.price_models(s, d)),
+    {"entity": "s", "series": "s", "x": "d", "y": "f4", "label": "s"},
+    MODEL_SQL + """l AS (SELECT * FROM wm WHERE "BTC Price" IS NOT NULL QUALIFY row_number() OVER (PARTITION BY entity ORDER BY date DESC) = 1),
+u AS (SELECT entity, 'BTC Price' AS series, date AS x, "BTC Price" AS y FROM l UNION ALL SELECT entity, 'Realized Price', date, "Realized Price" FROM l
+  UNION ALL SELECT entity, 'STH Realized Price', date, "STH Realized Price" FROM l
+  UNION ALL SELECT entity, 'Power Expense ($0.05/kWh)', date, "Power Expense ($0.05/kWh)" FROM l UNION ALL SELECT entity, '3x Realized Price', date, "3x Realized Price" FROM l),
 --body
-SELECT series, x, y, '$' || format('{:,.0f}', y) AS label FROM u""",
+SELECT entity, series, x, y, '$' || format('{:,.0f}', y) AS label FROM u""",
 )
 
 
 def _outlook(spark, sf):
-    """Price levels from the segments: the highest, mean and lowest price of each as cases."""
+    """Price levels from the segments: the highest and lowest price of each as cases; those of one are the named cases."""
     rows = panel(spark, sf).groupBy("entity").agg(F.max("price").alias("hi"), F.min("price").alias("lo"))
     level = lambda name, price, kind: F.struct(name.alias("label"), F.floor(price).cast("string").alias("price"), F.lit(kind).alias("type"), F.lit("#9ca3af").alias("color"))
     own = F.col("entity") == ONE
@@ -122,7 +117,7 @@ def _outlook(spark, sf):
         level(F.when(own, F.lit("Bull Case")).otherwise(F.concat(F.lit("High "), "entity")), F.col("hi"), "case"),
         level(F.when(own, F.lit("Bear Case")).otherwise(F.concat(F.lit("Low "), "entity")), F.col("lo"), "case"),
     )
-    return _with(spark, price_outlook=rows.select(F.inline(cases)))
+    return rows.select(F.inline(cases))
 
 
 OUTLOOK_SQL = PANEL + f"""lv AS (SELECT CASE WHEN entity = '{ONE}' THEN 'Bull Case' ELSE 'High ' || entity END AS name, floor(max(price)) AS price FROM panel GROUP BY entity
@@ -140,59 +135,64 @@ CASES["query_outlook_cases"] = Case(
 )
 
 CASES["query_relative_value"] = Case(
-    lambda s, d: queries.relative_value(_with(s, relative_value_comparison=_one(reports.valuation(s, d)))),
-    {"Asset": "s", "market_cap": "f8", "implied_price": "f3", "implied_return": "f4", "btc_pct_of_mcap": "f8"},
-    reports.VALUATION_SQL + f"""o AS (SELECT *, "Market Cap (USD)" / 1e12 AS mc FROM val WHERE entity = '{ONE}'),
+    lambda s, d: queries.relative_value(reports.valuation(s, d)),
+    {"entity": "s", "place": "i", "Asset": "s", "market_cap": "f8", "implied_price": "f3", "implied_return": "f4", "btc_pct_of_mcap": "f8"},
+    reports.VALUATION_SQL + """o AS (SELECT *, "Market Cap (USD)" / 1e12 AS mc FROM val),
 --body
-SELECT "Asset", mc AS market_cap, "Market Cap BTC Price" AS implied_price, "BTC % Move to Marketcap BTC Price" AS implied_return,
-       CASE WHEN "Asset" <> 'Bitcoin' THEN (SELECT mc FROM o WHERE "Asset" = 'Bitcoin') / nullif(mc, 0) * 100 END AS btc_pct_of_mcap FROM o""",
+SELECT o.entity, row_number() OVER (PARTITION BY o.entity ORDER BY mc DESC NULLS LAST, "Asset") AS place, "Asset", mc AS market_cap, "Market Cap BTC Price" AS implied_price,
+       "BTC % Move to Marketcap BTC Price" AS implied_return,
+       CASE WHEN "Asset" <> 'Bitcoin' THEN (SELECT max(l.mc) FROM o l WHERE l."Asset" = 'Bitcoin' AND l.entity = o.entity) / nullif(mc, 0) * 100 END AS btc_pct_of_mcap FROM o""",
 )
 
 # --- heatmap, buckets, tables ---------------------------------------------------------------------------------------
 
 
 def _heat(spark, sf):
-    return _with(spark, monthly_heatmap_data=_one(returns.heatmap(panel(spark, sf), AS_OF, "price", reports.FIRST_YEAR)))
+    return returns.heatmap(panel(spark, sf), AS_OF, "price", reports.FIRST_YEAR)
 
 
-HEAT = reports._heat_sql(reports.FIRST_YEAR) + f"one AS (SELECT * FROM heat WHERE entity = '{ONE}'),\n"
+HEAT = reports._heat_sql(reports.FIRST_YEAR)
+HEAT_VIEW = {"entity": "s", "place": "i", **reports.HEAT_COLUMNS}
 CASES["query_monthly_aggregates"] = Case(
     lambda s, d: queries.monthly_aggregates(_heat(s, d)),
-    reports.HEAT_COLUMNS,
-    HEAT + "--body\nSELECT * REPLACE (CASE time WHEN '4-Year Average' THEN '4 Year Avg' ELSE time END AS time) FROM one WHERE time IN ('Average', 'Median', '4-Year Average')",
+    HEAT_VIEW,
+    HEAT + """--body
+SELECT * REPLACE (CASE time WHEN '4-Year Average' THEN '4 Year Avg' ELSE time END AS time), CASE time WHEN 'Average' THEN 1 WHEN 'Median' THEN 2 ELSE 3 END AS place
+FROM heat WHERE time IN ('Average', 'Median', '4-Year Average')""",
 )
 CASES["query_monthly_years"] = Case(
     lambda s, d: queries.monthly_years(_heat(s, d)),
-    reports.HEAT_COLUMNS,
-    HEAT + "--body\nSELECT * REPLACE (CASE time WHEN '2000' THEN '2000 (YTD)' ELSE time END AS time) FROM one WHERE try_cast(time AS INTEGER) IS NOT NULL",
+    HEAT_VIEW,
+    HEAT + """--body
+SELECT * REPLACE (CASE time WHEN '2000' THEN '2000 (YTD)' ELSE time END AS time), 2001 - CAST(time AS INTEGER) AS place FROM heat WHERE try_cast(time AS INTEGER) IS NOT NULL""",
 )
 for _table, _size, _around, _skip in (("1k_bucket_table", 1000, 12000, ()), ("5k_bucket_table", 5000, None, ("$0K-$5K", "$5K-$10K"))):
     _keep = f'AND low BETWEEN "Current Price" - {_around} AND "Current Price" + {_around}' if _around else f"""AND "Price Range ($)" NOT IN ('$0K-$5K', '$5K-$10K')"""
     CASES[f"query_bucket_{_size // 1000}k"] = Case(
-        (lambda t, z, a, k: lambda s, d: queries.bucket_view(_with(s, **{t: _one(tables.price_buckets(panel(s, d), z, AS_OF, "price"))}), t, z, a, k))(_table, _size, _around, _skip),
-        {"Price Range ($)": "s", "Current": "f0", "Other": "f0"},
-        PANEL + reports._bucket_sql(_size) + f"""p AS (SELECT *, CAST(replace(replace(split_part("Price Range ($)", '-', 1), '$', ''), 'K', '') AS INTEGER) * 1000 AS low FROM buckets WHERE entity = '{ONE}'),
+        (lambda z, a, k: lambda s, d: queries.bucket_view(tables.price_buckets(panel(s, d), z, AS_OF, "price"), z, a, k))(_size, _around, _skip),
+        {"entity": "s", "Price Range ($)": "s", "Current": "f0", "Other": "f0"},
+        PANEL + reports._bucket_sql(_size) + f"""p AS (SELECT *, CAST(replace(replace(split_part("Price Range ($)", '-', 1), '$', ''), 'K', '') AS INTEGER) * 1000 AS low FROM buckets),
 --body
-SELECT "Price Range ($)", CASE WHEN "Current Price" BETWEEN low AND low + {_size} THEN "Count" END AS "Current",
+SELECT entity, "Price Range ($)", CASE WHEN "Current Price" BETWEEN low AND low + {_size} THEN "Count" END AS "Current",
        CASE WHEN "Current Price" BETWEEN low AND low + {_size} THEN NULL ELSE "Count" END AS "Other" FROM p WHERE true {_keep}""",
     )
 
 CASES["query_roi"] = Case(
-    lambda s, d: queries.roi_view(_with(s, roi_table=_one(returns.roi(panel(s, d), AS_OF, "price")))),
-    {"time_frame": "s", "roi_pct": "f6", "start_price": "f4"},
-    reports.CASES["roi_table"].sql.replace("t.n_name AS entity", "c.c_mktsegment AS entity").replace("WHERE date <=", f"WHERE entity = '{ONE}' AND date <=").replace(
-        'SELECT w.entity, w.name AS "Time Frame"', "SELECT w.name AS time_frame"
+    lambda s, d: queries.roi_view(returns.roi(panel(s, d), AS_OF, "price")),
+    {"entity": "s", "time_frame": "s", "roi_pct": "f6", "start_price": "f4"},
+    reports.CASES["roi_table"].sql.replace("t.n_name AS entity", "c.c_mktsegment AS entity").replace("JOIN nation t ON c.c_nationkey = t.n_nationkey", "").replace(
+        'w.name AS "Time Frame"', "w.name AS time_frame"
     ).replace('AS "ROI (%)"', "AS roi_pct").replace('AS "BTC Price"', "AS start_price"),
 )
 CASES["query_fundamentals"] = Case(
-    lambda s, d: queries.fundamentals_view(_with(s, fundamentals_table=_one(tables.fundamentals(reports._fundamental_panel(s, d), reports.TEMPLATE, AS_OF)))),
-    {"Category": "s", "Metric": "s", "Current Value": "s", "7 Days Ago": "s", "Monday": "s", "Sunday": "s", "52W High": "s"},
-    reports.CASES["fundamentals_table"].sql.replace('sec AS "Section"', 'sec AS "Category"') + f" WHERE entity = '{ONE}'",
+    lambda s, d: queries.fundamentals_view(tables.fundamentals(reports._fundamental_panel(s, d), reports.TEMPLATE, AS_OF)),
+    {"entity": "s", "Category": "s", "Metric": "s", "Current Value": "s", "7 Days Ago": "s", "Monday": "s", "Sunday": "s", "52W High": "s"},
+    reports.CASES["fundamentals_table"].sql.replace('sec AS "Section"', 'sec AS "Category"'),
 )
 for _period, _name, _position in (("month", "mtd", "day"), ("year", "ytd", "day_of_year")):
     _case = reports.CASES[f"indexed_history_{_name}"]
     CASES[f"query_{_name}_history"] = Case(
-        (lambda p, t, c: lambda s, d: queries.history_view(_with(s, **{t: _one(returns.indexed_history_wide(panel(s, d), AS_OF, p, "price", reports.FIRST_YEAR))}), t, c))(_period, f"{_name}_returns_history", _position),
-        {c: k for c, k in _case.columns.items() if c not in ("entity", "Median", "Average")},
-        _case.sql.replace("FROM hist GROUP BY", f"FROM hist WHERE entity = '{ONE}' GROUP BY"),
+        (lambda p, c: lambda s, d: queries.history_view(returns.indexed_history_wide(panel(s, d), AS_OF, p, "price", reports.FIRST_YEAR), c))(_period, _position),
+        {c: k for c, k in _case.columns.items() if c not in ("Median", "Average")},
+        _case.sql,
     )
