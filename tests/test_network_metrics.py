@@ -212,13 +212,25 @@ def test_empty_candles_are_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         outputs.guarded_write(good.withColumn("High", F.lit(float("inf"))), path, landed.check_candles)
     assert spark.read.parquet(path).count() == 1
+    assert [p.name for p in tmp_path.iterdir()] == ["ohlc"]
+
+
+def test_a_swap_that_was_cut_off_is_repaired(spark, tmp_path):
+    path = str(tmp_path / "t")
+    outputs.guarded_write(spark.range(3), path)
+    (tmp_path / "t").rename(tmp_path / "t__previous")  # the first of the two renames only
+    outputs.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    outputs.write_table(spark.range(5), path + "__previous")  # both renames, the old table still there
+    outputs.guarded_write(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7 and [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
 def test_candle_documents_must_match(spark):
     docs = spark.createDataFrame([(["2024-01-01"], [[1.0, 2.0, 0.5, 1.5], [1.0, 2.0, 0.5, 1.5]])], "dates ARRAY<STRING>, rows ARRAY<ARRAY<DOUBLE>>")
-    with pytest.raises(Exception, match="differ in length"):
+    with pytest.raises(Exception, match="as many dates as rows"):
         landed.candles(docs).collect()
-    with pytest.raises(Exception, match="no candles"):
+    with pytest.raises(Exception, match="no candle"):
         landed.candles(docs.withColumn("dates", F.array().cast("array<string>"))).collect()
 
 

@@ -64,10 +64,14 @@ def test_snapshot_keeps_its_own_date(panel, by_date):
 
 
 def test_monthly_series_in_the_alternate_unit(spark, by_date):
-    df = spark.createDataFrame([("one", "2024-01-01", "30"), ("one", "2024-02-01", "28"), ("one", "bad", "1"), ("one", "2024-02-02", "n/a")], "entity STRING, time STRING, efficiency_j_th STRING")
-    r = by_date(prepare.monthly_series(df, "time", "eff", "efficiency_j_th", 1000, "sheet.csv"))
+    df = spark.createDataFrame([("one", "2024-01-01", "99", 0), ("one", "2024-01-01", "30", 1), ("one", "2024-02-01", "28", 2), ("one", "bad", "1", 3), ("one", "2024-02-02", "n/a", 4)], "entity STRING, time STRING, efficiency_j_th STRING, line INT")
+    r = by_date(prepare.monthly_series(df, "time", "eff", "efficiency_j_th", 1000, "sheet.csv", "line"))
     assert r["2024-01-31"].eff == 0.03 and r["2024-01-31"].eff_source_date == day("2024-01-01")
     assert r["2024-01-31"].eff_source_url == "sheet.csv" and r["2024-02-01"].eff == 0.028
+    with pytest.raises(ValueError, match="'time'"):
+        prepare.monthly_series(df.drop("time"), "time", "eff", "efficiency_j_th", 1000, "sheet.csv", "line")
+    with pytest.raises(ValueError, match="'efficiency_j_th'"):
+        prepare.monthly_series(df.drop("efficiency_j_th"), "time", "eff", "efficiency_j_th", 1000, "sheet.csv", "line")
 
 
 def test_monthly_issues_warn_and_fail(panel):
@@ -160,3 +164,41 @@ def test_only_midnight_rows_meet_the_base(spark):
 def test_market_columns_leave_base_and_markers_out(panel):
     p = panel([("2024-01-01", 1.0, 2.0, day("2024-01-01"), 0.03)], "price_close DOUBLE, spy DOUBLE, spy_source_date DATE, eff DOUBLE", ["one"])
     assert prepare.market_columns(p, ["price_close", "supply"], ["eff"]) == ["spy"]
+
+
+def test_ties_have_a_defined_winner(spark, panel, by_date):
+    rows = spark.createDataFrame([("one", 1, 5.0), ("one", 1, 7.0), ("one", 0, 9.0)], "entity STRING, at INT, v DOUBLE")
+    assert prepare.dedupe(rows, ["entity"], "at").first().v == 7.0 and prepare.dedupe(rows, ["entity"], "at", "first").first().v == 9.0
+    stamped = spark.sql("SELECT 'one' AS entity, timestamp'2024-01-01 09:00:00' AS ts, x AS v FROM VALUES (3.0), (1.0), (NULL) t(x)")
+    assert (prepare.daily(stamped, "ts", ["v"]).first().v, prepare.daily(stamped, "ts", ["v"], "first").first().v) == (3.0, 1.0)
+    base = panel([("2024-01-01", 1.0)], "v DOUBLE", ["one"])
+    repeated = spark.createDataFrame([("one", day("2024-01-01"), 2, 20.0), ("one", day("2024-01-01"), 1, 10.0)], "entity STRING, date DATE, seq INT, w DOUBLE")
+    joined = prepare.align(base, repeated, order="seq")
+    assert joined.columns == ["entity", "date", "v", "w"] and joined.first().w == 10.0
+    assert prepare.asof_join_rows(base, repeated, "w", 3, order="seq").first().w == 20.0
+
+
+def test_empty_as_of_is_an_error_when_it_is_required(panel):
+    p = panel([("2024-01-05", 1.0)], "v DOUBLE")
+    assert prepare.as_of(p, "2024-01-04").count() == 0 and prepare.as_of(p, "2024-01-05", required=True).count() == 2
+    with pytest.raises(Exception, match="no row on or before 2024-01-04"):
+        prepare.as_of(p, "2024-01-04", required=True).collect()
+
+
+def test_every_problem_of_a_base_is_told(panel):
+    p = panel([("2024-01-09", 1.0)], "price DOUBLE", [f"e{i}" for i in range(30)])
+    with pytest.raises(ValueError) as told:
+        prepare.assert_fresh(p, "2024-01-10", ["price", *[f"gone{i}" for i in range(25)]])
+    assert all(f"'gone{i}'" in str(told.value) for i in range(25)) and "'entities': 30" in str(told.value)
+
+
+def test_landed_csv_headers_and_lines(spark, tmp_path):
+    path = tmp_path / "chunk.csv"
+    path.write_text(" timestamp , price\n1704067200,1.5\n1704153600,x\n")
+    assert landed.read_csv(spark, str(path)).columns == ["timestamp", "price", "line"]
+    rows = landed.read_chunks(spark, [str(path)], ["price"]).orderBy("time").collect()
+    assert [(str(r.time), r.price) for r in rows] == [("2024-01-01 00:00:00", 1.5), ("2024-01-02 00:00:00", None)]
+    other = tmp_path / "other.csv"
+    other.write_text("time,price\n1,2\n")
+    with pytest.raises(ValueError, match="'timestamp'"):
+        landed.read_chunks(spark, [str(path), str(other)], ["price"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import settings
 from tidemark.plans import quality, queries, report, tables
+from tidemark.session import release, stages
 
 METRICS = tuple(tables.SUMMARY_METRICS)
 
@@ -33,7 +34,7 @@ def test_summary_history_good_and_broken(spark):
 def test_header_only_table_is_too_short(spark):
     empty = spark.createDataFrame([], "label STRING, price DOUBLE, type STRING, color STRING")
     got = messages(quality.validate(spark, {"price_outlook": empty}, "2024-02-15", {"price_outlook": quality.RULES["price_outlook"]}))
-    assert got == ["0 rows is below minimum 1"]
+    assert got == ["0 rows, below minimum 1"]
 
 
 def test_missing_output(spark, tmp_path):
@@ -45,7 +46,7 @@ def test_missing_output(spark, tmp_path):
 def test_text_infinity_and_missing_columns(spark):
     df = spark.createDataFrame([(" -Infinity ",), ("1",)], "Metric STRING")
     got = messages(quality.check_shape(df, "t", quality.Rule(1, 1, ("Metric", "Value"))))
-    assert got == ["2 rows exceeds maximum 1", "contains positive or negative infinity", "missing columns ['Value']"]
+    assert got == ["2 rows, above maximum 1", "columns not found: Value", "infinity in at least one cell"]
 
 
 def agreeing(spark, feb=-5.0):
@@ -74,7 +75,7 @@ def test_cycle_series_contract(spark):
     low = spark.createDataFrame([(0, 1.0, "Market Cycle 1"), (1, 0.9, "Market Cycle 1")], schema)
     assert "falls below" in messages(quality.check_series_start(low, "c", "Cycle", "days_since_cycle_low", True))[0]
     genesis = spark.createDataFrame([(0, 1.0, "Genesis Era")], "days_since_halving INT, index_value DOUBLE, Era STRING")
-    assert "must be omitted" in messages(quality.check_series_start(genesis, "h", "Era", "days_since_halving", False, "Genesis Era"))[0]
+    assert "not allowed" in messages(quality.check_series_start(genesis, "h", "Era", "days_since_halving", False, "Genesis Era"))[0]
 
 
 def test_electricity_contract(spark):
@@ -113,40 +114,68 @@ def inputs(spark):
         values[0] = 18.6e6 + 900.0 * i
         rows.append(("BTC", d, price, price * values[0], *values))
     base = spark.createDataFrame(rows, "entity STRING, date DATE, price_close DOUBLE, market_cap DOUBLE, " + ", ".join(f"{c} DOUBLE" for c in network_columns))
+    base = base.unionByName(base.withColumns({"entity": F.lit("ALT"), "price_close": F.col("price_close") * 2, "market_cap": F.col("market_cap") * 2}))
     symbols = sorted({s for members in settings.PERFORMANCE_ASSETS.values() for s in members.values()} | set(settings.METAL_SYMBOLS.values()))
+    symbols.remove("WGMI")  # a configured asset without rows
     closes = spark.createDataFrame([(s, d, 100.0 * wave(i, 3 + k)) for k, s in enumerate(symbols) for i, d in enumerate(calendar)], "entity STRING, date DATE, close DOUBLE")
     caps = spark.createDataFrame([(s, d, 1e12 * wave(i, 7 + k)) for k, s in enumerate(settings.VALUED_COMPANIES.values()) for i, d in enumerate(calendar)], "entity STRING, date DATE, market_cap DOUBLE")
     price = {d: r[2] for d, r in zip(calendar, rows)}
-    daily = spark.createDataFrame([("BTC", d, price[d] * 0.99, price[d] * 1.02, price[d] * 0.97, price[d]) for d in calendar], "entity STRING, Time DATE, Open DOUBLE, High DOUBLE, Low DOUBLE, Close DOUBLE")
+    daily = spark.createDataFrame([(e, d, k * price[d] * 0.99, k * price[d] * 1.02, k * price[d] * 0.97, k * price[d]) for e, k in (("BTC", 1), ("ALT", 2)) for d in calendar], "entity STRING, Time DATE, Open DOUBLE, High DOUBLE, Low DOUBLE, Close DOUBLE")
     outlook = spark.createDataFrame([("Bull Case", 160000, "case", "#0f0"), ("Bear Case", 70000, "case", "#f00")], "label STRING, price INT, type STRING, color STRING")
     return base, closes, caps, tables.weekly_candles(daily), daily, outlook
 
 
 def test_whole_report_is_published_and_valid(spark, inputs, tmp_path):
-    published = report.build_report(*inputs, AS_OF)
-    assert set(published) == set(quality.RULES)
+    """Two networks in one report: every table holds both, each checked on its own."""
     folder = str(tmp_path / "out")
-    report.write_report(published, folder)
+    with stages(spark, str(tmp_path / "stages")):
+        published = report.build_report(*inputs, AS_OF)
+        assert set(published) == set(quality.RULES)
+        assert {t for t, df in published.items() if "entity" not in df.columns} == {"price_outlook"}
+        report.write_report(published, folder)
+    assert list((tmp_path / "stages").iterdir()) == []
     issues = report.validate_report(spark, folder, AS_OF).collect()
     assert [(r.table, r.message) for r in issues] == []
 
     back = report.read_report(spark, folder)
-    heat = {r.time: r for r in back["monthly_heatmap_data"].collect()}
-    assert {"2021", "2022", "2023", "2024", "Median", "Average", "4-Year Average"} == set(heat)
-    assert back["performance_table"].count() == 17 and back["performance_table"].first().Asset == "Bitcoin - [BTC]"
-    assert back["relative_value_comparison"].count() == 21 and back["fundamentals_table"].count() == 20
-    assert back["roi_table"].count() == 10 and back["summary_table"].count() == 10
+    rows = {t: {e: [r for r in back[t].collect() if r.entity == e] for e in ("BTC", "ALT")} for t in ("monthly_heatmap_data", "performance_table", "relative_value_comparison")}
+    for e in ("BTC", "ALT"):
+        assert {"2021", "2022", "2023", "2024", "Median", "Average", "4-Year Average"} == {r.time for r in rows["monthly_heatmap_data"][e]}
+        assert len(rows["performance_table"][e]) == 17 and rows["performance_table"][e][0].Asset == "Bitcoin - [BTC]"
+        assert [r.Price for r in rows["performance_table"][e] if "WGMI" in r.Asset] == [None]
+        assert len(rows["relative_value_comparison"][e]) == 21
+    lead = {e: float(rows["performance_table"][e][0].Price) for e in rows["performance_table"]}
+    assert lead["ALT"] == pytest.approx(2 * lead["BTC"])
+    assert back["fundamentals_table"].count() == 40 and back["roi_table"].count() == 20 and back["summary_table"].count() == 20
+
+    master = back["master_metrics_data"].columns
+    assert {f"{c}_{p}_change" for c in settings.analysis_columns() for p in ("7", "90", "MTD", "YTD", "YOY")} <= set(master)
+    assert set(settings.close_columns().values()) | set(settings.cap_columns().values()) <= set(master)
 
     late = report.validate_report(spark, folder, "2024-06-29").collect()
-    assert {"price agreement", "as of", "span", "position"} <= {r.rule for r in late}
+    assert {"price agreement", "as of", "span", "position"} <= {r.rule for r in late} and {r.entity for r in late} == {"BTC", "ALT"}
 
-    queries.register({n: published[n] for n in ("summary_history", "price_outlook", "summary_table")})
-    assert queries.data_date(spark).first().date_label == "June 28, 2024"
-    assert queries.headline(spark, *queries.HEADLINES["btc_marketcap"]).count() == 31
-    assert queries.outlook_cases(spark).first().asDict() == {"bear": 70000, "base": None, "bull": 160000}
-    assert queries.scalar(spark, "btc_sentiment").first().sentiment != ""
+    assert {r.date_label for r in queries.data_date(back["summary_history"]).collect()} == {"June 28, 2024"}
+    assert queries.headline(back["summary_history"], *queries.HEADLINES["btc_marketcap"]).count() == 62
+    assert queries.outlook_cases(back["price_outlook"]).first().asDict() == {"bear": "70000", "base": None, "bull": "160000"}
+    assert all(r.sentiment for r in queries.scalar(back["summary_table"], "btc_sentiment").collect())
+    shown = queries.performance_view(back["performance_table"].withColumn("7 Day Return (%)", F.col("7 Day Return (%)").cast("double")), "Sectors", keys=["entity"]).collect()
+    assert [(r.entity, r.place) for r in shown] == [(e, i) for e in ("ALT", "BTC") for i in range(1, 6)]
 
 
-def test_stale_base_is_refused(inputs):
-    with pytest.raises(ValueError):
+def test_stale_base_is_refused(spark, inputs, tmp_path):
+    with pytest.raises(RuntimeError, match="stages"):
+        report.build_report(*inputs, AS_OF)
+    with stages(spark, str(tmp_path)), pytest.raises(ValueError):
         report.build_report(*inputs, "2024-07-15")
+
+
+def test_building_leaves_nothing_behind_and_release_drops_stages(spark, inputs):
+    from tidemark.session import settle
+
+    release()
+    kept = settle(spark.range(10).withColumn("x", F.rand(1)))
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    first, again = kept.collect(), kept.collect()
+    assert first == again and len(spark.sparkContext._jsc.getPersistentRDDs()) >= 1
+    assert release() == 1 and not spark.sparkContext._jsc.getPersistentRDDs()

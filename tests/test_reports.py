@@ -53,7 +53,7 @@ def test_indexed_year_aligns_leap_years(panel):
     at60 = next(r for r in wide if r.day_of_year == 60)
     assert at60["2020"] == pytest.approx(at60["2021"])
     assert sum(r["2020"] is not None for r in wide) == 366
-    assert all(r["2019"] is None for r in wide)
+    assert "2019" not in wide[0].asDict()  # no base, no path, no column
 
 
 STEPS = [
@@ -184,3 +184,32 @@ def test_changes_feed_the_heatmap_month(panel):
     last = [r for r in one(changes.mtd(p, ["price_close"])) if str(r.date) == "2024-02-20"][0]
     table = {r.Year: r for r in one(returns.period_comparison(p, "2024-02-20", "month"))}
     assert last.price_close_MTD_change == pytest.approx(heat["2024"].Feb) == pytest.approx(table["2024"]["Return (%)"])
+
+
+def test_late_and_absent_assets_are_published_with_nulls(spark, panel):
+    rows = [(d, 100.0 + i, 1.0, 2.0, 3.0, 4.0) for i, d in enumerate(days("2024-01-01", "2024-07-18"))]
+    names = "price_close DOUBLE, price_close_7_change DOUBLE, price_close_MTD_change DOUBLE, price_close_YTD_change DOUBLE, price_close_90_change DOUBLE"
+    p = panel(rows, names).filter("entity = 'one' OR date <= '2024-05-29'")
+    corr = spark.createDataFrame([("one", 1.0), ("two", 0.4)], "entity STRING, corr_90 DOUBLE")
+    got = {r.Asset: r for r in tables.performance(p, [("A", "Lead", "one"), ("A", "Late", "two"), ("A", "Gone", "three")], "2024-07-20", corr, benchmark="one").collect()}
+    assert (got["Lead"].Price, got["Lead"]["52 Week High"]) == (299.0, 299.0)
+    assert (got["Late"].Price, got["Late"]["7 Day Return (%)"], got["Late"]["52 Week High"]) == (None, None, 249.0)
+    assert [got["Gone"][c] for c in ("Price", "52 Week High", "90 Day BTC Correlation")] == [None, None, None]
+
+
+def test_tables_without_input_are_errors(spark, panel):
+    p = panel([("2024-01-05", 5.0)], "price_close DOUBLE")
+    none = p.withColumn("price_close", p["price_close"] * 0)
+    candles = spark.createDataFrame([("one", day("2024-01-05"), 1.0, None, 1.0, 1.0)], "entity STRING, Time DATE, Open DOUBLE, High DOUBLE, Low DOUBLE, Close DOUBLE")
+    corr = spark.createDataFrame([], "entity STRING, corr_90 DOUBLE")
+    changed = p.selectExpr("*", *[f"0D AS price_close_{c}_change" for c in ("7", "MTD", "YTD", "90")])
+    for build, said in (
+        (lambda: tables.price_buckets(none, 1000), "no positive"),
+        (lambda: tables.price_buckets(p, 1000, "2024-01-04"), "no positive"),
+        (lambda: returns.roi(p, "2024-01-04"), "no row on or before"),
+        (lambda: tables.candle_summary(candles, "2024-01-06"), "no complete candle"),
+        (lambda: tables.performance(changed, [("A", "Lead", "zero")], "2024-01-06", corr, benchmark="zero"), "no row of zero"),
+        (lambda: tables.price_buckets(p.withColumn("price_close", p["price_close"] * 1e13), 1000), "more than"),
+    ):
+        with pytest.raises(Exception, match=said):
+            build().collect()

@@ -127,3 +127,41 @@ def test_wide_panel_keeps_its_other_columns(long_panel):
     wide = long_panel.withColumns({"a.b": F.lit("x"), "other": F.col("v") * 2})
     out = windows.rolling(wide, [Roll("m", "v", 130, "median")])
     assert set(out.columns) == {"entity", "date", "v", "a.b", "other", "m"} and out.count() == wide.count()
+
+
+@pytest.mark.parametrize("rows", [7, 119, 120, 121, 122, 365])
+def test_one_arithmetic_for_all_frame_lengths(panel, rows):
+    """Levels far from zero with small noise: correlations and spreads keep their digits whatever the frame."""
+    rng = np.random.default_rng(rows)
+    noise = rng.normal(0, 1, (2, 800))
+    x, y = 1e8 + noise[0], 5e7 + 0.3 * noise[0] + noise[1]
+    x[300:420] = 1e8  # a frame of one value has no spread
+    p = panel([(d, float(a), float(b)) for d, a, b in zip(days("2020-01-01", "2022-03-10"), x, y)], "x DOUBLE, y DOUBLE", ["one"])
+    got = windows.rolling(p, [Roll("c", "x", rows, "corr", "y"), Roll("s", "x", rows, "std"), Roll("m", "x", rows)]).orderBy("date").toPandas()
+    for i in range(len(x)):
+        a, b = x[i - rows + 1 : i + 1], y[i - rows + 1 : i + 1]
+        if i < rows - 1:
+            assert got.loc[i, ["c", "s", "m"]].isna().all()
+        elif np.ptp(a) == 0:
+            assert np.isnan(got.c[i]) and got.s[i] == 0 and got.m[i] == 1e8
+        else:
+            assert got.c[i] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-6) and abs(got.c[i]) <= 1 + 1e-9
+            assert got.s[i] == pytest.approx(a.std(ddof=1), rel=1e-6) and got.m[i] == pytest.approx(a.mean(), rel=1e-14)
+
+
+def test_rank_bands_follow_the_data(spark):
+    """Fractions, near-constant prices and wide values: no band holds more than a few times its share of distinct values."""
+    from pyspark.sql import functions as F
+
+    n = 30_000
+    long = spark.range(n).select(F.lit("e").alias("entity"), F.explode(F.array(
+        F.struct(F.lit("small").alias("_metric"), (F.col("id") / n * 0.003).alias("_v")),
+        F.struct(F.lit("calm").alias("_metric"), (60_000 + F.col("id") / n).alias("_v")),
+        F.struct(F.lit("wide").alias("_metric"), F.exp(F.col("id") / 1500.0).alias("_v")),
+    )).alias("r")).select("entity", "r.*")
+    edges = {r["_metric"]: r["_edges"] for r in changes._band_edges(long.groupBy("entity", "_metric", "_v").count(), ["entity"]).collect()}
+    for r in long.select("_metric", "_v").toPandas().groupby("_metric"):
+        sizes = np.bincount(np.searchsorted(edges[r[0]], r[1]["_v"], side="right"))
+        assert sizes.max() <= 2 * changes.VALUES_PER_BAND and len(sizes) >= n // changes.VALUES_PER_BAND
+    ranks = changes._value_ranks(long, ["entity"]).filter("_metric = 'calm'").orderBy("_v").toPandas()
+    np.testing.assert_allclose(ranks["_share"], (np.arange(n) + 1) / n)
