@@ -24,7 +24,7 @@ def _customers(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("segment"))
     if entity == "nation":
         nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
-        customers = customers.join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 rows
+        customers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     return customers.select("c_custkey", F.col(entity).alias("entity"))
 
 

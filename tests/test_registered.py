@@ -6,6 +6,7 @@ import pytest
 from compare import DATA, compare, connect
 
 from catalog.registry import CASES
+from tidemark.session import release
 
 SF_DIR = f"{DATA}/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
@@ -19,6 +20,7 @@ def con():
 @pytest.mark.parametrize("name", CASES)
 def test_query_matches_its_sql(spark, con, name):
     _, _, problem = compare(spark, con, CASES[name], SF_DIR)
+    release()
     assert problem is None, problem
 
 
