@@ -244,7 +244,7 @@ FROM age a JOIN fit f ON f.entity = a.entity""",
 BANDS = {"any_balance": "addr_count", "0p001_btc": "addrs_over_100k_sats_addr_count", "0p01_btc": "addrs_over_1m_sats_addr_count", "0p1_btc": "addrs_over_10m_sats_addr_count"}
 CASES["metcalfe"] = Case(
     lambda s, d: models.fit_metcalfe(network(s, d), AS_OF),
-    {"entity": "s", "date": "d", **{f"metcalfe_scale_{b}": "f4" for b in BANDS}, **{f"metcalfe_value_{b}": "f3" for b in BANDS}, "metcalfe_price_multiple": "f8"},
+    {"entity": "s", "date": "d", **{f"metcalfe_scale_{b}": "f2" for b in BANDS}, **{f"metcalfe_value_{b}": "f3" for b in BANDS}, "metcalfe_price_multiple": "f8"},
     NETWORK
     + "scales AS (SELECT entity, "
     + ", ".join(f"exp(avg(ln(price_close * supply) - 2 * ln({c})) FILTER (WHERE {c} > 0)) AS s{i}" for i, c in enumerate(BANDS.values()))
