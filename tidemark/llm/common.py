@@ -37,11 +37,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends here, and rows, row ids included,
     are the same for every later reader, also after executors are lost."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

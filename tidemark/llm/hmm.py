@@ -33,7 +33,7 @@ SYMBOLS = 8192
 BUCKETS = 1024
 ROUNDS = 4
 STRETCH = 256
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 24 << 20
 CHUNK_TOKENS = 1 << 18
 _FLUSH = 1 << 20
 END = np.int64(0)  # the hash that stands for the end of a text
@@ -46,7 +46,11 @@ def _hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
-    return (mix(h.view(np.uint64) + np.uint64(11)) % np.uint64(BUCKETS)).astype(np.int64)
+    """Bits of the hash that no other use looks at alone; the same in SQL is ``_BUCKET``."""
+    return (h.view(np.uint64) >> np.uint64(40)).astype(np.int64) % BUCKETS
+
+
+_BUCKET = f"CAST(shiftrightunsigned(h, 40) % {BUCKETS} AS SMALLINT)"
 
 
 def _counted(batches):
@@ -58,7 +62,7 @@ def _counted(batches):
         n = np.concatenate([x for _, x in kept])
         distinct, at = np.unique(h, return_inverse=True)
         total = np.bincount(at, weights=n).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(total), pa.array(_bucket(distinct), pa.int32())], ["h", "n", "bucket"])
+        return pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(total)], ["h", "n"])
 
     for _, texts in row_slices(batches):
         h, n = np.unique(_hashes(texts)[0], return_counts=True)
@@ -72,9 +76,9 @@ def _counted(batches):
 
 
 def word_counts(train: DataFrame) -> DataFrame:
-    """(h, bucket, c): the count of every distinct training token."""
-    rows = packed(train.select("text")).mapInArrow(_counted, "h bigint, n bigint, bucket int")
-    return stage_table(rows.groupBy("h").agg(F.sum("n").alias("c"), F.first("bucket").alias("bucket")), "word-counts")
+    """(h, c): the count of every distinct training token."""
+    rows = packed(train.select("text")).mapInArrow(_counted, "h bigint, n bigint")
+    return stage_table(rows.groupBy("h").agg(F.sum("n").alias("c")), "word-counts")
 
 
 class Symbols:
@@ -92,7 +96,7 @@ class Symbols:
         self.counts = np.array([c for _, c in words], dtype=np.int64)
         self.bucket_tokens = np.zeros(BUCKETS)
         self.bucket_words = np.zeros(BUCKETS)
-        for r in counts.where(~own).groupBy("bucket").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
+        for r in counts.where(~own).groupBy(F.expr(_BUCKET).alias("bucket")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
             self.bucket_tokens[r["bucket"]], self.bucket_words[r["bucket"]] = r["c"], r["v"]
         self.size = len(self.words) + BUCKETS
         self.end = int(np.searchsorted(self.words, END))
@@ -123,7 +127,7 @@ def _prepared(symbols):
                 a, b = np.searchsorted(owner, [np.arange(n), np.arange(n) + 1])
                 c, d = np.searchsorted(rare_owner, [np.arange(n), np.arange(n) + 1])
                 for i in range(n):
-                    syms.append(sym[a[i] : b[i]].astype("<u2").tobytes())
+                    syms.append(sym[a[i] : b[i]].tobytes())
                     rare.append(at[done + c[i] : done + d[i]].tobytes())
                 done += len(h)
                 rows.append(row)
@@ -140,7 +144,8 @@ def _prepared(symbols):
             # Only the id and the fold go on; the text stays behind.
             rows = batch.column("row")
             slim = pa.table({c: rows.field(rows.type.get_field_index(c)) for c in ("doc_id", "held_out")})
-            group.append((slim, sym, owner, h[~own], owner[~own], len(texts)))
+            owner = owner.astype(np.int32)
+            group.append((slim, sym.astype("<u2"), owner, h[~own], owner[~own], len(texts)))
             held += sum(map(len, texts))
             if held >= GROUP_BYTES:
                 yield from flush()
@@ -280,11 +285,8 @@ def _scored(sent):
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
         symbols, model = sent.value
         place, c = words["place"].to_numpy(), words["c"].to_numpy()
-        counts = np.zeros(len(place))
-        counts[place] = c
-        h = np.zeros(len(place), dtype=np.int64)
-        h[place] = words["h"].to_numpy()
-        bucket = _bucket(h)
+        counts, bucket = np.zeros(len(place)), np.zeros(len(place), dtype=np.int64)
+        counts[place], bucket[place] = c, words["bucket"].to_numpy()
         inside = np.log10((counts + 0.1) / (symbols.bucket_tokens[bucket] + 0.1 * (symbols.bucket_words[bucket] + 1)))
         base = symbols.base(counts)
         own_base = np.concatenate([symbols.base(symbols.counts), np.zeros(BUCKETS)])
@@ -314,10 +316,10 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataFr
     given = packed(folded).mapInArrow(
         _prepared(spark.sparkContext.broadcast(symbols)), f"doc_id {kind}, held_out boolean, part bigint, syms binary, rare binary, words binary"
     )
-    prepared = stage_table(given, "symbol-texts")
+    prepared = stage_table(given, "symbol-texts", "zstd")
     model = train(prepared, symbols, states, rounds)
     listed = prepared.where("words is not null").select("part", "words").mapInArrow(_listed, "part bigint, place int, h bigint")
-    found = listed.join(counts.select("h", "c"), "h", "left").select("part", "place", "h", F.coalesce("c", F.lit(0)).alias("c"))
+    found = listed.join(counts.select("h", "c"), "h", "left").select("part", "place", F.expr(_BUCKET).alias("bucket"), F.coalesce("c", F.lit(0)).alias("c"))
     texts = prepared.select("part", "doc_id", "held_out", "syms", "rare")
     # A part is one slice of the preparation, so both sides of a group are bounded by GROUP_BYTES of text.
     return (
