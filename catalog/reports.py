@@ -10,7 +10,7 @@ from tidemark.session import settle
 
 from .base import AS_OF, CALENDAR, CANDLES, NATIONS, NETWORK, PANEL, candles, full_calendar, nations, nations_with_users, network, panel, table
 from .case import Case
-from .network import EVENTS, FIT_SQL, ORIGIN, STEP
+from .network import ENERGY_SQL, EVENTS, FIT_SQL, ORIGIN, STEP
 from .series import _snap_corr
 
 CASES: dict[str, Case] = {}
@@ -366,8 +366,9 @@ def network_models(spark, sf):
     return models.apply_metcalfe(lawful, models.metcalfe_fit(net, AS_OF))
 
 
-MODEL_SQL = FIT_SQL + f"""scales AS (SELECT entity, exp(avg(ln(price_close * supply) - 2 * ln(addr_count)) FILTER (WHERE addr_count > 0)) AS s0 FROM net WHERE date <= DATE '{AS_OF}' GROUP BY 1),
-mod AS (SELECT a.*, f.exponent, f.scale * power(a.age, f.exponent) AS law, s.s0, s.s0 * power(addr_count, 2) / supply AS met,
+USERS = (("Any Balance", "addr_count", "Non-Zero Address Count"), *[(f"{n}+ BTC", f"addrs_over_{c}_sats_addr_count", f"Addresses Holding {n}+ BTC") for n, c in (("0.001", "100k"), ("0.01", "1m"), ("0.1", "10m"))])
+MODEL_SQL = FIT_SQL + f"""scales AS (SELECT entity, {', '.join(f"exp(avg(ln(price_close * supply) - 2 * ln({c})) FILTER (WHERE {c} > 0)) AS s{i}" for i, (_, c, _) in enumerate(USERS))} FROM net WHERE date <= DATE '{AS_OF}' GROUP BY 1),
+mod AS (SELECT a.*, f.exponent, f.scale, f.scale * power(a.age, f.exponent) AS law, s.s0, s.s1, s.s2, s.s3, s.s0 * power(addr_count, 2) / supply AS met,
   CASE WHEN row_number() OVER w >= 30 THEN avg(hash_rate) OVER (PARTITION BY a.entity ORDER BY a.date ROWS 29 PRECEDING) END AS fast,
   CASE WHEN row_number() OVER w >= 60 THEN avg(hash_rate) OVER (PARTITION BY a.entity ORDER BY a.date ROWS 59 PRECEDING) END AS slow
   FROM age a JOIN fit f ON f.entity = a.entity JOIN scales s ON s.entity = a.entity WINDOW w AS (PARTITION BY a.entity ORDER BY a.date)),
@@ -375,11 +376,16 @@ mod AS (SELECT a.*, f.exponent, f.scale * power(a.age, f.exponent) AS law, s.s0,
 CASES["network_export"] = Case(
     lambda s, d: tables.network_export(network_models(s, d), AS_OF),
     {
-        "entity": "s", "date": "d", "BTC Price": "f4", "Non-Zero Address Count": "f0", "Metcalfe Value (Any Balance)": "f3", "Power Law Price": "f3",
-        "Days Since Genesis": "f0", "Hash Ribbon 30D / 60D": "f8", "Hash Ribbon Capitulation": "b",
+        "entity": "s", "date": "d", "BTC Price": "f4", "Bitcoin Market Cap": "f2", "Bitcoin Supply": "f2", **{n: "f0" for _, _, n in USERS},
+        **{f"Metcalfe Value ({b})": "f3" for b, _, _ in USERS}, **{f"Metcalfe Scale ({b})": "f2" for b, _, _ in USERS}, "BTC Price / Metcalfe Value": "f8",
+        "Power Law Price": "f3", "BTC Price / Power Law Price": "f8", "Days Since Genesis": "f0", "Power Law Exponent": "f8", "Power Law Scale": "f3",
+        "Hash Rate (H/s)": "f-2", "Hash Rate 30-Day MA (H/s)": "f-4", "Hash Rate 60-Day MA (H/s)": "f-4", "Hash Ribbon 30D / 60D": "f8", "Hash Ribbon Capitulation": "b",
     },
     MODEL_SQL + f"""--body
-SELECT entity, date, price_close AS "BTC Price", addr_count AS "Non-Zero Address Count", met AS "Metcalfe Value (Any Balance)", law AS "Power Law Price", age AS "Days Since Genesis",
+SELECT entity, date, price_close AS "BTC Price", market_cap AS "Bitcoin Market Cap", supply AS "Bitcoin Supply", {', '.join(f'{c} AS "{n}"' for _, c, n in USERS)},
+  {', '.join(f's{i} * power({c}, 2) / supply AS "Metcalfe Value ({b})", s{i} AS "Metcalfe Scale ({b})"' for i, (b, c, _) in enumerate(USERS))},
+  price_close / nullif(met, 0) AS "BTC Price / Metcalfe Value", law AS "Power Law Price", price_close / law AS "BTC Price / Power Law Price", age AS "Days Since Genesis",
+  exponent AS "Power Law Exponent", scale AS "Power Law Scale", hash_rate AS "Hash Rate (H/s)", fast AS "Hash Rate 30-Day MA (H/s)", slow AS "Hash Rate 60-Day MA (H/s)",
   fast / slow AS "Hash Ribbon 30D / 60D", CASE WHEN slow <> 0 THEN fast < slow END AS "Hash Ribbon Capitulation" FROM mod WHERE date <= DATE '{AS_OF}' AND price_close > 0""",
 )
 
@@ -389,14 +395,20 @@ def electricity(spark, sf):
     return tables.electricity_export(energy.energy(network(spark, sf).withColumn("subsidy_sum_24h", cut), dates=EVENTS, step_days=STEP), AS_OF)
 
 
+_POWER = {f"Power Expense ($0.0{c}/kWh)": f"kwh * 0.0{c}::DOUBLE / rev" for c in (3, 4, 5, 6, 7)}
 CASES["electricity_export"] = Case(
     electricity,
-    {"entity": "s", "date": "d", "BTC Price": "f4", "Network Power Draw (W)": "f2", "Miner Revenue (BTC)": "f4", "Power Expense ($0.05/kWh)": "f5", "Power-Only Break-Even Tariff ($/kWh)": "f6"},
-    NETWORK + f"""--body
-SELECT entity, date, price_close AS "BTC Price", hash_rate / 1e9 * cm_efficiency_j_gh AS "Network Power Draw (W)", subsidy_sum_24h + fees_sum_24h AS "Miner Revenue (BTC)",
-  hash_rate / 1e9 * cm_efficiency_j_gh * 24 / 1000 * 0.05::DOUBLE / (subsidy_sum_24h + fees_sum_24h) AS "Power Expense ($0.05/kWh)",
-  price_close * (subsidy_sum_24h + fees_sum_24h) / (hash_rate / 1e9 * cm_efficiency_j_gh * 24 / 1000) AS "Power-Only Break-Even Tariff ($/kWh)"
-FROM net WHERE day(date) <> 5 AND date <= DATE '{AS_OF}'""",
+    {
+        "entity": "s", "date": "d", "BTC Price": "f4", "Fleet Efficiency (J/GH)": "f6", "Network Power Draw (W)": "f2", "Daily Electricity Consumption (kWh)": "f4", "Subsidy (BTC)": "f4",
+        "Fees (BTC)": "f4", "Miner Revenue (BTC)": "f4", **{n: "f5" for n in _POWER}, "Power-Only Break-Even Tariff ($/kWh)": "f6", "Legacy PUE/Subsidy-Only Cost": "f5",
+        "Bitcoin Production Cost": "f5", "Hayes Network Price": "f5", "Energy Value": "f8",
+    },
+    ENERGY_SQL + f"""--body
+SELECT entity, date, price_close AS "BTC Price", cm_efficiency_j_gh AS "Fleet Efficiency (J/GH)", w AS "Network Power Draw (W)", kwh AS "Daily Electricity Consumption (kWh)",
+  subsidy_sum_24h AS "Subsidy (BTC)", fees_sum_24h AS "Fees (BTC)", rev AS "Miner Revenue (BTC)", {', '.join(f'{e} AS "{n}"' for n, e in _POWER.items())},
+  price_close * rev / kwh AS "Power-Only Break-Even Tariff ($/kWh)", kwh * 0.05::DOUBLE * 1.1::DOUBLE / nullif(subsidy_sum_24h, 0) AS "Legacy PUE/Subsidy-Only Cost",
+  kwh * 0.05::DOUBLE * 1.1::DOUBLE / nullif(subsidy_sum_24h, 0) / 0.6::DOUBLE AS "Bitcoin Production Cost", hayes AS "Hayes Network Price", ev AS "Energy Value"
+FROM h WHERE day(date) <> 5 AND date <= DATE '{AS_OF}'""",
 )
 
 
