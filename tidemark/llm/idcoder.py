@@ -20,6 +20,7 @@ LANES = 4096
 MAX_IDS = 1 << TOTAL_BITS
 _LOW, _FLOOR = np.uint64((1 << 32) - 1), np.uint64(1 << 32)
 _16, _32 = np.uint64(16), np.uint64(32)
+_SURER = np.array([1, 2, 3, 3], dtype=np.uint32)
 _EB, _TB = np.uint64(EVENT_BITS), np.uint64(TOTAL_BITS)
 
 
@@ -33,7 +34,9 @@ class Order0:
 
     @classmethod
     def of(cls, ids: np.ndarray) -> Order0:
-        distinct, counts = np.unique(ids, return_counts=True)
+        every = np.bincount(ids) if len(ids) else np.zeros(0, dtype=np.int64)
+        distinct = np.flatnonzero(every)
+        counts = every[distinct]
         if len(distinct) > MAX_IDS:
             raise ValueError("too many distinct ids for one file")
         spare = MAX_IDS - len(distinct)
@@ -44,15 +47,14 @@ class Order0:
 
 
 class _Model:
-    """Predictions and chances of ``n`` blocks."""
+    """Predictions and chances of ``n`` blocks. A slot holds a predicted symbol and, in its two low bits, the confidence."""
 
     def __init__(self, n: int):
         lane = np.arange(n, dtype=np.int64)
         self.base1, self.base2, self.base_w = lane << SLOT1, lane << SLOT2, lane << 4
-        self.guess1, self.sure1 = np.zeros(n << SLOT1, dtype=np.uint16), np.zeros(n << SLOT1, dtype=np.int8)
-        self.guess2, self.sure2 = np.zeros(n << SLOT2, dtype=np.uint16), np.zeros(n << SLOT2, dtype=np.int8)
+        self.slots1, self.slots2 = np.zeros(n << SLOT1, dtype=np.uint32), np.zeros(n << SLOT2, dtype=np.uint32)
         one = 1 << EVENT_BITS
-        first = np.array([1, one // 4, one // 2, 3 * one // 4], dtype=np.int64)
+        first = np.array([1, one // 4, one // 2, 3 * one // 4], dtype=np.int32)
         self.right2 = np.tile(np.repeat(first, 4), n)  # by (confidence 2, confidence 1)
         self.right1 = np.tile(np.tile(first, 4), n)
         self.last = np.zeros(n, dtype=np.int64)
@@ -60,25 +62,26 @@ class _Model:
 
     def look(self, m: int):
         """Predictions of both orders and the widths of the first two outcomes."""
-        last = self.last[:m]
-        self.at1 = self.base1[:m] + ((last * 40503 >> 4) & ((1 << SLOT1) - 1))
-        self.at2 = self.base2[:m] + (((last * 40503 + self.before[:m] * 52429) >> 3) & ((1 << SLOT2) - 1))
-        self.c1, self.c2 = self.sure1.take(self.at1), self.sure2.take(self.at2)
-        self.g1, self.g2 = self.guess1.take(self.at1), self.guess2.take(self.at2)
+        last = self.last[:m] * 40503
+        self.at1 = ((last >> 4) & ((1 << SLOT1) - 1)) + self.base1[:m]
+        self.at2 = (((last + self.before[:m] * 52429) >> 3) & ((1 << SLOT2) - 1)) + self.base2[:m]
+        slot1, slot2 = self.slots1.take(self.at1), self.slots2.take(self.at2)
+        self.c1, self.c2 = slot1 & 3, slot2 & 3
+        self.g1, self.g2 = slot1 >> 2, slot2 >> 2
         self.at_w = self.base_w[:m] + ((self.c2 << 2) | self.c1)
         self.p2, self.p1 = self.right2.take(self.at_w), self.right1.take(self.at_w)
-        rest = (1 << EVENT_BITS) - self.p2
-        return self.p2, 1 + (((rest - 2) * self.p1) >> EVENT_BITS)
+        return self.p2, (((((1 << EVENT_BITS) - 2) - self.p2) * self.p1) >> EVENT_BITS) + 1
 
     def learn(self, m: int, sym: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """``hit1`` holds only where ``hit2`` does not."""
-        top = (1 << EVENT_BITS) - 34
-        self.right2[self.at_w] = self.p2 + (((hit2 * top) - self.p2 + 17) >> RATE).clip(1 - self.p2, None)
-        self.right1[self.at_w] = np.where(hit2, self.p1, self.p1 + ((((hit1 * top) - self.p1) + 17) >> RATE).clip(1 - self.p1, None))
-        self.guess1[self.at1] = sym
-        self.guess2[self.at2] = sym
-        self.sure1[self.at1] = np.minimum(self.c1 + 1, 3) * (self.g1 == sym) + (self.g1 != sym)
-        self.sure2[self.at2] = np.minimum(self.c2 + 1, 3) * (self.g2 == sym) + (self.g2 != sym)
+        top = np.int32((1 << EVENT_BITS) - 34)
+        p2, p1 = self.p2, self.p1
+        self.right2[self.at_w] = np.maximum(p2 + ((hit2 * top - p2 + 17) >> RATE), 1)
+        self.right1[self.at_w] = np.where(hit2, p1, np.maximum(p1 + ((hit1 * top - p1 + 17) >> RATE), 1))
+        wide = sym.astype(np.uint32)
+        slot = wide << 2
+        self.slots1[self.at1] = slot + np.where(self.g1 == wide, _SURER.take(self.c1), 1)
+        self.slots2[self.at2] = slot + np.where(self.g2 == wide, _SURER.take(self.c2), 1)
         self.before[:m] = self.last[:m]
         self.last[:m] = sym
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 
@@ -32,8 +33,11 @@ from .idcoder import LANES, Order0, decode_blocks, encode_blocks
 MAGIC = b"TMIDS01\n"
 BLOCK = 1024
 FILE_IDS = BLOCK * LANES
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 800_000
 _JOIN = 400
+#: Latin letters whose lower case is one letter, then punctuation that begins no contraction.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([,.;:!?)]*)")
+_SIGNS = "♥★♫✨☀♪❤"
 
 
 class Encoder:
@@ -44,10 +48,18 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
-        self.gap_id, self.gap = next(iter(sorted(special.items())), (None, None))
-        self.specials = [s.encode() for s in special.values()]
+        # A sign that is one id of its own: where a chunk does not hold it, its id marks the gaps between chunks.
+        coded = {sign: self._ids([sign])[0] for sign in _SIGNS}
+        self.gap, self.gap_id = next(((sign, ids[0]) for sign, ids in coded.items() if len(ids) == 1), (None, None))
+        # Ids that end a word, where the vocabulary marks them.
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        words = self.tokenizer.get_vocab()
+        self.final = None
+        if suffix:
+            self.final = np.zeros(max(words.values()) + 1, dtype=bool)
+            self.final[[i for w, i in words.items() if w.endswith(suffix)]] = True
         self.cache: dict[bytes, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -55,17 +67,43 @@ class Encoder:
     def _learn(self, chunks: set[bytes]) -> None:
         if len(self.cache) + len(chunks) > CACHE_CHUNKS:
             self.cache.clear()
-        new = [c for c in chunks if c not in self.cache]
-        alone = [c for c in new if self.gap is None or any(s in c for s in self.specials)]
-        self.cache.update(zip(alone, (np.array(x, dtype="<u4").tobytes() for x in self._ids([c.decode() for c in alone]))))
-        new = [c for c in new if c not in self.cache]
-        # Chunks are sent together with a special token, which no chunk holds, between them.
-        joined = [new[i : i + _JOIN] for i in range(0, len(new), _JOIN)]
-        for part, ids in zip(joined, self._ids([self.gap.join(c.decode() for c in p) for p in joined])):
-            flat = np.array(ids, dtype="<u4")
-            at = np.flatnonzero(flat == self.gap_id)
-            data, begins, ends = flat.tobytes(), [0, *(4 * (at + 1)).tolist()], [*(4 * at).tolist(), 4 * len(flat)]
-            self.cache.update((c, data[a:b]) for c, a, b in zip(part, begins, ends))
+            self.runs.clear()
+        plain, other, runs = [], [], set()
+        for c in chunks:
+            if c not in self.cache:
+                text = c.decode()
+                found = _PLAIN.fullmatch(text) if self.final is not None else None
+                if found:
+                    letters, marks = found[1].lower(), found[2]
+                    plain.append((c, letters, marks))
+                    runs.add(letters)
+                    runs.add(marks)
+                else:
+                    other.append((c, text))
+        runs.discard("")
+        new = [r for r in runs if r not in self.runs]
+        for part in (new[i : i + _JOIN] for i in range(0, len(new), _JOIN)):
+            self._learn_runs(part)
+        known = self.runs
+        self.cache.update((c, known[letters] + known[marks] if marks else known[letters]) for c, letters, marks in plain)
+        alone = [x for x in other if self.gap is None or self.gap in x[1]]
+        marked = [x for x in other if self.gap is not None and self.gap not in x[1]]
+        self.cache.update(zip((c for c, _ in alone), (np.array(x, dtype="<u4").tobytes() for x in self._ids([t for _, t in alone]))))
+        for part in (marked[i : i + _JOIN] for i in range(0, len(marked), _JOIN)):
+            flat = np.array(self._ids([f" {self.gap} ".join([t for _, t in part])])[0], dtype="<u4")
+            at = 4 * np.flatnonzero(flat == self.gap_id)
+            data = flat.tobytes()
+            self.cache.update((c, data[a:b]) for (c, _), a, b in zip(part, [0, *(at + 4).tolist()], [*at.tolist(), 4 * len(flat)]))
+
+    def _learn_runs(self, part: list[str]) -> None:
+        """A run of letters or of punctuation is one word to the tokenizer, whose last id says that it ends there."""
+        flat = np.array(self._ids([" ".join(part)])[0], dtype="<u4")
+        ends = (4 * (np.flatnonzero(self.final[flat]) + 1)).tolist()
+        if len(ends) != len(part):
+            self.runs.update(zip(part, (np.array(x, dtype="<u4").tobytes() for x in self._ids(part))))
+            return
+        data = flat.tobytes()
+        self.runs.update((r, data[a:b]) for r, a, b in zip(part, [0, *ends[:-1]], ends))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
