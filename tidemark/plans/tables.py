@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import col, finite, number, pct_change, positive, ratio
@@ -210,7 +210,9 @@ def fundamentals(panel: DataFrame, template: Mapping[str, Mapping[str, tuple[str
         ]
     )
     names = [*keys, "place", "Section", "Metric", "kind"]
-    long = rows.select(*keys, ORDER, F.inline(cells)).filter("value IS NOT NULL")
+    recent = _recent_years(rows, [column for *_, column, _ in entries], keys)
+    kept = F.filter(cells, lambda x: F.year(ORDER) >= F.element_at("_from", x["place"] + 1))
+    long = rows.join(recent, list(keys)).select(*keys, ORDER, F.inline(kept)).filter("value IS NOT NULL")
     newest = rows.groupBy(*keys).agg(F.max(ORDER).alias("newest"))
     totals = long.groupBy(*keys, "place").agg(F.count(F.lit(1)).alias("n"), F.max(ORDER).alias("last_seen"))
     numbered = number_rows(long, [*keys, "place"])
@@ -240,6 +242,18 @@ def fundamentals(panel: DataFrame, template: Mapping[str, Mapping[str, tuple[str
     )
 
 
+def _recent_years(rows: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """(keys, _from): per column the year from which on it has ``YEAR_OBSERVATIONS`` values, or its first year.
+
+    Counted on one row per year, so that only the newest years of a long history are turned into cells.
+    """
+    counted = rows.groupBy(*keys, F.year(ORDER).alias("_year")).agg(*[F.count(finite(c)).alias(f"_n{i}") for i, c in enumerate(columns)])
+    newer = Window.partitionBy(*keys).orderBy(F.desc("_year")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = counted.select(*keys, "_year", *[F.sum(f"_n{i}").over(newer).alias(f"_s{i}") for i in range(len(columns))])
+    enough = [F.coalesce(F.max(F.when(F.col(f"_s{i}") >= YEAR_OBSERVATIONS, F.col("_year"))), F.min("_year")) for i in range(len(columns))]
+    return so_far.groupBy(*keys).agg(F.array(*enough).alias("_from"))
+
+
 def summary_table(panel: DataFrame, as_of, keys: Sequence[str] = KEYS) -> DataFrame:
     """Ten headline values of the as-of row: text in ``Value`` and, where it is a number, a DOUBLE in ``Number``."""
     row = as_of_row(panel, as_of, keys, required=True)
