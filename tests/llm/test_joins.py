@@ -271,18 +271,28 @@ def test_near_dedup_of_repeated_rows_null_ids_and_nothing(spark):
     assert near_dedup.classes(frame(spark, [None, "", "."])).where("kept").count() == 3
 
 
-def test_mixed_buckets_lose_no_link(spark):
-    """Round by round, every pair of a bucket is compared unless both are in one class already."""
-    nodes = list(range(40))
-    buckets = spark.createDataFrame([(1, n, 0, i) for i, n in enumerate(nodes)], "key BIGINT, node BIGINT, first BIGINT, place INT")
-    compared = {(0, n) for n in nodes[1:]}
-    labels = spark.createDataFrame([], "node BIGINT, class BIGINT")
-    low = 1
-    while low < len(nodes):
-        pairs = near_dedup._round_pairs(buckets, labels, low, 2 * low + 1).collect()
-        compared |= {(r.a, r.b) for r in pairs}
-        low = 2 * low + 1
-    assert compared == {(a, b) for a in nodes for b in nodes if a < b}
+@pytest.mark.parametrize("threshold", [0.8, 0.5])
+def test_the_prefix_join_loses_no_link(spark, threshold):
+    """Every pair of different classes at the threshold is proposed, with repeated shingles, shared passages and short texts."""
+    r = random.Random(6)
+    passage = prose(8, 40, 30)
+    texts = [" ".join(passage + prose(2000 + j, r.randrange(1, 30), 8)) for j in range(60)]
+    base = prose(9, 80, 40)
+    for j in range(40):
+        changed = list(base)
+        for _ in range(r.randrange(4)):
+            changed[r.randrange(80)] = f"x{r.randrange(3)}"
+        texts.append(" ".join(changed))
+    texts += ["one two", "one two three", "a b c d e", "a b c d e f"]
+    members = spark.createDataFrame([(i, i if i % 7 else 0) for i in range(len(texts))], "node BIGINT, class BIGINT")
+    rows = spark.createDataFrame(list(enumerate(texts)), "node BIGINT, text STRING").repartition(3)
+    got = {(x.a, x.b) for x in near_dedup._prefix_pairs(members, rows, threshold).collect()}
+    bags = [shingles(t) for t in texts]
+    kind = [i if i % 7 else 0 for i in range(len(texts))]
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if kind[i] != kind[j] and jaccard(bags[i], bags[j]) >= threshold}
+    assert want <= got and len(want) > 50
+    if threshold == 0.8:
+        assert len(got) < 3 * len(want)  # the shared passage alone proposes few
 
 
 def test_components_of_chains_stars_and_cycles(spark):

@@ -8,10 +8,11 @@ weights and below rank ``T / total weight`` are about ``T`` in number however lo
 Two texts agree in a coordinate with the probability of their weighted Jaccard similarity.
 
 * Texts with the same words are one node: they are folded by a hash of their words, so copies cost no pairs.
-* Nodes meet in buckets, one per band of ``ROWS`` coordinates. In round 0 every member is compared with the bucket's first
-  node. Classes are contracted, and while a bucket still holds several classes, twice as many further nodes of it are compared
-  with the members of other classes, until each pair of nodes of a bucket was compared or is in one class: no candidate link
-  is lost, and pairs within a class are not built.
+* Nodes meet in buckets, one per band of ``ROWS`` coordinates. First every member is compared with the node of the bucket that
+  meets most others, then the next ``LEADERS`` such nodes with the members of other classes, which joins nearly all that
+  belongs together. The nodes of buckets that still hold several classes go through an exact prefix join, which
+  proposes every pair of different classes that can reach the threshold: no candidate link is lost, pairs within a class are
+  not built, and texts that merely share a common passage propose none.
 * A comparison is the exact weighted Jaccard similarity of both whole texts; ``threshold`` (0.8) or more is a link.
 * Classes are the connected components of the links, found by label rounds with pointer jumps on tables.
 
@@ -36,6 +37,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 32
 ROWS = 6
+LEADERS = 4  # nodes of a bucket that are compared with its other classes in the second round
 SLICE_ROWS = 256  # a text has about BANDS * ROWS * 7 darts, however short it is
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -189,13 +191,57 @@ def components(links: DataFrame) -> DataFrame:
         labels = stage_table(moved, "labels")
 
 
-def _round_pairs(buckets: DataFrame, labels: DataFrame, low: int, high: int) -> DataFrame:
-    """Pairs of the ``low``-th to ``high - 1``-th node of a bucket with later nodes of other classes, for buckets that hold several."""
+def _open(buckets: DataFrame, labels: DataFrame, low: int) -> DataFrame:
+    """Members, with their classes, of the buckets that hold several classes and nodes beyond the first ``low`` ones."""
     known = buckets.join(labels, "node", "left").select("key", "place", "node", F.coalesce("class", "node").alias("class"))
     mixed = known.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y"), F.max("place").alias("last"))
-    open_ = known.join(mixed.where(F.col("x") != F.col("y")).where(F.col("last") > low).select("key"), "key", "left_semi")
-    lead = open_.where((F.col("place") >= low) & (F.col("place") < high)).select("key", F.col("place").alias("p"), F.col("node").alias("a"), F.col("class").alias("c"))
-    return lead.join(open_, "key").where("place > p and class <> c").select("a", F.col("node").alias("b")).distinct()
+    return known.join(mixed.where((F.col("x") != F.col("y")) & (F.col("last") >= low)).select("key"), "key", "left_semi")
+
+
+def _round_pairs(members: DataFrame, low: int, high: int) -> DataFrame:
+    """Pairs of the ``low``-th to ``high - 1``-th node of a bucket with later nodes of other classes."""
+    lead = members.where((F.col("place") >= low) & (F.col("place") < high)).select("key", F.col("place").alias("p"), F.col("node").alias("a"), F.col("class").alias("c"))
+    return lead.join(members, "key").where("place > p and class <> c").select("a", F.col("node").alias("b")).distinct()
+
+
+def _elements(batches):
+    """(node, element, size): the units of weight of each text, the n-th occurrence of a shingle being an element of its own."""
+    for batch in batches:
+        nodes, texts = batch.column("node").to_numpy(), [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        for i in range(0, len(texts), SLICE_ROWS):
+            shingled, of, _ = _sets(texts[i : i + SLICE_ROWS])
+            units = mix(shingled + mix(_units(shingled, of).astype(_U) + _U(1))).view(np.int64)
+            size = np.bincount(of, minlength=len(texts[i : i + SLICE_ROWS]))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[i : i + SLICE_ROWS][of]), pa.array(units), pa.array(size[of])], ["node", "element", "size"])
+
+
+def _prefix_pairs(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of nodes of different classes that can reach the threshold, among the members of open buckets.
+
+    Elements are ordered by how few of these nodes hold them. Two texts at the threshold share an element among the first few
+    of each, as many as the overlap they need leaves over, at places that leave room for that overlap. What many texts share, a
+    passage say, comes last and proposes no pair.
+    """
+    nodes = members.select("node", "class").distinct()
+    held = texts.join(nodes.select("node"), "node", "left_semi").mapInArrow(_elements, "node bigint, element bigint, size bigint")
+    held = stage_table(held, "elements")
+    spread = held.groupBy("element").agg(F.count(F.lit(1)).alias("df"))
+    rarest = Window.partitionBy("node").orderBy("df", "element")  # one text's elements
+    needed = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1
+    # ``shared``: how many of the elements up to this one some other text holds at all.
+    placed = held.join(spread, "element").withColumns({"nth": F.row_number().over(rarest), "shared": F.sum(F.when(F.col("df") > 1, 1).otherwise(0)).over(rarest)})
+    prefix = placed.where((F.col("nth") <= needed) & (F.col("df") > 1)).join(nodes, "node").select("element", "node", "class", "size", "nth", "shared")
+    prefix = stage_table(prefix, "prefixes")
+    per_class = prefix.groupBy("element", "class").agg(F.count(F.lit(1)).alias("n"))
+    main = per_class.groupBy("element").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    # Of two nodes of different classes one at least is outside the element's largest class.
+    one = prefix.join(main, "element").where("class <> main").select("element", *[F.col(c).alias(f"a_{c}") for c in prefix.columns if c != "element"])
+    # The overlap that a pair of these sizes needs; a pair that has it shares one of the first ``size - overlap + 1`` of each.
+    overlap = f"ceil((a_size + size) * {threshold / (1 + threshold)} - 1e-9)"
+    # What two texts can share at most, seen from this element: the shared elements so far, and all that follow.
+    most = "least(a_shared, shared) + least(a_size - a_nth, size - nth)"
+    fits = f"class <> a_class and a_nth <= a_size - {overlap} + 1 and nth <= size - {overlap} + 1 and {most} >= {overlap}"
+    return one.join(prefix, "element").where(fits).select(F.least("a_node", "node").alias("a"), F.greatest("a_node", "node").alias("b")).distinct()
 
 
 def _links(buckets: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -203,17 +249,14 @@ def _links(buckets: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     first = buckets.where("place > 0").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = stage_table(_verified(first, texts, threshold), "links")
     labels = components(links)
-    low = 1
-    while True:
-        high = 2 * low + 1
-        pairs = stage_table(_round_pairs(buckets, labels, low, high), "pairs")
-        if not pairs.limit(1).count():
-            if not buckets.where(F.col("place") > high).limit(1).count():
-                return labels
-        else:
-            links = stage_table(links.union(_verified(pairs, texts, threshold)), "links")
-            labels = components(links)
-        low = high
+    for low, high in ((1, 1 + LEADERS), (1 + LEADERS, None)):
+        members = stage_table(_open(buckets, labels, low), "open-buckets")
+        if not members.limit(1).count():
+            break
+        pairs = _prefix_pairs(members, texts, threshold) if high is None else _round_pairs(members, low, high)
+        links = stage_table(links.union(_verified(pairs, texts, threshold)), "links")
+        labels = components(links)
+    return labels
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -227,9 +270,11 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     first_row = F.struct(F.col("id").isNull().alias("none"), "id", "rid")
     nodes = signed.where("node is not null").groupBy("node").agg(F.min_by("keys", "rid").alias("keys"))
     members = nodes.select("node", F.explode("keys").alias("key"))  # a key already mixes in its band
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first")).where("size > 1")
-    inside = Window.partitionBy("key").orderBy("node")
-    buckets = members.join(shared, "key").select("key", "node", "first", (F.row_number().over(inside) - 1).alias("place"))
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    met = stage_table(members.join(shared, "key"), "met")
+    central = met.groupBy("node").agg(F.sum("size").alias("weight"))  # how many nodes it meets, band by band
+    inside = Window.partitionBy("key").orderBy(F.desc("weight"), "node")
+    buckets = met.join(central, "node").select("key", "node", F.first("node").over(inside).alias("first"), (F.row_number().over(inside) - 1).alias("place"))
     buckets = stage_table(buckets, "buckets")
 
     texts = signed.where("node is not null").select("node", "rid", F.col(f"row.{text_column}").alias("text"))
