@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 #: Bytes of text that a Python worker turns into words and arrays at once.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _OWNED: list[str] = []
 
@@ -57,35 +57,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_bytes(column: str = "text") -> Column:
-    """The text as UTF-8 bytes; null counts as empty."""
-    return F.coalesce(F.col(column).cast("binary"), F.lit(b"")).alias(column)
-
-
-def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` (binary or string) holds about ``limit`` bytes in each; one row is never cut."""
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        sizes = np.array([len(v) for v in _views(batch, column)], dtype=np.int64)
-        part = (np.cumsum(sizes) - sizes) // limit
-        starts = np.flatnonzero(np.diff(part, prepend=-1))
-        for a, b in zip(starts, [*starts[1:], batch.num_rows]):
-            yield batch.slice(int(a), int(b - a))
-
-
-def _views(batch: pa.RecordBatch, column: str) -> list[bytes | str]:
-    return batch.column(batch.schema.get_field_index(column)).to_pylist()
-
-
-def values(batch: pa.RecordBatch, column: str) -> list:
-    return _views(batch, column)
-
-
-def batch_of(schema: pa.Schema, *columns: Sequence) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
-
-
 #: Word bytes of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` after lower-casing A-Z: digits, letters and all of UTF-8 beyond ASCII.
 _WORD_TABLE = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
