@@ -1,6 +1,6 @@
 """Corpus pipeline: five stages over the documents, each written as Parquet and read again by the next.
 
-Language ID drops texts without a language or far from every language profile, exact and near deduplication keep one document
+Language ID drops texts without a letter or far from every language profile for their length, exact and near deduplication keep one document
 of each group, decontamination drops documents that hold a benchmark window, and BPE encodes what is left and decodes it again.
 Every stage sees all that its predecessor kept; all but the last return the columns of ``documents``.
 """
@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from tidemark.llm import bpe, decontaminate, exact_dedup, langid, near_dedup
 from tidemark.llm.common import stage_table, table
 
-#: Cosine below which a text is like no language; ordinary prose of a learned language scores far above.
-LEAST_COSINE = 0.05
+#: Share of a language's mean closeness below which a text, if long enough to tell, is like no language. Random letters have
+#: 0.03 to 0.05 of it, documents 0.3 or more.
+LEAST_SHARE = 0.1
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.accepted(docs, LEAST_COSINE)
+    return langid.accepted(docs, LEAST_SHARE)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import bpe, hmm, langid, secrets
 
 DOCS = "doc_id BIGINT, text STRING"
@@ -176,6 +177,26 @@ def test_held_out_languages(spark):
     assert kept.columns == docs.columns and kept.count() == len(rows) - 3
 
 
+def test_short_clean_texts_stay_and_gibberish_goes(spark):
+    r = random.Random(4)
+    rows = [(i, speech(lang, i, 60), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 60)]
+    rows += [(1000 + i, speech(lang, -i, 1), None) for i, lang in enumerate(["aa", "bb", "cc"] * 100)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = lambda n: " ".join("".join(r.choice(letters) for _ in range(r.randrange(2, 10))) for _ in range(n))
+    for at, n in ((2000, 5), (3000, 50), (4000, 500)):
+        rows += [(at + i, noise(n), None) for i in range(40)]
+    kept = {x.doc_id for x in langid.accepted(spark.createDataFrame(rows, DOCS + ", lang STRING").repartition(4), corpus_pipeline.LEAST_SHARE).collect()}
+    assert not {i for i, _, _ in rows if i < 2000} - kept
+    assert len([i for i in kept if 2000 <= i < 3000]) < 10 and max(kept) < 3000
+
+
+def test_copies_and_single_texts_do_not_refuse_the_rest(spark):
+    rows = [(i, "ka", "aa") for i in range(900)] + [(1000 + i, speech("aa", i, 300), "aa") for i in range(20)]
+    rows += [(2000, "ein Titel", "de"), (2003, "ganz anderer Text mit vielen Worten " * 20, "de")]
+    docs = spark.createDataFrame(rows, DOCS + ", lang STRING").coalesce(2)
+    assert langid.accepted(docs, corpus_pipeline.LEAST_SHARE).count() == len(rows)
+
+
 def test_prototypes_do_not_depend_on_partitions(spark):
     docs = spark.createDataFrame([(i, speech(lang, i), lang) for i, lang in enumerate(["aa", "bb"] * 20)], DOCS + ", lang STRING")
     a, b = langid.train(docs.repartition(1)), langid.train(docs.repartition(7))
