@@ -113,6 +113,29 @@ def test_pages_round_trip(spark):
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=repr) == brute_pages(rows)
 
 
+def test_pages_with_long_urls_and_control_characters(spark):
+    long, data = "é" * 60, "data:text/html;base64," + "QUJD" * 50_000
+    rows = [(1, data, long), (2, "u", long), (3, "http://x/\x00\x01\x7f", "y" * 200), (4, "u", "y" * 200), (5, "a\r\nContent-Length: 3\t ", "z"), (6, " ", "z")]
+    read = warc.read(warc.write(spark.createDataFrame(rows, PAGES)))
+    assert warc.quarantine(read).count() == 0
+    got = warc.resolved(read).collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=repr) == brute_pages(rows)
+    urls = {r.id: r.url for r in read.collect()}
+    assert urls == {"1": data, "2": "u", "3": "http://x/%00%01%7F", "4": "u", "5": "a%0D%0AContent-Length: 3%09", "6": "about:blank"}
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+@pytest.mark.parametrize("size", [65_300, 65_400, 65_500, 131_000, 1_000_000])
+def test_long_headers_are_read_and_damage_in_them_is_not(compressed, size):
+    blocks, parts = archive(compressed=compressed)
+    parts[3] = warc.record([("WARC-Type", "response"), ("WARC-Page-ID", "3"), ("WARC-Target-URI", "u" * size)], blocks[3], compressed)
+    assert scan(b"".join(parts)) == (dict(enumerate(blocks)), [])
+    if not compressed:
+        bad = parts[3][: size // 2] + b"\x00" + parts[3][size // 2 :]
+        got, gaps = scan(b"".join([*parts[:3], bad, *parts[4:]]))
+        assert set(range(20)) - set(got) == {3} and len(gaps) == 1
+
+
 def test_no_pages_and_a_damaged_file(spark, tmp_path):
     none = warc.write(spark.createDataFrame([], PAGES))
     assert warc.resolved(warc.read(none)).count() == 0

@@ -32,13 +32,17 @@ from .common import new_folder, packed, stage_table
 FILE_BYTES = 16 << 20
 REVISIT_BYTES = 100
 PIECE = 1 << 16
-#: A header block longer than this is damage; payloads have no bound of their own.
+#: A header in a plain file is read in this size first, then doubled while its lines are fields; neither headers nor payloads are bounded.
 HEADER_BYTES = 1 << 16
 VERSION = b"WARC/1.1"
 _VERSION_LINE = re.compile(rb"WARC/1\.[0-9]\r\n")
 _MAGIC = b"\x1f\x8b\x08"
 #: A field name, a colon, and no control characters: binary data does not pass for a header.
 _LINE = re.compile(rb"[!-9;-~]+:[^\x00-\x08\x0a-\x1f\x7f]*")
+_LINE_BEGUN = re.compile(rb"[!-9;-~]*|" + _LINE.pattern)
+_NO_END = "the header has no end"
+#: What may not stand in a header line; in urls it is percent-encoded.
+_CONTROL = re.compile(r"[\x00-\x1f\x7f]")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2000-01-01T00:00:00Z"
 
@@ -61,7 +65,7 @@ def _fields(page_id, url, kind: str, digest: str, refers_to) -> list[tuple[str,
         ("WARC-Record-ID", f"<urn:uuid:{name}>"),
         ("WARC-Date", _DATE),
         ("WARC-Page-ID", "" if page_id is None else str(page_id)),
-        ("WARC-Target-URI", " ".join((url or "").split()) or "about:blank"),
+        ("WARC-Target-URI", _CONTROL.sub(lambda m: f"%{ord(m.group()):02X}", (url or "").strip(" ")) or "about:blank"),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("Content-Type", "text/html"),
     ]
@@ -165,20 +169,35 @@ def _member(view: _Window) -> tuple[bytes, int] | str:
 def _header(raw: bytes) -> tuple[dict[str, str], int] | str:
     if not _VERSION_LINE.match(raw):
         return "no version line"
-    end = raw.find(b"\r\n\r\n", 0, HEADER_BYTES)
+    end = raw.find(b"\r\n\r\n")
     if end < 0:
-        return "the header has no end"
+        return _NO_END
     fields: dict[str, str] = {}
     for line in raw[:end].split(b"\r\n")[1:]:
         if not _LINE.fullmatch(line):
             return "a header line is not a field"
         name, _, value = line.partition(b":")
         fields[name.strip().decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
-    if not fields.get("content-length", "").isdigit() or "warc-type" not in fields:
+    if not re.fullmatch("[0-9]{1,18}", fields.get("content-length", "")) or "warc-type" not in fields:
         return "the header lacks type or length"
     return fields, end + 4
 
 
+def _plain_header(view: _Window) -> tuple[dict[str, str], int] | str:
+    """The header at the front of a plain file, however long."""
+    n = HEADER_BYTES
+    while True:
+        more = view.fill(n)
+        raw = bytes(view.buffer[:n])
+        head = _header(raw)
+        if head != _NO_END or not more:
+            return head
+        *lines, begun = raw.split(b"\r\n")[1:]
+        if not all(map(_LINE.fullmatch, lines)) or not _LINE_BEGUN.fullmatch(begun.removesuffix(b"\r")):
+            return "a header line is not a field"
+        n *= 2
+
+
 def _block(fields: dict[str, str], block: bytes, tail: bytes) -> str | None:
     if len(block) != int(fields["content-length"]) or tail != b"\r\n\r\n":
         return "the length does not fit"
@@ -204,8 +223,7 @@ def _record_at_front(view: _Window) -> tuple[dict[str, str], bytes, int] | str:
         n = int(fields["content-length"])
         block, tail = raw[at : at + n], raw[at + n :]
     elif front.startswith(b"WARC/1."):
-        view.fill(HEADER_BYTES)
-        head = _header(bytes(view.buffer[:HEADER_BYTES]))
+        head = _plain_header(view)
         if isinstance(head, str):
             return head
         fields, at = head
