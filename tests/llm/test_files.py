@@ -1,5 +1,6 @@
 """WARC archives and token files: round trips, damage, edge cases."""
 
+import base64
 import gzip
 import hashlib
 import io
@@ -80,6 +81,34 @@ def test_a_wrong_length_does_not_swallow_the_file():
     assert set(range(20)) - set(got) == {5} and gaps
 
 
+def found_in(raw):
+    found = list(warc.records(io.BytesIO(raw)))
+    return {int(f["warc-page-id"]): b for what, _, _, f, b in found if what == "record"}, [x for x in found if x[0] == "gap"]
+
+
+def test_one_member_with_all_records():
+    blocks, parts = archive(compressed=False)
+    assert found_in(gzip.compress(b"".join(parts))) == (dict(enumerate(blocks)), [])
+    bad = parts[5].replace(b"Content-Length: ", b"Content-Length: 9")
+    whole = gzip.compress(b"".join([*parts[:5], bad, *parts[6:], b"rest"])) + gzip.compress(parts[5])
+    got, gaps = found_in(whole)
+    assert got == dict(enumerate(blocks)) and [why for *_, why in gaps] == ["the length does not fit", "no version line"]
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+def test_folded_lines_and_other_digests(compressed):
+    block = b"some payload of a page"
+    sha1 = base64.b32encode(hashlib.sha1(block).digest()).decode()
+    close = (lambda raw: gzip.compress(raw)) if compressed else bytes
+    make = lambda digest, body: close(
+        b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Page-ID: 1\r\nX: a\r\n\t b\r\nWARC-Block-Digest: %s\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (digest.encode(), len(body), body)
+    )
+    for digest in (f"sha1:{sha1}", f"sha1:{hashlib.sha1(block).hexdigest()}", f"SHA-256:{hashlib.sha256(block).hexdigest()}", "other:x"):
+        assert found_in(make(digest, block)) == ({1: block}, [])
+    got, gaps = found_in(make(f"sha1:{sha1}", block.replace(b"page", b"pagf")))
+    assert got == {} and len(gaps) == 1
+
+
 def test_members_are_plain_gzip():
     _, parts = archive(3)
     assert gzip.decompress(b"".join(parts)).count(b"WARC/1.1\r\n") == 3

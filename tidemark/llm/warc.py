@@ -6,7 +6,8 @@ Records with equal payloads of ``REVISIT_BYTES`` or more are stored once: the on
 are revisits that name it and its digest.
 
 Reading: a file is read as a stream in pieces. A record is accepted when its gzip member is whole and passes its checksum (or,
-in a plain file, stands between version line and end), its header is complete, its length fits and its block digest agrees.
+in a plain file, stands between version line and end), its header is complete, its length fits and its block digest (md5, sha1, sha256 or sha512; hex, base32 or base64) agrees. A member may
+hold several records: each that is sound counts, and all share the member's place. A member is held in memory whole.
 After a failed check the reader searches, from the next byte on, for the next gzip member that begins a record, or the next version line,
 and goes on there; the bytes in between are one quarantined gap with its place and the reason.
 
@@ -16,6 +17,7 @@ payload are all responses.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
@@ -39,6 +41,7 @@ _VERSION_LINE = re.compile(rb"WARC/1\.[0-9]\r\n")
 _MAGIC = b"\x1f\x8b\x08"
 #: A field name, a colon, and no control characters: binary data does not pass for a header.
 _LINE = re.compile(rb"[!-9;-~]+:[^\x00-\x08\x0a-\x1f\x7f]*")
+_FOLD = re.compile(rb"\r\n[ \t]+")
 _LINE_BEGUN = re.compile(rb"[!-9;-~]*|" + _LINE.pattern)
 _NO_END = "the header has no end"
 #: What may not stand in a header line; in urls it is percent-encoded.
@@ -173,7 +176,10 @@ def _header(raw: bytes) -> tuple[dict[str, str], int] | str:
     if end < 0:
         return _NO_END
     fields: dict[str, str] = {}
-    for line in raw[:end].split(b"\r\n")[1:]:
+    version, *lines = _FOLD.sub(b" ", raw[:end]).split(b"\r\n")
+    if len(version) > len(VERSION):
+        return "a header line is not a field"
+    for line in lines:
         if not _LINE.fullmatch(line):
             return "a header line is not a field"
         name, _, value = line.partition(b":")
@@ -192,7 +198,7 @@ def _plain_header(view: _Window) -> tuple[dict[str, str], int] | str:
         head = _header(raw)
         if head != _NO_END or not more:
             return head
-        *lines, begun = raw.split(b"\r\n")[1:]
+        *lines, begun = _FOLD.sub(b" ", raw).split(b"\r\n")[1:]
         if not all(map(_LINE.fullmatch, lines)) or not _LINE_BEGUN.fullmatch(begun.removesuffix(b"\r")):
             return "a header line is not a field"
         n *= 2
@@ -201,27 +207,50 @@ def _plain_header(view: _Window) -> tuple[dict[str, str], int] | str:
 def _block(fields: dict[str, str], block: bytes, tail: bytes) -> str | None:
     if len(block) != int(fields["content-length"]) or tail != b"\r\n\r\n":
         return "the length does not fit"
-    wanted = fields.get("warc-block-digest", "")
-    if wanted.startswith("sha256:") and wanted[7:] != hashlib.sha256(block).hexdigest():
-        return "the block digest differs"
+    kind, _, wanted = fields.get("warc-block-digest", "").partition(":")
+    kind = kind.strip().lower().replace("-", "")
+    if kind in ("md5", "sha1", "sha256", "sha512"):
+        digest, wanted = hashlib.new(kind, block).digest(), wanted.strip().rstrip("=")
+        forms = base64.b32encode(digest).decode().rstrip("="), base64.b64encode(digest).decode().rstrip("=")
+        if wanted.lower() != digest.hex() and wanted.upper() != forms[0] and wanted != forms[1]:
+            return "the block digest differs"
     return None
 
 
-def _record_at_front(view: _Window) -> tuple[dict[str, str], bytes, int] | str:
-    """(fields, block, bytes used) of the record at the front, or why there is none."""
+def _in_member(raw: bytes) -> list[tuple[dict[str, str], bytes] | str]:
+    """The records of a member's content in order, and a reason for each stretch that is none."""
+    out: list[tuple[dict[str, str], bytes] | str] = []
+    at, view = 0, memoryview(raw)
+    while at < len(raw) or not out:
+        # The header ends where the first empty line stands; only that much is copied.
+        end = raw.find(b"\r\n\r\n", at)
+        found = _header(raw[at : end + 4 if end >= 0 else len(raw)])
+        if not isinstance(found, str):
+            fields, begin = found
+            begin, n = at + begin, int(fields["content-length"])
+            block = bytes(view[begin : begin + n])
+            found = _block(fields, block, bytes(view[begin + n : begin + n + 4])) or (fields, block)
+        if not isinstance(found, str):
+            at = begin + n + 4
+        else:
+            following = _VERSION_LINE.search(raw, at + 1)
+            at = following.start() if following else len(raw)
+            if out and isinstance(out[-1], str):
+                continue  # one gap
+        out.append(found)
+    return out
+
+
+def _at_front(view: _Window) -> tuple[list[tuple[dict[str, str], bytes] | str], int] | str:
+    """The records at the front, with reasons for what lies damaged between those of one member, and the bytes used; or why there is none."""
     view.fill(8)
     front = bytes(view.buffer[:8])
     if front.startswith(_MAGIC):
         got = _member(view)
         if isinstance(got, str):
             return got
-        raw, used = got
-        head = _header(raw)
-        if isinstance(head, str):
-            return head
-        fields, at = head
-        n = int(fields["content-length"])
-        block, tail = raw[at : at + n], raw[at + n :]
+        found = _in_member(got[0])
+        return found[0] if all(isinstance(x, str) for x in found) else (found, got[1])
     elif front.startswith(b"WARC/1."):
         head = _plain_header(view)
         if isinstance(head, str):
@@ -235,7 +264,7 @@ def _record_at_front(view: _Window) -> tuple[dict[str, str], bytes, int] | str:
     else:
         return "neither a gzip member nor a version line"
     problem = _block(fields, block, tail)
-    return problem or (fields, block, used)
+    return problem or ([(fields, block)], used)
 
 
 def _next_start(view: _Window) -> int:
@@ -258,7 +287,7 @@ def records(stream) -> Iterator[tuple[str, int, int, dict[str, str] | None, byte
     """("record", start, bytes, fields, block) and ("gap", start, bytes, None, reason) in the order of the file."""
     view, gap, reason = _Window(stream), None, ""
     while view.fill(1):
-        found = _record_at_front(view)
+        found = _at_front(view)
         if isinstance(found, str):
             if gap is None:
                 gap, reason = view.at, found
@@ -267,8 +296,12 @@ def records(stream) -> Iterator[tuple[str, int, int, dict[str, str] | None, byte
         if gap is not None:
             yield "gap", gap, view.at - gap, None, reason
             gap = None
-        fields, block, used = found
-        yield "record", view.at, used, fields, block
+        parts, used = found
+        for part in parts:
+            if isinstance(part, str):
+                yield "gap", view.at, used, None, part
+            else:
+                yield "record", view.at, used, *part
         view.skip(used)
     if gap is not None:
         yield "gap", gap, view.at - gap, None, reason
