@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, hmm, langid, near_dedup, secrets, sharding, tokenfile, warc
+from . import alignment, bpe, decontaminate, exact_dedup, extract, hmm, langid, near_dedup, search, secrets, sharding, tokenfile, warc
 from .common import table
 
 
@@ -94,10 +94,25 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text", "n_chars")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), a, b).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_decontaminate, op2_near_dedup, op3_warc, op4_hmm_score, op5_token_files, op6_exact_dedup, op7_language, op8_sharding, op9_bpe, op10_secrets
+        op1_decontaminate, op2_near_dedup, op3_warc, op4_hmm_score, op5_token_files, op6_exact_dedup, op7_language, op8_sharding, op9_bpe, op10_secrets,
+        op11_search, op12_html_text, op13_alignment
     )
 }
 
@@ -147,4 +162,29 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
-SQL = {"op1_decontaminate": _OP1, "op3_warc": _OP3, "op6_exact_dedup": _OP6}
+_OP11 = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), query AS (
+  SELECT item_id, term, count(*) AS times FROM item GROUP BY ALL
+), total AS (
+  SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(coalesce(sum(len(w)), 0) AS BIGINT) AS n_terms FROM doc
+), counted AS (
+  SELECT doc_id, any_value(n) AS n, term, count(*) AS tf FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM doc)
+  WHERE term IN (SELECT term FROM query) GROUP BY doc_id, term
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counted, total GROUP BY term, n_docs
+), gain AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms))) AS g FROM counted JOIN weight USING (term), total
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * g) AS BIGINT) AS score FROM gain JOIN query USING (term) GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+SQL = {"op1_decontaminate": _OP1, "op3_warc": _OP3, "op6_exact_dedup": _OP6, "op11_search": _OP11}
