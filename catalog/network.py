@@ -53,12 +53,12 @@ s4 AS (SELECT *, {_frame(14, 'avg(nvt_price_multiple)', 'nvt_price_multiple')} A
 )
 
 
-def _metrics(spark, sf):
-    return metrics.onchain_metrics(network(spark, sf).select("entity", "date", *metrics.ONCHAIN_INPUTS))
+def _metrics(columns, sql: str) -> Case:
+    wanted = [c for c in columns if c not in ("entity", "date")]
+    return Case(lambda s, d: metrics.onchain_metrics(network(s, d), columns=wanted), columns, sql)
 
 
-CASES["valuation_ratios"] = Case(
-    _metrics,
+CASES["valuation_ratios"] = _metrics(
     {
         "entity": "s", "date": "d", "NVTAdj": "f6", "NVTAdj90": "f6", "sat_per_dollar": "f6", "mvrv_ratio": "f8", "nupl": "f8",
         "nvt_price": "f3", "nvt_price_adj": "f3", "nvt_price_multiple": "f7", "nvt_price_multiple_ma": "f7",
@@ -66,34 +66,29 @@ CASES["valuation_ratios"] = Case(
     METRICS_SQL + """--body
 SELECT *, 100000000 / price_close AS sat_per_dollar, market_cap / realized_cap AS mvrv_ratio, (market_cap - realized_cap) / market_cap AS nupl FROM s4""",
 )
-CASES["price_means"] = Case(
-    _metrics,
+CASES["price_means"] = _metrics(
     {"entity": "s", "date": "d", **{f"{n}_ma_price_close": "f4" for n in ("7_day", "50_day", "100_day", "200_day", "200_week")}, "200_day_multiple": "f8"},
     METRICS_SQL + '--body\nSELECT *, price_close / "200_day_ma_price_close" AS "200_day_multiple" FROM s4',
 )
-CASES["thermocap"] = Case(
-    _metrics,
+CASES["thermocap"] = _metrics(
     {"entity": "s", "date": "d", "RevAllTimeUSD": "f1", "thermocap_multiple": "f5", "thermocap_price": "f4", "thermocap_price_multiple_8": "f3", "thermocap_price_multiple_32": "f3"},
     METRICS_SQL + """--body
 SELECT *, market_cap / nullif("RevAllTimeUSD", 0) AS thermocap_multiple, "RevAllTimeUSD" / supply AS thermocap_price,
        8 * "RevAllTimeUSD" / supply AS thermocap_price_multiple_8, 32 * "RevAllTimeUSD" / supply AS thermocap_price_multiple_32 FROM s4""",
 )
-CASES["miner_revenue"] = Case(
-    _metrics,
+CASES["miner_revenue"] = _metrics(
     {"entity": "s", "date": "d", "miner_revenue_1_Year": "f3", "miner_revenue_4_Year": "f3", "ss_multiple_1": "f6", "ss_price_1": "f5", "ss_multiple_4": "f6", "ss_price_4": "f5"},
     METRICS_SQL + """--body
 SELECT *, market_cap / "miner_revenue_1_Year" AS ss_multiple_1, "miner_revenue_1_Year" / supply AS ss_price_1,
        market_cap / "miner_revenue_4_Year" AS ss_multiple_4, "miner_revenue_4_Year" / supply AS ss_price_4 FROM s4""",
 )
-CASES["realized_cap_multiples"] = Case(
-    _metrics,
+CASES["realized_cap_multiples"] = _metrics(
     {"entity": "s", "date": "d", "realized_price": "f4", **{f"realizedcap_multiple_{k}": "f4" for k in (2, 3, 5, 7)}},
     METRICS_SQL + """--body
 SELECT * REPLACE (coalesce(realized_price, realized_cap / supply) AS realized_price), 2 * realized_cap / supply AS realizedcap_multiple_2,
        3 * realized_cap / supply AS realizedcap_multiple_3, 5 * realized_cap / supply AS realizedcap_multiple_5, 7 * realized_cap / supply AS realizedcap_multiple_7 FROM s4""",
 )
-CASES["supply_metrics"] = Case(
-    _metrics,
+CASES["supply_metrics"] = _metrics(
     {
         "entity": "s", "date": "d", "supply_pct_1_year_plus": "f6", "pct_supply_issued": "f8", "pct_fee_of_reward": "f6", "illiquid_supply": "f4", "liquid_supply": "f4",
         "daily_active_addresses_sending": "f0", "supply_in_profit_btc": "f4", "supply_in_loss_btc": "f4", "supply_in_profit_pct": "f6", "supply_in_loss_pct": "f6",
@@ -106,8 +101,7 @@ SELECT *, utxos_over_1y_old_supply / supply * 100 AS supply_pct_1_year_plus, sup
        active_addrs_average_24h AS daily_active_addresses_sending, supply_in_profit_btc / supply * 100 AS supply_in_profit_pct,
        supply_in_loss_btc / supply * 100 AS supply_in_loss_pct FROM u""",
 )
-CASES["reserve_risk"] = Case(
-    _metrics,
+CASES["reserve_risk"] = _metrics(
     {
         "entity": "s", "date": "d", "adjusted_bdd": "f8", "adjusted_bdd_mean": "f8", "adjusted_bdd_above_avg": "b", "vocd": "f5", "mvocd": "f5",
         "daily_hodl_value": "f4", "hodl_bank_calc": "f2", "reserve_risk_calc": "f8",
@@ -115,8 +109,7 @@ CASES["reserve_risk"] = Case(
     METRICS_SQL + """--body
 SELECT *, coalesce(adjusted_bdd > adjusted_bdd_mean, false) AS adjusted_bdd_above_avg, price_close / nullif(hodl_bank_calc, 0) AS reserve_risk_calc FROM s4""",
 )
-CASES["average_cap"] = Case(
-    _metrics,
+CASES["average_cap"] = _metrics(
     {"entity": "s", "date": "d", "days_since_start": "i", "average_cap": "f2", "delta_cap": "f2", "average_cap_price": "f4", "delta_cap_price": "f4", "VtyDayRet30d": "f6", "VtyDayRet180d": "f6"},
     METRICS_SQL + """--body
 SELECT *, cumulative_market_cap / days_since_start AS average_cap, realized_cap - cumulative_market_cap / days_since_start AS delta_cap,

@@ -269,9 +269,8 @@ ASSETS = [
 
 def performance_rows(spark, sf):
     daily = settle(prepare.ffill(full_calendar(spark, sf).select("entity", "date", "price"), ["price"], 5, dense=True))
-    changed = settle(changes.all_changes(daily, ["price"], dense=True))
     snapshot = changes.correlation_snapshot(daily, "price", "BUILDING", AS_OF)
-    return tables.performance(changed, ASSETS, AS_OF, snapshot, "price", "BUILDING")
+    return tables.performance(daily, ASSETS, AS_OF, snapshot, "price", "BUILDING")
 
 
 PERF_SQL = CALENDAR + f"""f AS (SELECT entity, date, last_value(price IGNORE NULLS) OVER (PARTITION BY entity ORDER BY date ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS price FROM cal),
@@ -301,8 +300,7 @@ def _late_asset(spark, sf):
     """One segment has no rows after May 29, and one configured asset has none at all."""
     daily = prepare.ffill(full_calendar(spark, sf).select("entity", "date", "price"), ["price"], 5, dense=True)
     daily = settle(daily.filter((F.col("entity") != "FURNITURE") | (F.col("date") <= "2000-05-29")))
-    changed = settle(changes.all_changes(daily, ["price"], dense=True))
-    return tables.performance(changed, LATE, AS_OF, changes.correlation_snapshot(daily, "price", "BUILDING", AS_OF), "price", "BUILDING")
+    return tables.performance(daily, LATE, AS_OF, changes.correlation_snapshot(daily, "price", "BUILDING", AS_OF), "price", "BUILDING")
 
 
 CASES["performance_late_asset"] = Case(
@@ -361,9 +359,7 @@ FROM d JOIN candles c ON c.entity = d.entity AND c."Time" BETWEEN date_trunc('we
 
 
 def network_models(spark, sf):
-    net = network(spark, sf)
-    lawful = models.apply_power_law(models.ribbons(net), models.power_law_fit(net, AS_OF, origin=ORIGIN), origin=ORIGIN)
-    return models.apply_metcalfe(lawful, models.metcalfe_fit(net, AS_OF))
+    return models.network_models(network(spark, sf), AS_OF, origin=ORIGIN)
 
 
 USERS = (("Any Balance", "addr_count", "Non-Zero Address Count"), *[(f"{n}+ BTC", f"addrs_over_{c}_sats_addr_count", f"Addresses Holding {n}+ BTC") for n, c in (("0.001", "100k"), ("0.01", "1m"), ("0.1", "10m"))])

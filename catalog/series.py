@@ -431,6 +431,32 @@ CASES["rolling_correlation_levels"] = Case(
     PANEL + "h AS (SELECT entity, date, price AS r, volume AS b FROM panel),\n--body\nSELECT entity, date, " + ", ".join(_corr_sql(n) for n in (7, 120, 121, 365)) + " FROM h",
 )
 
+OUTLIER = "1996-05-06"
+
+
+def _after_outlier(spark, sf):
+    """One value of ten billion among prices near a hundred; spreads relative to the mean and logarithms keep all frames on one scale."""
+    x = F.when(F.col("date") == OUTLIER, 1e10).otherwise(F.col("price") / 1000)
+    spiked = panel(spark, sf).select("entity", "date", x.alias("x"), (F.col("volume") / 1000).alias("y"))
+    specs = [Roll(f"{how}_{n}", "x", n, how, "y" if how == "corr" else None) for n in (30, 365) for how in ("mean", "std", "corr")]
+    rolled = windows.rolling(spiked, specs)
+    return rolled.select("entity", "date", *[c for n in (30, 365) for c in (F.ln(f"mean_{n}").alias(f"ln_mean_{n}"), (F.col(f"std_{n}") / F.col(f"mean_{n}")).alias(f"spread_{n}"), F.col(f"corr_{n}"))])
+
+
+def _outlier_sql(n: int) -> str:
+    w = f"(PARTITION BY entity ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    held = lambda value: f"CASE WHEN count(*) OVER {w} = {n} THEN {value} END"
+    return f"""{held(f'ln(avg(x) OVER {w})')} AS ln_mean_{n}, {held(f'stddev_samp(x) OVER {w} / avg(x) OVER {w}')} AS spread_{n}, {held(f'corr(x, y) OVER {w}')} AS corr_{n}"""
+
+
+CASES["rolling_after_outlier"] = Case(
+    _after_outlier,
+    {"entity": "s", "date": "d", **{f"{c}_{n}": "f8" for n in (30, 365) for c in ("ln_mean", "spread", "corr")}},
+    PANEL + f"""h AS (SELECT entity, date, CASE WHEN date = DATE '{OUTLIER}' THEN 1e10::DOUBLE ELSE price / 1000 END AS x, volume / 1000 AS y FROM panel),
+--body
+SELECT entity, date, {_outlier_sql(30)}, {_outlier_sql(365)} FROM h""",
+)
+
 CASES["cumulative_sum_max"] = Case(
     lambda s, d: windows.cumulative(windows.cumulative(_gap(panel(s, d)), ["price", "volume"]), ["price"], "max", "_max"),
     {"entity": "s", "date": "d", "price_cum": "f1", "volume_cum": "f0", "price_max": "f4"},

@@ -53,6 +53,22 @@ def test_onchain_warm_up_and_nulls(panel, by_date):
     assert at(29).daily_hodl_value == pytest.approx(9) and at(30).hodl_bank_calc == pytest.approx(18)
 
 
+def test_wanted_metrics_equal_those_of_the_whole_job(spark):
+    import random
+
+    r = random.Random(2)
+    value = lambda: r.choice([None, 0.0, r.uniform(1, 9)])
+    rows = [(e, d, *[value() for _ in metrics.ONCHAIN_INPUTS]) for e in ("one", "two") for d in days("2022-01-01", "2023-02-11")]
+    p = spark.createDataFrame(rows, "entity STRING, date DATE, " + ", ".join(f"{c} DOUBLE" for c in metrics.ONCHAIN_INPUTS))
+    whole = metrics.onchain_metrics(p)
+    for wanted in (["nupl"], ["NVTAdj", "NVTAdj90", "realized_price"], ["mvocd", "reserve_risk_calc"], ["average_cap", "VtyDayRet30d", "thermocap_multiple"], list(metrics.ONCHAIN_METRICS)):
+        got = metrics.onchain_metrics(p, columns=wanted)
+        assert got.columns == ["entity", "date", *wanted]
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, whole.select("entity", "date", *wanted).collect()), key=str)
+    with pytest.raises(ValueError, match="no such metrics"):
+        metrics.onchain_metrics(p, columns=["nothing"])
+
+
 def test_power_law_recovers_its_line(panel, by_date):
     rows = [(d, 3.0 * (i + 1) ** 2.5) for i, d in enumerate(days("2009-01-04", "2009-03-01"))]
     r = by_date(models.fit_power_law(panel(rows, "price_close DOUBLE"), "2009-02-01"))

@@ -1,12 +1,17 @@
 """Rolling functions, changes and statistics (fixtures F09, F12, F27) against pandas on small series."""
 
+import math
+import random
+import statistics
+
 import numpy as np
 import pandas as pd
 import pytest
 from conftest import days
+from pyspark.sql import functions as F
 
 from tidemark.operators import changes, windows
-from tidemark.operators.chunks import Chunked, Roll
+from tidemark.operators.chunks import Calc, Chunked, Roll, needed, reach_of
 
 
 @pytest.fixture(scope="module")
@@ -165,3 +170,73 @@ def test_rank_bands_follow_the_data(spark):
         assert sizes.max() <= 2 * changes.VALUES_PER_BAND and len(sizes) >= n // changes.VALUES_PER_BAND
     ranks = changes._value_ranks(long, ["entity"]).filter("_metric = 'calm'").orderBy("_v").toPandas()
     np.testing.assert_allclose(ranks["_share"], (np.arange(n) + 1) / n)
+
+
+def test_frames_forget_outliers_and_do_not_depend_on_the_chunk(spark):
+    rng = np.random.default_rng(1)
+    n, frame = 900, 30
+    x, y = 100 + rng.normal(size=n), 50 + rng.normal(size=n)
+    x[100], x[500:560] = 1e10, 7.0
+    rows = [("one", d, float(a), float(b)) for d, a, b in zip(days("2020-01-01", "2022-06-18"), x, y)]
+    p = spark.createDataFrame(rows, "entity STRING, date DATE, x DOUBLE, y DOUBLE")
+    specs = [Roll("m", "x", frame), Roll("s", "x", frame, "std"), Roll("c", "x", frame, "corr", "y"), Roll("t", "x", frame, "sum")]
+    found = []
+    for size in (64, 512):
+        chunks = Chunked(p, frame - 1, smallest=size)
+        found.append(sorted(map(tuple, chunks.owned(chunks.roll(chunks.frame, specs)).collect())))
+    assert len(found[0]) == n and found[0] == found[1]
+    for i, r in enumerate(found[0]):
+        a, b = [float(v) for v in x[max(0, i - frame + 1) : i + 1]], [float(v) for v in y[max(0, i - frame + 1) : i + 1]]
+        if len(a) < frame:
+            assert r[4:8] == (None,) * 4
+            continue
+        assert r[4] == pytest.approx(math.fsum(a) / frame, rel=1e-14) and r[7] == pytest.approx(math.fsum(a), rel=1e-14)
+        if len(set(a)) == 1:
+            assert (r[5], r[6]) == (0.0, None)
+        else:
+            assert r[5] == pytest.approx(statistics.stdev(a), rel=1e-12) and r[6] == pytest.approx(statistics.correlation(a, b), rel=1e-9, abs=1e-12)
+
+
+def test_steps_are_cut_to_what_is_wanted_and_reach_adds_up():
+    steps = [Roll("a", "x", 10), Calc("b", "ratio", "x", "a"), Roll("c", "b", 5, "median"), Roll("d", "x", 400), Calc("r", "return", "x"), Roll("v", "r", 30, "std")]
+    assert [s.out for s in needed(steps, {"c"})] == ["a", "b", "c"] and [s.out for s in needed(steps, {"v"})] == ["r", "v"]
+    assert reach_of(needed(steps, {"c"})) == 13 and reach_of(steps) == 399 and reach_of(needed(steps, {"v"})) == 30
+
+
+@pytest.mark.parametrize("every", [1, 3, 17])
+def test_fused_changes_equal_the_single_ones(spark, every):
+    """Dense and sparse series with gaps, zeros and NULLs, over several runs of rows."""
+    r = random.Random(every)
+    dates = [d for i, d in enumerate(days("2015-03-02", "2023-01-09")) if i % every == 0 and r.random() < 0.9]
+    value = lambda: r.choice([None, 0.0, -3.0, 5.0, 7.0, 11.5])
+    rows = [(e, d, value(), value()) for e in ("one", "two") for d in dates]
+    p = spark.createDataFrame(rows, "entity STRING, date DATE, a DOUBLE, b DOUBLE").repartition(5)
+    own = ["a", "b"]
+    want = changes.pct_change_rows(p, own)
+    for other in (changes.ytd(p, own), changes.mtd(p, own), changes.yoy(p, own)):
+        want = want.join(other.drop(*own), ["entity", "date"])
+    found = changes.all_changes(p, own)
+    assert found.columns == want.columns
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    plan = changes.all_changes(p, own)._jdf.queryExecution().executedPlan().toString()  # not run, so it is printed once
+    assert plan.count("Exchange hashpartitioning") <= 6
+
+
+def test_changes_at_one_day_equal_the_row_of_all(spark):
+    r = random.Random(4)
+    dates = days("2021-11-01", "2024-03-05")
+    rows = [(g, e, d, r.choice([None, 0.0, 2.0, 3.0])) for g in ("n1", "n2") for e in ("lead", "gone", "late") for d in dates if not (e == "gone" and d.year == 2024) and r.random() < 0.95]
+    rows = [x for x in rows if x[2] != dates[-1]] + [(g, "lead", dates[-1], 4.0) for g in ("n1", "n2")] + [("n1", "late", dates[-1], 5.0)]
+    p = spark.createDataFrame(rows, "net STRING, entity STRING, date DATE, price DOUBLE")
+    keys = ["net", "entity"]
+    day_of = p.filter("entity = 'lead'").groupBy("net").agg(F.max("date").alias("_day"))
+    at = {(x.net, x.entity): x for x in changes.changes_at(p, "price", day_of, keys=keys).collect()}
+    full = {(x.net, x.entity): x for x in changes.all_changes(p, ["price"], keys=keys).filter(F.col("date") == str(dates[-1])).collect()}
+    named = [f"price_{c}_change" for c in ("7", "90", "YTD", "MTD", "YOY")]
+    assert set(at) == {(g, e) for g in ("n1", "n2") for e in ("lead", "gone", "late")}
+    for k, x in at.items():
+        assert [x[c] for c in named] == ([full[k][c] for c in named] if k in full else [None] * 5)
+        near = [v for g, e, d, v in rows if (g, e) == k and v is not None and 0 <= (dates[-1] - d).days <= 365]
+        assert (x.high, x.low) == (max(near), min(near))
+    single = changes.changes_at(p.filter("net = 'n1'").drop("net"), "price", day_of.filter("net = 'n1'").drop("net"))
+    assert {x.entity: [x[c] for c in named] for x in single.collect()} == {e: [at["n1", e][c] for c in named] for e in ("lead", "gone", "late")}

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import sql
+
 INFINITY = float("inf")
 
 
@@ -17,24 +19,32 @@ def col(c: Column | str) -> Column:
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     """Quotient; NULL where the denominator is zero or either side is NULL."""
+    if isinstance(numerator, str) and isinstance(denominator, str):
+        return F.expr(sql.ratio(sql.q(numerator), sql.q(denominator)))
     return F.try_divide(col(numerator).cast("double"), col(denominator).cast("double"))
 
 
 def pct_change(current: Column | str, base: Column | str) -> Column:
     """Change in percentage points; a zero or missing base gives NULL."""
+    if isinstance(current, str) and isinstance(base, str):
+        return F.expr(sql.pct_change(sql.q(current), sql.q(base)))
     return (ratio(current, base) - F.lit(1.0)) * F.lit(100.0)
 
 
 def finite(c: Column | str) -> Column:
     """NaN and the infinities become NULL."""
+    if isinstance(c, str):
+        return F.expr(sql.finite(sql.q(c)))
     x = col(c).cast("double")
-    return F.when(~F.isnan(x) & (F.abs(x) < F.lit(INFINITY)), x)
+    return F.when(F.abs(x) < F.lit(INFINITY), x)  # NaN is above infinity in comparisons
 
 
 def positive(c: Column | str) -> Column:
     """The value where it is above zero, else NULL (zeros are placeholders, not prices)."""
-    x = finite(c)
-    return F.when(x > 0, x)
+    if isinstance(c, str):
+        return F.expr(sql.positive(sql.q(c)))
+    x = col(c).cast("double")
+    return F.when((x > 0) & (x < F.lit(INFINITY)), x)
 
 
 def floor_zero(c: Column | str) -> Column:
@@ -45,6 +55,8 @@ def floor_zero(c: Column | str) -> Column:
 
 def number(c: Column | str) -> Column:
     """Numeric coercion: text that is no number becomes NULL."""
+    if isinstance(c, str):
+        return F.expr(sql.number(sql.q(c)))
     return finite(col(c).try_cast("double"))
 
 

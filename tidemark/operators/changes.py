@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql import types as T
 
-from ..functions.expressions import anniversary, col, finite, growth_rate, pct_change, ratio
-from .chunks import KEYS, ORDER, Chunked
+from ..functions.expressions import anniversary, col, finite, growth_rate, pct_change, positive, ratio
+from .chunks import KEYS, ORDER, RUN_PER_REACH, SMALLEST_RUN, Chunked
 from .prepare import last_positive_before
 
 CHANGE_ROWS = (7, 90)
@@ -57,16 +59,134 @@ def yoy(panel: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) ->
     return _add_since_a_year_ago(panel, panel, columns, keys)
 
 
-def all_changes(panel: DataFrame, columns: Sequence[str], periods: Sequence[int] = CHANGE_ROWS, keys: Sequence[str] = KEYS, dense: bool = False) -> DataFrame:
-    """Row-lag, MTD, YTD and YOY changes of a column list.
+def _changes_job(columns: Sequence[tuple[str, ...]], periods: Sequence[int], row: str, then: str, month: str, year: str, day: str):
+    """Arrow job for one run of rows: every change of every column, in ``row`` order.
 
-    Every base is taken from ``panel`` itself and not from the growing result, so the panel is read a fixed number of
-    times; settle it first when it is costly.
+    ``columns`` are (value, its last positive value before the year, the names of the changes). Days are whole numbers.
+    The closure holds plain values only, so it travels by value and workers need not have this package.
     """
-    out = pct_change_rows(panel, columns, periods, keys, dense)
-    out = _add_since_period_start(out, panel, columns, "year", "YTD", keys)
-    out = _add_since_period_start(out, panel, columns, "month", "MTD", keys)
-    return _add_since_a_year_ago(out, panel, columns, keys)
+    wanted, periods = [tuple(c) for c in columns], list(periods)
+
+    def compute(table: pa.Table) -> pa.Table:
+        table = table.sort_by(row)
+        whole = lambda name: table.column(name).to_numpy()
+        dates, months, years = whole(day), whole(month), whole(year)
+        n = len(dates)
+        place = np.arange(n)
+        same = np.searchsorted(dates, whole(then))
+        same = np.where((same < n) & (dates[np.minimum(same, n - 1)] == whole(then)), same, -1)
+        before_month = np.searchsorted(dates, months) - 1
+
+        def at(x, index):
+            return np.where(index >= 0, x[np.maximum(index, 0)], np.nan)
+
+        def change(x, base):
+            return np.where(base == 0, np.nan, x / base - 1.0) * 100.0
+
+        added = {}
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+            for value, carried, *names in wanted:
+                x = table.column(value).to_pandas().to_numpy(dtype=float)
+                base = table.column(carried).to_pandas().to_numpy(dtype=float)
+                newest = np.maximum.accumulate(np.where((x > 0) & (x < np.inf), place, -1))
+                inside = at(newest, before_month).astype(int) if n else before_month
+                inside = np.where((before_month >= 0) & (inside >= 0) & (dates[np.maximum(inside, 0)] >= years), inside, -1)
+                bases = [at(x, place - k) for k in periods] + [base, np.where(inside >= 0, at(x, inside), base), at(x, same)]
+                for name, b in zip(names, bases):
+                    added[name] = change(x, b)
+        for name, values in added.items():
+            table = table.append_column(name, pa.array(values, from_pandas=True, type=pa.float64()))
+        return table
+
+    return compute
+
+
+def all_changes(panel: DataFrame, columns: Sequence[str], periods: Sequence[int] = CHANGE_ROWS, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Row-lag, MTD, YTD and YOY changes of a column list, in one ordered Arrow pass.
+
+    The panel shrinks to one row per (keys, year) for the row numbers and for the last positive value before each year; that small
+    table goes back to the rows once. Then runs of rows travel with the rows before them that a change can need: the longest
+    period, or the days of a year, since (keys, date) is unique. Within a run the row a period earlier, the same day
+    last year and the last positive value before the month are positions. ``keys`` and date must not be NULL.
+    """
+    reach = max([*periods, 366])
+    size = max(RUN_PER_REACH * reach, SMALLEST_RUN)
+    year = F.trunc(F.col(ORDER), "year")
+    dated = panel.withColumn("_year", year)
+    by_year = dated.groupBy(*keys, "_year").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.max_by(col(c), F.when(positive(c).isNotNull(), F.col(ORDER))).alias(f"_p{i}") for i, c in enumerate(columns)]
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_year").rowsBetween(Window.unboundedPreceding, -1)
+    carried = by_year.select(
+        *keys,
+        "_year",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        *[F.last(f"_p{i}", ignorenulls=True).over(earlier).cast("double").alias(f"_b{i}") for i, _ in enumerate(columns)],
+    )
+    inside = Window.partitionBy(*keys, "_year").orderBy(ORDER)
+    numbered = dated.withColumn("_row", F.row_number().over(inside)).join(carried, [*keys, "_year"])
+    names = {c: [f"{c}_{k}_change" for k in periods] + [f"{c}_{label}_change" for label in ("YTD", "MTD", "YOY")] for c in columns}
+    rows = numbered.select(
+        *[col(c) for c in panel.columns],
+        *[col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)],
+        *[f"_b{i}" for i, _ in enumerate(columns)],
+        (F.col("_before") + F.col("_row")).alias("_row"),
+        F.unix_date("_year").alias("_year"),
+        F.unix_date(F.trunc(F.col(ORDER), "month")).alias("_month"),
+        F.unix_date(anniversary(ORDER)).alias("_then"),
+        F.unix_date(F.col(ORDER).cast("date")).alias("_day"),
+    )
+    rows = rows.selectExpr("*", f"_row div {size} AS _home", f"explode(sequence(_row div {size}, (_row + {reach}) div {size})) AS _chunk")
+    # Grouped Arrow jobs resolve plain column names only, so the columns travel under numbers.
+    given = {name: f"c{i}" for i, name in enumerate(rows.columns)}
+    made = {name: f"r{i}" for i, name in enumerate(n for c in columns for n in names[c])}
+    plain = rows.toDF(*given.values())
+    schema = T.StructType([*plain.schema.fields, *[T.StructField(r, T.DoubleType()) for r in made.values()]])
+    job = _changes_job(
+        [(given[f"_x{i}"], given[f"_b{i}"], *[made[n] for n in names[c]]) for i, c in enumerate(columns)], periods, *[given[n] for n in ("_row", "_then", "_month", "_year", "_day")]
+    )
+    out = plain.groupBy(*[given[k] for k in (*keys, "_chunk")]).applyInArrow(job, schema).toDF(*given, *made)
+    ordered = [n for k in range(len(periods)) for n in (names[c][k] for c in columns)] + [names[c][len(periods) + j] for j in range(3) for c in columns]
+    return out.filter("_home = _chunk").select(*[col(c) for c in panel.columns], *[col(n) for n in ordered])
+
+
+def changes_at(panel: DataFrame, column: str, day: DataFrame, periods: Sequence[int] = CHANGE_ROWS, keys: Sequence[str] = KEYS, since_days: int = 365) -> DataFrame:
+    """The changes of each entity on one day, its value then, and the highest and lowest of the days before: one row per entity.
+
+    ``day`` has one row per group (the keys before the last one) with the date ``_day``; without a group it has one row. Everything
+    but the row lags is a map-side aggregate, and for those only the newest rows of an entity are ordered; no change is
+    computed for any other day. An entity without a row on the day has NULL but for its range.
+    """
+    *group, _ = keys
+    rows = panel.select(*keys, ORDER, col(column).cast("double").alias("_x"))
+    rows = rows.join(day, list(group)) if group else rows.withColumn("_day", day.select("_day").scalar())
+    rows = rows.filter(F.col(ORDER) <= F.col("_day"))
+    x, good = F.col("_x"), positive("_x").isNotNull()
+    last_before = lambda start: F.max_by(x, F.when(good & (F.col(ORDER) < start), F.col(ORDER)))
+    recent = F.col(ORDER) >= F.date_sub("_day", since_days)
+    facts = rows.groupBy(*keys).agg(
+        F.max(F.when(F.col(ORDER) == F.col("_day"), F.struct(x))).alias("_now"),
+        last_before(F.trunc("_day", "year")).alias("_ytd"),
+        last_before(F.trunc("_day", "month")).alias("_mtd"),
+        F.max(F.when(F.col(ORDER) == anniversary("_day"), x)).alias("_yoy"),
+        F.max(F.when(recent, x)).alias("high"),
+        F.min(F.when(recent, x)).alias("low"),
+    )
+    newest = Window.partitionBy(*keys).orderBy(F.desc(ORDER))
+    lagged = rows.select(*keys, "_x", F.row_number().over(newest).alias("_k")).filter(F.col("_k") <= max(periods) + 1)
+    lags = lagged.groupBy(*keys).agg(*[F.max(F.when(F.col("_k") == k + 1, x)).alias(f"_lag{k}") for k in periods])
+    there, now = F.col("_now").isNotNull(), F.col("_now._x")
+    changed = lambda base: F.when(there, pct_change(now, F.col(base)))
+    return facts.join(lags, list(keys)).select(
+        *keys,
+        now.alias(column),
+        *[changed(f"_lag{k}").alias(f"{column}_{k}_change") for k in periods],
+        changed("_ytd").alias(f"{column}_YTD_change"),
+        changed("_mtd").alias(f"{column}_MTD_change"),
+        changed("_yoy").alias(f"{column}_YOY_change"),
+        "high",
+        "low",
+    )
 
 
 def cagr(panel: DataFrame, columns: Sequence[str], years: Sequence[int] = CAGR_YEARS, keys: Sequence[str] = KEYS, dense: bool = False) -> DataFrame:
@@ -147,14 +267,14 @@ def zscore(panel: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS)
 
 def statistics(panel: DataFrame, start, columns: Sequence[str] | None = None, keys: Sequence[str] = KEYS) -> DataFrame:
     """Percentile rank and z-score of the numeric columns over the rows from ``start`` on."""
-    numeric = columns or [f.name for f in panel.schema if isinstance(f.dataType, NumericType) and f.name not in keys]
+    numeric = columns or [f.name for f in panel.schema if isinstance(f.dataType, T.NumericType) and f.name not in keys]
     recent = panel.filter(F.col(ORDER) >= F.lit(start).cast("date"))
     return zscore(percentile_rank(recent, numeric, keys), numeric, keys)
 
 
-def analyse(panel: DataFrame, columns: Sequence[str], start=None, periods: Sequence[int] = CHANGE_ROWS, include_statistics: bool = False, keys: Sequence[str] = KEYS, dense: bool = False) -> DataFrame:
+def analyse(panel: DataFrame, columns: Sequence[str], start=None, periods: Sequence[int] = CHANGE_ROWS, include_statistics: bool = False, keys: Sequence[str] = KEYS) -> DataFrame:
     """All changes, and on request percentile and z-score from ``start`` (NULL before it)."""
-    out = all_changes(panel, columns, periods, keys, dense)
+    out = all_changes(panel, columns, periods, keys)
     if not include_statistics:
         return out
     stats = statistics(panel.select(*keys, ORDER, *[col(c) for c in columns]), start, columns, keys)

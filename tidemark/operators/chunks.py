@@ -131,39 +131,127 @@ class Roll(NamedTuple):
     other: str | None = None
 
 
-def _frames(specs: Sequence[Roll], row: str):
-    """Arrow job for one chunk: all rolling columns in ``row`` order, frames of any length by the same arithmetic.
+class Calc(NamedTuple):
+    """One column from others of the same row, between rolling ones: ``ratio``, ``times`` and ``minus`` of two columns, ``excess``
+    (minus, but not below zero), ``scaled`` by a number, or ``return`` (the column over its value one row earlier, less one)."""
 
-    Moments come from running sums of the values minus the chunk's mean, so a level far from zero costs no digits. A frame
-    of one repeated value has exactly that mean and no spread; a correlation with it is NULL.
+    out: str
+    how: str
+    column: str
+    other: str | float | None = None
+
+
+def needed(steps: Sequence[Roll | Calc], wanted: Collection[str]) -> list[Roll | Calc]:
+    """The steps that the wanted columns rest on, in their order."""
+    open_, kept = set(wanted), []
+    for step in reversed(steps):
+        if step.out in open_:
+            kept.append(step)
+            open_ |= {c for c in (step.column, step.other) if isinstance(c, str)}
+    return kept[::-1]
+
+
+def reach_of(steps: Sequence[Roll | Calc]) -> int:
+    """Rows before a row that its results may rest on: along chains of steps the frames add up."""
+    back: dict[str, int] = {}
+    for step in steps:
+        own = step.rows - 1 if isinstance(step, Roll) else 1 if step.how == "return" else 0
+        back[step.out] = own + max((back.get(c, 0) for c in (step.column, step.other) if isinstance(c, str)), default=0)
+    return max(back.values(), default=0)
+
+
+def _frames(steps: Sequence[Roll | Calc], row: str, keep: Sequence[str]):
+    """Arrow job for one chunk: the steps one after the other, in ``row`` order.
+
+    Sums, means and moments of a frame come from the rows of the frame alone: the rows are cut into blocks as long as the frame, at row
+    numbers that do not depend on the chunk, and a frame is the end of one block merged with the beginning of the next. What left
+    the frame leaves no trace, however large it was, and every chunk size gives the same digits. A frame of one repeated value has
+    exactly that mean and no spread; a correlation with it is NULL.
     The closure holds plain tuples only, so it travels by value and workers need not have this package.
     """
-    wanted = [tuple(s) for s in specs]
+    wanted = [("roll", *s) if isinstance(s, Roll) else ("calc", *s) for s in steps]
 
     def compute(table: pa.Table) -> pa.Table:
         table = table.sort_by(row)
+        places = table.column(row).to_numpy()
+        known: dict[str, np.ndarray] = {}
 
         def numbers(name):
-            x = table.column(name).cast(pa.float64()).to_pandas().to_numpy(dtype=float, copy=True)
-            x[~np.isfinite(x)] = np.nan
-            return x
+            if name not in known:
+                x = table.column(name).cast(pa.float64()).to_pandas().to_numpy(dtype=float, copy=True)
+                x[~np.isfinite(x)] = np.nan
+                known[name] = x
+            return known[name]
+
+        def counted(flags, rows):
+            """How many of the last ``rows`` flags are set; -1 where fewer rows are there."""
+            total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
+            out = np.full(len(flags), -1, dtype=np.int64)
+            if len(flags) >= rows:
+                out[rows - 1 :] = total[rows:] - total[:-rows]
+            return out
 
-        def framed(x, rows):
-            """Sums of x over the last ``rows`` values; the first ``rows - 1`` are undefined."""
-            total = np.concatenate([[0.0], np.cumsum(x)])
+        def blocks(x, rows):
+            """x as (block, place in block), blocks beginning at row numbers divisible by ``rows``."""
+            lead = int(places[0] % rows)
+            padded = np.zeros(-(-(lead + len(x)) // rows) * rows)
+            padded[lead : lead + len(x)] = x
+            return padded.reshape(-1, rows), lead
+
+        def merged(parts, rows, n, lead, merge):
+            """For each row with a whole frame: ``merge`` of the block end where its frame begins and the block beginning up to it."""
+            ends, begins = parts
+            last = np.arange(rows - 1, n) + lead
+            first = last - (rows - 1)
+            head = [x.ravel()[last] for x in begins]
+            tail = [x.ravel()[first] for x in ends]
+            own = last % rows + 1  # rows of the later block in the frame
+            return merge(tail, rows - own, head, own)
+
+        def sums(x, rows):
+            grid, lead = blocks(x, rows)
             out = np.full(len(x), np.nan)
             if len(x) >= rows:
-                out[rows - 1 :] = total[rows:] - total[:-rows]
+                parts = [np.cumsum(grid[:, ::-1], axis=1)[:, ::-1]], [np.cumsum(grid, axis=1)]
+                out[rows - 1 :] = merged(parts, rows, len(x), lead, lambda t, m, h, k: np.where(m > 0, t[0], 0.0) + h[0])
+            return out
+
+        def moments(x, y, rows):
+            """Sums of squares of x and of y and of their products, each about the frame's means."""
+            gx, lead = blocks(x, rows)
+            gy, _ = blocks(y, rows)
+
+            def scan(a, b):
+                shape = a.shape
+                mx, my, xx, yy, xy = (np.zeros(shape) for _ in range(5))
+                mx[:, 0], my[:, 0] = a[:, 0], b[:, 0]
+                for k in range(1, rows):
+                    dx, dy = a[:, k] - mx[:, k - 1], b[:, k] - my[:, k - 1]
+                    mx[:, k] = mx[:, k - 1] + dx / (k + 1)
+                    my[:, k] = my[:, k - 1] + dy / (k + 1)
+                    ex, ey = a[:, k] - mx[:, k], b[:, k] - my[:, k]
+                    xx[:, k] = xx[:, k - 1] + dx * ex
+                    yy[:, k] = yy[:, k - 1] + dy * ey
+                    xy[:, k] = xy[:, k - 1] + dx * ey
+                return [mx, my, xx, yy, xy]
+
+            def merge(t, m, h, k):
+                dx, dy, both = h[0] - t[0], h[1] - t[1], m * k / rows
+                whole = m == 0
+                pick = lambda i, d: np.where(whole, h[i], t[i] + h[i] + d * both)
+                return np.array([pick(2, dx * dx), pick(3, dy * dy), pick(4, dx * dy)])
+
+            out = np.full((3, len(x)), np.nan)
+            if len(x) >= rows:
+                parts = [p[:, ::-1] for p in scan(gx[:, ::-1], gy[:, ::-1])], scan(gx, gy)
+                out[:, rows - 1 :] = merged(parts, rows, len(x), lead, merge)
             return out
 
-        def moments(x, rows):
-            """(values minus their mean, the mean, whether a frame is whole, whether it holds one value only)"""
-            seen = ~np.isnan(x)
-            center = x[seen].mean() if seen.any() else 0.0
-            shifted = np.where(seen, x - center, 0.0)
+        def repeats(x, rows):
+            """Whether a frame holds one value only."""
             changed = np.ones(len(x))
             changed[1:] = x[1:] != x[:-1]
-            return shifted, center, framed(seen * 1.0, rows) == rows, framed(changed, rows - 1) == 0 if rows > 1 else np.ones(len(x), bool)
+            return counted(changed, rows - 1) == 0 if rows > 1 else np.ones(len(x), bool)
 
         def rolled(column, rows, how, other):
             x = numbers(column)
@@ -171,25 +259,43 @@ def _frames(specs: Sequence[Roll], row: str):
                 return getattr(pd.Series(x).rolling(rows, min_periods=rows), how)().to_numpy()
             y = numbers(other) if how == "corr" else x
             both = ~np.isnan(x) & ~np.isnan(y)
-            x, y = np.where(both, x, np.nan), np.where(both, y, np.nan)
-            u, center, whole, flat = moments(x, rows)
-            s = framed(u, rows)
+            u, v = np.where(both, x, 0.0), np.where(both, y, 0.0)
+            whole = counted(both, rows) == rows
+            flat = repeats(np.where(both, x, np.nan), rows)
             if how in ("mean", "sum"):
-                mean = np.where(flat, x, center + s / rows)
-                return np.where(whole, mean if how == "mean" else mean * rows, np.nan)
-            v, _, _, flat_too = moments(y, rows)
-            t = framed(v, rows)
-            varied = whole & ~flat & ~flat_too & (rows > 1)
-            left = np.maximum(framed(u * u, rows) - s * s / rows, 0.0)
+                total = np.where(flat, u * rows, sums(u, rows))
+                return np.where(whole, total if how == "sum" else np.where(flat, u, total / rows), np.nan)
+            varied = whole & ~flat & (rows > 1)
+            xx, yy, xy = moments(u, v, rows)
             if how == "std":
-                return np.where(varied, np.sqrt(left / max(rows - 1, 1)), np.where(whole & (rows > 1), 0.0, np.nan))
-            right = np.maximum(framed(v * v, rows) - t * t / rows, 0.0)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                return np.where(varied, (framed(u * v, rows) - s * t / rows) / np.sqrt(left * right), np.nan)
-
-        for out, column, rows, how, other in wanted:
-            values = rolled(column, rows, how, other)
-            table = table.append_column(out, pa.array(np.where(np.isfinite(values), values, np.nan), from_pandas=True, type=pa.float64()))
+                return np.where(varied, np.sqrt(xx / max(rows - 1, 1)), np.where(whole & (rows > 1), 0.0, np.nan))
+            varied &= ~repeats(np.where(both, y, np.nan), rows)
+            return np.where(varied, xy / (np.sqrt(xx) * np.sqrt(yy)), np.nan)
+
+        def calculated(how, column, other):
+            x = numbers(column)
+            if how == "return":
+                earlier = np.concatenate([[np.nan], x[:-1]])
+                return np.where(earlier == 0, np.nan, x / earlier) - 1.0
+            if how == "scaled":
+                return x * other
+            y = numbers(other)
+            if how == "ratio":
+                return np.where(y == 0, np.nan, x / y)
+            if how == "times":
+                return x * y
+            return x - y if how == "minus" else np.where(x - y < 0, 0.0, x - y)
+
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+            for kind, out, *rest in wanted:
+                if kind == "roll":
+                    values = rolled(*rest)
+                else:
+                    how, column, other = rest
+                    values = calculated(how, column, other)
+                known[out] = np.where(np.isfinite(values), values, np.nan)
+        for out in keep:
+            table = table.append_column(out, pa.array(known[out], from_pandas=True, type=pa.float64()))
         return table
 
     return compute
@@ -230,16 +336,22 @@ class Chunked:
     def lag(self, c: Column | str, rows: int = 1) -> Column:
         return F.lag(col(c), rows).over(self.window)
 
-    def roll(self, df: DataFrame, specs: Sequence[Roll]) -> DataFrame:
-        """Add rolling columns, computed in Arrow for each run."""
+    def roll(self, df: DataFrame, steps: Sequence[Roll | Calc], keep: Sequence[str] | None = None) -> DataFrame:
+        """Add the columns of the steps (or those of them in ``keep``), computed in one Arrow pass for each run."""
         # Grouped Arrow jobs resolve plain column names only, so the columns travel under numbers.
         names = df.columns
+        keep = [s.out for s in steps] if keep is None else list(keep)
         plain = {name: f"c{i}" for i, name in enumerate(names)}
-        inner = [Roll(f"r{i}", plain[s.column], s.rows, s.how, plain.get(s.other)) for i, s in enumerate(specs)]
+        own = plain | {s.out: f"r{i}" for i, s in enumerate(steps)}
+        told = lambda c: own[c] if isinstance(c, str) else c
+        inner = [
+            Roll(own[s.out], told(s.column), s.rows, s.how, told(s.other)) if isinstance(s, Roll) else Calc(own[s.out], s.how, told(s.column), told(s.other))
+            for s in steps
+        ]
         numbered = df.toDF(*plain.values())
-        schema = T.StructType([*numbered.schema.fields, *[T.StructField(s.out, T.DoubleType()) for s in inner]])
+        schema = T.StructType([*numbered.schema.fields, *[T.StructField(own[k], T.DoubleType()) for k in keep]])
         grouped = numbered.groupBy(*[plain[k] for k in (*self.keys, "_chunk")])
-        return grouped.applyInArrow(_frames(inner, plain["_row"]), schema).toDF(*names, *[s.out for s in specs])
+        return grouped.applyInArrow(_frames(inner, plain["_row"], [own[k] for k in keep]), schema).toDF(*names, *keep)
 
     def owned(self, df: DataFrame) -> DataFrame:
         """Drop the copies and the helper columns."""

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import col, positive, ratio
+from ..functions import sql
+from ..functions.expressions import positive, ratio
 from .chunks import ORDER
 from .segments import EVENT_DATES, EVENT_STEP_DAYS, step_value
 
@@ -28,37 +29,41 @@ def cents(tariff: float) -> int:
 
 def energy(panel: DataFrame, tariffs: Sequence[float] = TARIFFS, base: float = BASE_TARIFF, dates: Sequence[str] = EVENT_DATES, step_days: int = EVENT_STEP_DAYS) -> DataFrame:
     """Row-wise energy models from hash rate, efficiency, difficulty, issuance and price."""
-    c = col
-    hashes, efficiency, price = c("hash_rate"), c("cm_efficiency_j_gh"), c("price_close")
-    power = panel.withColumns(
+    r, above, price = sql.ratio, sql.positive, "`price_close`"
+    power = sql.derive(
+        panel.withColumn("block_reward", step_value(F.col(ORDER), dates, step_days)),
         {
-            "block_reward": step_value(F.col(ORDER), dates, step_days),
-            "network_power_watts": hashes / 1e9 * efficiency,
-            "daily_electricity_consumption_kwh": hashes / 1e9 * efficiency * 24 / 1000,
-            "miner_revenue_btc": c("subsidy_sum_24h") + c("fees_sum_24h"),
-        }
+            "network_power_watts": "`hash_rate` / 1e9D * `cm_efficiency_j_gh`",
+            "daily_electricity_consumption_kwh": "`hash_rate` / 1e9D * `cm_efficiency_j_gh` * 24 / 1000",
+            "miner_revenue_btc": "`subsidy_sum_24h` + `fees_sum_24h`",
+        },
     )
-    kwh, earned = c("daily_electricity_consumption_kwh"), c("miner_revenue_btc")
-    per_coin = {f"Electricity_Cost_{cents(t)}c": ratio(kwh * t, positive(earned)) for t in tariffs}
-    legacy = ratio(kwh * base * POWER_OVERHEAD, positive("subsidy_sum_24h"))
-    expected = ratio(hashes * SECONDS_PER_DAY * c("block_reward"), c("difficulty") * HASHES_PER_DIFFICULTY)
-    hayes = ratio(base * 24 * efficiency * (hashes / 1e12), positive(expected))
-    issuance = c("inflation_rate") / 100 / SECONDS_PER_YEAR
-    value = ratio(hashes / 1e12 * (efficiency * 1000), issuance) * FIAT_FACTOR
-    return power.withColumns(
+    kwh, earned = "`daily_electricity_consumption_kwh`", above("`miner_revenue_btc`")
+    legacy = r(f"{kwh} * {sql.literal(base)} * {sql.literal(POWER_OVERHEAD)}", above("`subsidy_sum_24h`"))
+    expected = r(f"`hash_rate` * {SECONDS_PER_DAY} * `block_reward`", f"`difficulty` * {HASHES_PER_DIFFICULTY}")
+    hayes = r(f"{sql.literal(base * 24)} * `cm_efficiency_j_gh` * (`hash_rate` / 1e12D)", above(expected))
+    value = f"{r('`hash_rate` / 1e12D * (`cm_efficiency_j_gh` * 1000)', f'`inflation_rate` / 100 / {sql.literal(SECONDS_PER_YEAR)}')} * {sql.literal(FIAT_FACTOR)}"
+    # The costs are named columns first, so that their multiples stay small expressions.
+    costs = sql.derive(
+        power,
         {
-            **per_coin,
-            "Electricity_Cost": ratio(kwh * base, positive(earned)),
-            "power_only_breakeven_tariff_usd_per_kwh": ratio(price * earned, positive(kwh)),
+            **{f"Electricity_Cost_{cents(t)}c": r(f"{kwh} * {sql.literal(t)}", earned) for t in tariffs},
+            "Electricity_Cost": r(f"{kwh} * {sql.literal(base)}", earned),
+            "power_only_breakeven_tariff_usd_per_kwh": r(f"{price} * `miner_revenue_btc`", above(kwh)),
             "Electricity_Cost_PUE_Subsidy_Only": legacy,
-            "Bitcoin_Production_Cost": legacy / POWER_SHARE_OF_COST,
             "Hayes_Network_Price_Per_BTC": hayes,
-            "Hayes_Network_Price_Multiple": ratio(price, hayes),
             "Energy_Value": value,
-            "Energy_Value_Multiple": ratio(price, value),
-            "Lagged_Energy_Value": value,
-            "CM_Energy_Value": value,
-        }
+        },
+    )
+    return sql.derive(
+        costs,
+        {
+            "Bitcoin_Production_Cost": f"`Electricity_Cost_PUE_Subsidy_Only` / {sql.literal(POWER_SHARE_OF_COST)}",
+            "Hayes_Network_Price_Multiple": r(price, "`Hayes_Network_Price_Per_BTC`"),
+            "Energy_Value_Multiple": r(price, "`Energy_Value`"),
+            "Lagged_Energy_Value": "`Energy_Value`",
+            "CM_Energy_Value": "`Energy_Value`",
+        },
     )
 
 

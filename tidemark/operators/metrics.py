@@ -11,9 +11,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import col, floor_zero, positive, ratio
+from ..functions import sql
+from ..functions.expressions import col, positive, ratio
 from ..session import settle
-from .chunks import KEYS, ORDER, ROW, Chunked, Roll, beside, running
+from .chunks import KEYS, ORDER, ROW, Calc, Chunked, Roll, beside, needed, reach_of, running
 from .prepare import ffill
 
 UNITS_PER_COIN = 100_000_000
@@ -43,120 +44,137 @@ ONCHAIN_INPUTS = (
 )
 
 
-def onchain_metrics(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+# Row-wise columns before the windows, and after them; all but the windows themselves is text of one select each.
+_BEFORE = {
+    "NVTAdj": sql.ratio("`market_cap`", "`transfer_volume_sum_24h_usd`"),
+    "adjusted_bdd": sql.ratio("`coindays_destroyed_sum_24h`", "`supply`"),
+    "vocd": f"`price_close` * {sql.ratio('`coindays_destroyed_sum_24h`', '`supply`')}",
+}
+_YEAR = math.sqrt(365)
+_STEPS = (
+    Calc("_return", "return", "price_close"),
+    Roll("_volume_90", "transfer_volume_sum_24h_usd", 90),
+    Roll("7_day_ma_price_close", "price_close", 7),
+    Roll("50_day_ma_price_close", "price_close", 50),
+    Roll("100_day_ma_price_close", "price_close", 100),
+    Roll("200_day_ma_price_close", "price_close", 200),
+    Roll("200_week_ma_price_close", "price_close", 200 * 7),
+    Roll("_std_30", "_return", 30, "std"),
+    Roll("_std_180", "_return", 180, "std"),
+    Calc("VtyDayRet30d", "scaled", "_std_30", _YEAR),
+    Calc("VtyDayRet180d", "scaled", "_std_180", _YEAR),
+    Calc("NVTAdj90", "ratio", "market_cap", "_volume_90"),
+    Roll("_nvt_730", "NVTAdj", 365 * 2, "median"),
+    Roll("_nvt90_365", "NVTAdj90", 365, "median"),
+    Calc("_nvt_volume", "times", "_nvt_730", "transfer_volume_sum_24h_usd"),
+    Calc("_nvt90_volume", "times", "_nvt90_365", "transfer_volume_sum_24h_usd"),
+    Calc("nvt_price", "ratio", "_nvt_volume", "supply"),
+    Calc("nvt_price_adj", "ratio", "_nvt90_volume", "supply"),
+    Calc("nvt_price_multiple", "ratio", "price_close", "nvt_price"),
+    Roll("nvt_price_multiple_ma", "nvt_price_multiple", 14),
+    Roll("mvocd", "vocd", 30, "median"),
+    Calc("daily_hodl_value", "excess", "price_close", "mvocd"),
+    Roll("miner_revenue_1_Year", "coinbase_sum_24h_usd", 365, "sum"),
+    Roll("miner_revenue_4_Year", "coinbase_sum_24h_usd", 4 * 365, "sum"),
+)
+_TOTALS = {
+    "RevAllTimeUSD": ("sum", "coalesce(`coinbase_sum_24h_usd`, 0D)"),
+    "adjusted_bdd_mean": ("mean", "`adjusted_bdd`"),
+    "cumulative_market_cap": ("sum", "`market_cap`"),
+}
+
+
+def _in_coins(name: str) -> str:
+    """Values above ten times the supply are in the small unit."""
+    return f"(CASE WHEN `{name}` > `supply` * 10 THEN `{name}` / {float(UNITS_PER_COIN)}D ELSE `{name}` END)"
+
+
+def _after() -> dict[str, str]:
+    r = sql.ratio
+    held = f"{r('`utxos_over_1y_old_supply`', '`supply`')} * 100"
+    average = r("`cumulative_market_cap`", f"`{ROW}`")
+    return {
+        "sat_per_dollar": r(f"{float(UNITS_PER_COIN)}D", sql.positive("`price_close`")),
+        "mvrv_ratio": r("`market_cap`", "`realized_cap`"),
+        "CapMVRVCur": r("`market_cap`", "`realized_cap`"),
+        "nupl": r("`market_cap` - `realized_cap`", "`market_cap`"),
+        "200_day_multiple": r("`price_close`", "`200_day_ma_price_close`"),
+        "thermocap_multiple": r("`market_cap`", "`RevAllTimeUSD`"),
+        "thermocap_price": r("`RevAllTimeUSD`", "`supply`"),
+        **{f"thermocap_price_multiple_{k}": r(f"`RevAllTimeUSD` * {k}", "`supply`") for k in (4, 8, 16, 32)},
+        "ss_multiple_1": r("`market_cap`", "`miner_revenue_1_Year`"),
+        "ss_price_1": r("`miner_revenue_1_Year`", "`supply`"),
+        "ss_multiple_4": r("`market_cap`", "`miner_revenue_4_Year`"),
+        "ss_price_4": r("`miner_revenue_4_Year`", "`supply`"),
+        **{f"realizedcap_multiple_{k}": r(f"`realized_cap` * {k}", "`supply`") for k in (2, 3, 5, 7)},
+        "supply_pct_1_year_plus": held,
+        "pct_supply_issued": f"`supply` / {float(MAX_SUPPLY)}D",
+        "pct_fee_of_reward": f"{r('`fees_sum_24h`', '`coinbase_sum_24h`')} * 100",
+        "illiquid_supply": f"{held} / 100 * `supply`",
+        "liquid_supply": f"`supply` - {held} / 100 * `supply`",
+        "daily_active_addresses_sending": "`active_addrs_average_24h`",
+        "adjusted_bdd_above_avg": "coalesce(`adjusted_bdd` > `adjusted_bdd_mean`, false)",
+        "reserve_risk_calc": r("`price_close`", "`hodl_bank_calc`"),
+        "days_since_start": f"`{ROW}`",
+        "average_cap": average,
+        "delta_cap": f"`realized_cap` - {average}",
+        "average_cap_price": r(average, "`supply`"),
+        "delta_cap_price": r(f"`realized_cap` - {average}", "`supply`"),
+        "supply_in_profit_btc": _in_coins("supply_in_profit"),
+        "supply_in_loss_btc": _in_coins("supply_in_loss"),
+        "supply_in_profit_pct": f"{r(_in_coins('supply_in_profit'), '`supply`')} * 100",
+        "supply_in_loss_pct": f"{r(_in_coins('supply_in_loss'), '`supply`')} * 100",
+        "realized_price": f"coalesce(`realized_price`, {r('`realized_cap`', '`supply`')})",
+    }
+
+
+#: Names of the derived on-chain columns.
+ONCHAIN_METRICS = (*_BEFORE, *(s.out for s in _STEPS if not s.out.startswith("_")), *_TOTALS, "hodl_bank_calc", *_after())
+
+
+def onchain_metrics(panel: DataFrame, keys: Sequence[str] = KEYS, columns: Sequence[str] | None = None) -> DataFrame:
     """Valuation ratios, price means, thermocap, miner revenue, supply, reserve risk, average cap and volatility.
 
-    Three passes: running totals, one halo pass for all rolling windows (nested windows share its reach), and the
-    running total of the daily holding value, which needs a rolling median first. The rolled stage is settled, because
-    a running total reads its input twice.
+    All rolling windows, nested ones too, are one Arrow pass over runs of rows with as many rows before each as the windows reach;
+    running totals come before it, and after it that of the daily holding value, whose input is settled because a running
+    total reads it twice. ``columns`` names the derived columns that are wanted: only what these rest on is read and computed,
+    and the result has the keys, the date and these columns. Without it all columns of the panel stay and all are added.
     """
-    return beside(panel, ONCHAIN_INPUTS, lambda narrow: _onchain_metrics(narrow, keys), keys)
-
-
-def _onchain_metrics(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
-    c = col
-    cap, supply, realized, price = c("market_cap"), c("supply"), c("realized_cap"), c("price_close")
-    revenue, volume = c("coinbase_sum_24h_usd"), c("transfer_volume_sum_24h_usd")
-
-    def in_coins(name: str):
-        """Values above ten times the supply are in the small unit."""
-        return F.when(c(name) > supply * 10, c(name) / float(UNITS_PER_COIN)).otherwise(c(name))
-
-    start = panel.withColumns(
-        {
-            "NVTAdj": ratio(cap, volume),
-            "adjusted_bdd": ratio("coindays_destroyed_sum_24h", supply),
-        }
-    ).withColumn("vocd", price * c("adjusted_bdd"))
-    totals = running(
-        start,
-        {
-            ROW: ("rows", F.lit(1)),
-            "RevAllTimeUSD": ("sum", F.coalesce(revenue, F.lit(0.0))),
-            "adjusted_bdd_mean": ("mean", "adjusted_bdd"),
-            "cumulative_market_cap": ("sum", cap),
-        },
-        keys,
-    ).withColumn("cumulative_market_cap", F.when(cap.isNotNull(), c("cumulative_market_cap")))
-
-    chunks = Chunked(totals, reach=4 * 365 - 1, keys=keys)
-    frame = chunks.frame.withColumn("_return", ratio(price, chunks.lag(price)) - 1.0)
-    frame = chunks.roll(
-        frame,
-        [
-            Roll("_volume_90", "transfer_volume_sum_24h_usd", 90),
-            Roll("7_day_ma_price_close", "price_close", 7),
-            Roll("50_day_ma_price_close", "price_close", 50),
-            Roll("100_day_ma_price_close", "price_close", 100),
-            Roll("VtyDayRet30d", "_return", 30, "std"),
-        ],
-    ).withColumn("NVTAdj90", ratio(cap, "_volume_90"))
-    frame = chunks.roll(
-        frame,
-        [
-            Roll("_nvt_730", "NVTAdj", 365 * 2, "median"),
-            Roll("_nvt90_365", "NVTAdj90", 365, "median"),
-            Roll("mvocd", "vocd", 30, "median"),
-            Roll("200_day_ma_price_close", "price_close", 200),
-            Roll("200_week_ma_price_close", "price_close", 200 * 7),
-            Roll("miner_revenue_1_Year", "coinbase_sum_24h_usd", 365, "sum"),
-            Roll("miner_revenue_4_Year", "coinbase_sum_24h_usd", 4 * 365, "sum"),
-            Roll("VtyDayRet180d", "_return", 180, "std"),
-        ],
-    ).withColumns(
-        {
-            "nvt_price": ratio(c("_nvt_730") * volume, supply),
-            "nvt_price_adj": ratio(c("_nvt90_365") * volume, supply),
-            "nvt_price_multiple": ratio(price, ratio(c("_nvt_730") * volume, supply)),
-            "daily_hodl_value": floor_zero(price - c("mvocd")),
-            "VtyDayRet30d": c("VtyDayRet30d") * math.sqrt(365),
-            "VtyDayRet180d": c("VtyDayRet180d") * math.sqrt(365),
-        }
-    )
-    frame = chunks.roll(frame, [Roll("nvt_price_multiple_ma", "nvt_price_multiple", 14)])
-    rolled = chunks.owned(frame).drop("_return", "_volume_90", "_nvt_730", "_nvt90_365")
-    banked = running(settle(rolled), {"hodl_bank_calc": ("sum", "daily_hodl_value")}, keys).withColumn(
-        "hodl_bank_calc", F.when(c("daily_hodl_value").isNotNull(), c("hodl_bank_calc"))
-    )
-
-    held = ratio("utxos_over_1y_old_supply", supply) * 100
-    thermo = c("RevAllTimeUSD")
-    derived = {
-        "sat_per_dollar": ratio(F.lit(float(UNITS_PER_COIN)), positive(price)),
-        "mvrv_ratio": ratio(cap, realized),
-        "CapMVRVCur": ratio(cap, realized),
-        "nupl": ratio(cap - realized, cap),
-        "200_day_multiple": ratio(price, "200_day_ma_price_close"),
-        "thermocap_multiple": ratio(cap, thermo),
-        "thermocap_price": ratio(thermo, supply),
-        **{f"thermocap_price_multiple_{k}": ratio(thermo * k, supply) for k in (4, 8, 16, 32)},
-        "ss_multiple_1": ratio(cap, "miner_revenue_1_Year"),
-        "ss_price_1": ratio("miner_revenue_1_Year", supply),
-        "ss_multiple_4": ratio(cap, "miner_revenue_4_Year"),
-        "ss_price_4": ratio("miner_revenue_4_Year", supply),
-        **{f"realizedcap_multiple_{k}": ratio(realized * k, supply) for k in (2, 3, 5, 7)},
-        "supply_pct_1_year_plus": held,
-        "pct_supply_issued": supply / float(MAX_SUPPLY),
-        "pct_fee_of_reward": ratio("fees_sum_24h", "coinbase_sum_24h") * 100,
-        "illiquid_supply": held / 100 * supply,
-        "liquid_supply": supply - held / 100 * supply,
-        "daily_active_addresses_sending": c("active_addrs_average_24h"),
-        "adjusted_bdd_above_avg": F.coalesce(c("adjusted_bdd") > c("adjusted_bdd_mean"), F.lit(False)),
-        "reserve_risk_calc": ratio(price, "hodl_bank_calc"),
-        "days_since_start": c(ROW),
-        "average_cap": ratio("cumulative_market_cap", ROW),
-        "delta_cap": realized - ratio("cumulative_market_cap", ROW),
-        "average_cap_price": ratio(ratio("cumulative_market_cap", ROW), supply),
-        "delta_cap_price": ratio(realized - ratio("cumulative_market_cap", ROW), supply),
-        "supply_in_profit_btc": in_coins("supply_in_profit"),
-        "supply_in_loss_btc": in_coins("supply_in_loss"),
-        "supply_in_profit_pct": ratio(in_coins("supply_in_profit"), supply) * 100,
-        "supply_in_loss_pct": ratio(in_coins("supply_in_loss"), supply) * 100,
-        "realized_price": F.coalesce(c("realized_price"), ratio(realized, supply))
-        if "realized_price" in panel.columns
-        else ratio(realized, supply),
-    }
-    return banked.withColumns(derived).drop(ROW)
+    if columns is not None:
+        unknown = sorted(set(columns).difference(ONCHAIN_METRICS))
+        if unknown:
+            raise ValueError(f"no such metrics: {unknown}")
+        return _onchain_metrics(panel, keys, columns).select(*keys, ORDER, *[col(c) for c in columns])
+    return beside(panel, ONCHAIN_INPUTS, lambda narrow: _onchain_metrics(narrow, keys, ONCHAIN_METRICS), keys)
+
+
+def _onchain_metrics(panel: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    after = _after()
+    if "realized_price" not in panel.columns:
+        after["realized_price"] = sql.ratio("`realized_cap`", "`supply`")
+    read = sql.closure([c for c in columns if c in after], after) | set(columns)
+    bank = "hodl_bank_calc" in read
+    read |= {"daily_hodl_value"} if bank else set()
+    steps = needed(_STEPS, read)
+    read |= {c for s in steps for c in (s.column, s.other) if isinstance(c, str)}
+    totals = {out: spec for out, spec in _TOTALS.items() if out in read}
+    read |= {c for _, x in totals.values() for c in sql.columns_in(x)}
+    before = {c: x for c, x in _BEFORE.items() if c in read}
+    read |= {c for x in before.values() for c in sql.columns_in(x)}
+
+    given = panel.select(*keys, ORDER, *[col(c) for c in panel.columns if c in read and c not in keys and c != ORDER])
+    out = sql.derive(given, before) if before else given
+    if steps or totals or ROW in read:
+        out = running(out, {ROW: ("rows", F.lit(1)), **{c: (kind, F.expr(x)) for c, (kind, x) in totals.items()}}, keys)
+        if "cumulative_market_cap" in totals:
+            out = out.withColumn("cumulative_market_cap", F.expr("CASE WHEN `market_cap` IS NOT NULL THEN `cumulative_market_cap` END"))
+    if steps:
+        chunks = Chunked(out, reach_of(steps), keys=keys)
+        out = chunks.owned(chunks.roll(chunks.frame, steps, [s.out for s in steps if s.out in read and not s.out.startswith("_")]))
+    if bank:
+        out = running(settle(out), {"hodl_bank_calc": ("sum", "daily_hodl_value")}, keys)
+        out = out.withColumn("hodl_bank_calc", F.expr("CASE WHEN `daily_hodl_value` IS NOT NULL THEN `hodl_bank_calc` END"))
+    return sql.derive(out, {c: x for c, x in after.items() if c in columns}).drop(ROW)
 
 
 def stock_to_flow(panel: DataFrame, keys: Sequence[str] = KEYS, dense: bool = False) -> DataFrame:

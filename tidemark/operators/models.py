@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sql
 from ..functions.expressions import col, positive, ratio
 from .chunks import KEYS, ORDER, Roll
 from .windows import rolling
@@ -91,11 +92,45 @@ def ribbons(panel: DataFrame, column: str = "hash_rate", fast: int = FAST, slow:
     )
 
 
-def network_models(panel: DataFrame, fit_end=None, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Power law, user-squared values and ribbons; required columns are checked first."""
+def network_models(panel: DataFrame, fit_end=None, keys: Sequence[str] = KEYS, origin: str = ORIGIN) -> DataFrame:
+    """Power law, user-squared values and ribbons; required columns are checked first.
+
+    All fits come from one pass over the rows up to ``fit_end`` and are joined back once, one row per network.
+    """
     required = {"price_close", "market_cap", "supply", "hash_rate", *BANDS}
     missing = sorted(required.difference(panel.columns))
     if missing:
         raise ValueError(f"network models need columns: {missing}")
-    lawful = apply_power_law(ribbons(panel, keys=keys), power_law_fit(panel, fit_end, keys=keys), keys=keys)
-    return apply_metcalfe(lawful, metcalfe_fit(panel, fit_end, keys=keys), keys=keys)
+    price, supply, q, ratio_ = "`price_close`", "`supply`", sql.q, sql.ratio
+    age = f"CAST(datediff(`{ORDER}`, DATE '{origin}') AS DOUBLE)"
+    in_fit = "true" if fit_end is None else f"`{ORDER}` <= DATE '{fit_end}'"
+    both = f"{in_fit} AND {sql.positive(age)} IS NOT NULL AND {sql.positive(price)} IS NOT NULL"
+    x, y = f"CASE WHEN {both} THEN ln({age}) END", f"CASE WHEN {both} THEN ln({price}) END"
+    value = sql.positive(f"({price} * {supply})")
+    held = f"{in_fit} AND {sql.positive(supply)} IS NOT NULL"
+    fits = panel.groupBy(*keys).agg(
+        *map(
+            F.expr,
+            [
+                f"regr_slope({y}, {x}) AS power_law_exponent",
+                f"exp(regr_intercept({y}, {x})) AS power_law_scale",
+                *[f"exp(avg(CASE WHEN {held} THEN ln({value}) - 2 * ln({sql.positive(q(n))}) END)) AS metcalfe_scale_{suffix}" for n, suffix in BANDS.items()],
+            ],
+        )
+    )
+    made = {"power_law_exponent", "power_law_scale", *[f"metcalfe_scale_{suffix}" for suffix in BANDS.values()]}
+    rolled = ribbons(panel.drop(*made), keys=keys)
+    values = {f"metcalfe_value_{suffix}": ratio_(f"`metcalfe_scale_{suffix}` * pow({q(n)}, 2D)", sql.positive(supply)) for n, suffix in BANDS.items()}
+    headline = next(iter(values.values()))
+    law = f"`power_law_scale` * pow({sql.positive(age)}, `power_law_exponent`)"
+    return sql.derive(
+        rolled.join(fits, list(keys), "left"),
+        {
+            "days_since_genesis": age,
+            "power_law_price": law,
+            "power_law_price_multiple": ratio_(price, sql.positive(f"({law})")),
+            **values,
+            "metcalfe_value": headline,
+            "metcalfe_price_multiple": ratio_(price, sql.positive(headline)),
+        },
+    )

@@ -95,7 +95,6 @@ def build_report(
     assets = settings.performance_assets(benchmark)
     data = network_stage(base, closes, caps, as_of)
     prices = settle(price_panel(data, closes, benchmark, sorted({s for _, _, s in assets} | set(settings.GROWTH_SYMBOLS))))
-    changed = settle(changes.all_changes(prices, ["price"], keys=per_asset))
     snapshot = settle(changes.correlation_snapshot(prices, "price", benchmark, as_of, keys=per_asset))
 
     report = settle(data.join(change_columns(data, settings.analysis_columns()), [*keys, ORDER], "left"))
@@ -106,7 +105,7 @@ def build_report(
     shown_growth = ["price_close_4_Year_CAGR", *shown_growth]
 
     priced = report.select(*keys, ORDER, "price_close")
-    performed = tables.performance(changed, assets, as_of, snapshot, price="price", benchmark=benchmark, keys=per_asset)
+    performed = tables.performance(prices, assets, as_of, snapshot, price="price", benchmark=benchmark, keys=per_asset)
     stamps = F.unix_timestamp(F.col(ORDER).cast("timestamp")).alias("timestamp")
     master = report.join(growth_rates.select(*keys, ORDER, *[col(c) for c in shown_growth]), [*keys, ORDER], "left")
     return {

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import col, finite, number, pct_change, positive, ratio
 from ..functions.text import formatted, sentiment_class, thousands_range, valuation_class
 from ..operators.chunks import KEYS, ORDER, ROW, number_rows
+from ..operators.changes import changes_at
 from ..operators.energy import TARIFFS, cents
 from ..operators.metrics import UNITS_PER_COIN
 from ..operators.prepare import as_of as as_of_row
@@ -291,12 +292,15 @@ def performance(panel: DataFrame, assets: Sequence[tuple[str, str, str]], as_of,
 
     All assets are read on one date, the benchmark's newest one (the newest of all where none is named), and a configured
     asset without a row on that date is published with NULLs. The last key is the asset's; the keys before it tell reports
-    apart. ``panel`` carries ``{price}_7_change`` and the other change columns; ``correlations`` is (keys, corr_90).
+    apart. Changes are computed for that date alone, unless ``panel`` carries them (``{price}_7_change`` and so on);
+    ``correlations`` is (keys, corr_90).
     """
     *group, entity = keys
-    changes = [f"{price}_{p}_change" for p in ("7", "MTD", "YTD", "90")]
+    labels = ("7", "MTD", "YTD", "90")
+    given = [f"{price}_{p}_change" for p in labels]
+    given = given if set(given) <= set(panel.columns) else []
     wanted = F.col(entity).isin(sorted({e for _, _, e in assets}))
-    rows = _until(panel, as_of).select(*keys, ORDER, col(price).alias("price"), *[col(c) for c in changes])
+    rows = _until(panel, as_of).select(*keys, ORDER, col(price).alias("price"), *[col(c).alias(f"price_{p}_change") for p, c in zip(labels, given)])
     lead = rows if benchmark is None else rows.filter(F.col(entity) == F.lit(benchmark))
     day = lead.groupBy(*group).agg(F.max(ORDER).alias("_day"))
     dimension = F.array(
@@ -306,17 +310,17 @@ def performance(panel: DataFrame, assets: Sequence[tuple[str, str, str]], as_of,
         ]
     )
     listed = day.select(*group, "_day", F.inline(dimension))
+    changes = [f"price_{p}_change" for p in labels]
     seen = rows.filter(wanted)
-    if group:
-        dated = seen.join(day, list(group))
-        near, year = F.col(ORDER) == F.col("_day"), F.col(ORDER).between(F.date_sub("_day", 365), F.col("_day"))
+    if not given:
+        facts = changes_at(seen, "price", day, keys=keys)
+        facts = facts.select(*keys, F.struct("price", *changes).alias("_now"), "high", "low")
     else:
-        newest = day.select("_day").scalar()
-        dated = seen.filter(F.col(ORDER).between(F.date_sub(newest, 365), newest))
-        near, year = F.col(ORDER) == newest, F.lit(True)
-    facts = dated.filter(year).groupBy(*keys).agg(
-        F.max(F.when(near, F.struct("price", *[col(c) for c in changes]))).alias("_now"), F.max("price").alias("high"), F.min("price").alias("low")
-    )
+        dated = seen.join(day, list(group)) if group else seen.withColumn("_day", day.select("_day").scalar())
+        dated = dated.filter(F.col(ORDER).between(F.date_sub("_day", 365), F.col("_day")))
+        facts = dated.groupBy(*keys).agg(
+            F.max(F.when(F.col(ORDER) == F.col("_day"), F.struct("price", *changes))).alias("_now"), F.max("price").alias("high"), F.min("price").alias("low")
+        )
     joined = listed.join(facts, list(keys), "left").join(correlations.select(*keys, "corr_90"), list(keys), "left")
     own = F.when(F.col(entity) == F.lit(benchmark), F.lit(1.0)) if benchmark is not None else F.lit(None).cast("double")
     now = lambda c: F.col(f"_now.`{c}`")

@@ -29,6 +29,7 @@ def local_session(cores: int | str = 8, name: str = "tidemark") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call sites: they cost more than the calls
         .getOrCreate()
     )
 
