@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import prepare
 from tidemark.operators.chunks import running
-from tidemark.session import settle
+from tidemark.session import CHECKPOINT_KEY, settle
 
 AS_OF = "2000-06-15"
 
@@ -34,6 +37,14 @@ def _priced(cents: Column, n: Column) -> list[Column]:
     return [(spent / n).alias("price"), spent.alias("volume"), n.cast("double").alias("n")]
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that all machines see: below the one the cluster names; a local session without one gets its own."""
+    top = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    if not top and not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all machines share")
+    return f"{top.rstrip('/')}/published-{uuid.uuid4().hex}" if top else "file://" + tempfile.mkdtemp(prefix="tidemark-published-")
+
+
 def orders_by(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """(entity, date, price, volume, n) from orders.
 

@@ -17,7 +17,7 @@ from ..functions.expressions import col
 from ..operators import changes, energy, metrics, models, prepare, segments, windows
 from ..operators.chunks import KEYS, ORDER
 from ..session import in_stages, settle
-from ..sources.outputs import exists, guarded_write, recover
+from ..sources import versions
 from . import quality, returns, tables
 
 ASSET = "symbol"
@@ -139,23 +139,25 @@ def build_report(
 
 
 def write_report(published: Mapping[str, DataFrame], folder: str, kind: str = "csv") -> None:
-    """One folder per table; the widest one is compressed. A table is replaced only by a finished one with rows."""
+    """One versioned folder per table; the widest one is compressed. A table gets a new version only if that is finished and has rows."""
     for name, df in published.items():
         compression = "gzip" if kind == "csv" and name == "master_metrics_data" else None
-        guarded_write(df, f"{folder.rstrip('/')}/{name}", kind=kind, compression=compression)
+        versions.publish(df, f"{folder.rstrip('/')}/{name}", kind=kind, compression=compression)
 
 
-def read_report(spark: SparkSession, folder: str, names: Sequence[str] = tuple(quality.RULES), kind: str = "csv") -> dict[str, DataFrame]:
-    """The published tables that exist under a folder; CSV cells stay text, nothing is inferred."""
-    found = {}
-    for name in names:
-        path = f"{folder.rstrip('/')}/{name}"
-        recover(spark, path)
-        if exists(spark, path):
-            found[name] = spark.read.option("header", True).csv(path) if kind == "csv" else spark.read.parquet(path)
-    return found
+def current_tables(spark: SparkSession, folder: str, names: Sequence[str] = tuple(quality.RULES)) -> dict[str, versions.Version]:
+    found = {name: versions.current(spark, f"{folder.rstrip('/')}/{name}") for name in names}
+    return {name: v for name, v in found.items() if v is not None}
 
 
-def validate_report(spark: SparkSession, folder: str, as_of, kind: str = "csv") -> DataFrame:
-    """Issues of a published folder, per network."""
-    return quality.validate(spark, read_report(spark, folder, kind=kind), as_of, keys=KEYS)
+def read_report(spark: SparkSession, folder: str, names: Sequence[str] = tuple(quality.RULES)) -> dict[str, DataFrame]:
+    """The published tables of a folder; CSV cells stay text, nothing is inferred and nothing is run."""
+    return {name: versions.load(spark, v, text=True) for name, v in current_tables(spark, folder, names).items()}
+
+
+def validate_report(spark: SparkSession, folder: str, as_of, rules: Mapping[str, quality.Rule] = quality.RULES) -> DataFrame:
+    """Issues of a published folder, per network. Rows, columns, infinities and cut files of all CSV tables come from one scan."""
+    found = current_tables(spark, folder, tuple(rules))
+    shown = {name: versions.load(spark, v, text=True) for name, v in found.items()}
+    scanned = quality.scan(spark, {t: v for t, v in found.items() if v.kind == "csv"})
+    return quality.validate(spark, shown, as_of, rules, KEYS, scanned)
