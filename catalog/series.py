@@ -585,6 +585,14 @@ CASES["percentile_zscore"] = Case(
     PANEL + STATS_SQL + "--body\nSELECT * FROM stats",
 )
 
+CASES["percentile_many_zeros"] = Case(
+    lambda s, d: changes.percentile_rank(panel(s, d).select("entity", "date", F.when(F.dayofyear("date") % 10 == 0, F.col("price")).otherwise(0.0).alias("x")), ["x"]),
+    {"entity": "s", "date": "d", "x": "f4", "x_percentile": "f9"},
+    PANEL + """m AS (SELECT entity, date, CASE WHEN dayofyear(date) % 10 = 0 THEN price ELSE 0 END AS x FROM panel),
+--body
+SELECT *, (rank() OVER (PARTITION BY entity ORDER BY x) + (count(*) OVER (PARTITION BY entity, x) - 1) / 2.0) / count(*) OVER (PARTITION BY entity) AS x_percentile FROM m""",
+)
+
 CASES["analysis_with_statistics"] = Case(
     lambda s, d: changes.analyse(panel(s, d).select("entity", "date", "price"), ["price"], "1997-03-01", include_statistics=True),
     {"entity": "s", "date": "d", **CHANGE_COLUMNS, "price_percentile": "f8", "price_zscore": "f6"},

@@ -202,3 +202,32 @@ def test_landed_csv_headers_and_lines(spark, tmp_path):
     other.write_text("time,price\n1,2\n")
     with pytest.raises(ValueError, match="'timestamp'"):
         landed.read_chunks(spark, [str(path), str(other)], ["price"])
+
+
+def test_repeated_dates_without_an_order_are_an_error(panel):
+    base, twice = panel([("2024-01-05", 1.0)], "v DOUBLE"), panel([("2024-01-01", 5.0), ("2024-01-01", 6.0)], "w DOUBLE")
+    with pytest.raises(Exception, match="is repeated"):
+        prepare.asof_join_rows(base, twice, "w", 3).collect()
+
+
+def test_the_first_sentiment_record_of_a_date_counts(spark, tmp_path):
+    import json
+
+    from tidemark.plans import ingest
+
+    def record(stamp, value, kind):
+        return {"timestamp": str(stamp), "value": value, "value_classification": kind}
+
+    day = 1704067200
+    (tmp_path / "a.json").write_text(json.dumps({"data": [record(day, "40", "Fear"), record(day, "90", "Greed"), record(day + 86400, "x", None), record(day + 7, "1", "late")]}))
+    (tmp_path / "b.json").write_text(json.dumps({"data": [record(day, "10", "Extreme Fear"), record(day + 86400, "55", "Neutral")]}))
+    got = ingest.sentiment(spark, str(tmp_path))
+    assert sorted((str(r.date), r.fear_greed_value, r.fear_greed_classification) for r in got.collect()) == [("2024-01-01", 40.0, "Fear"), ("2024-01-02", None, None)]
+
+
+def test_lines_are_ordered_by_file_and_place(spark, tmp_path):
+    for name, rows in (("b.csv", ["2024-01-01,3"]), ("a.csv", ["2024-01-01,1", "2024-01-01,2"] + [f"2024-02-01,{i}" for i in range(400)])):
+        (tmp_path / name).write_text("\n".join(["time, v", *rows]) + "\n")
+    rows = landed.read_csv(spark, str(tmp_path))
+    last = {r.time: r.v for r in prepare.dedupe(rows, ["time"], "line").collect()}
+    assert last == {"2024-01-01": "3", "2024-02-01": "399"}

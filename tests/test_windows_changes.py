@@ -240,3 +240,20 @@ def test_changes_at_one_day_equal_the_row_of_all(spark):
         assert (x.high, x.low) == (max(near), min(near))
     single = changes.changes_at(p.filter("net = 'n1'").drop("net"), "price", day_of.filter("net = 'n1'").drop("net"))
     assert {x.entity: [x[c] for c in named] for x in single.collect()} == {e: [at["n1", e][c] for c in named] for e in ("lead", "gone", "late")}
+
+
+def test_ranks_of_a_column_of_zeros_shuffle_no_heavy_value(spark):
+    r = random.Random(9)
+    rows = [(e, d, 0.0 if r.random() < 0.9 else float(r.randrange(400)), float(r.randrange(3))) for e in ("one", "two") for d in days("2020-01-01", "2022-09-26")]
+    p = spark.createDataFrame(rows, "entity STRING, date DATE, x DOUBLE, y DOUBLE")
+    got = changes.percentile_rank(p, ["x", "y"]).toPandas().sort_values(["entity", "date"])
+    for c in ("x", "y"):
+        want = got.groupby("entity")[c].rank(method="average", pct=True)
+        assert np.allclose(got[f"{c}_percentile"], want, rtol=1e-12)
+    long = p.unpivot(["entity", "date"], ["x", "y"], "_metric", "_v")
+    heavy, light = changes.ranked_values(long, heavy_share=64)
+    total = 2 * len(rows)
+    assert heavy.count() + light.count() == total
+    assert heavy.select("entity", "_metric", "_v").distinct().count() < 64
+    assert max((x["count"] for x in light.groupBy("entity", "_metric", "_v").count().collect()), default=0) <= total / 64
+    assert "BroadcastHashJoin" in heavy._jdf.queryExecution().executedPlan().toString()

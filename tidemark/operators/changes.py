@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import anniversary, col, finite, growth_rate, pct_change, positive, ratio
+from ..session import settle
 from .chunks import KEYS, ORDER, RUN_PER_REACH, SMALLEST_RUN, Chunked
 from .prepare import last_positive_before
 
@@ -216,7 +217,7 @@ def _band_edges(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _value_ranks(long: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, metric, value) -> average rank of ties / count, for all metrics of a long table in one pass.
+    """(keys, metric, value) -> rows, and average rank of ties / count, for all metrics of a long table in one pass.
 
     Values are counted first and ordered inside bands of the values between data-driven cut points; band totals give the
     rank offset, so no more than a band's distinct values are sorted in one task.
@@ -236,19 +237,41 @@ def _value_ranks(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     inside = Window.partitionBy(*by, "_band").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     smaller = F.col("_below") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
     share = (smaller + (F.col("_n") + 1) / F.lit(2.0)) / F.col("_all")
-    return banded.join(bands, [*by, "_band"]).select(*by, "_v", share.alias("_share"))
+    return banded.join(bands, [*by, "_band"]).select(*by, "_v", "_n", share.alias("_share"))
+
+
+#: A value that holds more than this share of all rows is looked up from a broadcast table, of which there are then fewer than this many.
+HEAVY_SHARE = 4096
+
+
+def ranked_values(long: DataFrame, keys: Sequence[str] = KEYS, heavy_share: int = HEAVY_SHARE) -> tuple[DataFrame, DataFrame]:
+    """The rows of a long table (keys, date, _metric, _v) with the ``_share`` of their value, in two parts: rows of heavy values, and the rest.
+
+    A value that many rows repeat, such as the zeros of a column, would be one key of the join. The few heavy ones are
+    broadcast and meet their rows where these are; only the rest is shuffled, no value of which has more than a
+    1 / ``heavy_share`` part of the rows.
+    """
+    by = [*keys, "_metric", "_v"]
+    values = settle(_value_ranks(long, keys))
+    most = values.agg(F.sum("_n").alias("total")).select(F.col("total") / heavy_share).scalar()
+    heavy = values.filter(F.col("_n") > most).select(*by, F.col("_share").alias("_heavy"))
+    tagged = long.join(F.broadcast(heavy), by, "left")  # fewer than ``heavy_share`` rows
+    light = tagged.filter(F.col("_heavy").isNull()).drop("_heavy").join(values.drop("_n"), by)
+    return tagged.filter(F.col("_heavy").isNotNull()).withColumnRenamed("_heavy", "_share"), light
 
 
 def percentile_rank(panel: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """``{column}_percentile``: average rank of ties over the non-NULL count; NULL stays NULL.
 
     All columns travel as one long table (keys, date, metric, value) and come back as one row per date: the number of
-    shuffles does not depend on the number of columns. (keys, date) must be unique.
+    shuffles does not depend on the number of columns. (keys, date) must be unique. The table is read several times; settle a
+    costly panel before.
     """
     named = {f"m{i}": c for i, c in enumerate(columns)}
     narrow = panel.select(*keys, ORDER, *[col(c).cast("double").alias(m) for m, c in named.items()])
     long = narrow.unpivot([*keys, ORDER], list(named), "_metric", "_v").filter(F.col("_v").isNotNull())
-    ranked = long.join(_value_ranks(long, keys), [*keys, "_metric", "_v"])
+    heavy, light = ranked_values(long, keys)
+    ranked = heavy.select(*keys, ORDER, "_metric", "_share").unionByName(light.select(*keys, ORDER, "_metric", "_share"))
     shares = ranked.groupBy(*keys, ORDER).agg(*[F.max(F.when(F.col("_metric") == m, F.col("_share"))).alias(f"{c}_percentile") for m, c in named.items()])
     return panel.join(shares, [*keys, ORDER], "left").select(*[col(c) for c in panel.columns], *[col(f"{c}_percentile") for c in columns])
 

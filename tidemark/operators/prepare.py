@@ -246,7 +246,8 @@ def asof_join(
 def asof_join_rows(left: DataFrame, right: DataFrame, column: str, limit: int, keys: Sequence[str] = KEYS, order: str | None = None) -> DataFrame:
     """Backward as-of where a value reaches at most ``limit`` rows of the merged dates of both sides.
 
-    Where the right side repeats a date, ``order`` names the column whose last row counts.
+    Where the right side repeats a date, ``order`` names the column whose last row counts; without it a repeated date is an error
+    when the plan runs.
     """
     if order is not None:
         right = dedupe(right.select(*keys, ORDER, column, order), [*keys, ORDER], order)
@@ -254,8 +255,12 @@ def asof_join_rows(left: DataFrame, right: DataFrame, column: str, limit: int, k
     merged = (
         dates.unionByName(right.select(*keys, ORDER, F.lit(None).cast("boolean").alias("_own"), col(column)))
         .groupBy(*keys, ORDER)
-        .agg(F.bool_or("_own").alias("_own"), F.max(column).alias(column))
+        .agg(F.bool_or("_own").alias("_own"), F.max(column).alias(column), F.count_if(F.col("_own").isNull()).alias("_n"))
     )
+    if order is None:
+        twice = F.raise_error(F.lit(f"a date of '{column}' is repeated; name the column that orders its rows")).cast("boolean")
+        merged = merged.withColumn("_own", F.when(F.col("_n") > 1, twice).otherwise(F.col("_own")))
+    merged = merged.drop("_n")
     filled = ffill(merged, [column], limit, keys).filter(F.col("_own")).drop("_own")
     return left.join(filled, [*keys, ORDER], "left")
 

@@ -107,6 +107,13 @@ def _typed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.select(*[col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted], col("line"))
 
 
+def sentiment(spark: SparkSession, path: str) -> DataFrame:
+    """The landed sentiment index by base date; of a repeated date the first record counts, in the order of files and records."""
+    records = landed.sentiment(landed.read_json(spark, path, landed.SENTIMENT_SCHEMA, "file"), ["file"], "line")
+    placed = landed.on_base_dates(records).withColumn("line", F.struct("file", "line")).drop("file")
+    return prepare.dedupe(placed, [ORDER], "line", "first").drop("line")
+
+
 def _candles(spark: SparkSession, path: str, network: str) -> DataFrame:
     rows = landed.candles(landed.read_json(spark, path, landed.CANDLE_SCHEMA))
     return landed.check_candles(rows).select(F.lit(network).alias("entity"), *rows.columns)
@@ -128,8 +135,7 @@ def report_from_files(
     base = network_panel(landed.read_chunks(spark, files.chunks, names, start), network)
     daily = []
     if files.sentiment:
-        mood = landed.on_base_dates(landed.sentiment(landed.read_json(spark, files.sentiment, landed.SENTIMENT_SCHEMA)))
-        daily.append(mood.dropDuplicates([ORDER]).select(F.lit(network).alias("entity"), *mood.columns))
+        daily.append(sentiment(spark, files.sentiment).select(F.lit(network).alias("entity"), "*"))
     snapshot = None
     if files.snapshot:
         one = landed.dominance(landed.read_json(spark, files.snapshot, landed.SNAPSHOT_SCHEMA))

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import sql
 from ..functions.expressions import col, finite, number, pct_change, positive, ratio
 from ..functions.text import formatted, sentiment_class, thousands_range, valuation_class
-from ..operators.chunks import KEYS, ORDER, ROW, number_rows
 from ..operators.changes import changes_at
+from ..operators.chunks import KEYS, ORDER
 from ..operators.energy import TARIFFS, cents
 from ..operators.metrics import UNITS_PER_COIN
 from ..operators.prepare import as_of as as_of_row
@@ -138,11 +139,11 @@ def year_end_table(panel: DataFrame, growth: DataFrame, as_of=None, keys: Sequen
     return left.join(right, [*keys, ORDER], "left")
 
 
-def price_buckets(panel: DataFrame, size: float, as_of=None, price: str = "price_close", ts: str | None = None, keys: Sequence[str] = KEYS) -> DataFrame:
+def price_buckets(panel: DataFrame, size: float, as_of=None, price: str = "price_close", ts: str | None = None, keys: Sequence[str] = KEYS, most: int = MOST_BUCKETS) -> DataFrame:
     """Days per price range from zero to the highest price, empty ranges kept, current range marked.
 
     The FIRST positive value of a day counts when ``ts`` gives intraday order. A price that would need more than
-    ``MOST_BUCKETS`` ranges is an error: the published contract ends far below.
+    ``most`` ranges is an error: the published contract ends far below the default.
     """
     if size <= 0:
         raise ValueError("bucket size must be greater than zero")
@@ -155,8 +156,8 @@ def price_buckets(panel: DataFrame, size: float, as_of=None, price: str = "price
         F.count(F.lit(1)).alias("Count"), F.max(F.struct(ORDER, "_p")).alias("newest")
     )
     ends = counts.groupBy(*keys).agg(F.max("bucket").alias("top"), F.max("newest").alias("newest"))
-    too_many = F.raise_error(F.concat(F.lit(f"a price needs more than {MOST_BUCKETS} ranges of {size}: "), F.col("top").cast("string"))).cast("bigint")
-    ends = ends.withColumn("top", F.when(F.col("top") >= MOST_BUCKETS, too_many).otherwise(F.col("top")))
+    too_many = F.raise_error(F.concat(F.lit(f"a price needs more than {most} ranges of {size}: "), F.col("top").cast("string"))).cast("bigint")
+    ends = ends.withColumn("top", F.when(F.col("top") >= most, too_many).otherwise(F.col("top")))
     ranges = ends.select(*keys, F.col("newest._p").alias("Current Price"), F.explode(F.sequence(F.lit(0).cast("bigint"), "top")).alias("bucket"))
     low, high = F.col("bucket") * F.lit(float(size)), (F.col("bucket") + 1) * F.lit(float(size))
     out = ranges.join(counts.drop("newest"), [*keys, "bucket"], "left").select(
@@ -198,35 +199,29 @@ def fundamentals(panel: DataFrame, template: Mapping[str, Mapping[str, tuple[str
     ]
     _need(panel, [e[3] for e in entries], "fundamentals")
     rows = _until(panel, as_of)
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("place"),
-                F.lit(section).alias("Section"),
-                F.lit(label).alias("Metric"),
-                F.lit(kind).alias("kind"),
-                finite(column).alias("value"),
-            )
-            for i, section, label, column, kind in entries
-        ]
+    cells = ", ".join(
+        f"struct({i} AS place, {sql.text(section)} AS Section, {sql.text(label)} AS Metric, {sql.text(kind)} AS kind, {sql.finite(sql.q(column))} AS value)"
+        for i, section, label, column, kind in entries
     )
-    names = [*keys, "place", "Section", "Metric", "kind"]
     recent = _recent_years(rows, [column for *_, column, _ in entries], keys)
-    kept = F.filter(cells, lambda x: F.year(ORDER) >= F.element_at("_from", x["place"] + 1))
-    long = rows.join(recent, list(keys)).select(*keys, ORDER, F.inline(kept)).filter("value IS NOT NULL")
-    newest = rows.groupBy(*keys).agg(F.max(ORDER).alias("newest"))
-    totals = long.groupBy(*keys, "place").agg(F.count(F.lit(1)).alias("n"), F.max(ORDER).alias("last_seen"))
-    numbered = number_rows(long, [*keys, "place"])
-    facts = numbered.join(totals, [*keys, "place"]).join(newest, list(keys))
-    week_start = F.date_sub("newest", F.weekday("newest"))
-    inside = F.col("n") - F.col(ROW) < YEAR_OBSERVATIONS
-    v = F.col("value")
-    wide = facts.groupBy(*names).agg(
-        F.max_by(v, ORDER).alias("current"),
-        F.max_by(v, F.when(F.col(ORDER) <= F.date_sub("last_seen", 7), F.col(ORDER))).alias("prior"),
-        F.min(F.when(inside, v)).alias("low"),
-        F.max(F.when(inside, v)).alias("high"),
-        *[F.max(F.when(F.col(ORDER) == F.date_add(week_start, i), v)).alias(d) for i, d in enumerate(WEEKDAYS)],
+    kept = f"inline(filter(array({cells}), x -> x.value IS NOT NULL AND year({ORDER}) >= element_at(_from, x.place + 1)))"
+    long = rows.join(recent, list(keys)).selectExpr(*map(sql.q, keys), ORDER, "newest", kept)
+    # A metric keeps the values of its newest years only: under 365 and those of one year more.
+    seen = F.sort_array(F.collect_list(F.struct(ORDER, "value")), asc=False).alias("seen")
+    facts = long.groupBy(*keys, "place", "Section", "Metric", "kind", "newest").agg(seen)
+    first = lambda condition: f"get(filter(seen, x -> {condition}), 0).value"
+    year = f"transform(slice(seen, 1, {YEAR_OBSERVATIONS}), x -> x.value)"
+    wide = facts.selectExpr(
+        *map(sql.q, keys),
+        "place",
+        "Section",
+        "Metric",
+        "kind",
+        "seen[0].value AS current",
+        f"{first(f'x.{ORDER} <= date_sub(seen[0].{ORDER}, 7)')} AS prior",
+        f"array_min({year}) AS low",
+        f"array_max({year}) AS high",
+        *[f"{first(f'x.{ORDER} = date_add(newest, {i} - weekday(newest))')} AS {d}" for i, d in enumerate(WEEKDAYS)],
     )
     cell = lambda c: formatted(c, "kind")
     return wide.select(
@@ -244,15 +239,22 @@ def fundamentals(panel: DataFrame, template: Mapping[str, Mapping[str, tuple[str
 
 
 def _recent_years(rows: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """(keys, _from): per column the year from which on it has ``YEAR_OBSERVATIONS`` values, or its first year.
+    """(keys, _from, newest): per column the year from which on it has ``YEAR_OBSERVATIONS`` values, or its first year; the newest date.
 
     Counted on one row per year, so that only the newest years of a long history are turned into cells.
     """
-    counted = rows.groupBy(*keys, F.year(ORDER).alias("_year")).agg(*[F.count(finite(c)).alias(f"_n{i}") for i, c in enumerate(columns)])
-    newer = Window.partitionBy(*keys).orderBy(F.desc("_year")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    so_far = counted.select(*keys, "_year", *[F.sum(f"_n{i}").over(newer).alias(f"_s{i}") for i in range(len(columns))])
-    enough = [F.coalesce(F.max(F.when(F.col(f"_s{i}") >= YEAR_OBSERVATIONS, F.col("_year"))), F.min("_year")) for i in range(len(columns))]
-    return so_far.groupBy(*keys).agg(F.array(*enough).alias("_from"))
+    n = range(len(columns))
+    counts = [f"count({sql.finite(sql.q(c))}) AS _n{i}" for i, c in enumerate(columns)]
+    counted = rows.groupBy(*keys, F.year(ORDER).alias("_year")).agg(*map(F.expr, counts), F.max(ORDER).alias("_last"))
+    # One small array of (year, counts) per report, newest first, folded from the newest year on.
+    years = F.sort_array(F.collect_list(F.struct("_year", F.array(*[f"_n{i}" for i in n]).alias("n"))), asc=False)
+    small = counted.groupBy(*keys).agg(years.alias("_years"), F.max("_last").alias("newest"))
+    reached = ", ".join(
+        f"coalesce(aggregate(_years, struct(0L AS s, CAST(NULL AS INT) AS y), (a, x) -> struct(a.s + x.n[{i}] AS s, "
+        f"CASE WHEN a.y IS NULL AND a.s + x.n[{i}] >= {YEAR_OBSERVATIONS} THEN x._year ELSE a.y END AS y), a -> a.y), element_at(_years, -1)._year)"
+        for i in n
+    )
+    return small.selectExpr(*map(sql.q, keys), f"array({reached}) AS _from", "newest")
 
 
 def summary_table(panel: DataFrame, as_of, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -20,18 +20,22 @@ CANDLE_SCHEMA = "dates ARRAY<STRING>, rows ARRAY<ARRAY<DOUBLE>>"
 OHLC = ("Open", "High", "Low", "Close")
 
 
-def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json(spark: SparkSession, path: str, schema: str, file: str | None = None) -> DataFrame:
+    """Landed documents; ``file`` names a column for the path of each one's file."""
+    documents = spark.read.schema(schema).option("multiLine", True).json(path)
+    return documents if file is None else documents.select("*", F.col("_metadata.file_path").alias(file))
 
 
 def read_csv(spark: SparkSession, path: str, line: str = "line") -> DataFrame:
-    """A landed CSV file: cells stay text, header names lose the blanks around them, and ``line`` numbers the rows as they stand."""
+    """A landed CSV file or folder: cells stay text, header names lose the blanks around them, and ``line`` orders the rows as they
+    stand: by the name of the file, the place of the block in it, and the row in the block."""
     rows = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
     names = [c.strip() for c in rows.columns]
     repeated = sorted({n for n in names if names.count(n) > 1})
     if repeated:
         raise ValueError(f"{path}: the header repeats {repeated}")
-    return rows.toDF(*names).withColumn(line, F.monotonically_increasing_id())
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row"))
+    return rows.select("*", place.alias("_line")).toDF(*names, line)
 
 
 def read_chunks(spark: SparkSession, paths: Sequence[str], names: Sequence[str], start=None, on: str = "timestamp") -> DataFrame:
@@ -56,11 +60,12 @@ def from_millis(c: Column | str) -> Column:
     return F.timestamp_millis(col(c).cast("bigint"))
 
 
-def sentiment(documents: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """``data[]`` records: epoch-seconds text, value numeric or NULL, class."""
-    rows = documents.select(*keys, F.inline("data"))
+def sentiment(documents: DataFrame, keys: Sequence[str] = (), line: str | None = None) -> DataFrame:
+    """``data[]`` records: epoch-seconds text, value numeric or NULL, class. ``line`` names a column for the place in the document."""
+    rows = documents.select(*keys, F.posexplode("data").alias("_line", "_record")).select(*keys, "_line", "_record.*")
     return rows.select(
         *keys,
+        *([] if line is None else [F.col("_line").alias(line)]),
         from_seconds("timestamp").alias("time"),
         number("value").alias("fear_greed_value"),
         F.col("value_classification").alias("fear_greed_classification"),
