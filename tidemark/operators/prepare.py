@@ -375,11 +375,13 @@ def freshness(panel: DataFrame, as_of_date, required: Sequence[str], max_age_day
 
 def assert_fresh(panel: DataFrame, as_of_date, required: Sequence[str], max_age_days: int = BASE_MAX_AGE_DAYS, keys: Sequence[str] = KEYS) -> None:
     """Raise when any base series is unusable on the as-of date; a panel without rows is unusable too."""
-    if panel.limit(1).count() == 0:
-        raise ValueError(f"no data on or before {as_of_date}")
     found = freshness(panel, as_of_date, required, max_age_days, keys)
-    # One line per metric and kind of problem, whatever the number of entities.
+    # One line per metric and kind of problem, whatever the number of entities, and one if there is no row at all: a single job.
     entity = F.concat_ws("/", *[col(k).cast("string") for k in keys])
-    problems = found.groupBy("metric", "problem").agg(F.count(F.lit(1)).alias("entities"), F.min(entity).alias("first")).orderBy("metric", "problem").collect()
+    problems = found.groupBy("metric", "problem").agg(F.count(F.lit(1)).alias("entities"), F.min(entity).alias("first"))
+    empty = panel.agg(F.count(F.lit(1)).alias("entities")).filter("entities = 0").select(F.lit(None).cast("string").alias("metric"), F.lit("empty").alias("problem"), "entities", F.lit(None).cast("string").alias("first"))
+    problems = sorted(problems.unionByName(empty).collect(), key=lambda r: (r.metric or "", r.problem))
+    if any(r.metric is None for r in problems):
+        raise ValueError(f"no data on or before {as_of_date}")
     if problems:
         raise ValueError(f"base data unusable on {as_of_date}: {[r.asDict() for r in problems]}")

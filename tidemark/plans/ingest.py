@@ -16,6 +16,7 @@ from .. import settings
 from ..functions.expressions import col
 from ..operators import prepare, shares
 from ..operators.chunks import KEYS, ORDER
+from ..session import settle
 from ..sources import landed
 from . import report
 
@@ -63,7 +64,15 @@ def assemble(
 
 
 def prepared(joined: DataFrame, as_of, base_columns: Sequence[str], required: Sequence[str], keys: Sequence[str] = KEYS) -> Prepared:
-    """Warn, fill, insist: the stale market series and monthly issues as tables, and the filled panel of a fresh base."""
+    """Warn, fill, insist: the stale market series and monthly issues as tables, and the filled panel of a fresh base.
+
+    The joined panel is settled, since the check of the base, the stale report and the fills all read it. Base series are not
+    filled, so the check reads them there.
+    """
+    joined = settle(joined)
+    fresh = set(required) <= {*base_columns}
+    if fresh:
+        prepare.assert_fresh(joined, as_of, required, keys=keys)
     proof = [f"{MONTHLY}_source_date", f"{MONTHLY}_source_url"]
     carried = [c for c in (MONTHLY, *proof) if c in joined.columns]
     market = prepare.market_columns(joined, base_columns, carried, keys=keys)
@@ -74,7 +83,8 @@ def prepared(joined: DataFrame, as_of, base_columns: Sequence[str], required: Se
         monthly = prepare.monthly_issues(filled, MONTHLY, *proof, as_of, keys=keys)
     else:
         monthly = prepare.stale(joined, [], as_of, keys=keys).select(*keys, F.lit("absent").alias("rule"), F.lit("error").alias("severity"), F.lit(None).cast("int").alias("age_days"))
-    prepare.assert_fresh(filled, as_of, required, keys=keys)
+    if not fresh:
+        prepare.assert_fresh(filled, as_of, required, keys=keys)
     return Prepared(filled, stale, monthly)
 
 
