@@ -130,6 +130,22 @@ def brute_groups(rows):
     return sorted(out, key=repr)
 
 
+def test_ids_at_the_ends_of_their_range(spark):
+    ends = [-(2**63), 2**63 - 1, None]
+    docs = frame(spark, ["same text"] * 3 + ["other"] * 2, [*ends, 2**63 - 1, None])
+    got = {(r.id, r.digest): (r.keep_id, r.group_size) for r in exact_dedup.duplicates(docs).collect()}
+    assert sorted(set(got.values())) == [(-(2**63), 3), (2**63 - 1, 2)]
+    assert sorted(r.doc_id for r in exact_dedup.keep_first(docs).collect()) == [-(2**63), 2**63 - 1]
+
+
+def test_no_light_group_is_larger_than_the_bound(spark):
+    """1,000 equally frequent digests: the sketch holds them all."""
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('text ', id % 1000) AS text")
+    keyed = exact_dedup.digests(docs)
+    light = keyed.join(exact_dedup.heavy_winners(keyed), "digest", "left_anti").groupBy("digest").count()
+    assert max((r["count"] for r in light.collect()), default=0) <= 4 * 20_000 / exact_dedup.TRACKED
+
+
 @pytest.mark.parametrize("heavy, tracked", [(256, 4096), (2, 16), (1, 1)])
 def test_groups_equal_brute_force_whatever_is_heavy(spark, heavy, tracked):
     texts = ["hot text"] * 40 + ["hot  text ", "hottext", None, "", " \t\n", " ", "é", "é ", "Hot text", "x" * 100_000, "x" * 99_999 + " x", "a b", "ab", "ab"]

@@ -5,6 +5,8 @@ import itertools
 import math
 import random
 import re
+import string
+import time
 import zlib
 
 import numpy as np
@@ -325,3 +327,44 @@ def test_documents_round_trip(spark, library):
     for r in back:
         assert bytes(r["decoded"]).decode() == ((r["row"]["row"]["text"] or "") if r["row"]["row"]["doc_id"] is not None else "")
     assert bpe.round_trip(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_long_words_are_cut_where_no_entry_stands_and_equal_the_library():
+
+
+    with open(RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec, r = bpe.Codec(RANKS, public_tokenizers.PATTERN), random.Random(6)
+    words = [
+        "".join(r.choice(letters) for _ in range(n))
+        for letters, n in (
+            (string.ascii_lowercase, 20_000), (string.ascii_letters, 100_000), ("abcdeéèßøłжщяλμω", 20_000), ([chr(c) for c in range(0x4E00, 0x5E00)], 20_000),
+            (string.digits, 6_000), ("a", 20_000), ("01", 900), (["the", "ing", "tion", "er"], 300), ("ab ", 700), ("aàb", 1500),
+        )
+    ]
+    began = time.time()
+    assert [ids.tolist() for ids in codec.encode(words)] == [library.encode_ordinary(w) for w in words]
+    assert time.time() - began < 60
+    for w in words:
+        assert b"".join(codec.pieces(w.encode())) == w.encode()
+
+
+def test_language_levels_do_not_depend_on_the_tasks_and_copies_count_once(spark):
+    r = random.Random(3)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randrange(2, 9)))
+    rows = [(i, " ".join(word(s) for _ in range(30)), lang) for i, (lang, s) in enumerate([("de", "aeinrstüß"), ("el", "αειονσςτ")] * 60)]
+    hot = [(1000 + i, rows[0][1], "de") for i in range(300)]
+    docs = spark.createDataFrame(rows + hot, DOCS + ", lang STRING")
+    found = [langid.profiles(docs.repartition(n)) for n in (1, 4, 64)]
+    once = langid.profiles(spark.createDataFrame(rows, DOCS + ", lang STRING"))
+    for names, unit, level in found:
+        assert names == once[0] == ["de", "el"]
+        np.testing.assert_allclose(level, once[2], rtol=1e-9)
+        np.testing.assert_allclose(unit, once[1], atol=1e-6)
+
+
+def test_without_any_language_all_texts_with_a_letter_stay(spark):
+    rows = [(1, "some words"), (2, "x"), (3, "123 ..."), (4, ""), (5, None), (6, "ж")]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r.doc_id for r in langid.accepted(docs, 0.1).collect()) == [1, 2, 6]

@@ -6,9 +6,13 @@ word's leftmost pair of minimum rank and contracts it, until no word has a pair
 cache of at most ``CACHE_WORDS`` entries per worker. Decoding joins (text, position, id) rows with the vocabulary and
 concatenates them per text in the order of the positions.
 
-Words longer than ``LONG_BYTES`` would need a turn per merge over all their rows; for them a turn contracts every occurrence of
-the minimum pair, from the left and without overlaps, where no merge with its result has a smaller rank, which is the same
-sequence of single contractions; elsewhere it contracts the leftmost only.
+Words longer than ``LONG_BYTES`` are cut first: every token that a merge makes is a vocabulary entry that stands in the word, so
+no merge crosses a place that lies inside no entry standing there (an automaton of all entries finds them in one pass), and the
+pieces between such places contract on their own. A piece that is still long would need a turn per merge over all its rows; for
+it a turn contracts every occurrence of the minimum pair, from the left and without overlaps, where no merge with its result
+has a smaller rank, which is the same sequence of single contractions. Elsewhere what follows such a contraction stays within
+one entry around it, so occurrences more than three times the longest entry apart don't meet: it contracts the leftmost one of
+every cluster of nearer ones. DuckDB works in memory alone: it has no folder to spill to.
 
 Nulls: a null text is empty: no ids, empty bytes. Repeated rows are encoded like any other.
 """
@@ -47,24 +51,23 @@ SELECT g >> 32 AS word, tok FROM step WHERE NOT live ORDER BY g
 """
 
 _LONG = """
-WITH RECURSIVE step(g, tok, live) AS (
-  SELECT g, tok, true FROM tokens
+WITH RECURSIVE step(g, tok, spot, live) AS (
+  SELECT g, tok, g & 4294967295, true FROM tokens
   UNION ALL
   (WITH pairs AS (
-     SELECT a.g, a.g >> 32 AS word, m.rank, m.safe
+     SELECT a.g, a.g >> 32 AS word, a.spot, m.rank, m.safe
      FROM step a JOIN step n ON n.g = a.g + 1 JOIN merges m ON m.pair = (a.tok << 32) | n.tok WHERE a.live),
    least_ AS (SELECT word, min(rank) AS rank FROM pairs GROUP BY word),
    found AS (
-     SELECT p.g, p.word, p.rank, p.safe, p.g - row_number() OVER (PARTITION BY p.word ORDER BY p.g) AS island
-     FROM pairs p JOIN least_ USING (word, rank)),
-   ranked AS (
-     SELECT g, word, rank, safe, row_number() OVER (PARTITION BY word, island ORDER BY g) AS nth, min(g) OVER (PARTITION BY word) AS leftmost FROM found),
-   picked AS (SELECT g, word, rank FROM ranked WHERE CASE WHEN safe THEN nth % 2 = 1 ELSE g = leftmost END),
+     SELECT p.g, p.word, p.rank, p.safe, p.g - row_number() OVER w AS island, p.spot - lag(p.spot) OVER w AS gap
+     FROM pairs p JOIN least_ USING (word, rank) WINDOW w AS (PARTITION BY p.word ORDER BY p.g)),
+   ranked AS (SELECT g, word, rank, safe, gap, row_number() OVER (PARTITION BY word, island ORDER BY g) AS nth FROM found),
+   picked AS (SELECT g, word, rank FROM ranked WHERE CASE WHEN safe THEN nth % 2 = 1 ELSE gap IS NULL OR gap > $reach END),
    merged AS (
-     SELECT s.g, CASE WHEN p.g IS NULL THEN s.tok ELSE p.rank END AS tok, l.word IS NOT NULL AS live
+     SELECT s.g, CASE WHEN p.g IS NULL THEN s.tok ELSE p.rank END AS tok, s.spot, l.word IS NOT NULL AS live
      FROM step s LEFT JOIN picked p ON p.g = s.g LEFT JOIN picked q ON q.g = s.g - 1 LEFT JOIN least_ l ON l.word = s.g >> 32
      WHERE s.live AND q.g IS NULL)
-   SELECT ((g >> 32) << 32) + row_number() OVER (PARTITION BY g >> 32 ORDER BY g) - 1, tok, live FROM merged)
+   SELECT ((g >> 32) << 32) + row_number() OVER (PARTITION BY g >> 32 ORDER BY g) - 1, tok, spot, live FROM merged)
 )
 SELECT g >> 32 AS word, tok FROM step WHERE NOT live ORDER BY g
 """
@@ -96,7 +99,9 @@ class Codec:
         if (self.byte_ids < 0).any():
             raise ValueError(f"{path} lacks single bytes")
         self.cache: dict[str, bytes] = {}
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.entries = [token for token in ranks if len(token) > 1]
+        self.finder = None
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "1GB", "temp_directory": ""})
         self._table("merges", pair=(l << 32) | r, rank=m, safe=~np.isin(m, lower))
         ids = sorted(ranks.items(), key=lambda x: x[1])
         self._table("vocabulary", id=[r for _, r in ids], hex=[t.hex() for t, _ in ids])
@@ -124,15 +129,42 @@ class Codec:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
+    def pieces(self, word: bytes) -> list[bytes]:
+        """A word cut at the places that lie inside no vocabulary entry standing there."""
+        if self.finder is None:
+            import ahocorasick
+
+            self.finder = ahocorasick.Automaton()
+            for token in self.entries:
+                self.finder.add_word(token.decode("latin-1"), len(token))
+            self.finder.make_automaton()
+        longest = 0
+        covered = np.zeros(len(word) + 1, dtype=np.int64)  # +1 where the inside of an entry begins, -1 where it has ended
+        for last, size in self.finder.iter(word.decode("latin-1")):
+            covered[last - size + 2] += 1
+            covered[last + 1] -= 1
+            longest = max(longest, size)
+        self.reach = max(self.reach, 3 * longest)
+        cuts = np.flatnonzero(np.cumsum(covered)[1:-1] == 0) + 1
+        return [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])]
+
+    def _contracted(self, words: list[bytes]) -> dict[bytes, bytes]:
+        found: dict[bytes, bytes] = {}
+        long = _LONG.replace("$reach", str(self.reach))
+        for part, sql in (([w for w in words if len(w) <= LONG_BYTES], _SHORT), ([w for w in words if len(w) > LONG_BYTES], long)):
+            for i in range(0, len(part), TURN_WORDS):
+                turn = part[i : i + TURN_WORDS]
+                found.update(zip(turn, self._contract(turn, sql)))
+        return found
+
     def _learn(self, words: set[str]) -> None:
         if len(self.cache) + len(words) > CACHE_WORDS:
             self.cache.clear()
-        new = [(w, w.encode()) for w in words if w not in self.cache]
-        short = [x for x in new if len(x[1]) <= LONG_BYTES]
-        for part, sql in ((short, _SHORT), ([x for x in new if len(x[1]) > LONG_BYTES], _LONG)):
-            for i in range(0, len(part), TURN_WORDS):
-                turn = part[i : i + TURN_WORDS]
-                self.cache.update(zip((w for w, _ in turn), self._contract([b for _, b in turn], sql)))
+        new = {w: w.encode() for w in words if w not in self.cache}
+        self.reach = 0  # three times the longest entry that stands in a long word
+        cut = {w: [b] if len(b) <= LONG_BYTES else self.pieces(b) for w, b in new.items()}
+        known = self._contracted(list({p for ps in cut.values() for p in ps}))
+        self.cache.update((w, b"".join([known[p] for p in ps])) for w, ps in cut.items())
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.words(t) for t in texts]

@@ -1,11 +1,12 @@
 """Exact deduplication with the heavy digests split off; DataFrame functions only.
 
 Texts are equal when they are identical without white space. Frequent digests are found with Spark's frequent-items
-sketch (Misra-Gries counters, at most ``tracked`` of them), so at most ``heavy`` candidates come out of one pass over the
-digests. Exact counts and winners of the candidates are aggregated map-side into at most ``heavy`` rows, which are
+sketch (Misra-Gries counters, at most ``tracked`` of them), and the ``heavy`` most frequent of them, all by default, are
+candidates.
+Exact counts and winners of the candidates are aggregated map-side into at most ``heavy`` slim rows, which are
 broadcast: rows of a heavy digest are settled in the task that reads them and never shuffled by digest. A candidate that
 the sketch overrated is only a little wasted work, since its count and winner are exact. All other digests are shuffled
-as usual; none of them can hold more than about ``1 / tracked`` of the rows.
+as usual; the sketch drops none that holds more than about ``4 / tracked`` of the rows, so no group is larger.
 
 Of equal texts the one with the most code points stays, then the smallest id (null last), then the first row read.
 A null text counts as empty. Repeated rows are members of their group like any other; one of them stays.
@@ -18,9 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import stage_table
 
-_NULL = -(2**63)
-HEAVY = 256
 TRACKED = 4096
+HEAVY = TRACKED
 
 
 def normalised(column: str = "text") -> Column:
@@ -29,8 +29,8 @@ def normalised(column: str = "text") -> Column:
 
 
 def _before(column: str) -> Column:
-    """Larger for smaller ids, smallest for null."""
-    return F.coalesce(-F.col(column), F.lit(_NULL).cast("bigint"))
+    """Larger for smaller ids, smallest for null; the complement of an id has no overflow."""
+    return F.struct(F.col(column).isNotNull().alias("known"), F.bitwise_not(F.coalesce(F.col(column), F.lit(0).cast("bigint"))).alias("id"))
 
 
 def _rank() -> Column:
@@ -79,7 +79,7 @@ def duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     return settled.unionByName(rest).select(
         "rid",
         "id",
-        F.when(F.col("winner.before") != F.lit(_NULL).cast("bigint"), -F.col("winner.before")).alias("keep_id"),
+        F.when(F.col("winner.before.known"), F.bitwise_not(F.col("winner.before.id"))).alias("keep_id"),
         F.col("size").alias("group_size"),
         (F.col("winner.first") == -F.col("rid")).alias("kept"),
         "digest",

@@ -10,11 +10,11 @@ language is what comes back.
 
 ``accepted`` decides whether a text is like any language, and does so by the text's own length. It takes ``WIDE`` signs, adds the
 cosines of the single runs, and compares the sum with what a clean text of as many runs has on average: the level of the language,
-learned from its texts, each held against the others. A text is only refused if its sum is below a share of that average and
+learned from its distinct texts, each held against the others, so that many copies of one text do not set it. A text is only refused if its sum is below a share of that average and
 farther below it than clean texts of its length stray. So one word is hardly ever refused, and many words of random letters always are.
 
 Nulls and texts without a letter get ``und`` and score 0, as do all texts where nothing was learned. Ties go to the language that
-sorts first.
+sorts first. Where nothing was learned, ``accepted`` has nothing to hold a text against and keeps all that have a letter.
 """
 
 from __future__ import annotations
@@ -168,11 +168,9 @@ def _counted(owner: np.ndarray, which: np.ndarray, n_runs: int) -> tuple[np.ndar
 
 
 def _learned(batches):
-    """Sums per language: the wide bundle, and in places -1 and -2 the number of texts and the squared lengths of their own bundles.
-    Texts a task has met before count once, so that many copies of one text do not set the level."""
+    """Sums per language: the wide bundle, and in places -1 and -2 the number of texts and the squared lengths of their own bundles."""
     sums: dict[str, np.ndarray] = {}
     held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    met: set[int] = set()
 
     def bundle():
         for name, (codes, share) in held.items():
@@ -183,18 +181,12 @@ def _learned(batches):
     for batch, raw in row_slices(batches, limit=_SLICE, rows=_ROWS):
         rows = batch.column("row")
         names = rows.field(rows.type.get_field_index("lang")).to_pylist()
-        new = []
-        for i, text in enumerate(raw):
-            key = hash((names[i], text))
-            if key not in met:
-                met.add(key)
-                new.append(i)
-        distinct, which, owner = runs([raw[i].decode() for i in new])
+        distinct, which, owner = runs([t.decode() for t in raw])
         if not len(distinct):
             continue
         text, run, count = _counted(owner, which, len(distinct))
-        share = count / np.bincount(owner, minlength=len(new))[text]
-        lang, codes = np.array([names[i] for i in new], dtype=object)[text], _codes(distinct)
+        share = count / np.bincount(owner, minlength=len(raw))[text]
+        lang, codes = np.array(names, dtype=object)[text], _codes(distinct)
         for name in set(lang):
             of = lang == name
             total = sums.setdefault(name, np.zeros(WIDE + 2))
@@ -215,7 +207,8 @@ def profiles(docs: DataFrame, lang_column: str = "lang", text_column: str = "tex
     """The languages, sorted, their wide unit vectors, and their levels: the mean cosine of a run of one text with the other texts.
     A language with a single text has level 0."""
     given = docs.where(F.col(lang_column).isNotNull()).select(F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang"))
-    rows = packed(given).mapInArrow(_learned, "lang string, i int, x double").groupBy("lang", "i").agg(F.sum("x").alias("x")).collect()
+    # Copies of a text are folded before and after the shuffle, so a text that very many rows repeat is one row per task.
+    rows = packed(given.where(F.col("text").isNotNull()).dropDuplicates(["lang", "text"])).mapInArrow(_learned, "lang string, i int, x double").groupBy("lang", "i").agg(F.sum("x").alias("x")).collect()
     learned: dict[str, np.ndarray] = {}
     for r in rows:  # one number per language and dimension
         learned.setdefault(r["lang"], np.zeros(WIDE + 2))[r["i"] if r["i"] >= 0 else WIDE - 1 - r["i"]] = r["x"]
@@ -255,14 +248,18 @@ def _like(texts: list[str], model, known: list) -> np.ndarray:
 
 def accepted(docs: DataFrame, least: float, id_column: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that are like a language, learned from three of four rows: texts with a letter, but for those whose runs
-    are below ``least`` of the language's level on average and farther below it than clean texts of that length."""
+    are below ``least`` of the language's level on average and farther below it than clean texts of that length. The result does not
+    depend on how the rows are dealt to tasks. Without any ``lang`` all texts with a letter stay."""
     wide = packed(docs)
     sent = docs.sparkSession.sparkContext.broadcast(profiles(docs.where(fold(id_column, 4) != 2)))
 
     def run(batches):
         model, known = sent.value, []
         for batch, raw in row_slices(batches, limit=_SLICE, rows=_ROWS):
-            if model[0]:
+            if not model[0]:
+                _, _, owner = runs([t.decode() for t in raw])
+                yield batch.filter(pa.array(np.bincount(owner, minlength=len(raw)) > 0))
+            else:
                 total, level, n, spread = _like([t.decode() for t in raw], model, known)
                 far = (total < least * level * n) & (level * n - total > FAR * level * spread)
                 yield batch.filter(pa.array((n > 0) & ~(far & (level > 0))))
