@@ -31,6 +31,8 @@ from .common import packed, row_slices
 CACHE_WORDS = 300_000
 TURN_WORDS = 20_000
 LONG_BYTES = 64
+#: What DuckDB may hold, and what it may hold while it contracts long pieces of more than ``LARGE_BYTES`` together.
+MEMORY, LARGE_MEMORY, LARGE_BYTES = "300MB", "1GB", 200_000
 _IDS = pa.list_(pa.int32())
 
 _SHORT = """
@@ -101,7 +103,7 @@ class Codec:
         self.cache: dict[str, bytes] = {}
         self.entries = [token for token in ranks if len(token) > 1]
         self.finder = None
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "1GB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         self._table("merges", pair=(l << 32) | r, rank=m, safe=~np.isin(m, lower))
         ids = sorted(ranks.items(), key=lambda x: x[1])
         self._table("vocabulary", id=[r for _, r in ids], hex=[t.hex() for t, _ in ids])
@@ -154,7 +156,12 @@ class Codec:
         for part, sql in (([w for w in words if len(w) <= LONG_BYTES], _SHORT), ([w for w in words if len(w) > LONG_BYTES], long)):
             for i in range(0, len(part), TURN_WORDS):
                 turn = part[i : i + TURN_WORDS]
+                large = sql is long and sum(map(len, turn)) > LARGE_BYTES
+                if large:
+                    self.con.execute(f"SET memory_limit = '{LARGE_MEMORY}'")
                 found.update(zip(turn, self._contract(turn, sql)))
+                if large:
+                    self.con.execute(f"SET memory_limit = '{MEMORY}'")
         return found
 
     def _learn(self, words: set[str]) -> None:
