@@ -209,10 +209,36 @@ def test_selection_matches_a_sequential_fold(spark):
             else:
                 previous = options[-1]
             want[e, d] = previous
-    got = shares.select_observations(
-        spark.createDataFrame(raw, "entity STRING, date DATE, shares DOUBLE, alias_position INT, seq INT"), spark.createDataFrame(splits, SPLIT)
-    )
-    assert {(r.entity, r.date): r.shares for r in got.collect()} == want
+    raw = spark.createDataFrame(raw, "entity STRING, date DATE, shares DOUBLE, alias_position INT, seq INT")
+    splits = spark.createDataFrame(splits, SPLIT)
+    for piece_days in (shares.PIECE_DAYS, 1, 2, 7):
+        got = shares.select_observations(raw, splits, piece_days)
+        assert {(r.entity, r.date): r.shares for r in got.collect()} == want, piece_days
+    with pytest.raises(ValueError):
+        shares.select_observations(raw, splits, 0)
+
+
+def test_a_very_long_run_of_split_dates_is_composed_of_pieces(spark):
+    n, levels = 100_000, (100.0, 130.0, 175.0)
+    number = F.col("id")
+    date = F.date_add(F.lit("1800-01-01").cast("date"), number.cast("int")).alias("date")
+    ratio = lambda i: 0.5 + (i * 7919 % 1000) / 500  # 0.5 to 2.5, never one value for long
+    split = spark.range(1, n).select(F.lit("one").alias("entity"), date, (F.lit(0.5) + (number * 7919 % 1000) / F.lit(500)).alias("ratio"))
+    value = F.explode(F.array(*[F.struct((F.lit(v) + number % 17).alias("shares"), F.lit(i).alias("seq")) for i, v in enumerate(levels)]))
+    raw = spark.range(n).select(F.lit("one").alias("entity"), date, F.lit(0).alias("alias_position"), value.alias("v"))
+    got = shares.select_observations(raw.select("entity", "date", "v.shares", "alias_position", "v.seq"), split)
+
+    want, previous = [], None
+    for i in range(n):
+        options = [v + i % 17 for v in levels]
+        factor = ratio(i)
+        if previous is None or factor == 1.0:
+            previous = options[-1]
+        else:
+            previous = min(options, key=lambda s: abs(math.log(s / (previous * factor))))
+        want.append(previous)
+    assert len(set(want)) > 3
+    assert [r.shares for r in got.orderBy("date").collect()] == want
 
 
 # --- candles and sinks ----------------------------------------------------------------------------------------------

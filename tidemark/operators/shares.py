@@ -27,6 +27,8 @@ SEARCH_DAYS = 60
 SPLIT_TOLERANCE = 0.35
 HISTORY_START = "2015-01-01"
 
+#: Consecutive split dates that are scanned as one array.
+PIECE_DAYS = 256
 
 
 def _by_day():
@@ -50,13 +52,17 @@ def split_events(splits: DataFrame) -> DataFrame:
     return real.groupBy("entity", ORDER).agg(F.product("ratio").alias("ratio"))
 
 
-def select_observations(shares: DataFrame, splits: DataFrame) -> DataFrame:
+def select_observations(shares: DataFrame, splits: DataFrame, piece_days: int = PIECE_DAYS) -> DataFrame:
     """One share count per date.
 
     The last candidate (alias position, then ``seq``) wins, except on a split date with an earlier selected value:
-    there the candidate nearest in log distance to previous x ratio. The choice depends on the previous one only inside
-    a run of observation dates that are all split dates, so each run is folded on its own.
+    there the candidate nearest in log distance to previous x ratio. The choice depends on the previous one only on
+    split dates with several candidates, so each run of such dates is scanned on its own. A run is cut into pieces of
+    ``piece_days``: every piece is first reduced to the map from each candidate of the day before it to the value it
+    ends with, the maps of the earlier pieces give the value a piece starts with, and the piece is then resolved.
     """
+    if piece_days < 1:
+        raise ValueError("a piece holds at least one day")
     clean = shares.select("entity", ORDER, positive(number("shares")).alias("shares"), "alias_position", "seq")
     place = F.struct("alias_position", "seq")
     values = (
@@ -74,24 +80,50 @@ def select_observations(shares: DataFrame, splits: DataFrame) -> DataFrame:
             F.collect_list(on_split).alias("candidates"),
         )
     )
-    plain = F.count(F.when(F.col("ratio").isNull(), F.lit(1)))
-    runs = days.withColumn("run", plain.over(_by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    settled = F.count(F.when(F.size("candidates") < 2, F.lit(1)))
+    runs = days.withColumn("run", settled.over(_by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    in_run = F.row_number().over(Window.partitionBy("entity", "run").orderBy(ORDER)) - 1
+    rows = F.sort_array(F.collect_list(F.struct(ORDER, "last_value", "ratio", "candidates")))
+    # Grouping and windows below refine the partitioning by entity: no further exchange.
+    pieces = runs.withColumn("piece", F.floor(in_run / piece_days)).groupBy("entity", "run", "piece").agg(rows.alias("rows"))
 
-    def pick(taken: Column, day: Column) -> Column:
-        target = F.element_at(taken, -1)["shares"] * day["ratio"]
+    def choice(before: Column, day: Column) -> Column:
+        target = before * day["ratio"]
         near = F.transform(
             day["candidates"],
             lambda c: F.struct(
                 F.abs(F.ln(c["shares"] / target)).alias("distance"), c["first_place"].alias("place"), c["shares"].alias("shares")
             ),
         )
-        chosen = F.when(F.size(taken) == 0, day["last_value"]).otherwise(F.array_min(near)["shares"])
+        return F.when(before.isNull(), day["last_value"]).otherwise(F.array_min(near)["shares"])
+
+    def pick(taken: Column, day: Column) -> Column:
+        chosen = choice(F.element_at(taken, -1)["shares"], day)
         return F.concat(taken, F.array(F.struct(day[ORDER].alias(ORDER), chosen.alias("shares"))))
 
-    rows = F.sort_array(F.collect_list(F.struct(ORDER, "last_value", "ratio", "candidates")))
-    start = F.array().cast(f"array<struct<{ORDER}:date,shares:double>>")
-    folded = runs.groupBy("entity", "run").agg(rows.alias("rows")).select("entity", F.aggregate("rows", start, pick).alias("taken"))
-    return folded.select("entity", F.inline("taken"))
+    by_piece = Window.partitionBy("entity", "run").orderBy("piece")
+    unknown = F.array(F.lit(None).cast("double"))
+    newest = F.element_at("rows", -1)
+    possible = F.when(F.size(newest["candidates"]) == 0, F.array(newest["last_value"])).otherwise(newest["candidates"]["shares"])
+    mapped = pieces.withColumn("starts", F.when(F.col("piece") == 0, unknown).otherwise(F.lag(possible).over(by_piece)))
+    ends = F.aggregate("rows", F.col("starts"), lambda now, day: F.transform(now, lambda v: choice(v, day)))
+    # Only a piece that another one follows is reduced to its map.
+    followed = F.lead("piece").over(by_piece).isNotNull()
+    step = F.when(F.col("followed"), F.struct("starts", ends.alias("ends")))
+    earlier = F.collect_list("step").over(by_piece.rowsBetween(Window.unboundedPreceding, -1))
+    through = lambda value, m: F.when(F.size(m["starts"]) == 1, m["ends"][0]).otherwise(
+        F.element_at(m["ends"], F.array_position(m["starts"], value).cast("int"))
+    )
+    entry = F.aggregate("earlier", F.lit(None).cast("double"), through)
+    entered = (
+        mapped.withColumn("followed", followed)
+        .withColumn("step", step)
+        .withColumn("earlier", earlier)
+        .select("entity", "rows", entry.alias("entry"))
+    )
+    # The value a piece starts with stands before its first day and goes again.
+    start = F.array(F.struct(F.lit(None).cast("date").alias(ORDER), F.col("entry").alias("shares")))
+    return entered.select("entity", F.inline(F.aggregate("rows", start, pick))).filter(F.col(ORDER).isNotNull())
 
 
 def drop_spikes(shares: DataFrame) -> DataFrame:
