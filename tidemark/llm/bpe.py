@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import packed, row_slices
+from .common import kept, packed, row_slices
 
 CACHE_WORDS = 300_000
 TURN_WORDS = 20_000
@@ -190,13 +190,8 @@ class Codec:
         return out
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}
-
-
 def _codec(path: str, pattern: str) -> Codec:
-    if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = Codec(path, pattern)
-    return _CODECS[path, pattern]
+    return kept("bpe", (path, pattern), lambda: Codec(path, pattern))
 
 
 def _lists(ids: list[np.ndarray]) -> pa.Array:
@@ -212,7 +207,7 @@ def _mapped(docs: DataFrame, text_column: str, extra: str, make: Callable) -> Da
     wide = packed(docs)
 
     def run(batches):
-        for batch, texts in row_slices(batches, text_column):
+        for batch, texts in row_slices(batches, text_column, operator="bpe"):
             yield pa.RecordBatch.from_arrays([batch.column("row"), *make([t.decode() for t in texts])], ["row", *(c.split()[0] for c in extra.split(", "))])
 
     return wide.mapInArrow(run, f"row {wide.schema['row'].dataType.simpleString()}, {extra}")

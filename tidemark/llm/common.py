@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,18 +149,54 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
 
+#: What a worker keeps from task to task, by operator.
+_KEPT: dict[str, dict] = {}
+
+
+def kept(operator: str, key, make: Callable):
+    """What ``make`` returns, made once per worker and dropped when another operator begins."""
+    own = _KEPT.setdefault(operator, {})
+    if key not in own:
+        own[key] = make()
+    return own[key]
+
+
+def begin(operator: str | None = None) -> None:
+    """Drop what other operators left in this worker: Spark uses a worker again for every stage of a session, and what an
+    earlier one keeps would stand beside what the next one needs."""
+    for other in [o for o in _KEPT if o != operator]:
+        del _KEPT[other]
+    _POWERS.clear()
+
+
 def row_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """The texts inside ``row`` as UTF-8 bytes; null counts as empty."""
     rows = batch.column(batch.schema.get_field_index("row"))
     return [v or b"" for v in rows.field(rows.type.get_field_index(column)).cast(pa.binary()).to_pylist()]
 
 
-def row_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, rows: int = 4096):
-    """Pairs of a batch cut to at most ``rows`` rows and about ``limit`` bytes of ``row.column``, and its texts."""
+def cuts(sizes: Iterable[int], limit: int = SLICE_BYTES, rows: int = 4096):
+    """Beginnings and ends of runs of at most ``rows`` rows that end when their sizes reach ``limit``."""
+    a = b = held = 0
+    for b, size in enumerate(sizes, 1):
+        held += size
+        if held >= limit or b - a == rows:
+            yield a, b
+            a, held = b, 0
+    if b > a:
+        yield a, b
+
+
+def byte_sizes(texts: pa.Array) -> list[int]:
+    return pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+
+
+def row_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, rows: int = 4096, operator: str | None = None):
+    """Pairs of a batch cut to at most ``rows`` rows and about ``limit`` bytes of ``row.column``, and its texts. Only the texts of
+    one slice are copied out of the batch at a time. What operators other than ``operator`` keep in this worker is dropped."""
+    begin(operator)
     for batch in batches:
-        texts, a, held = row_texts(batch, column), 0, 0
-        for b, text in enumerate(texts):
-            held += len(text)
-            if held >= limit or b + 1 - a == rows or b == len(texts) - 1:
-                yield batch.slice(a, b + 1 - a), texts[a : b + 1]
-                a, held = b + 1, 0
+        held = batch.column(batch.schema.get_field_index("row"))
+        for a, b in cuts(byte_sizes(held.field(held.type.get_field_index(column))), limit, rows):
+            part = batch.slice(a, b - a)
+            yield part, row_texts(part, column)

@@ -36,7 +36,7 @@ UNKNOWN = "und"
 _GAP = 0x20
 _SLICE = 1 << 20
 _ROWS = 256  # a slice is a matrix of its rows by its distinct runs
-_BLOCK = 1024  # runs whose wide vectors are held at once
+_BLOCK = 256  # runs whose wide vectors are held at once
 _HELD = 1 << 20  # runs a task remembers
 _TABLES: dict = {}
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, packed, row_slices, shingle_hashes, stage_table, word_hashes
+from .common import byte_sizes, cuts, mix, packed, row_slices, shingle_hashes, stage_table, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -150,14 +150,10 @@ def similarity(left: list[bytes], right: list[bytes]) -> np.ndarray:
 def _linked(threshold: float):
     def run(batches):
         for batch in batches:
-            left, right = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("a_text", "b_text"))
-            a, held = 0, 0
-            for b in range(len(left)):
-                held += len(left[b]) + len(right[b])
-                if held >= 1 << 20 or b == len(left) - 1:
-                    ok = similarity(left[a : b + 1], right[a : b + 1]) >= threshold
-                    yield batch.select(["a", "b"]).slice(a, b + 1 - a).filter(pa.array(ok))
-                    a, held = b + 1, 0
+            texts = [batch.column(c).cast(pa.binary()) for c in ("a_text", "b_text")]
+            for a, b in cuts(map(sum, zip(*map(byte_sizes, texts))), rows=batch.num_rows):
+                ok = similarity(*(x.slice(a, b - a).to_pylist() for x in texts)) >= threshold
+                yield batch.select(["a", "b"]).slice(a, b - a).filter(pa.array(ok))
 
     return run
 
@@ -207,12 +203,12 @@ def _round_pairs(members: DataFrame, low: int, high: int) -> DataFrame:
 def _elements(batches):
     """(node, element, size): the units of weight of each text, the n-th occurrence of a shingle being an element of its own."""
     for batch in batches:
-        nodes, texts = batch.column("node").to_numpy(), [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
-        for i in range(0, len(texts), SLICE_ROWS):
-            shingled, of, _ = _sets(texts[i : i + SLICE_ROWS])
+        nodes, texts = batch.column("node").to_numpy(), batch.column("text").cast(pa.binary())
+        for a, b in cuts(byte_sizes(texts), rows=SLICE_ROWS):
+            shingled, of, _ = _sets([t or b"" for t in texts.slice(a, b - a).to_pylist()])
             units = mix(shingled + mix(_units(shingled, of).astype(_U) + _U(1))).view(np.int64)
-            size = np.bincount(of, minlength=len(texts[i : i + SLICE_ROWS]))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[i : i + SLICE_ROWS][of]), pa.array(units), pa.array(size[of])], ["node", "element", "size"])
+            size = np.bincount(of, minlength=b - a)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[a:b][of]), pa.array(units), pa.array(size[of])], ["node", "element", "size"])
 
 
 def _prefix_pairs(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
