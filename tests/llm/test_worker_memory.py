@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
-from tidemark.llm import bpe, common, langid, near_dedup
+from tidemark.llm import bpe, common, langid, near_dedup, tokenfile
 
 
 def rows_of(texts, **columns):
@@ -53,3 +53,16 @@ def test_an_operator_drops_what_another_keeps():
     assert bpe._codec(path, public_tokenizers.PATTERN) is codec
     list(langid._learned([rows_of(["a b"], lang=["a"])]))
     assert not common._KEPT and not common._POWERS
+
+
+def test_words_are_learned_apart_from_their_marks():
+    """Each word and each run of marks is given to the tokenizer once, whatever they stand beside."""
+    encoder = tokenfile.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    given, ids = [], encoder._ids
+    encoder._ids = lambda texts: given.extend(texts) or ids(texts)
+    texts = ["Word$$$ wordé### word,&&& word", "WORD### wordé$$$ Wordé", " <|endoftext|>a a<|endoftext|> it's_ İ$$ ", "", "\x1c ♥\t1a"]
+    got = [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode([t.encode() for t in texts])]
+    assert got == ids(texts)
+    pieces = " ".join(given).split()
+    assert [pieces.count(p) for p in ("word", "wordé", "$$$", "###")] == [1, 1, 1, 1]
+    assert encoder.encode([]) == []

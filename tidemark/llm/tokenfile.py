@@ -22,26 +22,32 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import new_folder, packed, row_slices, stage_table
+from .common import kept, new_folder, packed, row_slices, stage_table
 from .idcoder import LANES, Order0, decode_blocks, encode_blocks
 
 MAGIC = b"TMIDS01\n"
 BLOCK = 1024
 FILE_IDS = BLOCK * LANES
-CACHE_CHUNKS = 800_000
+CACHE_PIECES = 1_200_000
+SLICE = 8 << 20
 _JOIN = 400
-#: Latin letters whose lower case is one letter, then punctuation that begins no contraction.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([,.;:!?)]*)")
+#: Latin letters whose lower case is one letter, and punctuation that begins neither a contraction nor a special token.
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]"
+_MARKS = r"[!-&(-/:;=>?@\[-`{}~]"
+_PLAIN = f"^(?P<letters>{_LETTERS}+)(?P<marks>{_MARKS}*)$"
+_RUN = re.compile(f"{_LETTERS}+|{_MARKS}+")
 _SIGNS = "♥★♫✨☀♪❤"
 
 
 class Encoder:
-    """A tokenizer that drops white space, run on the distinct chunks between ASCII white space, which it never joins."""
+    """A tokenizer that drops white space, run on the distinct chunks between ASCII white space, which it never joins; of a plain
+    word with punctuation after it, on its letters and on its marks."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -58,68 +64,67 @@ class Encoder:
         if suffix:
             self.final = np.zeros(max(words.values()) + 1, dtype=bool)
             self.final[[i for w, i in words.items() if w.endswith(suffix)]] = True
-        self.cache: dict[bytes, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: set[bytes]) -> None:
-        if len(self.cache) + len(chunks) > CACHE_CHUNKS:
-            self.cache.clear()
-            self.runs.clear()
-        plain, other, runs = [], [], set()
-        for c in chunks:
-            if c not in self.cache:
-                text = c.decode()
-                found = _PLAIN.fullmatch(text) if self.final is not None else None
-                if found:
-                    letters, marks = found[1].lower(), found[2]
-                    plain.append((c, letters, marks))
-                    runs.add(letters)
-                    runs.add(marks)
-                else:
-                    other.append((c, text))
-        runs.discard("")
-        new = [r for r in runs if r not in self.runs]
-        for part in (new[i : i + _JOIN] for i in range(0, len(new), _JOIN)):
+    def _learn(self, new: list[str]) -> None:
+        runs = [p for p in new if self.final is not None and _RUN.fullmatch(p)]
+        for part in (runs[i : i + _JOIN] for i in range(0, len(runs), _JOIN)):
             self._learn_runs(part)
-        known = self.runs
-        self.cache.update((c, known[letters] + known[marks] if marks else known[letters]) for c, letters, marks in plain)
-        alone = [x for x in other if self.gap is None or self.gap in x[1]]
-        marked = [x for x in other if self.gap is not None and self.gap not in x[1]]
-        self.cache.update(zip((c for c, _ in alone), (np.array(x, dtype="<u4").tobytes() for x in self._ids([t for _, t in alone]))))
+        other = [p for p in new if p not in self.known]
+        alone = [p for p in other if self.gap is None or self.gap in p]
+        marked = [p for p in other if self.gap is not None and self.gap not in p]
+        self.known.update(zip(alone, (np.array(x, dtype="<u4").tobytes() for x in self._ids(alone))))
         for part in (marked[i : i + _JOIN] for i in range(0, len(marked), _JOIN)):
-            flat = np.array(self._ids([f" {self.gap} ".join([t for _, t in part])])[0], dtype="<u4")
+            flat = np.array(self._ids([f" {self.gap} ".join(part)])[0], dtype="<u4")
             at = 4 * np.flatnonzero(flat == self.gap_id)
             data = flat.tobytes()
-            self.cache.update((c, data[a:b]) for (c, _), a, b in zip(part, [0, *(at + 4).tolist()], [*at.tolist(), 4 * len(flat)]))
+            self.known.update((p, data[a:b]) for p, a, b in zip(part, [0, *(at + 4).tolist()], [*at.tolist(), 4 * len(flat)]))
 
     def _learn_runs(self, part: list[str]) -> None:
         """A run of letters or of punctuation is one word to the tokenizer, whose last id says that it ends there."""
         flat = np.array(self._ids([" ".join(part)])[0], dtype="<u4")
         ends = (4 * (np.flatnonzero(self.final[flat]) + 1)).tolist()
         if len(ends) != len(part):
-            self.runs.update(zip(part, (np.array(x, dtype="<u4").tobytes() for x in self._ids(part))))
+            self.known.update(zip(part, (np.array(x, dtype="<u4").tobytes() for x in self._ids(part))))
             return
         data = flat.tobytes()
-        self.runs.update((r, data[a:b]) for r, a, b in zip(part, [0, *ends[:-1]], ends))
+        self.known.update((r, data[a:b]) for r, a, b in zip(part, [0, *ends[:-1]], ends))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        cut = [t.split() for t in texts]
-        self._learn(set().union(*cut))
-        known = self.cache
-        return [b"".join([known[c] for c in chunks]) for chunks in cut]
-
-
-_ENCODERS: dict[str, Encoder] = {}
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.string()))  # with empty chunks at the ends of a text
+        coded = cut.values.dictionary_encode()
+        chunks = coded.dictionary
+        if self.final is None:
+            pieces = [chunks]
+        else:
+            plain = pc.extract_regex(chunks, _PLAIN)
+            letters, marks = (pc.struct_field(plain, name) for name in ("letters", "marks"))
+            pieces = [pc.coalesce(pc.utf8_lower(letters), chunks), pc.fill_null(marks, "")]
+        named = pa.concat_arrays(pieces).dictionary_encode()
+        distinct = named.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [p for p in distinct if p not in self.known]
+        if len(self.known) + len(new) > CACHE_PIECES:
+            self.known = {"": b""}
+            new = [p for p in distinct if p]
+        self._learn(new)
+        known = self.known
+        held = [known[p] for p in distinct]
+        data = np.frombuffer(b"".join(held), dtype="<u4")
+        sizes = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // 4
+        of = named.indices.to_numpy().reshape(len(pieces), -1).T[coded.indices.to_numpy()].reshape(-1)
+        n = sizes[of]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        flat = data[np.repeat((np.cumsum(sizes) - sizes)[of] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        bounds = (4 * ends[len(pieces) * cut.offsets.to_numpy()]).tolist()
+        return [flat[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 def _encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return kept("tokenfile", path, lambda: Encoder(path))
 
 
 def pack(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
@@ -197,7 +202,7 @@ def _written(folder: str, tokenizer: str, end_id: int | None, file_ids: int):
             kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [c.split()[0] for c in _MANIFEST.split(", ")])
 
-        for batch, texts in row_slices(batches):
+        for batch, texts in row_slices(batches, limit=SLICE, operator="tokenfile"):
             rows = batch.column("row")
             numbers = rows.field(rows.type.get_field_index("id")).to_pylist()
             for number, x in zip(numbers, _encoder(tokenizer).encode(texts)):
