@@ -215,6 +215,69 @@ def test_all_share_extremes_round_trip():
     assert idcoder.encode_blocks(np.zeros((0, 0)), np.zeros(0, dtype=int), table) == []
 
 
+def plainly_coded(row, table):
+    """The code of one block, id by id in whole numbers."""
+    low, span, digits, last, before = 0, 1 << 48, [], 0, 0
+    slots = ({}, {})
+    first = [1, 1024, 2048, 3072]
+    chances = {(c2, c1): [first[c2], first[c1]] for c2 in range(4) for c1 in range(4)}
+
+    def narrow(begin, width, bits):
+        nonlocal low, span
+        low, span = low + (span >> bits) * begin, (span >> bits) * width
+
+    for sym in row.tolist():
+        at = (last * 40503 >> 4 & 511, last * 40503 + before * 52429 >> 3 & 1023)
+        (g1, c1), (g2, c2) = (own.get(i, (None, 0)) for own, i in zip(slots, at))
+        p2, p1 = chances[c2, c1]
+        w1 = ((4094 - p2) * p1 >> 12) + 1
+        if g2 == sym:
+            narrow(0, p2, 12)
+        elif g1 == sym:
+            narrow(p2, w1, 12)
+        else:
+            narrow(p2 + w1, 4096 - p2 - w1, 12)
+            narrow(int(table.starts[sym]), int(table.shares[sym]), 16)
+        while span < 1 << 32:
+            digits.append(low >> 32)
+            low, span = (low & (1 << 32) - 1) << 16, span << 16
+        kept = p1 if g2 == sym else p1 + (((g1 == sym) * 4062 - p1 + 17) >> 4)
+        chances[c2, c1] = [p2 + (((g2 == sym) * 4062 - p2 + 17) >> 4), kept]
+        for own, i, g, c in zip(slots, at, (g1, g2), (c1, c2)):
+            own[i] = (sym, min(c + 1, 3) if g == sym else 1)
+        last, before = sym, last
+    digits.append(low + (1 << 32) - 1 >> 32)
+    for i in range(len(digits) - 1, 0, -1):
+        digits[i - 1] += digits[i] >> 16
+    return np.array([d & 0xFFFF for d in digits], dtype=">u2").tobytes()
+
+
+@pytest.mark.parametrize("distinct", [1, 40, 16_383, 16_384, 65_536])
+def test_codes_are_those_of_plain_whole_numbers(distinct):
+    rng = np.random.default_rng(distinct)
+    table = idcoder.Order0.of(np.concatenate([np.arange(distinct), rng.zipf(1.4, 9000) % distinct]))
+    rows = rng.zipf(1.2, (6, 1024)) % distinct
+    rows[1] = np.tile(rows[1, :64], 16)
+    rows[2] = distinct - 1 - rows[2] % 7 % distinct
+    sizes = np.array([1024, 1024, 1024, 1024, 1024, 600])
+    assert idcoder.encode_blocks(rows, sizes, table) == [plainly_coded(r[:n], table) for r, n in zip(rows, sizes)]
+    coded(rows, sizes, table)
+
+
+@pytest.mark.parametrize("distinct", [300, 20_000])
+def test_any_damage_stays_in_its_block(distinct):
+    rng = np.random.default_rng(distinct)
+    ids = np.concatenate([np.arange(distinct), rng.zipf(1.3, 40_000) % distinct]).astype("<u4")
+    raw = tokenfile.pack([1], [ids.tobytes()])
+    for _ in range(20):
+        bad, at = bytearray(raw), len(tokenfile.MAGIC) + int(rng.integers(0, 10_000))
+        bad[at : at + 40] = rng.integers(0, 256, 40, dtype=np.uint8).tobytes()
+        _, sizes, flat, sound = tokenfile.unpack(bytes(bad))
+        assert sizes.tolist() == [len(ids)] and 1 <= (~sound).sum() <= 2
+        same = np.repeat(sound, tokenfile.BLOCK)[: len(ids)]
+        assert np.array_equal(flat[same], ids[same])
+
+
 def test_files_round_trip_and_report_damage():
     rng = np.random.default_rng(2)
     ids = [rng.integers(0, 3000, n).astype("<u4").tobytes() for n in (5, 0, 3000, 1, 1024, 2000)]

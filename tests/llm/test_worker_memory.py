@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
-from tidemark.llm import bpe, common, langid, near_dedup, tokenfile
+from tidemark.llm import bpe, common, idcoder, langid, near_dedup, tokenfile
 
 
 def rows_of(texts, **columns):
@@ -66,3 +66,20 @@ def test_words_are_learned_apart_from_their_marks():
     pieces = " ".join(given).split()
     assert [pieces.count(p) for p in ("word", "wordé", "$$$", "###")] == [1, 1, 1, 1]
     assert encoder.encode([]) == []
+
+
+def test_a_full_cache_keeps_what_the_slice_holds(monkeypatch):
+    """Pieces that are known when the cache is emptied are not given to the tokenizer again."""
+    encoder = tokenfile.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    given, ids = [], encoder._ids
+    encoder._ids = lambda texts: given.extend(texts) or ids(texts)
+    encoder.encode([b"alpha beta, gamma"])
+    monkeypatch.setattr(tokenfile, "CACHE_PIECES", 6)
+    given.clear()
+    assert np.frombuffer(encoder.encode([b"alpha, delta beta, epsilon"])[0], dtype="<u4").tolist() == ids(["alpha, delta beta, epsilon"])[0]
+    assert " ".join(given).split() == ["delta", "epsilon"] and len(encoder.known) <= 6
+
+
+def test_tables_of_few_ids_take_two_bytes_a_slot():
+    for distinct, width in ((16_383, 2), (16_384, 4)):
+        assert idcoder._Model(2, idcoder.Order0.of(np.arange(distinct))).slots.itemsize == width

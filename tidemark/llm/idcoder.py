@@ -6,6 +6,9 @@ of the first two keeps a confidence (hits in a row, 3 at most) with its predicti
 adaptive chances of "order 2 is right", "order 1 is right" and "neither". The outcome is range coded with these chances; after
 "neither" the id itself is coded by its order-0 share. All of it starts anew in every block, and blocks are coded side by side
 as rows of numpy arrays: one step codes one id of each block. The widths (48-bit range, 16-bit digits) are below.
+
+Ranges are whole numbers below 2**53 in double precision, which numpy divides and rounds down several at a time; all of it is exact.
+Slots and digits of all blocks stand side by side (slot by slot, digit by digit), since blocks of similar text use the same ones.
 """
 
 from __future__ import annotations
@@ -18,10 +21,11 @@ RATE = 4
 SLOT1, SLOT2 = 9, 10  # bits of the prediction tables
 LANES = 4096
 MAX_IDS = 1 << TOTAL_BITS
-_LOW, _FLOOR = np.uint64((1 << 32) - 1), np.uint64(1 << 32)
-_16, _32 = np.uint64(16), np.uint64(32)
-_SURER = np.array([1, 2, 3, 3], dtype=np.uint32)
-_EB, _TB = np.uint64(EVENT_BITS), np.uint64(TOTAL_BITS)
+_ONE = 1 << EVENT_BITS
+_FLOOR, _DIGIT = float(1 << 32), float(1 << 16)
+_YES, _NO = _ONE - 17, 17  # what chances move to
+#: The slot of no prediction: a symbol that no table of this width has.
+_EMPTY = {np.uint16: (1 << 16) - 4, np.uint32: MAX_IDS << 2}
 
 
 class Order0:
@@ -47,42 +51,59 @@ class Order0:
 
 
 class _Model:
-    """Predictions and chances of ``n`` blocks. A slot holds a predicted symbol and, in its two low bits, the confidence."""
+    """Predictions and chances of ``n`` blocks. A slot holds a predicted symbol and, in its two low bits, the confidence; row 0 of
+    ``at``, ``sure`` and ``guess`` is order 1, row 1 order 2. Both chances stand in one number, that of order 2 in the high half."""
 
-    def __init__(self, n: int):
+    def __init__(self, n: int, table: Order0):
+        kind = np.uint16 if len(table.ids) < 1 << 14 else np.uint32
+        self.n = np.int64(n)
         lane = np.arange(n, dtype=np.int64)
-        self.base1, self.base2, self.base_w = lane << SLOT1, lane << SLOT2, lane << 4
-        self.slots1, self.slots2 = np.zeros(n << SLOT1, dtype=np.uint32), np.zeros(n << SLOT2, dtype=np.uint32)
-        one = 1 << EVENT_BITS
-        first = np.array([1, one // 4, one // 2, 3 * one // 4], dtype=np.int32)
-        self.right2 = np.tile(np.repeat(first, 4), n)  # by (confidence 2, confidence 1)
-        self.right1 = np.tile(np.tile(first, 4), n)
-        self.last = np.zeros(n, dtype=np.int64)
-        self.before = np.zeros(n, dtype=np.int64)
+        self.base = np.stack([lane, lane + (n << SLOT1)])
+        self.slots = np.full(n * ((1 << SLOT1) + (1 << SLOT2)), _EMPTY[kind], dtype=kind)
+        first = np.array([1, _ONE // 4, _ONE // 2, 3 * _ONE // 4], dtype=np.int32)
+        self.chances = np.repeat((first[:, None] << 16 | first).reshape(-1), n)  # by (confidence 2, confidence 1)
+        self.last = np.zeros(n, dtype=np.uint16)
+        self.before = np.zeros(n, dtype=np.uint16)  # multiplied
 
     def look(self, m: int):
         """Predictions of both orders and the widths of the first two outcomes."""
-        last = self.last[:m] * 40503
-        self.at1 = ((last >> 4) & ((1 << SLOT1) - 1)) + self.base1[:m]
-        self.at2 = (((last + self.before[:m] * 52429) >> 3) & ((1 << SLOT2) - 1)) + self.base2[:m]
-        slot1, slot2 = self.slots1.take(self.at1), self.slots2.take(self.at2)
-        self.c1, self.c2 = slot1 & 3, slot2 & 3
-        self.g1, self.g2 = slot1 >> 2, slot2 >> 2
-        self.at_w = self.base_w[:m] + ((self.c2 << 2) | self.c1)
-        self.p2, self.p1 = self.right2.take(self.at_w), self.right1.take(self.at_w)
-        return self.p2, (((((1 << EVENT_BITS) - 2) - self.p2) * self.p1) >> EVENT_BITS) + 1
-
-    def learn(self, m: int, sym: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """``hit1`` holds only where ``hit2`` does not."""
-        top = np.int32((1 << EVENT_BITS) - 34)
-        p2, p1 = self.p2, self.p1
-        self.right2[self.at_w] = np.maximum(p2 + ((hit2 * top - p2 + 17) >> RATE), 1)
-        self.right1[self.at_w] = np.where(hit2, p1, np.maximum(p1 + ((hit1 * top - p1 + 17) >> RATE), 1))
-        wide = sym.astype(np.uint32)
-        slot = wide << 2
-        self.slots1[self.at1] = slot + np.where(self.g1 == wide, _SURER.take(self.c1), 1)
-        self.slots2[self.at2] = slot + np.where(self.g2 == wide, _SURER.take(self.c2), 1)
-        self.before[:m] = self.last[:m]
+        hashed = np.empty((2, m), dtype=np.uint16)
+        last = self.last[:m] * np.uint16(40503)
+        np.bitwise_and(last >> 4, (1 << SLOT1) - 1, out=hashed[0])
+        last += self.before[:m]
+        np.bitwise_and(last >> 3, (1 << SLOT2) - 1, out=hashed[1])
+        self.at = hashed * self.n
+        self.at += self.base[:, :m]
+        slots = self.slots.take(self.at, mode="wrap")
+        self.sure, self.guess = slots & 3, slots >> 2
+        self.at_w = (self.sure[1] << 2 | self.sure[0]) * self.n
+        self.at_w += self.base[0, :m]
+        self.both = self.chances.take(self.at_w, mode="wrap")
+        p2, self.p1 = self.both >> 16, self.both & 0xFFFF
+        w1 = (_ONE - 2) - p2
+        w1 *= self.p1
+        w1 >>= EVENT_BITS
+        w1 += 1
+        return p2, w1
+
+    def learn(self, m: int, sym: np.ndarray, same: np.ndarray) -> None:
+        """``same``: where each order predicts ``sym``. A chance p becomes p + ((goal - p) >> RATE), which is (15 p + goal) >> 4 and
+        fits in 16 bits; where order 2 is right, the chance of order 1 is its own goal."""
+        goals = self.p1
+        goals += (_YES - _NO << 16) - _NO
+        goals *= same[1]
+        goals += (same[0] > same[1]) * np.int32(_YES - _NO)
+        goals += _NO << 16 | _NO
+        chances = self.both.view(np.uint32) * np.uint32((1 << RATE) - 1)
+        chances += goals.view(np.uint32)
+        chances >>= RATE
+        chances &= _ONE - 1 << 16 | _ONE - 1
+        self.chances[self.at_w] = chances.view(np.int32)
+        slots = np.minimum(self.sure, 2)
+        slots *= same
+        slots += (sym.astype(slots.dtype) << 2) + 1
+        self.slots[self.at] = slots
+        np.multiply(self.last[:m], np.uint16(52429), out=self.before[:m])
         self.last[:m] = sym
 
 
@@ -94,93 +115,112 @@ def _live(sizes: np.ndarray) -> np.ndarray:
 def encode_blocks(symbols: np.ndarray, sizes: np.ndarray, table: Order0) -> list[bytes]:
     """The codes of the blocks in the rows of ``symbols`` (blocks, longest); ``sizes`` must not rise."""
     n = len(sizes)
-    steps = np.ascontiguousarray(symbols.T.astype(np.uint16))
-    model, low, span = _Model(n), np.zeros(n, dtype=np.uint64), np.full(n, 1 << 48, dtype=np.uint64)
-    digits = np.zeros((n, 2 * symbols.shape[1] + 4), dtype=np.uint32)
-    flat, row = digits.reshape(-1), np.arange(n, dtype=np.int64) * digits.shape[1]
-    place = row.copy()
-    starts, shares = table.starts.astype(np.uint64), table.shares.astype(np.uint64)
+    steps = np.ascontiguousarray(symbols.T, dtype=np.uint16)
+    model, low, span = _Model(n, table), np.zeros(n), np.full(n, float(1 << 48))
+    digits = np.zeros((2 * len(steps) + 4, n), dtype=np.uint32)
+    flat, place = digits.reshape(-1), np.arange(n, dtype=np.int64)
+    starts, shares = table.starts.astype(float), table.shares.astype(float)
     for t, m in enumerate(_live(sizes)):
-        sym = steps[t, :m]
+        sym, lo, at = steps[t, :m], low[:m], place[:m]
         w2, w1 = model.look(m)
-        hit2 = (model.g2 == sym) & (model.c2 > 0)
-        hit1 = (model.g1 == sym) & (model.c1 > 0) & ~hit2
-        other = ~(hit2 | hit1)
-        both = w2 + w1
-        start = np.where(hit2, 0, np.where(hit1, w2, both)).astype(np.uint64)
-        width = np.where(hit2, w2, np.where(hit1, w1, (1 << EVENT_BITS) - both)).astype(np.uint64)
-        r = span[:m] >> _EB
-        low[:m] += r * start
-        span[:m] = r * width
-        o = np.flatnonzero(other)
+        same = model.guess == sym
+        not2 = ~same[1]
+        r = np.floor(span[:m] * 2.0**-EVENT_BITS)
+        own, next_ = r * w2, r * w1
+        o = np.flatnonzero(not2 > same[0])
         s = sym.take(o)
-        r = span.take(o) >> _TB
-        low[o] += r * starts.take(s)
-        span[o] = r * shares.take(s)
-        z = np.flatnonzero(span[:m] < _FLOOR)
-        while len(z):
-            v = low.take(z)
-            at = place.take(z)
-            flat[at] = v >> _32
-            place[z] = at + 1
-            low[z] = (v & _LOW) << _16
-            w = span.take(z) << _16
-            span[z] = w
-            z = z[w < _FLOOR]
-        model.learn(m, sym, hit2, hit1)
-    flat[place] = (low + _LOW) >> _32  # one digit tells the rest of the range apart
-    while True:
-        carry = digits >> 16
-        if not carry.any():
-            break
-        digits &= 0xFFFF
-        digits[:, :-1] += carry[:, 1:]
-    whole = digits.astype(">u2")
-    return [whole[i, :e].tobytes() for i, e in enumerate(place + 1 - row)]
+        begin = (own + next_).take(o)
+        width = np.floor((r.take(o) * _ONE - begin) * 2.0**-TOTAL_BITS)
+        begin += width * starts.take(s)
+        width *= shares.take(s)
+        move = own * not2
+        move[o] = begin
+        lo += move
+        next_ -= own
+        next_ *= not2
+        own += next_  # the width of order 1 where order 2 is wrong
+        own[o] = width
+        due = own < _FLOOR
+        digit = np.floor(lo * 2.0**-32)
+        flat[at] = digit  # the next one takes its place where none is due
+        at += due * model.n
+        digit *= due
+        digit *= _FLOOR
+        lo -= digit
+        scale = due * (_DIGIT - 1)
+        scale += 1
+        lo *= scale
+        own *= scale
+        z = np.flatnonzero(own < _FLOOR)  # a second digit; a range never needs a third
+        if len(z):
+            digit = np.floor(lo[z] * 2.0**-32)
+            flat[at[z]] = digit
+            at[z] += n
+            lo[z] = (lo[z] - digit * _FLOOR) * _DIGIT
+            own[z] *= _DIGIT
+        span[:m] = own
+        model.learn(m, sym, same)
+    flat[place] = np.floor((low + (_FLOOR - 1)) * 2.0**-32)  # one digit tells the rest of the range apart
+    ends = place // max(1, n) + 1
+    digits = digits[: ends.max(initial=0)]
+    for i in range(len(digits) - 1, 0, -1):
+        digits[i - 1] += digits[i] >> 16  # carry
+    whole = digits.T.astype(">u2", order="C")
+    return [whole[i, :e].tobytes() for i, e in enumerate(ends.tolist())]
 
 
 def decode_blocks(codes: list[bytes], sizes: np.ndarray, table: Order0) -> np.ndarray:
-    """The symbols (blocks, longest) of the codes; ``sizes`` must not rise."""
+    """The symbols (blocks, longest) of the codes; ``sizes`` must not rise. Of a damaged code, any numbers."""
     n = len(sizes)
     longest = int(sizes[0]) if n else 0
     lengths = np.array([len(c) // 2 for c in codes], dtype=np.int64)
     # Zeros follow every code: the decoder reads up to three digits ahead.
     row = np.cumsum(lengths + 8) - (lengths + 8)
-    flat = np.frombuffer(b"".join(c[: len(c) // 2 * 2] + b"\0" * 16 for c in codes), dtype=">u2").astype(np.uint64)
-    last = row + lengths + 7
-    model, span = _Model(n), np.full(n, 1 << 48, dtype=np.uint64)
-    code = (flat[row] << _32) | (flat[row + 1] << _16) | flat[row + 2] if n else np.zeros(0, dtype=np.uint64)
+    flat = np.frombuffer(b"".join(c[: len(c) // 2 * 2] + b"\0" * 16 for c in codes), dtype=">u2").astype(np.uint16)
+    model, span = _Model(n, table), np.full(n, float(1 << 48))
+    code = flat[row] * _FLOOR + flat[row + 1] * _DIGIT + flat[row + 2] if n else np.zeros(0)
     place = row + 3
-    starts, shares, symbol = table.starts.astype(np.uint64), table.shares.astype(np.uint64), table.symbol
+    starts, shares, symbol = table.starts.astype(float), table.shares.astype(float), table.symbol.astype(np.uint16)
     out = np.zeros((longest, n), dtype=np.uint16)
-    top = np.int64(MAX_IDS - 1)
     for t, m in enumerate(_live(sizes)):
+        now, at = code[:m], place[:m]
         w2, w1 = model.look(m)
-        both = w2 + w1
-        r = span[:m] >> _EB
-        v = (code[:m] // r).astype(np.int64)
-        hit2 = v < w2
-        hit1 = (v < both) & ~hit2
-        start = np.where(hit2, 0, np.where(hit1, w2, both)).astype(np.uint64)
-        width = np.where(hit2, w2, np.where(hit1, w1, (1 << EVENT_BITS) - both)).astype(np.uint64)
-        code[:m] -= r * start
-        span[:m] = r * width
-        sym = np.where(hit2, model.g2, model.g1)
-        o = np.flatnonzero(v >= both)
-        c = code.take(o)
-        r = span.take(o) >> _TB
-        s = symbol.take(np.minimum((c // r).astype(np.int64), top))
-        code[o] = c - r * starts.take(s)
-        span[o] = r * shares.take(s)
+        r = np.floor(span[:m] * 2.0**-EVENT_BITS)
+        own, next_ = r * w2, r * w1
+        is2 = now < own
+        not2 = ~is2
+        both = own + next_
+        o = np.flatnonzero(now >= both)
+        begin = both.take(o)
+        width = np.floor((r.take(o) * _ONE - begin) * 2.0**-TOTAL_BITS)
+        rest = now.take(o) - begin
+        s = symbol.take((rest / width).astype(np.int32), mode="clip")
+        rest -= width * starts.take(s)
+        width *= shares.take(s)
+        now -= own * not2
+        now[o] = np.minimum(rest, width - 1)  # less only in a damaged code
+        next_ -= own
+        next_ *= not2
+        own += next_
+        own[o] = width
+        sym = model.guess[1] - model.guess[0]
+        sym *= is2
+        sym += model.guess[0]
         sym[o] = s
-        z = np.flatnonzero(span[:m] < _FLOOR)
-        while len(z):
-            at = place.take(z)
-            code[z] = (code.take(z) << _16) | flat.take(np.minimum(at, last.take(z)))
-            place[z] = at + 1
-            w = np.maximum(span.take(z), 1) << _16
-            span[z] = w
-            z = z[w < _FLOOR]
+        sym = sym.astype(np.uint16, copy=False)
+        due = own < _FLOOR
+        scale = due * (_DIGIT - 1)
+        scale += 1
+        own *= scale
+        now *= scale
+        now += flat.take(at, mode="clip") * due
+        at += due
+        z = np.flatnonzero(own < _FLOOR)
+        if len(z):
+            now[z] = now[z] * _DIGIT + flat.take(at[z], mode="clip")
+            at[z] += 1
+            own[z] *= _DIGIT
+        span[:m] = own
         out[t, :m] = sym
-        model.learn(m, sym, hit2, hit1)
+        model.learn(m, sym, model.guess == sym)
     return out.T

@@ -58,7 +58,7 @@ class Encoder:
         coded = {sign: self._ids([sign])[0] for sign in _SIGNS}
         self.gap, self.gap_id = next(((sign, ids[0]) for sign, ids in coded.items() if len(ids) == 1), (None, None))
         # Ids that end a word, where the vocabulary marks them.
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         words = self.tokenizer.get_vocab()
         self.final = None
         if suffix:
@@ -105,22 +105,21 @@ class Encoder:
             letters, marks = (pc.struct_field(plain, name) for name in ("letters", "marks"))
             pieces = [pc.coalesce(pc.utf8_lower(letters), chunks), pc.fill_null(marks, "")]
         named = pa.concat_arrays(pieces).dictionary_encode()
-        distinct = named.dictionary.to_numpy(zero_copy_only=False).tolist()
-        new = [p for p in distinct if p not in self.known]
+        ids = pa.array(self._held(named.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(named.indices)
+        parts = [ids.slice(i * len(chunks), len(chunks)) for i in range(len(pieces))]
+        flat = pc.binary_join_element_wise(*parts, pa.scalar(b"", pa.large_binary())).take(coded.indices)
+        _, ends, data = flat.buffers()
+        bounds = np.frombuffer(ends, dtype=np.int64)[cut.offsets.to_numpy()] if len(flat) else np.zeros(len(texts) + 1, dtype=np.int64)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(bounds), data or pa.py_buffer(b"")]).to_pylist()
+
+    def _held(self, distinct: list[str]) -> list[bytes]:
+        """Ids of distinct pieces; those not known yet are learned."""
+        held = list(map(self.known.get, distinct))
+        new = [p for p, x in zip(distinct, held) if x is None]
         if len(self.known) + len(new) > CACHE_PIECES:
-            self.known = {"": b""}
-            new = [p for p in distinct if p]
+            self.known = {p: x for p, x in zip(distinct, held) if x is not None} | {"": b""}
         self._learn(new)
-        known = self.known
-        held = [known[p] for p in distinct]
-        data = np.frombuffer(b"".join(held), dtype="<u4")
-        sizes = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // 4
-        of = named.indices.to_numpy().reshape(len(pieces), -1).T[coded.indices.to_numpy()].reshape(-1)
-        n = sizes[of]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        flat = data[np.repeat((np.cumsum(sizes) - sizes)[of] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
-        bounds = (4 * ends[len(pieces) * cut.offsets.to_numpy()]).tolist()
-        return [flat[a:b] for a, b in zip(bounds, bounds[1:])]
+        return [self.known[p] if x is None else x for p, x in zip(distinct, held)]
 
 
 def _encoder(path: str) -> Encoder:
@@ -175,7 +174,7 @@ def unpack(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray, np.nda
     for a in range(0, h["blocks"], LANES):
         own = np.minimum(size, h["ids"] - np.arange(a, min(a + LANES, h["blocks"])) * size)
         codes = [raw[e - n : e] for e, n in zip(ends[a : a + LANES].tolist(), lengths[a : a + LANES].tolist())]
-        out = ids[decode_blocks(codes, own, table)].reshape(-1)
+        out = ids.take(decode_blocks(codes, own, table), mode="clip").reshape(-1)
         flat[a * size : a * size + own.sum()] = out[: own.sum()]
     for i in range(h["blocks"]):
         sound[i] = zlib.crc32(flat[i * size : (i + 1) * size].tobytes()) == crcs[i]
