@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import json
 import random
 import zlib
 
@@ -310,6 +311,30 @@ def test_chunked_encoding_is_the_libraries():
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([(t or "").encode() for t in TEXTS])] == want
 
 
+def test_every_plain_letter_and_mark_is_coded_as_by_the_library():
+    tokenizer, encoder = Tokenizer.from_file(TOKENIZER), tokenfile.Encoder(TOKENIZER)
+    every = [chr(c) for c in range(0x21, 0x250)]
+    texts = [f"{c} {c}{c} x{c} {c}x {c}! a{c}b {c}{d}" for c, d in zip(every, every[7:] + every[:7])] + ["".join(every), " ".join(every)]
+    assert encoder.final is not None
+    for got, text in zip(encoder.encode([t.encode() for t in texts]), texts):
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("change", ["case", "letters"])
+def test_other_rules_are_the_librarys(tmp_path, change):
+    """Words are cut and lower-cased by themselves only where the tokenizer does so."""
+    rules = json.loads(Tokenizer.from_file(TOKENIZER).to_str())
+    if change == "case":
+        rules["normalizer"]["normalizers"].pop()
+    else:
+        rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}]{1,2}|[\p{N}]|[^\s\p{L}\p{N}]"
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(rules))
+    tokenizer, texts = Tokenizer.from_file(str(path)), ["Hello WORLD... word", "wordy?! Words", ""]
+    got = [np.frombuffer(x, "<u4").tolist() for x in tokenfile.Encoder(str(path)).encode([t.encode() for t in texts])]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("file_ids", [tokenfile.FILE_IDS, 50])
 def test_documents_round_trip_in_id_order(spark, file_ids):
     tokenizer = Tokenizer.from_file(TOKENIZER)

@@ -43,6 +43,18 @@ _MARKS = r"[!-&(-/:;=>?@\[-`{}~]"
 _PLAIN = f"^(?P<letters>{_LETTERS}+)(?P<marks>{_MARKS}*)$"
 _RUN = re.compile(f"{_LETTERS}+|{_MARKS}+")
 _SIGNS = "♥★♫✨☀♪❤"
+#: Rules under which each such run of lower-case letters or of punctuation is one word, and nothing of it is rewritten.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_WORDS = [
+    {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def _rules(step) -> dict:
+    """A normalizer's or pre-tokenizer's settings."""
+    return {} if step is None else json.loads(step.__getstate__())
 
 
 class Encoder:
@@ -51,28 +63,34 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = self.active = Tokenizer.from_file(path)
         # A sign that is one id of its own: where a chunk does not hold it, its id marks the gaps between chunks.
         coded = {sign: self._ids([sign])[0] for sign in _SIGNS}
         self.gap, self.gap_id = next(((sign, ids[0]) for sign, ids in coded.items() if len(ids) == 1), (None, None))
-        # Ids that end a word, where the vocabulary marks them.
+        # Ids that end a word, where the vocabulary marks them and the rules are the known ones: of a run, only spaces need be found.
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        words = self.tokenizer.get_vocab()
         self.final = None
-        if suffix:
+        if suffix and _rules(self.tokenizer.normalizer).get("normalizers") == _NORMAL and _rules(self.tokenizer.pre_tokenizer).get("pretokenizers") == _WORDS:
+            words = self.tokenizer.get_vocab()
             self.final = np.zeros(max(words.values()) + 1, dtype=bool)
             self.final[[i for w, i in words.items() if w.endswith(suffix)]] = True
+            self.runs = Tokenizer(self.tokenizer.model)  # shared, not copied
+            self.runs.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [x.ids for x in self.active.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
         runs = [p for p in new if self.final is not None and _RUN.fullmatch(p)]
-        for part in (runs[i : i + _JOIN] for i in range(0, len(runs), _JOIN)):
-            self._learn_runs(part)
+        try:  # through the shorter rules
+            self.active = self.runs if runs else self.tokenizer
+            for part in (runs[i : i + _JOIN] for i in range(0, len(runs), _JOIN)):
+                self._learn_runs(part)
+        finally:
+            self.active = self.tokenizer
         other = [p for p in new if p not in self.known]
         alone = [p for p in other if self.gap is None or self.gap in p]
         marked = [p for p in other if self.gap is not None and self.gap not in p]
@@ -212,6 +230,7 @@ def _written(folder: str, tokenizer: str, end_id: int | None, file_ids: int):
                 docs.append(number)
                 ids.append(x)
                 held += len(x) // 4
+            pa.default_memory_pool().release_unused()  # else kept by Arrow while numpy codes the file
         if docs:
             yield flush()
 
